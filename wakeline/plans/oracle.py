@@ -21,12 +21,25 @@ parsed AS (
   FROM raw_events
 )"""
 
-ENRICHED_W1 = """
-enriched_w1 AS (
-  SELECT *, CAST(1704067240e0 - timestamp AS FLOAT) AS time_taken FROM speed_w1
+ENRICHED = """
+enriched AS (
+  SELECT seq, id, x, y, timestamp, CAST(inst_speed AS FLOAT) AS inst_speed,
+         CAST(1704067240e0 - timestamp AS FLOAT) AS time_taken FROM speed_w2
 )"""
 
-W1 = _BASE + (BASELINE, SPEED_W1, ENRICHED_W1)
+W2E = _BASE + (SPEED_W2, ENRICHED)
+
+LATEST = """
+latest AS (
+  SELECT id, CAST(arg_max(y, seq) AS DOUBLE) AS lat, CAST(arg_max(x, seq) AS DOUBLE) AS lon,
+         CAST(arg_max(inst_speed, seq) AS DOUBLE) AS inst_speed
+  FROM enriched WHERE inst_speed IS NOT NULL GROUP BY id
+)"""
+
+_BATCHES = """
+SELECT batch_no, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq
+FROM (SELECT seq, (row_number() OVER (ORDER BY seq) - 1) // {n} AS batch_no FROM {src})
+GROUP BY batch_no"""
 
 ORACLE: dict[str, str] = {
     "parse_events": with_ctes(RAW_EVENTS, PARSED) + """
@@ -46,18 +59,38 @@ FROM parsed WHERE reason IS NULL""",
     "speed_suppressed": with_ctes(*_BASE, BASELINE) + """
 SELECT seq, id, CASE WHEN b.seq = seq THEN 'first_in_horizon' ELSE 'gap_below_min' END AS reason
 FROM based WHERE b.seq = seq OR timestamp - b.t < 1e0""",
-    "time_taken": with_ctes(*W1) + "SELECT seq, id, CAST(time_taken AS DOUBLE) AS time_taken FROM enriched_w1",
+    "time_taken": with_ctes(*W2E) + "SELECT seq, id, CAST(time_taken AS DOUBLE) AS time_taken FROM enriched",
     "on_time_by_device": with_ctes(*_BASE) + "SELECT id, count(*) AS n FROM on_time GROUP BY id",
     "on_time_total": with_ctes(*_BASE) + "SELECT count(*) AS n FROM on_time",
     "late_by_device": with_ctes(*_BASE) + "SELECT id, count(*) AS n FROM late GROUP BY id",
     "late_total": with_ctes(*_BASE) + "SELECT count(*) AS n FROM late",
-    "time_counter_ms": with_ctes(*W1)
-    + "SELECT round(sum(CAST(time_taken AS DOUBLE) * 1000e0), 2) AS ms FROM enriched_w1",
-    "device_counters_long": with_ctes(*W1) + """
+    "time_counter_ms": with_ctes(*W2E)
+    + "SELECT round(sum(CAST(time_taken AS DOUBLE) * 1000e0), 2) AS ms FROM enriched",
+    "device_counters_long": with_ctes(*W2E) + """
 SELECT 'on_time_device_' || CAST(id AS VARCHAR) AS metric, round(CAST(count(*) AS DOUBLE), 2) AS value FROM on_time GROUP BY id
 UNION ALL
 SELECT 'late_device_' || CAST(id AS VARCHAR), round(CAST(count(*) AS DOUBLE), 2) FROM late GROUP BY id
 UNION ALL SELECT 'total_on_time_events', round(CAST(count(*) AS DOUBLE), 2) FROM on_time
 UNION ALL SELECT 'total_late_events', round(CAST(count(*) AS DOUBLE), 2) FROM late
-UNION ALL SELECT 'time_counter_ms', round(coalesce(sum(CAST(time_taken AS DOUBLE) * 1000e0), 0e0), 2) FROM enriched_w1""",
+UNION ALL SELECT 'time_counter_ms', round(coalesce(sum(CAST(time_taken AS DOUBLE) * 1000e0), 0e0), 2) FROM enriched""",
+    "raw_json": with_ctes(SENSOR) + f"SELECT {_XY} FROM sensor",
+    "enriched_json": with_ctes(*W2E)
+    + f"SELECT {_XY}, CAST(inst_speed AS DOUBLE) AS inst_speed, CAST(time_taken AS DOUBLE) AS time_taken FROM enriched",
+    "archive_batches": with_ctes(RAW_EVENTS)
+    + _BATCHES.format(n=200, src="(SELECT seq FROM raw_events WHERE json_valid(value))"),
+    "archive_replay": with_ctes(RAW_EVENTS) + """
+SELECT CAST(json_extract(value, '$.id') AS BIGINT) AS id, CAST(json_extract(value, '$.x') AS DOUBLE) AS x,
+       CAST(json_extract(value, '$.y') AS DOUBLE) AS y, CAST(json_extract(value, '$.timestamp') AS DOUBLE) AS timestamp
+FROM raw_events WHERE json_valid(value)""",
+    "readings_batches": with_ctes(*W2E) + _BATCHES.format(n=20, src="enriched"),
+    "readings_append": with_ctes(*W2E) + """
+SELECT row_number() OVER (ORDER BY seq) AS reading_id, id AS device_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y,
+       CAST(round_even(timestamp * 1000000e0, 0) AS BIGINT) AS ts_us,
+       CAST(inst_speed AS DOUBLE) AS inst_speed, CAST(time_taken AS DOUBLE) AS time_taken
+FROM enriched""",
+    "latest_per_device": with_ctes(*W2E, LATEST) + "SELECT * FROM latest",
+    "speed_board": with_ctes(*W2E, LATEST) + """
+SELECT s.id, coalesce(printf('%.1f', round(l.inst_speed, 1)), '0.0') AS speed_text,
+       coalesce(l.lat, 52.448922e0 - CAST(s.id - 1 AS DOUBLE) / 1000e0) AS lat, coalesce(l.lon, 21.031619e0) AS lon
+FROM (SELECT unnest([1, 2, 3, 4, 5, 6]) AS id) s LEFT JOIN latest l ON l.id = s.id""",
 }

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.operators import counters, lateness, parse, speed
+from wakeline.functions import jsonfmt
+from wakeline.operators import batches, counters, lateness, latest, parse, readings, speed
 from wakeline.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,12 +71,15 @@ def q_speed_suppressed(spark, sf_dir):
     return speed.speed_suppressed(_on_time(spark, sf_dir))
 
 
-def _enriched_w1(spark, sf_dir) -> DataFrame:
-    return speed.with_time_taken(speed.inst_speed(_on_time(spark, sf_dir)), now=fx.NOW)
+def _enriched(spark, sf_dir) -> DataFrame:
+    """What the job emits: the coded speed rule plus latency at the fixed clock."""
+    e = speed.inst_speed_stateful(_on_time(spark, sf_dir))
+    e = e.withColumn("inst_speed", F.col("inst_speed").cast("float"))
+    return speed.with_time_taken(e, now=fx.NOW)
 
 
 def q_time_taken(spark, sf_dir):
-    return _enriched_w1(spark, sf_dir).select("seq", "id", F.col("time_taken").cast("double"))
+    return _enriched(spark, sf_dir).select("seq", "id", F.col("time_taken").cast("double"))
 
 
 def q_on_time_by_device(spark, sf_dir):
@@ -95,15 +99,61 @@ def q_late_total(spark, sf_dir):
 
 
 def q_time_counter_ms(spark, sf_dir):
-    return counters.time_counter_ms(_enriched_w1(spark, sf_dir)).select(F.round("ms", 2).alias("ms"))
+    return counters.time_counter_ms(_enriched(spark, sf_dir)).select(F.round("ms", 2).alias("ms"))
 
 
 def q_device_counters_long(spark, sf_dir):
     d = counters.device_counters_long(_on_time(spark, sf_dir), _late(spark, sf_dir),
-                                      _enriched_w1(spark, sf_dir))
+                                      _enriched(spark, sf_dir))
     return d.withColumn("value", F.round("value", 2))
 
 
+def _valid_raw(spark, sf_dir) -> DataFrame:
+    """Raw records any JSON decoder accepts (what the archive consumer can read)."""
+    raw = fx.load_raw_events(spark, sf_dir)
+    return raw.filter(F.try_parse_json("value").isNotNull())
+
+
+def q_raw_json(spark, sf_dir):
+    s = fx.load_sensor(spark, sf_dir)
+    j = jsonfmt.to_json_value(s, jsonfmt.RAW_FIELDS, keep=["seq"])
+    return _xy(jsonfmt.from_json_value(j, jsonfmt.RAW_DECLARED, keep=["seq"]))
+
+
+def q_enriched_json(spark, sf_dir):
+    j = jsonfmt.to_json_value(_enriched(spark, sf_dir), keep=["seq"])
+    back = jsonfmt.from_json_value(j, keep=["seq"])
+    return _xy(back).select("seq", "id", "x", "y", "timestamp",
+                            F.col("inst_speed").cast("double"), F.col("time_taken").cast("double"))
+
+
+def q_archive_batches(spark, sf_dir):
+    return batches.batch_summary(batches.assign_batches(_valid_raw(spark, sf_dir), batches.ARCHIVE_BATCH))
+
+
+def q_archive_replay(spark, sf_dir):
+    arch = batches.archive_records(_valid_raw(spark, sf_dir), batches.ARCHIVE_BATCH)
+    return batches.replay_archive_text(arch)
+
+
+def q_readings_batches(spark, sf_dir):
+    return batches.batch_summary(batches.assign_batches(_enriched(spark, sf_dir), batches.READINGS_BATCH))
+
+
+def q_readings_append(spark, sf_dir):
+    r = readings.to_readings(_enriched(spark, sf_dir))
+    return r.select("reading_id", "device_id", "x", "y", F.unix_micros("timestamp").alias("ts_us"),
+                    "inst_speed", "time_taken")
+
+
+def q_latest_per_device(spark, sf_dir):
+    return latest.latest_per_device(_enriched(spark, sf_dir))
+
+
+def q_speed_board(spark, sf_dir):
+    return latest.speed_board(spark, latest.latest_per_device(_enriched(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "parse_events": q_parse_events,
     "quarantine_events": q_quarantine_events,
@@ -120,4 +170,12 @@ QUERIES: dict[str, Query] = {
     "late_total": q_late_total,
     "time_counter_ms": q_time_counter_ms,
     "device_counters_long": q_device_counters_long,
+    "raw_json": q_raw_json,
+    "enriched_json": q_enriched_json,
+    "archive_batches": q_archive_batches,
+    "archive_replay": q_archive_replay,
+    "readings_batches": q_readings_batches,
+    "readings_append": q_readings_append,
+    "latest_per_device": q_latest_per_device,
+    "speed_board": q_speed_board,
 }
