@@ -139,7 +139,7 @@ def coded_fold(rows: Iterable[tuple], horizon: float = HORIZON_S, min_gap: float
             yield cur[0], b[0], dt, math.sqrt(dx * dx + dy * dy) * metres_per_degree / dt
 
 
-def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float):
+def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, carry=()):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = None
         state: list = []
@@ -162,14 +162,17 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float):
                     out_dt.append(dt)
                     out_v.append(v)
             sel = pdf.iloc[out_idx]
-            yield pd.DataFrame({
+            cols = {
                 "seq": sel["seq"].to_numpy(), "id": sel["id"].to_numpy(),
                 "x": sel["x"].to_numpy(), "y": sel["y"].to_numpy(),
                 "timestamp": sel["timestamp"].to_numpy(),
                 "baseline_seq": pd.array(out_base, dtype="int64"),
                 "dt": pd.array(out_dt, dtype="float64"),
                 "inst_speed": pd.array(out_v, dtype="float64"),
-            })
+            }
+            for c in carry:
+                cols[c] = sel[c].to_numpy()
+            yield pd.DataFrame(cols)
     return run
 
 
@@ -197,11 +200,16 @@ def with_segments(on_time: DataFrame, horizon: float = HORIZON_S, span: float =
 
 def inst_speed_stateful(on_time: DataFrame, horizon: float = HORIZON_S, min_gap: float = MIN_GAP_S,
                         metres_per_degree: float = METRES_PER_DEGREE, span: float = DEFAULT_SPAN_S,
-                        num_partitions: int | None = None) -> DataFrame:
-    """The coded speed rule, exactly, as a batch plan."""
-    seg = with_segments(on_time.select("seq", "id", "x", "y", "timestamp"), horizon, span)
+                        num_partitions: int | None = None, carry=()) -> DataFrame:
+    """The coded speed rule, exactly, as a batch plan.
+
+    ``carry`` names extra input columns passed through to the emitted rows.
+    """
+    carry = list(carry)
+    seg = with_segments(on_time.select("seq", "id", "x", "y", "timestamp", *carry), horizon, span)
     parts = [num_partitions] if num_partitions else []
     ordered = (seg.repartition(*parts, "id", "_seg")
                .sortWithinPartitions("id", "_seg", "seq"))
-    out = ordered.mapInPandas(_fold_partitions(horizon, min_gap, metres_per_degree), SPEED_SCHEMA)
+    schema = T.StructType(SPEED_SCHEMA.fields + [on_time.schema[c] for c in carry])
+    out = ordered.mapInPandas(_fold_partitions(horizon, min_gap, metres_per_degree, carry), schema)
     return out.withColumn("inst_speed", F.col("inst_speed").cast("float").cast("double"))

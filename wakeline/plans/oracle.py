@@ -7,6 +7,8 @@ from wakeline.plans.oracle_views import (
     with_ctes,
 )
 
+from wakeline.plans.oracle_metrics import ORACLE_METRICS  # noqa: E402
+
 _BASE = (SENSOR, CLASSIFIED, ON_TIME, LATE)
 _XY = "seq, id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, timestamp"
 
@@ -93,4 +95,5 @@ FROM enriched""",
 SELECT s.id, coalesce(printf('%.1f', round(l.inst_speed, 1)), '0.0') AS speed_text,
        coalesce(l.lat, 52.448922e0 - CAST(s.id - 1 AS DOUBLE) / 1000e0) AS lat, coalesce(l.lon, 21.031619e0) AS lon
 FROM (SELECT unnest([1, 2, 3, 4, 5, 6]) AS id) s LEFT JOIN latest l ON l.id = s.id""",
+    **ORACLE_METRICS,
 }

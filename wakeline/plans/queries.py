@@ -154,6 +154,8 @@ def q_speed_board(spark, sf_dir):
     return latest.speed_board(spark, latest.latest_per_device(_enriched(spark, sf_dir)))
 
 
+from wakeline.plans.metric_queries import METRIC_QUERIES  # noqa: E402
+
 QUERIES: dict[str, Query] = {
     "parse_events": q_parse_events,
     "quarantine_events": q_quarantine_events,
@@ -178,4 +180,5 @@ QUERIES: dict[str, Query] = {
     "readings_append": q_readings_append,
     "latest_per_device": q_latest_per_device,
     "speed_board": q_speed_board,
+    **METRIC_QUERIES,
 }
