@@ -9,6 +9,30 @@ from wakeline.plans.oracle_views import (
 
 from wakeline.plans.oracle_metrics import ORACLE_METRICS  # noqa: E402
 
+LOGS = r"""
+svc AS (
+  SELECT *, ['stream_job', 'archive_sink', 'table_sink', 'live_feed', 'producer'][user_id % 5 + 1] AS service,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') || ' [' || CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END || '] '
+           || ['stream_job', 'archive_sink', 'table_sink', 'live_feed', 'producer'][user_id % 5 + 1]
+           || ' - event ' || CAST(event_id AS VARCHAR) || ' ' || event_type || ' props=' || props AS line
+  FROM events
+),
+all_logs AS (
+  SELECT '/logs/' || service || '/' || service || '.log' AS source,
+         regexp_extract('/logs/' || service || '/' || service || '.log', '^/logs/([^/]+)/.*$', 1) AS service_name, line AS value
+  FROM svc WHERE event_id % 2 = 0
+  UNION ALL
+  SELECT '/' || service, regexp_extract('/' || service, '^/(.*)$', 1), line FROM svc WHERE event_id % 2 = 1
+),
+parsed_logs AS (
+  SELECT source, service_name,
+         regexp_extract(value, '^(\S+ \S+) \[(\w+)\] (\S+) - (.*)$', 1) AS ts_text,
+         regexp_extract(value, '^(\S+ \S+) \[(\w+)\] (\S+) - (.*)$', 2) AS level,
+         regexp_extract(value, '^(\S+ \S+) \[(\w+)\] (\S+) - (.*)$', 3) AS logger,
+         regexp_extract(value, '^(\S+ \S+) \[(\w+)\] (\S+) - (.*)$', 4) AS message
+  FROM all_logs
+)"""
+
 _BASE = (SENSOR, CLASSIFIED, ON_TIME, LATE)
 _XY = "seq, id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, timestamp"
 
@@ -96,4 +120,9 @@ SELECT s.id, coalesce(printf('%.1f', round(l.inst_speed, 1)), '0.0') AS speed_te
        coalesce(l.lat, 52.448922e0 - CAST(s.id - 1 AS DOUBLE) / 1000e0) AS lat, coalesce(l.lon, 21.031619e0) AS lon
 FROM (SELECT unnest([1, 2, 3, 4, 5, 6]) AS id) s LEFT JOIN latest l ON l.id = s.id""",
     **ORACLE_METRICS,
+    "parse_logs": with_ctes(LOGS) + "SELECT ts_text, level, logger, message, service_name FROM parsed_logs",
+    "service_labels": with_ctes(LOGS) + "SELECT DISTINCT source, service_name FROM parsed_logs",
+    "error_logs": with_ctes(LOGS) + """
+SELECT ts_text, level, logger, message, service_name FROM parsed_logs
+WHERE length(service_name) > 0 AND lower(level) = 'error' ORDER BY ts_text DESC""",
 }

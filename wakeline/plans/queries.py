@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from wakeline.functions import jsonfmt
 from wakeline.operators import batches, counters, lateness, latest, parse, readings, speed
+from wakeline.operators import logs as lg
 from wakeline.sources import fixtures as fx
+from wakeline.sources import logs as lsrc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -154,6 +156,23 @@ def q_speed_board(spark, sf_dir):
     return latest.speed_board(spark, latest.latest_per_device(_enriched(spark, sf_dir)))
 
 
+def _logs(spark, sf_dir) -> DataFrame:
+    ev = fx.read_table(spark, sf_dir, "events")
+    return lg.labelled_logs(lsrc.file_logs(ev), lsrc.container_logs(ev))
+
+
+def q_parse_logs(spark, sf_dir):
+    return _logs(spark, sf_dir).select(*lg.PARSED_COLUMNS)
+
+
+def q_service_labels(spark, sf_dir):
+    return _logs(spark, sf_dir).select("source", "service_name").distinct()
+
+
+def q_error_logs(spark, sf_dir):
+    return lg.error_logs(_logs(spark, sf_dir)).select(*lg.PARSED_COLUMNS)
+
+
 from wakeline.plans.metric_queries import METRIC_QUERIES  # noqa: E402
 
 QUERIES: dict[str, Query] = {
@@ -181,4 +200,7 @@ QUERIES: dict[str, Query] = {
     "latest_per_device": q_latest_per_device,
     "speed_board": q_speed_board,
     **METRIC_QUERIES,
+    "parse_logs": q_parse_logs,
+    "service_labels": q_service_labels,
+    "error_logs": q_error_logs,
 }
