@@ -52,8 +52,10 @@ class Inputs:
         e = speed.inst_speed_stateful(on_time, carry=["arrival"])
         return speed.with_time_taken(e, now=fx.NOW)
 
-    def pipeline(self) -> DataFrame:
-        return S.pipeline_counters(self.classified(), self.enriched(), self.kmax())
+    def pipeline(self, with_latency: bool = False) -> DataFrame:
+        """Job counters; the latency counter (which needs the speed stage) only on request."""
+        enriched = self.enriched() if with_latency else None
+        return S.pipeline_counters(self.classified(), enriched, self.kmax())
 
 
 def _id_out(df: DataFrame) -> DataFrame:
@@ -69,7 +71,7 @@ def _device_series(pipe: DataFrame) -> DataFrame:
 
 
 def q_sample_counters(spark, sf_dir):
-    p = Inputs(spark, sf_dir).pipeline()
+    p = Inputs(spark, sf_dir).pipeline(with_latency=True)
     return _id_out(p.select("k", "metric", "id", (F.col("units") / F.col("scale")).alias("value")))
 
 
@@ -162,7 +164,7 @@ def q_late_ratio(spark, sf_dir):
 
 
 def q_avg_processing_time(spark, sf_dir):
-    return avg_processing_time(Inputs(spark, sf_dir).pipeline())
+    return avg_processing_time(Inputs(spark, sf_dir).pipeline(with_latency=True))
 
 
 def q_out_in_ratio(spark, sf_dir):
@@ -201,7 +203,7 @@ def q_swap_out(spark, sf_dir):
 def q_instant_values(spark, sf_dir):
     """Every job counter as an instant query at the last scrape (5 min lookback)."""
     inp = Inputs(spark, sf_dir)
-    p = inp.pipeline().withColumn("value", F.col("units") / F.col("scale"))
+    p = inp.pipeline(with_latency=True).withColumn("value", F.col("units") / F.col("scale"))
     at = M._with_scalar(p, inp.kmax())
     return _id_out(M.instant(at, ["metric", "id"], F.col("_kmax"), lookback_steps=20))
 

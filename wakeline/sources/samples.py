@@ -49,10 +49,11 @@ def with_k(df: DataFrame) -> DataFrame:
 
 # -- pipeline counters -------------------------------------------------------
 
-def pipeline_counters(classified: DataFrame, enriched: DataFrame, kmax: DataFrame) -> DataFrame:
+def pipeline_counters(classified: DataFrame, enriched: DataFrame | None, kmax: DataFrame) -> DataFrame:
     """``metric, id, k, units, scale``: cumulative job counters (``id`` is ``''`` for totals).
 
-    ``classified`` has ``id, arrival, is_late``; ``enriched`` has ``arrival, time_taken``.
+    ``classified`` has ``id, arrival, is_late``; ``enriched`` has ``arrival, time_taken``
+    (pass None when ``time_counter_ms`` is not needed: the speed stage is then not run).
     """
     c = with_k(classified)
     one = F.lit(1).cast("long")
@@ -63,10 +64,13 @@ def pipeline_counters(classified: DataFrame, enriched: DataFrame, kmax: DataFram
     totals = c.select(F.when(F.col("is_late"), F.lit("total_late_events"))
                       .otherwise(F.lit("total_on_time_events")).alias("metric"),
                       F.lit("").alias("id"), "k", one.alias("inc"))
-    e = with_k(enriched)
-    ms = e.select(F.lit("time_counter_ms").alias("metric"), F.lit("").alias("id"), "k",
-                  F.round(F.col("time_taken").cast("double") * F.lit(1e6)).cast("long").alias("inc"))
-    s = M.counter_samples(per_dev.unionByName(totals).unionByName(ms), ["metric", "id"], kmax)
+    bumps = per_dev.unionByName(totals)
+    if enriched is not None:
+        e = with_k(enriched)
+        bumps = bumps.unionByName(e.select(
+            F.lit("time_counter_ms").alias("metric"), F.lit("").alias("id"), "k",
+            F.round(F.col("time_taken").cast("double") * F.lit(1e6)).cast("long").alias("inc")))
+    s = M.counter_samples(bumps, ["metric", "id"], kmax)
     scale = F.when(F.col("metric") == "time_counter_ms", F.lit(TIME_UNITS_PER_MS)).otherwise(F.lit(1.0))
     return s.withColumn("scale", scale)
 
