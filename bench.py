@@ -36,8 +36,9 @@ def main() -> None:
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="wakeline-bench")
     spark.sparkContext.setLogLevel("OFF")
-    # Warm-up: JIT and Python workers, on a tiny query.
+    # Warm-up: JVM code paths and the Python worker pool, on tiny inputs.
     QUERIES["on_time_total"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    spark.range(64).mapInPandas(lambda it: it, "id long").write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
         t0 = time.perf_counter()

@@ -39,18 +39,21 @@ def counter_samples(increments: DataFrame, series: Sequence[str], kmax: DataFram
                     inc: str = "inc", k: str = "k") -> DataFrame:
     """Cumulative counter per series at every scrape from its first bump to the grid end.
 
-    ``increments`` holds one row per bump (``series..., k, inc``). The bumps are
-    pre-aggregated per (series, k) before anything else is shuffled; the
-    running sum runs per series over scrape points only (bounded by the time
-    range, not by the number of events).
+    ``increments`` holds one row per bump (``series..., k, inc``). Bumps are
+    pre-aggregated per (series, k) (map-side partial aggregation, so a hot
+    series costs one row per task and scrape); one window then gives the
+    running total at each bumped scrape and the next bumped scrape, and each
+    total is repeated over the scrapes up to the next bump. Rows per series
+    are bounded by the number of scrapes, not by the number of events.
     """
     series = list(series)
     per_k = increments.groupBy(*series, k).agg(F.sum(inc).alias("_inc"))
-    first = per_k.groupBy(*series).agg(F.min(k).alias("_k0"))
-    dense = _with_scalar(first, kmax).select(*series, F.explode(F.sequence("_k0", "_kmax")).alias(k))
-    w = Window.partitionBy(*series).orderBy(k).rowsBetween(_UNB, 0)
-    return (dense.join(per_k, [*series, k], "left")
-            .select(*series, k, F.sum(F.coalesce("_inc", F.lit(0))).over(w).cast("long").alias("units")))
+    w = Window.partitionBy(*series).orderBy(k)
+    cum = (per_k.withColumn("units", F.sum("_inc").over(w.rowsBetween(_UNB, 0)).cast("long"))
+           .withColumn("_next", F.lead(k).over(w)))
+    cum = _with_scalar(cum, kmax)
+    upto = F.coalesce(F.col("_next") - 1, F.col("_kmax"))
+    return cum.select(*series, F.explode(F.sequence(F.col(k), upto)).alias(k), "units")
 
 
 def gauge_grid(series_df: DataFrame, kmax: DataFrame, k: str = "k") -> DataFrame:
