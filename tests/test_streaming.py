@@ -103,3 +103,14 @@ def test_archive_exact_batches_and_flush(spark, scratch):
                     ["id", "timestamp"]).groupBy("batch_no").agg(F.min("seq").alias("first_seq"),
                                                                    F.max("seq").alias("last_seq")).orderBy("batch_no").collect()
     assert [(r.first_seq, r.last_seq) for r in got] == [(r.first_seq, r.last_seq) for r in want]
+
+
+def test_latest_upsert(spark, scratch):
+    root = os.path.join(scratch, "out")
+    up = P.LatestUpsert(root)
+    sch = "id int, seq long, x float, y float, inst_speed float"
+    up(spark.createDataFrame([(1, 1, 21.0, 52.0, 1.0), (2, 2, 21.1, 52.1, 2.0)], sch), 0)
+    up(spark.createDataFrame([(1, 5, 21.5, 52.5, 3.0)], sch), 1)
+    up(spark.createDataFrame([(1, 5, 21.5, 52.5, 3.0)], sch), 1)  # replayed batch
+    got = {r.id: (r.lat, r.inst_speed) for r in P.latest_table(spark, root).collect()}
+    assert got == {1: (52.5, 3.0), 2: (pytest.approx(52.1, abs=1e-5), 2.0)}
