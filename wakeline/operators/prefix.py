@@ -21,25 +21,28 @@ _UNB = Window.unboundedPreceding
 
 
 def _bucket(seq: str, bucket_rows: int):
-    return F.floor(F.col(seq) / F.lit(bucket_rows)).cast("long")
+    return F.expr(f"`{seq}` div {int(bucket_rows)}")
 
 
 def running_max_before(df: DataFrame, value: str, seq: str, out: str,
                        keys: Sequence[str] = (), bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Add ``out`` = max(``value``) over all rows with a smaller ``seq`` (per ``keys``).
 
-    NULL values never contribute; the first row gets NULL.
+    NULL values never contribute; the first row gets NULL. The input is
+    shuffled once (by bucket); the bucket summary is taken from the same
+    exchange, so an expensive input is computed once.
     """
     keys = list(keys)
-    d = df.withColumn("_bkt", _bucket(seq, bucket_rows))
-    summary = d.groupBy(*keys, "_bkt").agg(F.max(value).alias("_bmax"))
+    wr = Window.partitionBy(*keys, "_bkt").orderBy(seq)
+    inner = (df.withColumn("_bkt", _bucket(seq, bucket_rows))
+             .withColumn("_inner", F.max(value).over(wr.rowsBetween(_UNB, -1)))
+             .withColumn("_upto", F.max(value).over(wr.rowsBetween(_UNB, 0))))
+    summary = inner.groupBy(*keys, "_bkt").agg(F.max("_upto").alias("_bmax"))
     wb = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(_UNB, -1)
     carry = summary.select(*keys, "_bkt", F.max("_bmax").over(wb).alias("_carry"))
-    wr = Window.partitionBy(*keys, "_bkt").orderBy(seq).rowsBetween(_UNB, -1)
-    inner = d.withColumn("_inner", F.max(value).over(wr))
     return (inner.join(carry, [*keys, "_bkt"], "left")
             .withColumn(out, F.greatest("_carry", "_inner"))
-            .drop("_bkt", "_carry", "_inner"))
+            .drop("_bkt", "_carry", "_inner", "_upto"))
 
 
 def global_row_number(df: DataFrame, seq: str, out: str = "rn",
@@ -50,13 +53,12 @@ def global_row_number(df: DataFrame, seq: str, out: str = "rn",
     ``seq``, without a single-partition exchange over the rows.
     """
     keys = list(keys)
-    d = df.withColumn("_bkt", _bucket(seq, bucket_rows))
-    summary = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_bn"))
+    wr = Window.partitionBy(*keys, "_bkt").orderBy(seq)
+    inner = df.withColumn("_bkt", _bucket(seq, bucket_rows)).withColumn("_inner", F.row_number().over(wr))
+    summary = inner.groupBy(*keys, "_bkt").agg(F.max("_inner").alias("_bn"))
     wb = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(_UNB, -1)
     offsets = summary.select(*keys, "_bkt",
                              F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"))
-    wr = Window.partitionBy(*keys, "_bkt").orderBy(seq)
-    inner = d.withColumn("_inner", F.row_number().over(wr))
     return (inner.join(offsets, [*keys, "_bkt"], "left")
             .withColumn(out, (F.col("_off") + F.col("_inner")).cast("long"))
             .drop("_bkt", "_off", "_inner"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wakeline.functions import jsonfmt
 from wakeline.operators import batches, counters, lateness, latest, parse, readings, speed
 from wakeline.operators import logs as lg
+from wakeline.session import materialize
 from wakeline.sources import fixtures as fx
 from wakeline.sources import logs as lsrc
 
@@ -139,11 +140,12 @@ def q_archive_replay(spark, sf_dir):
 
 
 def q_readings_batches(spark, sf_dir):
-    return batches.batch_summary(batches.assign_batches(_enriched(spark, sf_dir), batches.READINGS_BATCH))
+    e = materialize(_enriched(spark, sf_dir))
+    return batches.batch_summary(batches.assign_batches(e, batches.READINGS_BATCH))
 
 
 def q_readings_append(spark, sf_dir):
-    r = readings.to_readings(_enriched(spark, sf_dir))
+    r = readings.to_readings(materialize(_enriched(spark, sf_dir)))
     return r.select("reading_id", "device_id", "x", "y", F.unix_micros("timestamp").alias("ts_us"),
                     "inst_speed", "time_taken")
 

@@ -52,3 +52,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    Used where an expensive stage (a Python fold) feeds a plan that reads its
+    input twice. ``checkpoint`` files survive executor loss, unlike a local
+    checkpoint.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
