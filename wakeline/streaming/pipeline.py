@@ -198,3 +198,29 @@ def latest_table(spark: SparkSession, root: str, table: str = "latest") -> DataF
         return None
     top = t.agg(F.max("batch_id")).first()[0]
     return latest.latest_per_device(t.filter(F.col("batch_id") == top))
+
+
+class ReadingsWriter:
+    """``foreachBatch`` function for the relational sink: serial ids carried across batches.
+
+    A batch's rows are written under its batch id with overwrite, so a replay
+    neither duplicates rows nor advances the serial.
+    """
+
+    def __init__(self, root: str, table: str = "readings"):
+        self.root, self.table = root, table
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from wakeline.operators.readings import to_readings
+
+        spark = batch.sparkSession
+        prev = state.carry_before(spark, self.root, f"{self.table}_next", batch_id)
+        first = 1 if prev is None else int(prev.first()[0])
+        rows = to_readings(batch, first_id=first).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            state.write_batch(rows, self.root, self.table, batch_id)
+            top = rows.agg(F.max("reading_id")).first()[0]
+        finally:
+            rows.unpersist()
+        nxt = first if top is None else int(top) + 1
+        state.write_batch(spark.createDataFrame([(nxt,)], "next_id long"), self.root, f"{self.table}_next", batch_id)
