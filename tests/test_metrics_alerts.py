@@ -70,3 +70,19 @@ def test_band_and_last_and_instant(spark):
     assert sorted(b for b in bands if b) == ["#EAB839", "green", "red"]
     inst = {r.series: r.value for r in M.instant(df.filter("value IS NOT NULL"), ["series"], F.lit(2), 1).collect()}
     assert inst == {"x": 85.0}
+
+
+def test_canonical_samples_round_trip(spark, scratch):
+    from wakeline.sources import samples as S
+
+    df = spark.createDataFrame([("node-0", "0", "idle", 3, 10.0), ("node-1", "1", "user", 3, 7.0)],
+                               "instance string, cpu string, mode string, k int, value double")
+    canon = S.to_metric_samples(df, "node_cpu_seconds_total", ["instance", "cpu", "mode"])
+    M.write_metric_samples(canon, scratch + "/samples")
+    back = M.read_metric_samples(spark, scratch + "/samples")
+    idle = M.select_series(back, "node_cpu_seconds_total", mode="idle").collect()
+    assert len(idle) == 1 and idle[0].labels["instance"] == "node-0"
+    assert M.time_range(back, now=S.START + 45.0, seconds=15.0).count() == 2
+    assert M.time_range(back, now=S.START + 30.0, seconds=15.0).count() == 0
+    keys = [r.k for r in back.select(M.label_key(F.col("labels")).alias("k")).collect()]
+    assert len(set(keys)) == 2

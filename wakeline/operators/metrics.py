@@ -147,3 +147,41 @@ def band(v: Column, steps: Sequence[tuple[float, str]], base: str = "green") ->
     for thr, colour in steps:
         out = F.when(v >= F.lit(float(thr)), F.lit(colour)).otherwise(out)
     return F.when(v.isNull(), F.lit(None)).otherwise(out)
+
+
+# -- canonical sample form: ts, metric, labels MAP<STRING,STRING>, value ------
+
+def select_series(samples: DataFrame, metric: str, **labels: str) -> DataFrame:
+    """Series of ``metric`` whose labels equal the given values (``mode="idle"``...)."""
+    cond = F.col("metric") == F.lit(metric)
+    for k, v in labels.items():
+        cond = cond & (F.col("labels").getItem(k) == F.lit(v))
+    return samples.filter(cond)
+
+
+def label_key(labels: Column) -> Column:
+    """Canonical text of a label map (sorted by name), to match series on all labels."""
+    return F.to_json(F.array_sort(F.map_entries(labels)))
+
+
+def label_column(labels: Column, name: str) -> Column:
+    """A label as a matching key: ``''`` when absent, so absent-on-both sides match."""
+    return F.coalesce(labels.getItem(name), F.lit(""))
+
+
+def time_range(samples: DataFrame, now: float, seconds: float, ts: str = "ts") -> DataFrame:
+    """Samples in the relative range ``(now - seconds, now]`` (e.g. a dashboard's last 5 min)."""
+    return samples.filter((F.col(ts) > F.lit(float(now) - float(seconds))) & (F.col(ts) <= F.lit(float(now))))
+
+
+def read_metric_samples(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """Stored samples in the canonical form (written by ``write_metric_samples``)."""
+    from wakeline.schemas import METRIC_SAMPLE
+
+    return spark.read.format(fmt).schema(METRIC_SAMPLE).load(path)
+
+
+def write_metric_samples(samples: DataFrame, path: str, day_seconds: float = 86400.0) -> None:
+    """Append canonical samples, partitioned by day of ``ts`` (cheap time pruning on read)."""
+    (samples.withColumn("day", F.floor(F.col("ts") / F.lit(day_seconds)).cast("long"))
+     .write.mode("append").partitionBy("day").parquet(path))

@@ -47,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="wakeline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():
