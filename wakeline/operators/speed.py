@@ -62,15 +62,32 @@ def _with_span_context(df: DataFrame, horizon: float, span: float) -> DataFrame:
 
 def with_baseline(on_time: DataFrame, horizon: float = HORIZON_S, span: float = DEFAULT_SPAN_S,
                   key: str = "id") -> DataFrame:
-    """Add ``_base`` = oldest event of the same device within ``horizon`` seconds (may be the row itself)."""
+    """Add ``_base`` = oldest event of the same device within ``horizon`` seconds (may be the row itself).
+
+    Equal to ``min(struct(t, seq, x, y)) OVER (PARTITION BY id ORDER BY t RANGE
+    BETWEEN horizon PRECEDING AND CURRENT ROW)``, but computed with a running
+    frame, whose cost per row is constant however many events the horizon
+    holds: every row also sends a probe at ``t - horizon``; scanning each
+    (device, span) partition in descending time, the last event seen before a
+    probe is the earliest event at or after the probe's time.
+    """
     d = _with_span_context(on_time, horizon, span)
-    # The DataFrame API only takes integral range bounds; the SQL frame takes a
-    # double offset on a double order key.
-    base = F.expr(
-        "min(named_struct('t', timestamp, 'seq', seq, 'x', x, 'y', y)) OVER ("
-        f"PARTITION BY `{key}`, _span ORDER BY timestamp "
-        f"RANGE BETWEEN {float(horizon)!r}D PRECEDING AND CURRENT ROW)")
-    return d.withColumn("_base", base).filter("_home").drop("_home", "_span")
+    ev = F.struct(F.col("timestamp").alias("t"), F.col("seq").alias("seq"),
+                  F.col("x").alias("x"), F.col("y").alias("y"))
+    events = d.select(key, "_span", F.col("timestamp").alias("_t"), F.lit(0).alias("_kind"),
+                      F.col("seq").alias("_o"), ev.alias("_ev"))
+    own = [c for c in on_time.columns if c != key]
+    probes = d.filter("_home").select(
+        key, "_span", (F.col("timestamp") - F.lit(float(horizon))).alias("_t"), F.lit(1).alias("_kind"),
+        F.col("seq").alias("_o"), *own)
+    # Descending time; at equal time events before probes (the bound is inclusive),
+    # and among equal times the smallest seq last (it wins, as in min(struct)).
+    w = (Window.partitionBy(key, "_span")
+         .orderBy(F.col("_t").desc(), F.col("_kind").asc(), F.col("_o").desc())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    found = (events.unionByName(probes, allowMissingColumns=True)
+             .withColumn("_base", F.last("_ev", ignorenulls=True).over(w)))
+    return found.filter(F.col("_kind") == 1).select(*on_time.columns, "_base")
 
 
 def inst_speed(on_time: DataFrame, horizon: float = HORIZON_S, min_gap: float = MIN_GAP_S,
