@@ -69,3 +69,20 @@ def test_segments_do_not_change_w2(spark):
         want.update({s: b for s, b, _, _ in speed.coded_fold(
             [(s, float(__import__("numpy").float32(x)), y, t) for s, x, y, t in evs])})
     assert got == want
+
+
+@pytest.mark.parametrize("warmup", [0, 1, 4, 16])
+def test_chunked_fold_is_exact(spark, warmup):
+    # Long runs cut into chunks of 16 with a short warm-up; failed checks must fall back.
+    import random
+
+    rnd = random.Random(warmup)
+    rows, t = [], 0.0
+    for i in range(400):
+        t += rnd.choice([0.3, 0.5, 0.7, 1.1])
+        rows.append((i, 1 + i % 3, 21.0 + 0.0001 * rnd.randint(0, 99), 52.0 + 0.0001 * i, t))
+    df = spark.createDataFrame(rows, "seq long, id int, x float, y float, timestamp double")
+    seq_result = {r.seq: (r.baseline_seq, r.inst_speed) for r in speed.inst_speed_stateful(df).collect()}
+    chunked = {r.seq: (r.baseline_seq, r.inst_speed)
+               for r in speed.inst_speed_stateful(df, chunk_rows=16, warmup_rows=warmup).collect()}
+    assert chunked == seq_result

@@ -156,28 +156,54 @@ def coded_fold(rows: Iterable[tuple], horizon: float = HORIZON_S, min_gap: float
             yield cur[0], b[0], dt, math.sqrt(dx * dx + dy * dy) * metres_per_degree / dt
 
 
+def _state_text(state: list) -> str:
+    """An event is identified by its seq within a device, so the seq list is the state."""
+    return ",".join(str(int(e[0])) for e in state)
+
+
 def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, carry=()):
+    """Fold partitions sorted by (id, _seg, _chunk, seq).
+
+    ``_warm`` rows only build up state (no output). For every group with own
+    rows one info row (``_kind = 1``) reports the state before its first own
+    row (``_start``) and after its last (``_end``); speed rows have ``_kind = 0``.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = None
         state: list = []
+        seen_own = False
         for pdf in batches:
             ids = pdf["id"].to_numpy()
             segs = pdf["_seg"].to_numpy()
+            chunks = pdf["_chunk"].to_numpy()
+            warm = pdf["_warm"].to_numpy()
             seqs = pdf["seq"].to_numpy()
             xs = pdf["x"].to_numpy(dtype="float64")
             ys = pdf["y"].to_numpy(dtype="float64")
             ts = pdf["timestamp"].to_numpy(dtype="float64")
             out_idx, out_base, out_dt, out_v = [], [], [], []
+            info = []  # (id, seg, chunk, start, end)
             for i in range(len(pdf)):
-                k = (ids[i], segs[i])
+                k = (ids[i], segs[i], chunks[i])
                 if k != key:
-                    key, state = k, []
+                    key, state, seen_own = k, [], False
+                if not warm[i] and not seen_own:
+                    seen_own = True
+                    info.append([ids[i], segs[i], chunks[i], _state_text(state), None])
                 for _, b, dt, v in coded_fold([(int(seqs[i]), xs[i], ys[i], ts[i])],
                                               horizon, min_gap, metres_per_degree, state):
-                    out_idx.append(i)
-                    out_base.append(b)
-                    out_dt.append(dt)
-                    out_v.append(v)
+                    if not warm[i]:
+                        out_idx.append(i)
+                        out_base.append(b)
+                        out_dt.append(dt)
+                        out_v.append(v)
+                if seen_own:
+                    last_end = (ids[i], segs[i], chunks[i])
+                    if info and tuple(info[-1][:3]) == last_end:
+                        info[-1][4] = state  # filled as text below, once the group is done
+            for row in info:
+                if isinstance(row[4], list):
+                    row[4] = _state_text(row[4])
             sel = pdf.iloc[out_idx]
             cols = {
                 "seq": sel["seq"].to_numpy(), "id": sel["id"].to_numpy(),
@@ -186,10 +212,21 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, c
                 "baseline_seq": pd.array(out_base, dtype="int64"),
                 "dt": pd.array(out_dt, dtype="float64"),
                 "inst_speed": pd.array(out_v, dtype="float64"),
+                "_seg": sel["_seg"].to_numpy(), "_chunk": sel["_chunk"].to_numpy(),
+                "_kind": pd.array([0] * len(sel), dtype="int32"),
+                "_start": pd.array([None] * len(sel), dtype="object"),
+                "_end": pd.array([None] * len(sel), dtype="object"),
             }
             for c in carry:
                 cols[c] = sel[c].to_numpy()
-            yield pd.DataFrame(cols)
+            speed_rows = pd.DataFrame(cols)
+            if info:
+                inf = pd.DataFrame({
+                    "id": [r[0] for r in info], "_seg": [r[1] for r in info], "_chunk": [r[2] for r in info],
+                    "_kind": pd.array([1] * len(info), dtype="int32"),
+                    "_start": [r[3] for r in info], "_end": [r[4] for r in info]})
+                speed_rows = pd.concat([speed_rows, inf], ignore_index=True)
+            yield speed_rows
     return run
 
 
@@ -215,18 +252,69 @@ def with_segments(on_time: DataFrame, horizon: float = HORIZON_S, span: float =
         "_gap", "_start", "_s", "_prev_start")
 
 
+DEFAULT_CHUNK_ROWS = 50_000
+DEFAULT_WARMUP_ROWS = 2_048
+
+
+def _fold(rows: DataFrame, horizon, min_gap, metres_per_degree, carry, schema, num_partitions):
+    parts = [num_partitions] if num_partitions else []
+    ordered = (rows.repartition(*parts, "id", "_seg", "_chunk")
+               .sortWithinPartitions("id", "_seg", "_chunk", "seq"))
+    return ordered.mapInPandas(_fold_partitions(horizon, min_gap, metres_per_degree, carry), schema)
+
+
 def inst_speed_stateful(on_time: DataFrame, horizon: float = HORIZON_S, min_gap: float = MIN_GAP_S,
                         metres_per_degree: float = METRES_PER_DEGREE, span: float = DEFAULT_SPAN_S,
-                        num_partitions: int | None = None, carry=()) -> DataFrame:
+                        num_partitions: int | None = None, carry=(),
+                        chunk_rows: int = DEFAULT_CHUNK_ROWS, warmup_rows: int = DEFAULT_WARMUP_ROWS) -> DataFrame:
     """The coded speed rule, exactly, as a batch plan.
 
-    ``carry`` names extra input columns passed through to the emitted rows.
+    Runs (see ``with_segments``) fold independently. A run longer than
+    ``chunk_rows`` is cut into chunks folded in parallel: each chunk first
+    replays the previous chunk's last ``warmup_rows`` events from an empty
+    state (the fold forgets its history within a few horizons), then its own
+    events. Every chunk's state after the warm-up is checked against the
+    previous chunk's final state; by induction from the run start (empty
+    state, exact) all chunks of a run whose checks pass are exact. Runs with a
+    failed check are folded again sequentially. ``carry`` names extra input
+    columns passed through to the emitted rows.
     """
+    from wakeline.operators.prefix import global_row_number
+    from wakeline.session import materialize
+
     carry = list(carry)
+    if not 0 <= warmup_rows <= chunk_rows:
+        raise ValueError("need 0 <= warmup_rows <= chunk_rows")
     seg = with_segments(on_time.select("seq", "id", "x", "y", "timestamp", *carry), horizon, span)
-    parts = [num_partitions] if num_partitions else []
-    ordered = (seg.repartition(*parts, "id", "_seg")
-               .sortWithinPartitions("id", "_seg", "seq"))
-    schema = T.StructType(SPEED_SCHEMA.fields + [on_time.schema[c] for c in carry])
-    out = ordered.mapInPandas(_fold_partitions(horizon, min_gap, metres_per_degree, carry), schema)
+    schema = T.StructType(SPEED_SCHEMA.fields + [
+        T.StructField("_seg", T.LongType()), T.StructField("_chunk", T.LongType()),
+        T.StructField("_kind", T.IntegerType()), T.StructField("_start", T.StringType()),
+        T.StructField("_end", T.StringType())] + [on_time.schema[c] for c in carry])
+    out_cols = [*SPEED_COLUMNS, *carry]
+
+    # One scalar decides the plan: no run is longer than its device's event count.
+    busiest = (on_time.groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
+               .agg(F.max("_n")).first()[0] or 0)
+    if busiest <= chunk_rows:
+        rows = seg.withColumn("_chunk", F.lit(0).cast("long")).withColumn("_warm", F.lit(False))
+        out = _fold(rows, horizon, min_gap, metres_per_degree, carry, schema, num_partitions)
+        out = out.filter(F.col("_kind") == 0).select(*out_cols)
+    else:
+        ranked = global_row_number(seg, "seq", "_r", keys=["id", "_seg"])
+        pos = F.col("_r") - 1
+        own = ranked.withColumn("_chunk", F.expr(f"(_r - 1) div {int(chunk_rows)}")).withColumn("_warm", F.lit(False))
+        warm = (ranked.filter(pos % F.lit(chunk_rows) >= F.lit(chunk_rows - warmup_rows))
+                .withColumn("_chunk", F.expr(f"(_r - 1) div {int(chunk_rows)} + 1")).withColumn("_warm", F.lit(True)))
+        folded = materialize(_fold(own.unionByName(warm).drop("_r"), horizon, min_gap, metres_per_degree,
+                                   carry, schema, num_partitions))
+        info = folded.filter(F.col("_kind") == 1).select("id", "_seg", "_chunk", "_start", "_end")
+        prev = info.select("id", "_seg", (F.col("_chunk") + 1).alias("_chunk"), F.col("_end").alias("_prev_end"))
+        bad = (info.filter(F.col("_chunk") > 0).join(prev, ["id", "_seg", "_chunk"], "left")
+               .filter(F.col("_prev_end").isNull() | (F.col("_prev_end") != F.col("_start")))
+               .select("id", "_seg").distinct())
+        good = folded.filter(F.col("_kind") == 0).join(bad, ["id", "_seg"], "left_anti").select(*out_cols)
+        redo_rows = (seg.join(bad, ["id", "_seg"], "left_semi")
+                     .withColumn("_chunk", F.lit(0).cast("long")).withColumn("_warm", F.lit(False)))
+        redo = _fold(redo_rows, horizon, min_gap, metres_per_degree, carry, schema, num_partitions)
+        out = good.unionByName(redo.filter(F.col("_kind") == 0).select(*out_cols))
     return out.withColumn("inst_speed", F.col("inst_speed").cast("float").cast("double"))
