@@ -121,3 +121,12 @@ def test_device_scope(spark):
     stream = [r.is_late for r in lateness.classify_lateness(df).orderBy("seq").collect()]
     device = [r.is_late for r in lateness.classify_lateness(df, scope="device").orderBy("seq").collect()]
     assert stream == [False, True, True] and device == [False, False, True]
+
+
+def test_wide_counters_and_archive_name(spark):
+    df = _events(spark, [(1, 1, 0.0, 0.0, 1.0), (2, 2, 0.0, 0.0, 2.0), (3, 2, 0.0, 0.0, 3.0)])
+    w = counters.device_counters_wide(df, [1, 2, 3]).first().asDict()
+    assert w == {"on_time_device_1": 1, "on_time_device_2": 2, "on_time_device_3": 0}
+    t = spark.createDataFrame([("2024-01-02 03:04:05.123456",)], "s string").select(
+        F.col("s").cast("timestamp_ntz").alias("t"))
+    assert t.select(batches.archive_object_name(F.col("t")).alias("n")).first().n == "raw_data/20240102_030405_123456.json"

@@ -52,3 +52,12 @@ def replay_archive_text(archive: DataFrame, value: str = "value",
     """Parse archive text (one JSON array per row) back into one row per element."""
     arr = F.from_json(F.col(value), T.ArrayType(schema))
     return archive.select(F.explode(arr).alias("_e")).select("_e.*")
+
+
+# Fixed value: archive object names as the reference formats them (%Y%m%d_%H%M%S_%f).
+ARCHIVE_NAME_FORMAT = "yyyyMMdd_HHmmss_SSSSSS"
+
+
+def archive_object_name(ts, prefix: str = "raw_data/", suffix: str = ".json"):
+    """``raw_data/<yyyyMMdd_HHmmss_ffffff>.json`` for a batch time column (e.g. its first arrival)."""
+    return F.concat(F.lit(prefix), F.date_format(ts, ARCHIVE_NAME_FORMAT), F.lit(suffix))

@@ -41,3 +41,11 @@ def device_counters_long(on_time: DataFrame, late: DataFrame, enriched: DataFram
     return (per(on_time, "on_time_device_").unionByName(per(late, "late_device_"))
             .unionByName(tot(on_time, "total_on_time_events")).unionByName(tot(late, "total_late_events"))
             .unionByName(ms))
+
+
+def device_counters_wide(df: DataFrame, ids, key: str = "id", prefix: str = "on_time_device_") -> DataFrame:
+    """A6 wide form: one column ``<prefix><id>`` per listed device (pivot over given values,
+    so no distinct values are collected to the driver)."""
+    vals = [int(i) for i in ids]
+    p = df.groupBy().pivot(key, vals).agg(F.count(F.lit(1)))
+    return p.select(*[F.coalesce(F.col(str(v)), F.lit(0)).alias(f"{prefix}{v}") for v in vals])

@@ -34,6 +34,14 @@ def read_raw_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
     return reader.load(path)
 
 
+def read_enriched_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
+                         starting: str = "earliest", options: dict | None = None) -> DataFrame:
+    """S3: the enriched topic, decoded with the declared six-field schema (keeps ``seq``)."""
+    from wakeline.functions.jsonfmt import from_json_value
+
+    return from_json_value(read_raw_stream(spark, fmt, path, starting, options), keep=["seq"])
+
+
 def write_stream(df: DataFrame, fmt: str, checkpoint: str, path: str | None = None,
                  options: dict | None = None, trigger: dict | None = None, mode: str = "append"):
     """Start a checkpointed streaming write (file sinks are exactly-once, Kafka at-least-once)."""
