@@ -138,3 +138,24 @@ def test_pipeline_end_to_end(spark, scratch):
     from wakeline.operators import latest as L
 
     assert lt == {r.id: r.lat for r in L.latest_per_device(want).collect()}
+
+
+def test_readings_writer_replay(spark, scratch):
+    root = os.path.join(scratch, "rw")
+    w = P.ReadingsWriter(root)
+    sch = "seq long, id int, x float, y float, timestamp double, inst_speed float, time_taken float"
+    b0 = spark.createDataFrame([(5, 1, 21.0, 52.0, 10.0, 1.0, 0.5), (3, 2, 21.0, 52.0, 9.0, 2.0, 0.5)], sch)
+    b1 = spark.createDataFrame([(9, 1, 21.0, 52.0, 11.0, 3.0, 0.5)], sch)
+    w(b0, 0)
+    w(b1, 1)
+    w(b1, 1)  # replay of the last batch
+    rows = sorted((r.reading_id, r.device_id) for r in state.read_table(spark, root, "readings").collect())
+    assert rows == [(1, 2), (2, 1), (3, 1)]
+
+
+def test_cluster_conf_sizes():
+    from wakeline.session import cluster_conf
+
+    c = cluster_conf(100 * 10**12, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(cluster_conf(10**9, 8)["spark.sql.shuffle.partitions"]) == 16

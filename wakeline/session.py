@@ -22,6 +22,32 @@ DEFAULT_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Settings sized to the input, for a cluster session (e.g. 100 TB on 1000 executors).
+
+    Scan splits and shuffle partitions target ``partition_bytes`` so a task's
+    sort/aggregate buffer fits executor memory and spills rarely; AQE then
+    coalesces small partitions and splits skewed join partitions at run time.
+    """
+    shuffle = max(2 * total_cores, min(200_000, -(-int(input_bytes) // int(partition_bytes))))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "wakeline") -> SparkSession:
     """Local session for tests, benches and examples (never used on a cluster)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
