@@ -130,3 +130,11 @@ def test_wide_counters_and_archive_name(spark):
     t = spark.createDataFrame([("2024-01-02 03:04:05.123456",)], "s string").select(
         F.col("s").cast("timestamp_ntz").alias("t"))
     assert t.select(batches.archive_object_name(F.col("t")).alias("n")).first().n == "raw_data/20240102_030405_123456.json"
+
+
+def test_infinite_time_is_on_time_and_speed_survives(spark):
+    df = _events(spark, [(1, 1, 1.0, 1.0, 1.0), (2, 1, 2.0, 1.0, 2.0), (3, 1, 2.0, 1.0, float("inf"))])
+    on = lateness.split_late(df)[0]
+    assert on.count() == 3
+    for fn in (speed.inst_speed, speed.inst_speed_stateful):
+        assert [(r.seq, r.inst_speed) for r in fn(on).collect()] == [(2, 111320.0)]

@@ -33,6 +33,8 @@ from wakeline.operators.prefix import DEFAULT_BUCKET_ROWS, running_max_before
 # reports very often is still cut into bounded window partitions.
 DEFAULT_SPAN_S = 300.0
 
+_SENTINEL_SPAN = 1 << 62
+
 SPEED_COLUMNS = ["seq", "id", "x", "y", "timestamp", "baseline_seq", "dt", "inst_speed"]
 
 SPEED_SCHEMA = T.StructType([
@@ -49,7 +51,10 @@ SPEED_SCHEMA = T.StructType([
 
 def _with_span_context(df: DataFrame, horizon: float, span: float) -> DataFrame:
     """Each row in its own span (``_home``) plus, near the next span's start, a context copy there."""
-    span_no = F.floor(F.col("timestamp") / F.lit(span)).cast("long")
+    t = F.col("timestamp")
+    # Non-finite times (an on-time +Infinity) go to sentinel spans, away from overflow.
+    span_no = (F.when(F.abs(t) < F.lit(1e15), F.floor(t / F.lit(span)).cast("long"))
+               .when(t > 0, F.lit(_SENTINEL_SPAN)).otherwise(F.lit(-_SENTINEL_SPAN)))
     next_start = (span_no + 1).cast("double") * F.lit(span)
     near_next = F.col("timestamp") >= next_start - F.lit(horizon + 1.0)
     copies = F.when(near_next, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))

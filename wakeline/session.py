@@ -54,6 +54,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for kv in filter(None, os.environ.get("WAKELINE_SPARK_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        builder = builder.config(k.strip(), v.strip())
     builder = builder.config("spark.driver.memory", os.environ.get("WAKELINE_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
