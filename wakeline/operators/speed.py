@@ -171,12 +171,19 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, c
 
     ``_warm`` rows only build up state (no output). For every group with own
     rows one info row (``_kind = 1``) reports the state before its first own
-    row (``_start``) and after its last (``_end``); speed rows have ``_kind = 0``.
+    row (``_start``) and after its last (``_end``), emitted once the group is
+    complete (groups may span Arrow batches); speed rows have ``_kind = 0``.
     """
+    def info_frame(done: list) -> pd.DataFrame:
+        return pd.DataFrame({
+            "id": [r[0] for r in done], "_seg": [r[1] for r in done], "_chunk": [r[2] for r in done],
+            "_kind": pd.array([1] * len(done), dtype="int32"),
+            "_start": [r[3] for r in done], "_end": [r[4] for r in done]})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = None
         state: list = []
-        seen_own = False
+        group: list | None = None  # [id, seg, chunk, start text, end text] of the open group
         for pdf in batches:
             ids = pdf["id"].to_numpy()
             segs = pdf["_seg"].to_numpy()
@@ -187,14 +194,16 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, c
             ys = pdf["y"].to_numpy(dtype="float64")
             ts = pdf["timestamp"].to_numpy(dtype="float64")
             out_idx, out_base, out_dt, out_v = [], [], [], []
-            info = []  # (id, seg, chunk, start, end)
+            done = []
             for i in range(len(pdf)):
                 k = (ids[i], segs[i], chunks[i])
                 if k != key:
-                    key, state, seen_own = k, [], False
-                if not warm[i] and not seen_own:
-                    seen_own = True
-                    info.append([ids[i], segs[i], chunks[i], _state_text(state), None])
+                    if group is not None:
+                        group[4] = _state_text(state)
+                        done.append(group)
+                    key, state, group = k, [], None
+                if not warm[i] and group is None:
+                    group = [ids[i], segs[i], chunks[i], _state_text(state), None]
                 for _, b, dt, v in coded_fold([(int(seqs[i]), xs[i], ys[i], ts[i])],
                                               horizon, min_gap, metres_per_degree, state):
                     if not warm[i]:
@@ -202,13 +211,6 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, c
                         out_base.append(b)
                         out_dt.append(dt)
                         out_v.append(v)
-                if seen_own:
-                    last_end = (ids[i], segs[i], chunks[i])
-                    if info and tuple(info[-1][:3]) == last_end:
-                        info[-1][4] = state  # filled as text below, once the group is done
-            for row in info:
-                if isinstance(row[4], list):
-                    row[4] = _state_text(row[4])
             sel = pdf.iloc[out_idx]
             cols = {
                 "seq": sel["seq"].to_numpy(), "id": sel["id"].to_numpy(),
@@ -224,14 +226,16 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, c
             }
             for c in carry:
                 cols[c] = sel[c].to_numpy()
-            speed_rows = pd.DataFrame(cols)
-            if info:
-                inf = pd.DataFrame({
-                    "id": [r[0] for r in info], "_seg": [r[1] for r in info], "_chunk": [r[2] for r in info],
-                    "_kind": pd.array([1] * len(info), dtype="int32"),
-                    "_start": [r[3] for r in info], "_end": [r[4] for r in info]})
-                speed_rows = pd.concat([speed_rows, inf], ignore_index=True)
-            yield speed_rows
+            out = pd.DataFrame(cols)
+            if done:
+                out = pd.concat([out, info_frame(done)], ignore_index=True)
+            yield out
+        if group is not None:
+            group[4] = _state_text(state)
+            last = info_frame([group])
+            for c in ("seq", "x", "y", "timestamp", "baseline_seq", "dt", "inst_speed", *carry):
+                last[c] = None
+            yield last
     return run
 
 
