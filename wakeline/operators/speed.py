@@ -167,8 +167,9 @@ def _state_text(state: list) -> str:
 
 
 def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, carry=()):
-    """Fold partitions sorted by (id, _seg, _chunk, seq).
+    """Fold partitions sorted by (id, _seg, _chunk, _seedpos, seq).
 
+    Rows with ``_seedpos`` set are a given start state (in that order);
     ``_warm`` rows only build up state (no output). For every group with own
     rows one info row (``_kind = 1``) reports the state before its first own
     row (``_start``) and after its last (``_end``), emitted once the group is
@@ -189,6 +190,7 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, c
             segs = pdf["_seg"].to_numpy()
             chunks = pdf["_chunk"].to_numpy()
             warm = pdf["_warm"].to_numpy()
+            seeded = pdf["_seedpos"].notna().to_numpy()
             seqs = pdf["seq"].to_numpy()
             xs = pdf["x"].to_numpy(dtype="float64")
             ys = pdf["y"].to_numpy(dtype="float64")
@@ -202,6 +204,10 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, c
                         group[4] = _state_text(state)
                         done.append(group)
                     key, state, group = k, [], None
+                if seeded[i]:
+                    # A given start state, in stored order: placed, not folded.
+                    state.append((int(seqs[i]), xs[i], ys[i], ts[i]))
+                    continue
                 if not warm[i] and group is None:
                     group = [ids[i], segs[i], chunks[i], _state_text(state), None]
                 for _, b, dt, v in coded_fold([(int(seqs[i]), xs[i], ys[i], ts[i])],
@@ -267,8 +273,10 @@ DEFAULT_WARMUP_ROWS = 2_048
 
 def _fold(rows: DataFrame, horizon, min_gap, metres_per_degree, carry, schema, num_partitions):
     parts = [num_partitions] if num_partitions else []
+    if "_seedpos" not in rows.columns:
+        rows = rows.withColumn("_seedpos", F.lit(None).cast("int"))
     ordered = (rows.repartition(*parts, "id", "_seg", "_chunk")
-               .sortWithinPartitions("id", "_seg", "_chunk", "seq"))
+               .sortWithinPartitions("id", "_seg", "_chunk", F.col("_seedpos").asc_nulls_last(), "seq"))
     return ordered.mapInPandas(_fold_partitions(horizon, min_gap, metres_per_degree, carry), schema)
 
 
@@ -284,9 +292,12 @@ def inst_speed_stateful(on_time: DataFrame, horizon: float = HORIZON_S, min_gap:
     state (the fold forgets its history within a few horizons), then its own
     events. Every chunk's state after the warm-up is checked against the
     previous chunk's final state; by induction from the run start (empty
-    state, exact) all chunks of a run whose checks pass are exact. Runs with a
-    failed check are folded again sequentially. ``carry`` names extra input
-    columns passed through to the emitted rows.
+    state, exact) all chunks of a run whose checks pass are exact. A chunk
+    whose check fails is folded again alone, seeded with the previous chunk's
+    final state, and kept if it ends in its first-pass final state (the one
+    the next chunk was checked against); only a run where that also fails is
+    folded again sequentially. ``carry`` names extra input columns passed
+    through to the emitted rows.
     """
     from wakeline.operators.prefix import global_row_number
     from wakeline.session import materialize
@@ -309,21 +320,55 @@ def inst_speed_stateful(on_time: DataFrame, horizon: float = HORIZON_S, min_gap:
         out = _fold(rows, horizon, min_gap, metres_per_degree, carry, schema, num_partitions)
         out = out.filter(F.col("_kind") == 0).select(*out_cols)
     else:
-        ranked = global_row_number(seg, "seq", "_r", keys=["id", "_seg"])
-        pos = F.col("_r") - 1
-        own = ranked.withColumn("_chunk", F.expr(f"(_r - 1) div {int(chunk_rows)}")).withColumn("_warm", F.lit(False))
-        warm = (ranked.filter(pos % F.lit(chunk_rows) >= F.lit(chunk_rows - warmup_rows))
-                .withColumn("_chunk", F.expr(f"(_r - 1) div {int(chunk_rows)} + 1")).withColumn("_warm", F.lit(True)))
-        folded = materialize(_fold(own.unionByName(warm).drop("_r"), horizon, min_gap, metres_per_degree,
-                                   carry, schema, num_partitions))
-        info = folded.filter(F.col("_kind") == 1).select("id", "_seg", "_chunk", "_start", "_end")
-        prev = info.select("id", "_seg", (F.col("_chunk") + 1).alias("_chunk"), F.col("_end").alias("_prev_end"))
-        bad = (info.filter(F.col("_chunk") > 0).join(prev, ["id", "_seg", "_chunk"], "left")
-               .filter(F.col("_prev_end").isNull() | (F.col("_prev_end") != F.col("_start")))
-               .select("id", "_seg").distinct())
-        good = folded.filter(F.col("_kind") == 0).join(bad, ["id", "_seg"], "left_anti").select(*out_cols)
-        redo_rows = (seg.join(bad, ["id", "_seg"], "left_semi")
-                     .withColumn("_chunk", F.lit(0).cast("long")).withColumn("_warm", F.lit(False)))
-        redo = _fold(redo_rows, horizon, min_gap, metres_per_degree, carry, schema, num_partitions)
-        out = good.unionByName(redo.filter(F.col("_kind") == 0).select(*out_cols))
+        out = _chunked_fold(seg, horizon, min_gap, metres_per_degree, carry, schema, num_partitions,
+                            chunk_rows, warmup_rows)["out"]
     return out.withColumn("inst_speed", F.col("inst_speed").cast("float").cast("double"))
+
+
+def _chunked_fold(seg: DataFrame, horizon, min_gap, metres_per_degree, carry, schema, num_partitions,
+                  chunk_rows: int, warmup_rows: int) -> dict:
+    """The chunked plan of ``inst_speed_stateful``; returns ``out`` and the check tables."""
+    from wakeline.operators.prefix import global_row_number
+    from wakeline.session import materialize
+
+    out_cols = [*SPEED_COLUMNS, *carry]
+    ranked = global_row_number(seg, "seq", "_r", keys=["id", "_seg"])
+    pos = F.col("_r") - 1
+    own = ranked.withColumn("_chunk", F.expr(f"(_r - 1) div {int(chunk_rows)}")).withColumn("_warm", F.lit(False))
+    warm = (ranked.filter(pos % F.lit(chunk_rows) >= F.lit(chunk_rows - warmup_rows))
+            .withColumn("_chunk", F.expr(f"(_r - 1) div {int(chunk_rows)} + 1")).withColumn("_warm", F.lit(True)))
+    folded = materialize(_fold(own.unionByName(warm).drop("_r"), horizon, min_gap, metres_per_degree,
+                               carry, schema, num_partitions))
+    info = folded.filter(F.col("_kind") == 1).select("id", "_seg", "_chunk", "_start", "_end")
+    prev = info.select("id", "_seg", (F.col("_chunk") + 1).alias("_chunk"), F.col("_end").alias("_prev_end"))
+    checked = info.filter(F.col("_chunk") > 0).join(prev, ["id", "_seg", "_chunk"], "left")
+    failed = checked.filter(F.col("_prev_end").isNull() | (F.col("_prev_end") != F.col("_start")))
+    # A failed check means only that chunk started from a wrong state (the
+    # previous chunk's end is exact by induction). Fold it again from that
+    # end state; accept it if it ends where the first pass ended (the state
+    # the next chunk was checked against), else fold the whole run again.
+    redo_keys = failed.filter(F.col("_prev_end").isNotNull()).select(
+        "id", "_seg", "_chunk", "_prev_end", F.col("_end").alias("_old_end"))
+    seeds = (redo_keys.select("id", "_seg", "_chunk",
+                              F.posexplode(F.split("_prev_end", ",")).alias("_seedpos", "_sseq"))
+             .filter(F.col("_sseq") != "")
+             .withColumn("seq", F.col("_sseq").cast("long")).drop("_sseq"))
+    seed_rows = seg.join(seeds, ["id", "_seg", "seq"], "inner").withColumn("_warm", F.lit(False))
+    own_redo = (own.join(redo_keys.select("id", "_seg", "_chunk"), ["id", "_seg", "_chunk"], "left_semi")
+                .drop("_r").withColumn("_seedpos", F.lit(None).cast("int")))
+    refold = materialize(_fold(own_redo.unionByName(seed_rows), horizon, min_gap, metres_per_degree,
+                               carry, schema, num_partitions))
+    re_info = (refold.filter(F.col("_kind") == 1).select("id", "_seg", "_chunk", F.col("_end").alias("_new_end"))
+               .join(redo_keys, ["id", "_seg", "_chunk"]))
+    redo_ok = re_info.filter(F.col("_new_end") == F.col("_old_end")).select("id", "_seg", "_chunk")
+    bad_runs = (failed.select("id", "_seg", "_chunk").join(redo_ok, ["id", "_seg", "_chunk"], "left_anti")
+                .select("id", "_seg").distinct())
+    first = (folded.filter(F.col("_kind") == 0)
+             .join(failed.select("id", "_seg", "_chunk"), ["id", "_seg", "_chunk"], "left_anti"))
+    second = refold.filter(F.col("_kind") == 0).join(redo_ok, ["id", "_seg", "_chunk"], "left_semi")
+    kept = first.unionByName(second).join(bad_runs, ["id", "_seg"], "left_anti").select(*out_cols)
+    redo_rows = (seg.join(bad_runs, ["id", "_seg"], "left_semi")
+                 .withColumn("_chunk", F.lit(0).cast("long")).withColumn("_warm", F.lit(False)))
+    redo = _fold(redo_rows, horizon, min_gap, metres_per_degree, carry, schema, num_partitions)
+    out = kept.unionByName(redo.filter(F.col("_kind") == 0).select(*out_cols))
+    return {"out": out, "failed": failed, "redo_ok": redo_ok, "bad_runs": bad_runs}
