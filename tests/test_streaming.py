@@ -159,3 +159,20 @@ def test_cluster_conf_sizes():
     c = cluster_conf(100 * 10**12, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 200_000
     assert int(cluster_conf(10**9, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+@pytest.mark.skipif(not os.environ.get("WAKELINE_SLOW"),
+                    reason="processing-time TTL mode takes ~10 min locally; set WAKELINE_SLOW=1")
+def test_speed_stream_with_state_ttl(spark, scratch):
+    """With a TTL (processing-time mode) the processor runs and gives the same rows."""
+    src, raw = _raw_files(spark, scratch, parts=2)
+    root = os.path.join(scratch, "ttl")
+    _run_ingest(spark, src, root, os.path.join(scratch, "ck_i"))
+    on_stream = spark.readStream.schema(P.ON_TIME_SCHEMA).parquet(os.path.join(root, "on_time"))
+    out = os.path.join(scratch, "enriched_ttl")
+    q = (P.speed_stream(on_stream, ttl_ms=60_000).writeStream.format("parquet")
+         .option("checkpointLocation", os.path.join(scratch, "ck_ttl")).trigger(availableNow=True).start(out))
+    q.awaitTermination(600)
+    on_time = lateness.split_late(parse.parse_events(raw))[0]
+    want = {r.seq: r.baseline_seq for r in speed.inst_speed_stateful(on_time).collect()}
+    assert {r.seq: r.baseline_seq for r in spark.read.parquet(out).collect()} == want
