@@ -28,6 +28,11 @@ PANEL_BANDS = {
 }
 
 
+def _rate(*args, **kw) -> DataFrame:
+    """Rates over the sampled series, which are dense on the scrape grid by construction."""
+    return M.rate(*args, dense=True, **kw)
+
+
 class Inputs:
     """Lazily built frames shared by the metric queries of one call."""
 
@@ -77,16 +82,16 @@ def q_sample_counters(spark, sf_dir):
 
 def q_rate_by_device(spark, sf_dir):
     p = _device_series(Inputs(spark, sf_dir).pipeline())
-    return _id_out(M.rate(p, ["metric", "id"], window=RATIO_WINDOW_S, extrapolate=False))
+    return _id_out(_rate(p, ["metric", "id"], window=RATIO_WINDOW_S, extrapolate=False))
 
 
 def q_rate_extrapolated(spark, sf_dir):
     p = _device_series(Inputs(spark, sf_dir).pipeline())
-    return _id_out(M.rate(p, ["metric", "id"], window=RATE_WINDOW_S, extrapolate=True))
+    return _id_out(_rate(p, ["metric", "id"], window=RATE_WINDOW_S, extrapolate=True))
 
 
 def _total_rate(p: DataFrame, metric: str, scale: float = 1.0) -> DataFrame:
-    return M.rate(_series(p, metric), ["metric", "id"], scale=scale, window=RATE_WINDOW_S)
+    return _rate(_series(p, metric), ["metric", "id"], scale=scale, window=RATE_WINDOW_S)
 
 
 def events_in_rate(p: DataFrame) -> DataFrame:
@@ -103,7 +108,7 @@ def late_ratio(p: DataFrame) -> DataFrame:
     """M5 for every device at once: sum(rate(late[1m])) / sum(rate(on_time[1m]) + eps)."""
     dev = _device_series(p).withColumn("_kind", F.when(F.col("metric").startswith("late_"), "late")
                                        .otherwise("on_time"))
-    r = M.rate(dev, ["_kind", "id"], window=RATIO_WINDOW_S)
+    r = _rate(dev, ["_kind", "id"], window=RATIO_WINDOW_S)
     late = M.sum_by(r.filter(F.col("_kind") == "late"), ["id"])
     on = M.sum_by(r.filter(F.col("_kind") == "on_time").withColumn("value", F.col("value") + F.lit(EPS_LATE)),
                   ["id"])
@@ -129,7 +134,7 @@ def out_in_ratio(inp: Inputs) -> DataFrame:
 
 def cpu_usage(inp: Inputs) -> DataFrame:
     idle = S.node_cpu(inp.events, inp.kmax()).filter(F.col("mode") == "idle")
-    r = M.rate(idle, ["instance", "cpu", "mode"], scale=100.0, window=RATE_WINDOW_S)
+    r = _rate(idle, ["instance", "cpu", "mode"], scale=100.0, window=RATE_WINDOW_S)
     a = M.avg_by(r, ["instance"])
     return a.select("k", "instance", F.round(F.lit(100.0) - F.col("value") * F.lit(100.0), 6).alias("value"))
 
@@ -142,13 +147,13 @@ def memory_usage(inp: Inputs) -> DataFrame:
 
 def network_rate(inp: Inputs, direction: str) -> DataFrame:
     n = S.node_network(inp.events, inp.kmax(), direction)
-    s = M.sum_by(M.rate(n, ["instance", "device"], window=RATE_WINDOW_S))
+    s = M.sum_by(_rate(n, ["instance", "device"], window=RATE_WINDOW_S))
     return s.select("k", F.round("value", 6).alias("value"))
 
 
 def swap_rate(inp: Inputs, direction: str) -> DataFrame:
     n = S.node_swap(inp.events, inp.kmax(), direction)
-    return M.rate(n, ["instance"], window=RATE_WINDOW_S)
+    return _rate(n, ["instance"], window=RATE_WINDOW_S)
 
 
 def q_events_in_rate(spark, sf_dir):

@@ -56,15 +56,17 @@ def pipeline_counters(classified: DataFrame, enriched: DataFrame | None, kmax: D
     (pass None when ``time_counter_ms`` is not needed: the speed stage is then not run).
     """
     c = with_k(classified)
-    one = F.lit(1).cast("long")
     sid = F.col("id").cast("string")
-    per_dev = c.select(F.concat(F.when(F.col("is_late"), F.lit("late_device_"))
-                                .otherwise(F.lit("on_time_device_")), sid).alias("metric"),
-                       sid.alias("id"), "k", one.alias("inc"))
-    totals = c.select(F.when(F.col("is_late"), F.lit("total_late_events"))
-                      .otherwise(F.lit("total_on_time_events")).alias("metric"),
-                      F.lit("").alias("id"), "k", one.alias("inc"))
-    bumps = per_dev.unionByName(totals)
+    late = F.col("is_late")
+    # Each event bumps two counters: its device's and the total (one pass over the events).
+    pair = F.array(
+        F.struct(F.concat(F.when(late, F.lit("late_device_")).otherwise(F.lit("on_time_device_")), sid)
+                 .alias("metric"), sid.alias("id")),
+        F.struct(F.when(late, F.lit("total_late_events")).otherwise(F.lit("total_on_time_events"))
+                 .alias("metric"), F.lit("").alias("id")))
+    both = c.select("k", F.explode(pair).alias("_c")).select(
+        "_c.metric", "_c.id", "k", F.lit(1).cast("long").alias("inc"))
+    bumps = both
     if enriched is not None:
         e = with_k(enriched)
         bumps = bumps.unionByName(e.select(
