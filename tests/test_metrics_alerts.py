@@ -86,3 +86,21 @@ def test_canonical_samples_round_trip(spark, scratch):
     assert M.time_range(back, now=S.START + 30.0, seconds=15.0).count() == 0
     keys = [r.k for r in back.select(M.label_key(F.col("labels")).alias("k")).collect()]
     assert len(set(keys)) == 2
+
+
+@pytest.mark.parametrize("window,extrapolate", [(60.0, False), (60.0, True), (300.0, True)])
+def test_dense_rate_equals_range_rate(spark, window, extrapolate):
+    import random
+
+    rnd = random.Random(int(window) + extrapolate)
+    rows = []
+    for sid in ("a", "b", "c"):
+        v, k0 = 0, rnd.randint(1, 30)
+        for k in range(k0, k0 + 60):
+            v = rnd.randint(0, 5) if rnd.random() < 0.05 else v + rnd.randint(0, 9)  # occasional reset
+            rows.append((sid, k, v))
+    s = spark.createDataFrame(rows, "sid string, k int, units long")
+    a = {(r.sid, r.k): r.value for r in M.rate(s, ["sid"], window=window, extrapolate=extrapolate).collect()}
+    b = {(r.sid, r.k): r.value for r in M.rate(s, ["sid"], window=window, extrapolate=extrapolate,
+                                               dense=True).collect()}
+    assert a == b
