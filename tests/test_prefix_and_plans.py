@@ -53,3 +53,20 @@ def test_lateness_plan_has_no_single_partition_over_rows(spark):
     for part in plan.split("Exchange SinglePartition")[1:]:
         head = part.split("\n")[1:4]
         assert any("HashAggregate" in h for h in head), plan
+
+
+@pytest.mark.parametrize("levels,bucket_rows", [(1, 10), (2, 3), (3, 2), (3, 50)])
+def test_scan_levels(spark, levels, bucket_rows):
+    rnd = random.Random(levels * 100 + bucket_rows)
+    rows = [(i * 2 + 1, rnd.randint(1, 3), float(rnd.randint(0, 1000))) for i in range(300)]
+    df = spark.createDataFrame(rows, "seq long, k int, v double")
+    got = {r.seq: (r.m, r.rn) for r in prefix.global_row_number(
+        prefix.running_max_before(df, "v", "seq", "m", keys=["k"], bucket_rows=bucket_rows, levels=levels),
+        "seq", keys=["k"], bucket_rows=bucket_rows, levels=levels).collect()}
+    want = {}
+    best, count = {}, {}
+    for s, k, v in rows:
+        want[s] = (best.get(k), count.get(k, 0) + 1)
+        best[k] = v if k not in best else max(best[k], v)
+        count[k] = count.get(k, 0) + 1
+    assert got == want

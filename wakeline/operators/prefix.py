@@ -20,45 +20,62 @@ DEFAULT_BUCKET_ROWS = 100_000
 _UNB = Window.unboundedPreceding
 
 
+DEFAULT_LEVELS = 2
+
+
 def _bucket(seq: str, bucket_rows: int):
     return F.expr(f"`{seq}` div {int(bucket_rows)}")
 
 
-def running_max_before(df: DataFrame, value: str, seq: str, out: str,
-                       keys: Sequence[str] = (), bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Add ``out`` = max(``value``) over all rows with a smaller ``seq`` (per ``keys``).
+def _combine(how: str, a, b):
+    if how == "max":
+        return F.greatest(a, b)
+    return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+
+
+def scan_before(df: DataFrame, value: str, seq: str, out: str, how: str = "max",
+                keys: Sequence[str] = (), bucket_rows: int = DEFAULT_BUCKET_ROWS,
+                levels: int = DEFAULT_LEVELS) -> DataFrame:
+    """Add ``out`` = ``how`` (max or sum) of ``value`` over rows with a smaller ``seq`` (per ``keys``).
 
-    NULL values never contribute; the first row gets NULL. The input is
-    shuffled once (by bucket); the bucket summary is taken from the same
-    exchange, so an expensive input is computed once.
+    NULL values never contribute; a row with nothing before it gets NULL.
+    Each level cuts the order into buckets of ``bucket_rows``: rows are
+    scanned within their bucket (one exchange), the bucket totals are
+    scanned by the next level the same way, and the carry is joined back on
+    the bucket key. Only the last level is a plain window, over
+    ``rows / bucket_rows ** (levels - 1)`` summary rows.
     """
     keys = list(keys)
-    wr = Window.partitionBy(*keys, "_bkt").orderBy(seq)
-    inner = (df.withColumn("_bkt", _bucket(seq, bucket_rows))
-             .withColumn("_inner", F.max(value).over(wr.rowsBetween(_UNB, -1)))
-             .withColumn("_upto", F.max(value).over(wr.rowsBetween(_UNB, 0))))
-    summary = inner.groupBy(*keys, "_bkt").agg(F.max("_upto").alias("_bmax"))
-    wb = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(_UNB, -1)
-    carry = summary.select(*keys, "_bkt", F.max("_bmax").over(wb).alias("_carry"))
-    return (inner.join(carry, [*keys, "_bkt"], "left")
-            .withColumn(out, F.greatest("_carry", "_inner"))
-            .drop("_bkt", "_carry", "_inner", "_upto"))
+    agg = F.max if how == "max" else F.sum
+    if levels <= 1:
+        w = Window.partitionBy(*keys).orderBy(seq).rowsBetween(_UNB, -1)
+        return df.withColumn(out, agg(value).over(w))
+    b = f"_bkt{levels}"
+    wr = Window.partitionBy(*keys, b).orderBy(seq).rowsBetween(_UNB, -1)
+    inner = df.withColumn(b, _bucket(seq, bucket_rows)).withColumn(f"_in{levels}", agg(value).over(wr))
+    # Totals per bucket are taken after the same exchange, so the input is shuffled once.
+    summary = inner.groupBy(*keys, b).agg(agg(value).alias(f"_tot{levels}"))
+    carry = scan_before(summary, f"_tot{levels}", b, f"_carry{levels}", how, keys, bucket_rows, levels - 1)
+    return (inner.join(carry.drop(f"_tot{levels}"), [*keys, b], "left")
+            .withColumn(out, _combine(how, F.col(f"_carry{levels}"), F.col(f"_in{levels}")))
+            .drop(b, f"_carry{levels}", f"_in{levels}"))
+
+
+def running_max_before(df: DataFrame, value: str, seq: str, out: str,
+                       keys: Sequence[str] = (), bucket_rows: int = DEFAULT_BUCKET_ROWS,
+                       levels: int = DEFAULT_LEVELS) -> DataFrame:
+    """Add ``out`` = max(``value``) over all rows with a smaller ``seq`` (per ``keys``)."""
+    return scan_before(df, value, seq, out, "max", keys, bucket_rows, levels)
 
 
 def global_row_number(df: DataFrame, seq: str, out: str = "rn",
-                      keys: Sequence[str] = (), bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+                      keys: Sequence[str] = (), bucket_rows: int = DEFAULT_BUCKET_ROWS,
+                      levels: int = DEFAULT_LEVELS) -> DataFrame:
     """Add ``out`` = 1-based position of the row in ``seq`` order (per ``keys``).
 
     Equal to ``row_number() OVER (PARTITION BY keys ORDER BY seq)`` for unique
     ``seq``, without a single-partition exchange over the rows.
     """
-    keys = list(keys)
-    wr = Window.partitionBy(*keys, "_bkt").orderBy(seq)
-    inner = df.withColumn("_bkt", _bucket(seq, bucket_rows)).withColumn("_inner", F.row_number().over(wr))
-    summary = inner.groupBy(*keys, "_bkt").agg(F.max("_inner").alias("_bn"))
-    wb = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(_UNB, -1)
-    offsets = summary.select(*keys, "_bkt",
-                             F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"))
-    return (inner.join(offsets, [*keys, "_bkt"], "left")
-            .withColumn(out, (F.col("_off") + F.col("_inner")).cast("long"))
-            .drop("_bkt", "_off", "_inner"))
+    d = df.withColumn("_one", F.lit(1).cast("long"))
+    d = scan_before(d, "_one", seq, "_before", "sum", keys, bucket_rows, levels)
+    return d.withColumn(out, (F.coalesce(F.col("_before"), F.lit(0)) + 1).cast("long")).drop("_one", "_before")
