@@ -34,7 +34,7 @@ def counter(name: str, inc_sql: str, series: list[str]) -> str:
     return f"""
 {name}_inc AS (SELECT {s}, k, sum(inc) AS inc FROM ({inc_sql}) GROUP BY ALL),
 {name}_first AS (SELECT {s}, min(k) AS k0 FROM {name}_inc GROUP BY ALL),
-{name}_dense AS (SELECT {s}, unnest(generate_series(k0, kmax)) AS k FROM {name}_first, kmax),
+{name}_dense AS (SELECT {s}, CAST(unnest(generate_series(k0, kmax)) AS INTEGER) AS k FROM {name}_first, kmax),
 {name} AS (
   SELECT {s}, k, CAST(sum(coalesce(inc, 0)) OVER (PARTITION BY {s} ORDER BY k ROWS UNBOUNDED PRECEDING) AS BIGINT) AS units
   FROM {name}_dense LEFT JOIN {name}_inc USING ({s}, k)
@@ -122,7 +122,7 @@ def swap(direction: str) -> str:
 
 MEMORY = f"""
 mem_last AS (SELECT {INSTANCE} AS instance, k, arg_max({CENTS}, event_id) AS c FROM evk GROUP BY ALL),
-mem_grid AS (SELECT instance, unnest(generate_series(1, kmax)) AS k FROM (SELECT DISTINCT instance FROM mem_last), kmax),
+mem_grid AS (SELECT instance, CAST(unnest(generate_series(1, kmax)) AS INTEGER) AS k FROM (SELECT DISTINCT instance FROM mem_last), kmax),
 mem AS (
   SELECT instance, k, CAST(16000000000 AS DOUBLE) AS total,
          CAST(16000000000 - coalesce(last_value(c IGNORE NULLS) OVER (PARTITION BY instance ORDER BY k ROWS UNBOUNDED PRECEDING), 0) * 100000 AS DOUBLE) AS available
@@ -134,7 +134,7 @@ stage_counts AS (
   SELECT 'source' AS stage, k, count(*) AS c FROM evk GROUP BY k
   UNION ALL SELECT 'sink', k, count(*) FROM enriched_k GROUP BY k
 ),
-stage_grid AS (SELECT stage, unnest(generate_series(1, kmax)) AS k FROM (VALUES ('source'), ('sink')) t(stage), kmax),
+stage_grid AS (SELECT stage, CAST(unnest(generate_series(1, kmax)) AS INTEGER) AS k FROM (VALUES ('source'), ('sink')) t(stage), kmax),
 stages AS (
   SELECT stage, k, CAST(coalesce(c, 0) AS DOUBLE) / 15e0 AS value FROM stage_grid LEFT JOIN stage_counts USING (stage, k)
 ),
@@ -149,7 +149,7 @@ bp_per AS (
   SELECT CASE WHEN user_id % 2 = 0 THEN 'source' ELSE 'sink' END AS task, k, sum({CENTS}) AS c, count(*) AS n
   FROM evk GROUP BY ALL
 ),
-bp_grid AS (SELECT task, unnest(generate_series(1, kmax)) AS k FROM (SELECT DISTINCT task FROM bp_per), kmax),
+bp_grid AS (SELECT task, CAST(unnest(generate_series(1, kmax)) AS INTEGER) AS k FROM (SELECT DISTINCT task FROM bp_per), kmax),
 bp AS (
   SELECT task, k, CASE WHEN n IS NULL THEN 0e0 ELSE CAST(c AS DOUBLE) / CAST(n * 10 AS DOUBLE) END AS value
   FROM bp_grid LEFT JOIN bp_per USING (task, k)
@@ -209,7 +209,7 @@ FROM (
 )"""
 
 
-EVAL_GRID = "SELECT unnest(generate_series(4, kmax, 4)) AS k FROM kmax"
+EVAL_GRID = "SELECT CAST(unnest(generate_series(4, kmax, 4)) AS INTEGER) AS k FROM kmax"
 
 
 def _late_alert(devices) -> str:
