@@ -272,6 +272,9 @@ DEFAULT_WARMUP_ROWS = 2_048
 
 
 def _fold(rows: DataFrame, horizon, min_gap, metres_per_degree, carry, schema, num_partitions):
+    from wakeline.session import ship_package
+
+    ship_package(rows.sparkSession)
     parts = [num_partitions] if num_partitions else []
     if "_seedpos" not in rows.columns:
         rows = rows.withColumn("_seedpos", F.lit(None).cast("int"))

@@ -94,3 +94,37 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``wakeline`` importable in the Python workers (once per Spark context).
+
+    Operators that run Python on the executors (the coded speed fold, the
+    stateful stream processor) pickle their functions by reference, so the
+    package must be on the workers' path; ``addPyFile`` distributes it with
+    the job, on a cluster as locally.
+    """
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    path = os.path.join(tempfile.mkdtemp(prefix="wakeline-pkg-"), "wakeline.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

@@ -120,6 +120,9 @@ class CodedSpeedProcessor(StatefulProcessor):
 
 def speed_stream(on_time_stream: DataFrame, ttl_ms: int | None = None, **kw) -> DataFrame:
     """Enriched stream (without ``time_taken``) from a stream of on-time events."""
+    from wakeline.session import ship_package
+
+    ship_package(on_time_stream.sparkSession)
     mode = "ProcessingTime" if ttl_ms else "None"
     return (on_time_stream.select("seq", "id", "x", "y", "timestamp").groupBy("id")
             .transformWithStateInPandas(CodedSpeedProcessor(ttl_ms=ttl_ms, **kw), SPEED_OUT, "Append", mode))
