@@ -176,3 +176,28 @@ def test_speed_stream_with_state_ttl(spark, scratch):
     on_time = lateness.split_late(parse.parse_events(raw))[0]
     want = {r.seq: r.baseline_seq for r in speed.inst_speed_stateful(on_time).collect()}
     assert {r.seq: r.baseline_seq for r in spark.read.parquet(out).collect()} == want
+
+
+def test_archive_batch_without_remainder(spark, scratch):
+    """A micro-batch that ends exactly on a batch boundary leaves no pending rows;
+    the next one must not pick up an older remainder (no duplicates, no gaps)."""
+    src = os.path.join(scratch, "raw")
+    start = 0
+    for n in (150, 250, 200):
+        rows = [(s, '{"id": %d, "x": 1.0, "y": 2.0, "timestamp": %d.0}' % (s % 7, s)) for s in range(start, start + n)]
+        spark.createDataFrame(rows, "seq long, value string").coalesce(1).write.mode("append").parquet(src)
+        start += n
+    root = os.path.join(scratch, "out")
+    writer = P.ArchiveWriter(root, n=200)
+    # One file per micro-batch, in order of writing.
+    stream = spark.readStream.schema("seq long, value string").option("maxFilesPerTrigger", 1).parquet(src)
+    q = (stream.writeStream.foreachBatch(writer).option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    writer.flush(spark)
+    from wakeline.sources.io import replay_archive
+
+    back = replay_archive(spark, os.path.join(root, "archive"))
+    ts = sorted(int(r.timestamp) for r in back.collect())
+    assert ts == list(range(600))
+    assert [r["count"] for r in back.groupBy("batch_no").count().orderBy("batch_no").collect()] == [200, 200, 200]

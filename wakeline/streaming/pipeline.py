@@ -135,10 +135,13 @@ class ArchiveWriter:
         self.root, self.n, self.out = root, n, out
 
     def _state(self, spark, batch_id):
-        pend = state.carry_before(spark, self.root, f"{self.out}_pending", batch_id)
-        nxt = state.carry_before(spark, self.root, f"{self.out}_next", batch_id)
-        next_no = 0 if nxt is None else int(nxt.first()[0])
-        return pend, next_no
+        # The counter table gets a row every batch; the pending rows of that same
+        # batch may be empty (then no partition exists), so never search for them.
+        prev = state.batch_before(spark, self.root, f"{self.out}_next", batch_id)
+        if prev is None:
+            return None, 0
+        next_no = int(state.read_partition(spark, self.root, f"{self.out}_next", prev).first()[0])
+        return state.read_partition(spark, self.root, f"{self.out}_pending", prev), next_no
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -36,12 +36,33 @@ def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet")
     return spark.read.format(fmt).load(path)
 
 
-def carry_before(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame | None:
-    """Rows of ``table`` written by the newest batch before ``batch_id`` (None if there is none)."""
+def batch_before(spark: SparkSession, root: str, table: str, batch_id: int) -> int | None:
+    """Id of the newest batch before ``batch_id`` that wrote ``table`` (None if none).
+
+    Usually that is ``batch_id - 1``, checked directly (no listing of the
+    whole table, which grows by one partition per micro-batch); after a gap
+    the table is searched.
+    """
+    if batch_id > 0 and _exists(spark, os.path.join(root, table, f"batch_id={int(batch_id) - 1}")):
+        return int(batch_id) - 1
     t = read_table(spark, root, table)
     if t is None:
         return None
     prev = t.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-    if prev is None:
-        return None
-    return t.filter(F.col("batch_id") == prev).drop("batch_id")
+    return None if prev is None else int(prev)
+
+
+def read_partition(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame | None:
+    """Rows ``table`` holds for exactly ``batch_id`` (None when it wrote none)."""
+    path = os.path.join(root, table, f"batch_id={int(batch_id)}")
+    return spark.read.parquet(path) if _exists(spark, path) else None
+
+
+def carry_before(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame | None:
+    """Rows of ``table`` written by the newest batch before ``batch_id`` (None if there is none).
+
+    Only for tables every batch writes at least one row to (carries, counters):
+    an empty write leaves no partition behind.
+    """
+    prev = batch_before(spark, root, table, batch_id)
+    return None if prev is None else read_partition(spark, root, table, prev)
