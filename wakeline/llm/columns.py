@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 
+def cleared(df: DataFrame, names: list[str]) -> DataFrame:
+    """The frame without columns of these names: an operator's output replaces an input column of its name."""
+    return df.drop(*[c for c in df.columns if c in names])
+
+
 def extended(df: DataFrame, fields: list[tuple[str, str]]) -> StructType:
-    """The frame's schema plus the named fields; a name that is there already is an error."""
-    clash = {n for n, _ in fields} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already; give a prefix")
+    """The frame's schema plus the named fields."""
     more = StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields))
     return StructType(list(df.schema.fields) + list(more.fields))
 

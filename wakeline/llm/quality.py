@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.columns import appended, extended
+from wakeline.llm.columns import appended, cleared, extended
 from wakeline.llm.textkernel import repeated_words, word_bounds
 from wakeline.session import materialize, ship_package
 
@@ -70,6 +70,7 @@ def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame
     """``docs`` plus the measures as long columns named ``prefix + measure``."""
     ship_package(docs.sparkSession)
     names = [prefix + m for m in MEASURES]
+    docs = cleared(docs, names)
     schema = extended(docs, [(n, "long") for n in names])
 
     def run(batches):
@@ -133,9 +134,10 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
 
     * null or empty text: all measures 0, ``base_failed`` (fewer than ten words), not kept;
     * null lang or source: a group of its own; repeated rows are judged alike, each on its own;
-    * an empty table gives an empty result; other columns are passed through untouched. Give a
-      ``prefix`` where they clash with the names of the measures.
+    * an empty table gives an empty result; other columns pass through. An input column with the
+      name of an output is replaced by it; give a ``prefix`` to keep it.
     """
+    docs = cleared(docs, [prefix + n for n in (*MEASURES, "base_failed", "kept")])
     slim = measured(docs.select(*dict.fromkeys([text, lang, source])), text, prefix).drop(*{text} - {lang, source})
     fences = thresholds(slim, (lang, source), prefix, min_docs)
     fences = fences.withColumnsRenamed({lang: "_fence_lang", source: "_fence_source"})

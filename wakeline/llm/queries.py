@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import quality, secrets_scan, spencode, tokencount, tokenfile
+from wakeline.llm import (
+    ann,
+    chat,
+    langid,
+    neardup,
+    packing,
+    quality,
+    secrets_scan,
+    spencode,
+    tokencount,
+    tokenfile,
+)
 from wakeline.llm.tokenizers_io import public_path
 
 
@@ -13,6 +24,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs the documents' bytes into bins of 8192; copies and documents of one source never share a bin."""
+    docs = _table(spark, sf_dir, "documents")
+    return packing.packed(docs, F.octet_length("text"), packing.text_cluster(), capacity=8192)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit_open(docs)
+    rows = langid.identified(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the documents' ids as token files and reads them back."""
     folder = tokenfile.new_folder(spark)
@@ -21,16 +45,54 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, folder)
 
 
+def op4_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.neighbours(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokencount.token_counts(docs, public_path("piece_bpe_32k.model"), limit=4096)
 
 
+# Schema of the tool that conversation_calls derives: (name, param, type, required).
+REPLY_SCHEMA = [("reply", "turn", "integer", True), ("reply", "n_chars", "integer", True), ("reply", "after", "object", False)]
+
+
+def conversation_calls(conversations: DataFrame) -> DataFrame:
+    """Messages with tool calls, derived from the conversations: each assistant turn becomes a call of the tool
+    ``reply`` (identified by conversation and turn, needing an earlier reply of about half its turn) and a tool
+    result with the turn's text. Other turns stay as they are."""
+    name = lambda turn: F.format_string("c%d-%d", F.col("conv_id"), turn)
+    t = F.col("turn")
+    half = F.floor(t / 2).cast("long")
+    before = half - F.abs(half - t) % 2
+    call = F.struct(name(t).alias("id"), F.lit("reply").alias("name"), F.struct(
+        t.alias("turn"), F.char_length("text").alias("n_chars"),
+        F.when(before > 0, F.struct(name(before).alias("$ref"))).alias("after")).alias("arguments"))
+    replies = conversations.filter("role = 'assistant'")
+    calls = replies.select("conv_id", "turn", "role", F.to_json(F.struct(F.array(call).alias("tool_calls"))).alias("text"))
+    results = replies.select("conv_id", "turn", F.lit("tool").alias("role"), F.to_json(F.struct(
+        name(t).alias("tool_call_id"), F.col("text").alias("content"))).alias("text"))
+    others = conversations.filter("role is null or role != 'assistant'").select("conv_id", "turn", "role", "text")
+    return others.unionByName(calls).unionByName(results)
+
+
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, orders, validates and serialises the calls of all conversations."""
+    schemas = spark.createDataFrame(REPLY_SCHEMA, "name string, param string, type string, required boolean")
+    return chat.formatted(conversation_calls(_table(spark, sf_dir, "conversations")), schemas)
+
+
 def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return spencode.encoded(docs, public_path("piece_bpe_32k.model"), with_ids=False, with_text=False).drop("text")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     rows = quality.judged(docs)
@@ -43,12 +105,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.scanned(docs).drop("text")
 
 
-QUERIES = {
-    "op3_token_files": op3_token_files,
-    "op5_token_counts": op5_token_counts,
-    "op7_piece_encoding": op7_piece_encoding,
-    "op9_quality_rules": op9_quality_rules,
-    "op10_secret_scan": op10_secret_scan,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_language_id, op3_token_files, op4_nearest_codes, op5_token_counts, op6_tool_calls,
+    op7_piece_encoding, op8_near_duplicates, op9_quality_rules, op10_secret_scan)}
 
 ORACLE: dict[str, str] = {}

@@ -20,7 +20,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from wakeline.llm.columns import appended, extended
+from wakeline.llm.columns import appended, cleared, extended
 from wakeline.session import ship_package
 
 # The base patterns and their least lengths.
@@ -192,11 +192,13 @@ def scanned(docs: DataFrame, text: str = "text", redact_to: str | None = None, p
     ``redact_to``, also the redacted text under that name.
 
     Null and empty texts have no spans, and a null text stays null when redacted. Repeated rows are
-    scanned alike. Every other column passes through; use ``prefix`` where names clash.
+    scanned alike. Every other column passes through; one with the name of an output is replaced by it
+    (``prefix`` keeps it).
     """
     ship_package(docs.sparkSession)
     kinds = [("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
              ("base_sha256", pa.string()), ("spans", pa.string())]
+    docs = cleared(docs, [prefix + n for n, _ in kinds] + [redact_to])
     schema = extended(docs, [(prefix + n, "long" if t == pa.int64() else "string") for n, t in kinds]
                       + ([(redact_to, "string")] if redact_to else []))
 

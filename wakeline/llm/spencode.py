@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from wakeline.llm.columns import appended, extended
+from wakeline.llm.columns import appended, cleared, extended
 from wakeline.llm.tokenizers_io import broadcast_file, piece_model
 from wakeline.session import ship_package
 
@@ -329,8 +329,8 @@ def encoded(docs: DataFrame, model_path: str, text: str = "text", with_ids: bool
     ``ids`` (array of int, with begin and end ids) and ``decoded`` (their text).
 
     Null text is encoded as empty (begin and end ids only). Every row is on its own, so repeated
-    rows, long texts and hot sources need no care; other columns pass through, and ``prefix``
-    avoids clashes with their names.
+    rows, long texts and hot sources need no care; other columns pass through; one
+    with the name of an output is replaced by it (``prefix`` keeps it).
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -340,6 +340,7 @@ def encoded(docs: DataFrame, model_path: str, text: str = "text", with_ids: bool
         fields.append(("ids", "array<int>", pa.list_(pa.int32())))
     if with_text:
         fields.append(("decoded", "string", pa.string()))
+    docs = cleared(docs, [prefix + n for n, _, _ in fields])
     schema = extended(docs, [(prefix + n, t) for n, t, _ in fields])
 
     def run(batches):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.columns import extended
+from wakeline.llm.columns import cleared, extended
 from wakeline.llm.tokenizers_io import broadcast_file, piece_model
 from wakeline.session import materialize, ship_package
 
@@ -154,13 +154,15 @@ def token_counts(docs: DataFrame, model_path: str, text: str = "text", limit: in
     """``docs`` without the text column, plus n_bytes, n_tokens and over_limit (each with ``prefix``).
 
     Null and empty texts have 0 bytes and 0 tokens. Rows are counted each on its own; equal huge texts
-    share one count. Other columns pass through; ``prefix`` avoids clashes with their names.
+    share one count. Other columns pass through; one with the name of an output is replaced
+    by it (``prefix`` keeps it).
     """
     spark = docs.sparkSession
     ship_package(spark)
     model = broadcast_file(spark, model_path)
-    keep = [c for c in docs.columns if c != text]
     names = [prefix + "n_bytes", prefix + "n_tokens"]
+    docs = cleared(docs, [*names, prefix + "over_limit", "_key"])
+    keep = [c for c in docs.columns if c != text]
     schema = extended(docs.select(*keep), [(n, "long") for n in names])
 
     def run(batches):
