@@ -7,9 +7,9 @@ scalar, and knows how far the estimate can be off: about ``EPSILON`` standard er
 From these follow lower and upper bounds of every distance; only vectors whose lower bound does not
 exceed the k-th smallest upper bound are reranked on the original vectors, in double precision.
 
-The centres, and the number of cells to visit for the wanted recall, come from a bounded sample; every vector is coded and indexed. Cells are cut into blocks of bounded
-rows, and the queries of a cell into blocks too, so a hot cell or a vector repeated a million times is many small
-tasks. Equal vectors are one entry: a neighbour list of k+1 can name at most the k+1 smallest ids of each.
+The centres, and the number of cells to visit for the wanted recall, come from a bounded sample; every
+vector is coded and indexed. Cells are cut into blocks of bounded rows, and the queries of a cell into
+blocks too, so a hot cell or a vector repeated a million times is many small tasks. Equal vectors are one entry: a neighbour list of k+1 can name at most the k+1 smallest ids of each.
 """
 
 from __future__ import annotations

@@ -33,6 +33,7 @@ MANTISSA_BITS = 10
 BANDS, BAND_ROWS = 64, 6
 PREFIX_SET = 48
 PERCENT = 75
+FILTER_BITS = 1 << 26
 CENTRES = (0, 0x5DEECE66D1234567)
 
 _rng = np.random.Generator(np.random.PCG64(8_128_256))
@@ -156,6 +157,22 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _in_question(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``rep`` is in ``ids``, and a few others, without moving the texts.
+
+    The ids set bits of a bitmap of ``FILTER_BITS`` bits by their hash, in rows of 4 KB. The bitmap has 8 MB at most,
+    so it can be sent to every task. More ids than bits only let more rows through.
+    """
+    place = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
+    bitmap = ids.select(place.alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("_b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("_bits"))
+    rows = docs.withColumn("_p", place).withColumn("_b", F.bitmap_bucket_number("_p"))
+    bit = F.bitmap_bit_position("_p")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (rows.join(F.broadcast(bitmap), "_b").filter(F.pmod(F.floor(byte / F.pow(F.lit(2), bit % 8)), F.lit(2)) == 1)
+            .drop("_p", "_b", "_bits"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold. Sets are made again from the texts of the
     documents in question only, so they need not be kept for all."""
@@ -174,9 +191,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent
                 keep.append(bool(len(x)) and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")).join(wanted, "rep", "left_semi")
-    made = texts.mapInArrow(sets, "rep long, set binary")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+    texts = _in_question(docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")), wanted)
+    made = texts.select("rep", "text").mapInArrow(sets, "rep long, set binary")
     joined = (pairs.join(made.toDF("a", "x"), "a").join(made.toDF("b", "y"), "b").select("a", "b", "x", "y"))
     return joined.mapInArrow(run, "a long, b long").distinct()
 
