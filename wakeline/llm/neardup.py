@@ -7,12 +7,13 @@
 * ``BANDS`` keys of ``BAND_ROWS`` registers each put documents in buckets. A pair of similarity 0.75 shares at
   least one key with a chance of about 0.99999; sets of up to ``PREFIX_SET`` shingles, whose registers say
   less, also get exact prefix keys, which no linked pair of such sets can miss.
-* Candidate pairs are dropped if the collision-corrected estimate lies five standard errors below the
+* Candidate pairs are dropped if the collision-corrected estimate lies 4.5 standard errors below the
   threshold; the rest is verified on the full sets.
 
 Groups of copies never become all pairs. Equal sets are one node. In each bucket every node is first paired
-with two centres only; nodes that turn out linked through a common node need no pair of their own.
-Only pairs from different groups of a bucket are then paired up, with sizes that allow a link. Components
+with two centres only, the smallest id and the node that shares the most buckets with others; nodes that turn out linked through a common node need no pair of their own.
+Only pairs from different groups of a bucket are then paired up, if their sizes, and the number of
+shingles that either shares with any node in question, allow a link at all. Components
 come from alternating large-star and small-star rounds over the verified links; nothing but
 convergence counts reaches the driver, and lineage is cut in the checkpoint folder.
 """
@@ -34,7 +35,6 @@ BANDS, BAND_ROWS = 64, 6
 PREFIX_SET = 48
 PERCENT = 75
 FILTER_BITS = 1 << 26
-CENTRES = (0, 0x5DEECE66D1234567)
 
 _rng = np.random.Generator(np.random.PCG64(8_128_256))
 _BORROW = np.argsort(_rng.random((REGISTERS, REGISTERS)), axis=1).astype(np.int16)
@@ -146,8 +146,9 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 continue
             a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (2, 3))
             n = np.maximum(batch.column(4).to_numpy(), 1)
-            error = np.sqrt(limit * (1 - limit) * (1.0 / REGISTERS + 1.0 / n))
-            keep = estimate(a, b) >= limit - 5 * error
+            # A set smaller than the registers fills them unevenly, which adds to the error.
+            error = np.sqrt(limit * (1 - limit) * (1.0 / REGISTERS + 0.75 / n))
+            keep = estimate(a, b) >= limit - 4.5 * error
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
     side = nodes.select("rep", "n", "sig")
@@ -198,6 +199,22 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent
     return joined.mapInArrow(run, "a long, b long").distinct()
 
 
+def _alone(ids: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(rep, alone): shingles of each node that no other node in question has, so that no pair of them shares."""
+
+    def shingles(batches):
+        for batch in batches:
+            for rep, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                hashes = shingle_set((body.as_py() or "").encode())
+                yield pa.RecordBatch.from_arrays([_signed(hashes), pa.array(np.full(len(hashes), rep, dtype=np.int64))],
+                                                 ["shingle", "rep"])
+
+    texts = _in_question(docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")), ids)
+    rows = texts.filter("rep is not null").select("rep", "text").mapInArrow(shingles, "shingle long, rep long")
+    once = rows.groupBy("shingle").agg(F.count("*").alias("_n"), F.min("rep").alias("rep")).filter("_n = 1")
+    return once.groupBy("rep").agg(F.count("*").alias("alone"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b): root is the smallest node it reaches.
 
@@ -224,13 +241,12 @@ def components(edges: DataFrame) -> DataFrame:
 def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> DataFrame:
     """Verified links (a, b) that connect all linked nodes (rep, n, sig, small)."""
     rows = _buckets(nodes)
-    shared = rows.groupBy("key").agg(
-        F.min("rep").alias("_low"), F.max("rep").alias("_high"),
-        *[F.min(F.col("rep").bitwiseXOR(F.lit(c))).alias(f"_c{i}") for i, c in enumerate(CENTRES)]).filter("_low != _high")
-    members = materialize(rows.join(shared.drop("_low", "_high"), "key"))
-
-    centres = F.array(*[F.col(f"_c{i}").bitwiseXOR(F.lit(c)) for i, c in enumerate(CENTRES)])
-    star = (members.select("rep", F.explode(centres).alias("c")).filter("rep != c")
+    shared = rows.groupBy("key").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"), F.count("*").alias("held"))
+    members = materialize(rows.join(shared.filter("_low != _high").select("key", "held", F.col("_low").alias("c")), "key"))
+    # The text that a group was copied from shares buckets with more of the group than any copy does.
+    weight = members.groupBy("rep").agg((F.sum("held") * 1024 + F.pmod(F.xxhash64("rep"), F.lit(1024))).alias("_w"))
+    middle = (members.select("key", "rep").join(weight, "rep").groupBy("key").agg(F.max_by("rep", "_w").alias("m")))
+    star = (members.join(middle, "key").select("rep", F.explode(F.array("c", "m")).alias("c")).filter("rep != c")
             .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct())
     first = materialize(_verified(materialize(_likely(star, nodes, percent)), docs, doc_id, text, percent))
 
@@ -244,9 +260,15 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: in
               .select("key", "rep", "n", F.coalesce("label", "rep").alias("label")))
     mixed = marked.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low != _high")
     open_rows = materialize(marked.join(mixed.select("key"), "key"))
-    left, right = open_rows.toDF("key", "a", "na", "la"), open_rows.toDF("key", "b", "nb", "lb")
+    alone = _alone(open_rows.select("rep").distinct(), docs, doc_id, text)
+    sized = open_rows.join(alone, "rep", "left").select(
+        "key", "rep", "n", "label", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c"))
+    sized = materialize(sized)
+    left, right = sized.toDF("key", "a", "na", "la", "ca"), sized.toDF("key", "b", "nb", "lb", "cb")
+    # The intersection is at most the smaller count of shingles that are not a node's own alone.
     crossing = (left.join(right, "key").filter("a < b and la != lb")
                 .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+                .filter(F.least("ca", "cb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
                 .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
     second = materialize(_verified(materialize(_likely(crossing, nodes, percent)), docs, doc_id, text, percent))
     return first.unionByName(second)
