@@ -30,10 +30,16 @@ def test_trace(spark, cadence, rule):
     assert got == _expected_emits(TRACES[(cadence, rule)])
 
 
+def _folded(evs):
+    events = speed.EventList(*zip(*evs))
+    emits, base, *_ = speed.fold_events(speed.EventList(), events)
+    return dict(zip(events.seq[emits].tolist(), base.tolist()))
+
+
 @pytest.mark.parametrize("cadence", [0.6, 1.0])
 def test_fold_matches_trace(cadence):
     evs = [(i, 21.0 + 0.001 * i, 52.0, 100.0 + cadence * (i - 1)) for i in range(1, 16)]
-    got = {s: b for s, b, _, _ in speed.coded_fold(evs)}
+    got = _folded(evs)
     assert got == _expected_emits(TRACES[(cadence, "coded")])
 
 
@@ -66,8 +72,7 @@ def test_segments_do_not_change_w2(spark):
     want = {}
     for dev in (1, 2):
         evs = [(s, x, y, t) for s, d, x, y, t in rows if d == dev]
-        want.update({s: b for s, b, _, _ in speed.coded_fold(
-            [(s, float(__import__("numpy").float32(x)), y, t) for s, x, y, t in evs])})
+        want.update(_folded([(s, float(__import__("numpy").float32(x)), y, t) for s, x, y, t in evs]))
     assert got == want
 
 
@@ -152,3 +157,44 @@ def test_failed_chunks_are_repaired_one_by_one(spark):
     got = sorted(map(tuple, res["out"].withColumn("inst_speed", res["out"]["inst_speed"].cast("float")
                                                    .cast("double")).collect()))
     assert got == want
+
+
+def test_ids_near_two_to_the_62_are_exact(spark):
+    """Ids and carried integers keep every bit, with info rows in the same output."""
+    top = 1 << 62
+    rows = [(top + 2 * i + 1, 1, 21.0 + 0.001 * i, 52.0, 100.0 + 0.6 * i, top + i) for i in range(400)]
+    df = spark.createDataFrame(rows, "seq long, id int, x float, y float, timestamp double, tag long")
+    got = speed.inst_speed_stateful(df, carry=["tag"]).collect()
+    chunked = speed.inst_speed_stateful(df, carry=["tag"], chunk_rows=100, warmup_rows=40).collect()
+    ids = {r[0] for r in rows}
+    assert got and {r.seq for r in got} <= ids and {r.baseline_seq for r in got} <= ids
+    assert len({r.seq for r in got}) == len(got)
+    assert all(r.tag == top + (r.seq - top) // 2 for r in got)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, chunked))
+
+
+def test_to_fixed_1_rounds_the_binary_value(spark):
+    from wakeline.functions.geo import to_fixed_1
+    from pyspark.sql import functions as F
+
+    cases = {1.45: "1.4", 0.35: "0.3", 2.25: "2.3", 0.25: "0.3", 0.05: "0.1", 8.345: "8.3", 0.0: "0.0", 9.96: "10.0",
+             -1.45: "-1.4", 1e15: "1000000000000000.0", 123.95: "124.0", 0.95: "0.9"}
+    df = spark.createDataFrame([(k,) for k in cases], "v double")
+    got = {r.v: r.t for r in df.select("v", to_fixed_1(F.col("v")).alias("t")).collect()}
+    assert got == cases
+
+
+def test_log_files_on_disk_get_labels(spark, scratch):
+    import os
+
+    from wakeline.operators import logs
+    from wakeline.sources.logs import read_container_logs, read_log_files
+
+    os.makedirs(f"{scratch}/logs/producer")
+    with open(f"{scratch}/logs/producer/a.log", "w") as fh:
+        fh.write("2024-01-01 00:00:00 [ERROR] x - bad\n2024-01-01 00:00:01 [INFO] x - fine\n")
+    with open(f"{scratch}/containers.json", "w") as fh:
+        fh.write('{"container": "/sink", "line": "2024-01-01 00:00:02 [ERROR] y - worse"}\n')
+    files, boxes = read_log_files(spark, f"{scratch}/logs/*/*.log"), read_container_logs(spark, f"{scratch}/containers.json")
+    got = logs.error_logs(logs.labelled_logs(files, boxes, root=f"{scratch}/logs")).collect()
+    assert [(r.service_name, r.message) for r in got] == [("sink", "worse"), ("producer", "bad")]

@@ -123,7 +123,7 @@ def test_pipeline_end_to_end(spark, scratch):
     src, raw = _raw_files(spark, scratch)
     root = os.path.join(scratch, "pipe")
     stream = spark.readStream.schema("seq long, value string").option("maxFilesPerTrigger", 1).parquet(src)
-    app.run_available(spark, stream, root, max_files=2)
+    app.run_available(spark, stream, root)
     on_time = lateness.split_late(parse.parse_events(raw))[0]
     want = speed.inst_speed_stateful(on_time)
     rd = state.read_table(spark, root, "readings")
@@ -157,7 +157,7 @@ def test_cluster_conf_sizes():
     from wakeline.session import cluster_conf
 
     c = cluster_conf(100 * 10**12, 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(c["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert int(cluster_conf(10**9, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
@@ -201,3 +201,50 @@ def test_archive_batch_without_remainder(spark, scratch):
     ts = sorted(int(r.timestamp) for r in back.collect())
     assert ts == list(range(600))
     assert [r["count"] for r in back.groupBy("batch_no").count().orderBy("batch_no").collect()] == [200, 200, 200]
+
+
+def test_replayed_batch_leaves_the_table_alone(spark, scratch):
+    import glob
+
+    from wakeline.streaming import state
+
+    df = spark.range(10).withColumnRenamed("id", "seq")
+    state.write_batch(df, scratch, "t", 0)
+    before = sorted(glob.glob(f"{scratch}/t/batch_id=0/*.parquet"))
+    state.write_batch(df, scratch, "t", 0)
+    assert sorted(glob.glob(f"{scratch}/t/batch_id=0/*.parquet")) == before
+    assert state.read_table(spark, scratch, "t").count() == 10
+
+
+def test_device_scope_is_refused(scratch):
+    from wakeline.streaming.pipeline import LatenessIngest
+
+    with pytest.raises(ValueError):
+        LatenessIngest(scratch, scope="device")
+
+
+def test_speed_stream_starts_outside_the_repository(tmp_path):
+    """A fresh process in another folder, with the package on the driver's path only."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from wakeline.session import local_session
+from wakeline.streaming import app, state
+spark = local_session(2, shuffle_partitions=2)
+rows = [(i, 1, 21.0 + 0.001 * i, 52.0, 100.0 + 0.6 * i) for i in range(40)]
+df = spark.createDataFrame(rows, "seq long, id int, x float, y float, timestamp double")
+state.write_batch(df, {str(tmp_path)!r}, "on_time", 0)
+app.start_speed(spark, {str(tmp_path)!r}, available_now=True).awaitTermination(300)
+from wakeline.operators.speed import inst_speed_stateful
+got = {{r.seq for r in spark.read.parquet({str(tmp_path)!r} + "/enriched").collect()}}
+want = {{r.seq for r in inst_speed_stateful(df).collect()}}
+print("SAME", len(want) > 0 and got == want)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=400)
+    assert "SAME True" in out.stdout, out.stderr[-2000:]

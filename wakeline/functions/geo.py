@@ -40,5 +40,16 @@ def epoch_to_timestamp(ts: Column) -> Column:
 
 
 def to_fixed_1(v: Column) -> Column:
-    """One-decimal text of a number, ties rounded up (as a browser's toFixed(1))."""
-    return F.format_string("%.1f", F.round(v.cast("double"), 1))
+    """One-decimal text of a number, as a browser's toFixed(1): the exact binary value is rounded, ties away from 0.
+
+    ``round`` works on the shortest decimal text instead (1.45 is really 1.4499...). The fraction of a double is a
+    whole number of 2**-57ths wherever it can matter, so whole-number arithmetic is exact.
+    """
+    a = F.abs(v.cast("double"))
+    whole = F.floor(a).cast("long")
+    units = ((a - F.floor(a)) * F.lit(float(1 << 57))).cast("long")
+    tenths = F.call_function("div", units * F.lit(20) + F.lit(1 << 57), F.lit(1 << 58))
+    text = F.concat((whole + F.call_function("div", tenths, F.lit(10))).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+    # From 2**53 on there is no fraction.
+    return F.when(a < F.lit(9007199254740992.0), F.concat(F.when(v < 0, "-").otherwise(""), text)).otherwise(
+        F.format_string("%.1f", v.cast("double")))

@@ -23,7 +23,6 @@ BACKPRESSURE_LIMIT_MS = 500.0
 LATE_RATIO_LIMIT = 0.25
 OUT_IN_FLOOR = 0.5
 LATE_ALERT_DEVICES_AS_CODED = (4,)
-LATE_ALERT_DEVICES_INTENDED = (1, 2, 3, 4, 5, 6)
 
 _OPS = {
     "gt": lambda v, t: v > F.lit(t),

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed patterns: line layout, and the two relabel rules (anchored, as relabel rules are).
 LINE_PATTERN = r"^(\S+ \S+) \[(\w+)\] (\S+) - (.*)$"
-PATH_SERVICE_PATTERN = r"^/logs/([^/]+)/.*$"
+LOG_ROOT = "/logs"
+# A file source reports URIs (file:///logs/..., hdfs://host/logs/...).
+URI_PREFIX = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)"
 CONTAINER_SERVICE_PATTERN = r"^/(.*)$"
 PARSED_COLUMNS = ["ts_text", "level", "logger", "message", "service_name"]
 
 
-def service_from_path(path_col: str = "file_path"):
-    return F.regexp_extract(F.col(path_col), PATH_SERVICE_PATTERN, 1)
+def service_from_path(path_col: str = "file_path", root: str = LOG_ROOT):
+    """The folder right below ``root``, of a path or file URI; '' for files elsewhere."""
+    path = F.regexp_replace(F.col(path_col), URI_PREFIX, "")
+    return F.regexp_extract(path, "^" + re.escape(root.rstrip("/")) + r"/([^/]+)/.*$", 1)
 
 
 def service_from_container(name_col: str = "container"):
@@ -26,12 +32,16 @@ def parse_lines(df: DataFrame, value: str = "value") -> DataFrame:
                             for i, n in enumerate(["ts_text", "level", "logger", "message"], start=1)])
 
 
-def labelled_logs(file_logs: DataFrame | None = None, container_logs: DataFrame | None = None) -> DataFrame:
-    """Union of both sources with ``source``, ``service_name``, ``platform`` labels, lines parsed."""
+def labelled_logs(file_logs: DataFrame | None = None, container_logs: DataFrame | None = None,
+                  root: str = LOG_ROOT) -> DataFrame:
+    """Union of both sources with ``source``, ``service_name``, ``platform`` labels, lines parsed.
+
+    ``root`` is the folder that holds one folder per service.
+    """
     parts = []
     if file_logs is not None:
         parts.append(file_logs.select(F.col("file_path").alias("source"),
-                                      service_from_path().alias("service_name"),
+                                      service_from_path(root=root).alias("service_name"),
                                       F.lit(None).cast("string").alias("platform"), "value"))
     if container_logs is not None:
         parts.append(container_logs.select(F.col("container").alias("source"),

@@ -17,10 +17,10 @@ def to_readings(enriched: DataFrame, seq: str = "seq", first_id: int = 1,
 
     ``reading_id`` is a dense serial in arrival order starting at ``first_id``
     (pass the table's next id when appending). Rows with a NULL in any
-    NOT NULL column are dropped here; ``rejected_readings`` returns them.
+    NOT NULL column take no id; ``rejected_readings`` returns them with the reason.
     """
-    d = global_row_number(enriched, seq, "_rn", bucket_rows=bucket_rows)
-    out = d.select(
+    d = global_row_number(enriched.filter(_violation().isNull()), seq, "_rn", bucket_rows=bucket_rows)
+    return d.select(
         (F.col("_rn") + F.lit(first_id - 1)).alias("reading_id"),
         F.col("id").cast("int").alias("device_id"),
         F.col("x").cast("double").alias("x"),
@@ -29,14 +29,15 @@ def to_readings(enriched: DataFrame, seq: str = "seq", first_id: int = 1,
         F.col("inst_speed").cast("double").alias("inst_speed"),
         F.col("time_taken").cast("double").alias("time_taken"),
     )
-    ok = F.lit(True)
-    for c in NOT_NULL:
-        ok = ok & F.col(c).isNotNull()
-    return out.filter(ok)
+
+
+def _violation():
+    """The NOT NULL columns that are NULL, comma-joined; NULL for a valid row."""
+    names = [F.when(F.col("id" if c == "device_id" else c).isNull(), c) for c in NOT_NULL]
+    text = F.concat_ws(",", *names)
+    return F.when(text != "", text)
 
 
 def rejected_readings(enriched: DataFrame) -> DataFrame:
-    bad = F.lit(False)
-    for c in ["id", "x", "y", "timestamp", "inst_speed", "time_taken"]:
-        bad = bad | F.col(c).isNull()
-    return enriched.filter(bad)
+    """Rows that the ``readings`` table refuses, with ``reason``: the NOT NULL columns that are NULL."""
+    return enriched.withColumn("reason", _violation()).filter(F.col("reason").isNotNull())

@@ -8,7 +8,7 @@ Two rules are offered, both taking on-time events ``seq, id, x, y, timestamp``:
 * ``inst_speed_stateful`` (W2, the rule the reference's code really runs): a
   per-device list state rewritten newest-first on every event, so its order
   zig-zags and the early ``break`` cuts a different part of it. The fold is
-  sequential per device; it runs as an Arrow-batched ``mapInPandas`` over
+  sequential per device; it runs as an Arrow-batched ``mapInArrow`` over
   partitions sorted by device and arrival, with independent segments split
   wherever a device is silent for longer than the horizon (state resets there).
 
@@ -17,13 +17,14 @@ Both produce ``seq, id, x, y, timestamp, baseline_seq, dt, inst_speed``.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wakeline.functions.geo import HORIZON_S, METRES_PER_DEGREE, MIN_GAP_S, latency_seconds, planar_speed
 from wakeline.operators.prefix import DEFAULT_BUCKET_ROWS, running_max_before
@@ -127,46 +128,65 @@ def with_time_taken(enriched: DataFrame, now=None) -> DataFrame:
 # The coded rule as a sequential fold
 
 
-def coded_fold(rows: Iterable[tuple], horizon: float = HORIZON_S, min_gap: float = MIN_GAP_S,
-               metres_per_degree: float = METRES_PER_DEGREE,
-               state: list | None = None) -> Iterator[tuple]:
-    """Fold one device's events ``(seq, x, y, ts)`` in arrival order.
+def newest_suffix(ages: np.ndarray, horizon: float) -> int:
+    """Where the longest run of entries at the end of the list begins that are all within ``horizon``."""
+    stale = np.flatnonzero(~(ages <= horizon))
+    return int(stale[-1]) + 1 if len(stale) else 0
 
-    Yields ``(seq, baseline_seq, dt, speed)``. The list state is kept exactly as
-    the reference rewrites it: the kept entries newest-first, then the current
-    event, so later scans walk a zig-zag order. ``state`` may carry a list in
-    from an earlier call and is updated in place.
+
+def fold_positions(times: np.ndarray, first: int, order: np.ndarray, horizon: float) -> tuple[np.ndarray, np.ndarray]:
+    """The coded rule on positions: events ``first`` onwards of ``times``, list state ``order`` (positions).
+
+    One event at time t cuts the list to its newest suffix, takes the suffix's first entry as the event's baseline
+    (-1 if the suffix is empty), and turns the list into the suffix reversed plus the event. Returns the baselines
+    and the final list.
     """
-    st = [] if state is None else state
-    for cur in rows:
-        t = cur[3]
-        q = []
-        for e in reversed(st):
-            if t - e[3] <= horizon:
-                q.append(e)
-            else:
-                break
-        if not q:
-            # Everything stored is older than the horizon: the next scan stops
-            # at the first old entry, so keeping only the current event is equal.
-            st[:] = [cur]
-            continue
-        b = q[-1]
-        dt = t - b[3]
-        q.append(cur)
-        st[:] = q
-        if dt >= min_gap:
-            dx = cur[1] - b[1]
-            dy = cur[2] - b[2]
-            yield cur[0], b[0], dt, math.sqrt(dx * dx + dy * dy) * metres_per_degree / dt
-
-
-def _state_text(state: list) -> str:
-    """An event is identified by its seq within a device, so the seq list is the state."""
-    return ",".join(str(int(e[0])) for e in state)
-
-
-def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, carry=()):
+    base = np.full(len(times) - first, -1, dtype=np.int64)
+    for i in range(first, len(times)):
+        kept = order[newest_suffix(times[i] - times[order], horizon):]
+        if len(kept):
+            base[i - first] = kept[0]
+        order = np.append(kept[::-1], i)
+    return base, order
+
+
+class EventList:
+    """A device's list state: parallel arrays seq (int64), x, y, t (float64), in stored order."""
+
+    __slots__ = ("seq", "x", "y", "t")
+
+    def __init__(self, seq=(), x=(), y=(), t=()):
+        self.seq = np.asarray(seq, dtype=np.int64)
+        self.x, self.y, self.t = (np.asarray(v, dtype=np.float64) for v in (x, y, t))
+
+    def plus(self, other: EventList) -> EventList:
+        return EventList(*(np.concatenate([getattr(self, f), getattr(other, f)]) for f in self.__slots__))
+
+    def take(self, at: np.ndarray) -> EventList:
+        return EventList(self.seq[at], self.x[at], self.y[at], self.t[at])
+
+    def text(self) -> str:
+        """An event is identified by its seq within a device, so the seq list is the state."""
+        return ",".join(map(str, self.seq.tolist()))
+
+
+def fold_events(state: EventList, events: EventList, horizon: float = HORIZON_S, min_gap: float = MIN_GAP_S,
+                metres_per_degree: float = METRES_PER_DEGREE):
+    """Fold a device's next events into its list state.
+
+    Returns (which events emit, their baseline seq, dt, speed, new state).
+    """
+    every = state.plus(events)
+    n = len(state.seq)
+    base, order = fold_positions(every.t, n, np.arange(n), horizon)
+    dt = events.t - every.t[base]
+    emits = np.flatnonzero((base >= 0) & (dt >= min_gap))
+    b, dt = base[emits], dt[emits]
+    dx, dy = events.x[emits] - every.x[b], events.y[emits] - every.y[b]
+    return emits, every.seq[b], dt, np.sqrt(dx * dx + dy * dy) * metres_per_degree / dt, every.take(order)
+
+
+def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, schema: pa.Schema, carry=()):
     """Fold partitions sorted by (id, _seg, _chunk, _seedpos, seq).
 
     Rows with ``_seedpos`` set are a given start state (in that order);
@@ -174,74 +194,61 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, c
     rows one info row (``_kind = 1``) reports the state before its first own
     row (``_start``) and after its last (``_end``), emitted once the group is
     complete (groups may span Arrow batches); speed rows have ``_kind = 0``.
+    Speed and info rows go out in batches of their own, so no column changes its type.
     """
-    def info_frame(done: list) -> pd.DataFrame:
-        return pd.DataFrame({
-            "id": [r[0] for r in done], "_seg": [r[1] for r in done], "_chunk": [r[2] for r in done],
-            "_kind": pd.array([1] * len(done), dtype="int32"),
-            "_start": [r[3] for r in done], "_end": [r[4] for r in done]})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key = None
-        state: list = []
-        group: list | None = None  # [id, seg, chunk, start text, end text] of the open group
-        for pdf in batches:
-            ids = pdf["id"].to_numpy()
-            segs = pdf["_seg"].to_numpy()
-            chunks = pdf["_chunk"].to_numpy()
-            warm = pdf["_warm"].to_numpy()
-            seeded = pdf["_seedpos"].notna().to_numpy()
-            seqs = pdf["seq"].to_numpy()
-            xs = pdf["x"].to_numpy(dtype="float64")
-            ys = pdf["y"].to_numpy(dtype="float64")
-            ts = pdf["timestamp"].to_numpy(dtype="float64")
-            out_idx, out_base, out_dt, out_v = [], [], [], []
-            done = []
-            for i in range(len(pdf)):
-                k = (ids[i], segs[i], chunks[i])
-                if k != key:
-                    if group is not None:
-                        group[4] = _state_text(state)
-                        done.append(group)
-                    key, state, group = k, [], None
-                if seeded[i]:
-                    # A given start state, in stored order: placed, not folded.
-                    state.append((int(seqs[i]), xs[i], ys[i], ts[i]))
+    def typed(n: int, **cols) -> pa.RecordBatch:
+        arrays = [cols[f.name].cast(f.type) if f.name in cols else pa.nulls(n, f.type) for f in schema]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    def info(done: list) -> pa.RecordBatch:
+        ids, segs, chunks, starts, ends = zip(*done)
+        return typed(len(done), id=pa.array(ids, pa.int32()), _seg=pa.array(segs, pa.int64()), _chunk=pa.array(chunks, pa.int64()),
+                     _kind=pa.array([1] * len(done), pa.int32()), _start=pa.array(starts, pa.string()), _end=pa.array(ends, pa.string()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, start = None, EventList(), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            # Rows of one group and role (given state, warm-up, own) are folded together.
+            role = np.where(col["_seedpos"].is_valid().to_numpy(False), 0, np.where(col["_warm"].to_numpy(False), 1, 2))
+            parts = [col["id"].is_valid().to_numpy(False), col["id"].fill_null(0).to_numpy(),
+                     col["_seg"].to_numpy(), col["_chunk"].to_numpy(), role]
+            change = np.zeros(batch.num_rows, dtype=bool)
+            for p in parts:
+                change[1:] |= p[1:] != p[:-1]
+            bounds = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+            events = EventList(col["seq"].to_numpy(), *(col[c].to_numpy(False) for c in ("x", "y", "timestamp")))
+            done, rows, bases, gaps, speeds = [], [], [], [], []
+            for lo, hi in zip(bounds, bounds[1:]):
+                at = (col["id"][lo].as_py(), int(parts[2][lo]), int(parts[3][lo]))
+                if at != key:
+                    if start is not None:
+                        done.append((*key, start, state.text()))
+                    key, state, start = at, EventList(), None
+                part = events.take(np.arange(lo, hi))
+                if role[lo] == 0:
+                    state = state.plus(part)
                     continue
-                if not warm[i] and group is None:
-                    group = [ids[i], segs[i], chunks[i], _state_text(state), None]
-                for _, b, dt, v in coded_fold([(int(seqs[i]), xs[i], ys[i], ts[i])],
-                                              horizon, min_gap, metres_per_degree, state):
-                    if not warm[i]:
-                        out_idx.append(i)
-                        out_base.append(b)
-                        out_dt.append(dt)
-                        out_v.append(v)
-            sel = pdf.iloc[out_idx]
-            cols = {
-                "seq": sel["seq"].to_numpy(), "id": sel["id"].to_numpy(),
-                "x": sel["x"].to_numpy(), "y": sel["y"].to_numpy(),
-                "timestamp": sel["timestamp"].to_numpy(),
-                "baseline_seq": pd.array(out_base, dtype="int64"),
-                "dt": pd.array(out_dt, dtype="float64"),
-                "inst_speed": pd.array(out_v, dtype="float64"),
-                "_seg": sel["_seg"].to_numpy(), "_chunk": sel["_chunk"].to_numpy(),
-                "_kind": pd.array([0] * len(sel), dtype="int32"),
-                "_start": pd.array([None] * len(sel), dtype="object"),
-                "_end": pd.array([None] * len(sel), dtype="object"),
-            }
-            for c in carry:
-                cols[c] = sel[c].to_numpy()
-            out = pd.DataFrame(cols)
+                if role[lo] == 2 and start is None:
+                    start = state.text()
+                emits, base, dt, v, state = fold_events(state, part, horizon, min_gap, metres_per_degree)
+                if role[lo] == 2:
+                    rows.append(emits + lo)
+                    bases.append(base)
+                    gaps.append(dt)
+                    speeds.append(v)
+            if rows and sum(map(len, rows)):
+                sel = pa.array(np.concatenate(rows))
+                n = len(sel)
+                passed = {c: col[c].take(sel) for c in ("seq", "id", "x", "y", "timestamp", "_seg", "_chunk", *carry)}
+                yield typed(n, baseline_seq=pa.array(np.concatenate(bases)), dt=pa.array(np.concatenate(gaps)),
+                            inst_speed=pa.array(np.concatenate(speeds)), _kind=pa.array([0] * n, pa.int32()), **passed)
             if done:
-                out = pd.concat([out, info_frame(done)], ignore_index=True)
-            yield out
-        if group is not None:
-            group[4] = _state_text(state)
-            last = info_frame([group])
-            for c in ("seq", "x", "y", "timestamp", "baseline_seq", "dt", "inst_speed", *carry):
-                last[c] = None
-            yield last
+                yield info(done)
+        if start is not None:
+            yield info([(*key, start, state.text())])
     return run
 
 
@@ -280,7 +287,7 @@ def _fold(rows: DataFrame, horizon, min_gap, metres_per_degree, carry, schema, n
         rows = rows.withColumn("_seedpos", F.lit(None).cast("int"))
     ordered = (rows.repartition(*parts, "id", "_seg", "_chunk")
                .sortWithinPartitions("id", "_seg", "_chunk", F.col("_seedpos").asc_nulls_last(), "seq"))
-    return ordered.mapInPandas(_fold_partitions(horizon, min_gap, metres_per_degree, carry), schema)
+    return ordered.mapInArrow(_fold_partitions(horizon, min_gap, metres_per_degree, to_arrow_schema(schema), carry), schema)
 
 
 def inst_speed_stateful(on_time: DataFrame, horizon: float = HORIZON_S, min_gap: float = MIN_GAP_S,

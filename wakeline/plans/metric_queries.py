@@ -248,12 +248,15 @@ def q_alert_backpressure(spark, sf_dir):
     return AL.alert_states(bp, grid, ["series"], "gt", AL.BACKPRESSURE_LIMIT_MS)
 
 
-def _late_alert(spark, sf_dir, devices) -> DataFrame:
+def _late_alert(spark, sf_dir, devices=None) -> DataFrame:
+    """The late-ratio alert of the given devices, or of every device that has a ratio."""
     inp = Inputs(spark, sf_dir)
     lr = late_ratio(inp.pipeline())
-    lr = lr.filter(F.col("id").isin([str(d) for d in devices])).select(
-        "k", F.concat(F.lit("device_"), F.col("id")).alias("series"), "value")
-    names = spark.createDataFrame([(f"device_{d}",) for d in devices], "series string")
+    if devices is not None:
+        lr = lr.filter(F.col("id").isin([str(d) for d in devices]))
+    lr = lr.select("k", F.concat(F.lit("device_"), F.col("id")).alias("series"), "value")
+    names = (lr.select("series").distinct() if devices is None
+             else spark.createDataFrame([(f"device_{d}",) for d in devices], "series string"))
     grid = AL.eval_grid(inp.kmax(), series=["series"], series_df=names)
     return AL.alert_states(lr, grid, ["series"], "gt", AL.LATE_RATIO_LIMIT)
 
@@ -263,7 +266,7 @@ def q_alert_late_events(spark, sf_dir):
 
 
 def q_alert_late_events_all(spark, sf_dir):
-    return _late_alert(spark, sf_dir, AL.LATE_ALERT_DEVICES_INTENDED)
+    return _late_alert(spark, sf_dir)
 
 
 def q_alert_low_output(spark, sf_dir):

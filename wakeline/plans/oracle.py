@@ -114,9 +114,12 @@ SELECT row_number() OVER (ORDER BY seq) AS reading_id, id AS device_id, CAST(x A
        CAST(round_even(timestamp * 1000000e0, 0) AS BIGINT) AS ts_us,
        CAST(inst_speed AS DOUBLE) AS inst_speed, CAST(time_taken AS DOUBLE) AS time_taken
 FROM enriched""",
+    "rejected_readings": with_ctes(*W2E) + """
+SELECT o.seq, o.id, 'inst_speed,time_taken' AS reason FROM on_time o ANTI JOIN enriched e ON e.seq = o.seq""",
     "latest_per_device": with_ctes(*W2E, LATEST) + "SELECT * FROM latest",
     "speed_board": with_ctes(*W2E, LATEST) + """
-SELECT s.id, coalesce(printf('%.1f', round(l.inst_speed, 1)), '0.0') AS speed_text,
+SELECT s.id, coalesce(CAST(floor(l.inst_speed) AS BIGINT) + (CAST((l.inst_speed - floor(l.inst_speed)) * 144115188075855872e0 AS BIGINT) * 20 + 144115188075855872) // 288230376151711744 // 10 || '.'
+         || (CAST((l.inst_speed - floor(l.inst_speed)) * 144115188075855872e0 AS BIGINT) * 20 + 144115188075855872) // 288230376151711744 % 10, '0.0') AS speed_text,
        coalesce(l.lat, 52.448922e0 - CAST(s.id - 1 AS DOUBLE) / 1000e0) AS lat, coalesce(l.lon, 21.031619e0) AS lon
 FROM (SELECT unnest([1, 2, 3, 4, 5, 6]) AS id) s LEFT JOIN latest l ON l.id = s.id""",
     **ORACLE_METRICS,

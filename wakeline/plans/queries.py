@@ -144,6 +144,13 @@ def q_readings_batches(spark, sf_dir):
     return batches.batch_summary(batches.assign_batches(e, batches.READINGS_BATCH))
 
 
+def q_rejected_readings(spark, sf_dir):
+    """On-time events that have no speed cannot be readings: their NOT NULL columns are empty."""
+    e = _enriched(spark, sf_dir).select("seq", "inst_speed", "time_taken")
+    rows = _on_time(spark, sf_dir).select("seq", "id", "x", "y", "timestamp").join(e, "seq", "left")
+    return readings.rejected_readings(rows).select("seq", "id", "reason")
+
+
 def q_readings_append(spark, sf_dir):
     r = readings.to_readings(materialize(_enriched(spark, sf_dir)))
     return r.select("reading_id", "device_id", "x", "y", F.unix_micros("timestamp").alias("ts_us"),
@@ -199,6 +206,7 @@ QUERIES: dict[str, Query] = {
     "archive_replay": q_archive_replay,
     "readings_batches": q_readings_batches,
     "readings_append": q_readings_append,
+    "rejected_readings": q_rejected_readings,
     "latest_per_device": q_latest_per_device,
     "speed_board": q_speed_board,
     **METRIC_QUERIES,

@@ -32,7 +32,7 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256
     sort/aggregate buffer fits executor memory and spills rarely; AQE then
     coalesces small partitions and splits skewed join partitions at run time.
     """
-    shuffle = max(2 * total_cores, min(200_000, -(-int(input_bytes) // int(partition_bytes))))
+    shuffle = max(2 * total_cores, -(-int(input_bytes) // int(partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),

@@ -22,6 +22,12 @@ def read_log_files_stream(spark: SparkSession, directory: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file_path"), "value")
 
 
+def read_container_logs(spark: SparkSession, glob: str) -> DataFrame:
+    """``container, value`` from JSON lines with the fields ``container`` (its name) and ``line``."""
+    return spark.read.schema("container string, line string").json(glob).select(
+        "container", F.col("line").alias("value"))
+
+
 def _service():
     svc = F.array(*[F.lit(s) for s in SERVICES])
     return F.element_at(svc, (F.col("user_id") % len(SERVICES) + 1).cast("int"))

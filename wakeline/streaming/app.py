@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import os
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import wakeline
 from wakeline.operators.speed import with_time_taken
 from wakeline.schemas import ENRICHED
 from wakeline.streaming import pipeline as P
@@ -47,12 +49,15 @@ def start_ingest(raw: DataFrame, root: str, available_now: bool = False, interva
 
 
 def start_speed(spark: SparkSession, root: str, available_now: bool = False, interval: str | None = None,
-                ttl_ms: int | None = None, max_files: int | None = None):
-    """Enriched stream from the on-time table; ``time_taken`` from the batch clock."""
-    reader = spark.readStream.schema(P.ON_TIME_SCHEMA)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    on_time = reader.parquet(os.path.join(root, "on_time"))
+                ttl_ms: int | None = None):
+    """Enriched stream from the on-time table; ``time_taken`` from the batch clock.
+
+    Every micro-batch takes all files there are: an ingest batch's folder appears as a whole, and a limit on
+    files would cut it in parts that may be read out of order.
+    """
+    # The processor runs in a worker that does not see files added to the session, so it travels by value.
+    cloudpickle.register_pickle_by_value(wakeline)
+    on_time = spark.readStream.schema(P.ON_TIME_SCHEMA).parquet(os.path.join(root, "on_time"))
     enriched = with_time_taken(P.speed_stream(on_time, ttl_ms=ttl_ms))
     enriched = enriched.select(*[F.col(f.name) for f in ENRICHED.fields], "seq")
     w = (enriched.writeStream.format("parquet").option("checkpointLocation", _ckpt(root, "speed"))
@@ -71,13 +76,12 @@ def start_sinks(spark: SparkSession, root: str, available_now: bool = False, int
     return q1, q2
 
 
-def run_available(spark: SparkSession, raw: DataFrame, root: str, max_files: int | None = None,
-                  timeout_s: int = 3600) -> None:
+def run_available(spark: SparkSession, raw: DataFrame, root: str, timeout_s: int = 3600) -> None:
     """Process everything available now, stage by stage (backfill / tests), then flush the archive."""
     q1, q2, writer = start_ingest(raw, root, available_now=True)
     for q in (q1, q2):
         q.awaitTermination(timeout_s)
     writer.flush(spark)
-    start_speed(spark, root, available_now=True, max_files=max_files).awaitTermination(timeout_s)
+    start_speed(spark, root, available_now=True).awaitTermination(timeout_s)
     for q in start_sinks(spark, root, available_now=True):
         q.awaitTermination(timeout_s)

@@ -25,7 +25,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from wakeline.functions.geo import HORIZON_S, METRES_PER_DEGREE, MIN_GAP_S
 from wakeline.operators import batches, lateness, latest, parse
-from wakeline.operators.speed import coded_fold
+from wakeline.operators.speed import EventList, fold_events
 from wakeline.streaming import state
 
 ON_TIME_SCHEMA = T.StructType([
@@ -53,6 +53,9 @@ class LatenessIngest:
     """``foreachBatch`` function: parse + W0 with a carry that survives restarts."""
 
     def __init__(self, root: str, start: float = 0.0, scope: str = "stream"):
+        if scope != "stream":
+            # One carried maximum cannot stand for every device.
+            raise ValueError("streaming lateness has stream scope only; use lateness.classify_lateness for device scope")
         self.root, self.start, self.scope = root, float(start), scope
 
     def carry_in(self, spark: SparkSession, batch_id: int) -> float:
@@ -98,20 +101,16 @@ class CodedSpeedProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        st = [tuple(e) for e in self.events.get()] if self.events.exists() else []
-        evs = list(zip(pdf["seq"].astype("int64").tolist(), pdf["x"].astype("float64").tolist(),
-                       pdf["y"].astype("float64").tolist(), pdf["timestamp"].astype("float64").tolist()))
-        emitted = {s: (b, dt, v) for s, b, dt, v in coded_fold(evs, self.horizon, self.min_gap, self.mpd, st)}
-        if st:
-            self.events.put([(int(a), float(b), float(c), float(d)) for a, b, c, d in st])
-        sel = pdf[pdf["seq"].isin(list(emitted))]
+        stored = list(zip(*self.events.get())) if self.events.exists() else []
+        events = EventList(pdf["seq"], pdf["x"], pdf["y"], pdf["timestamp"])
+        emits, base, dt, speed, after = fold_events(EventList(*stored), events, self.horizon, self.min_gap, self.mpd)
+        self.events.put(list(zip(after.seq.tolist(), after.x.tolist(), after.y.tolist(), after.t.tolist())))
+        sel = pdf.iloc[emits]
         yield pd.DataFrame({
             "seq": sel["seq"].astype("int64"), "id": sel["id"].astype("int32"),
             "x": sel["x"].astype("float32"), "y": sel["y"].astype("float32"),
             "timestamp": sel["timestamp"].astype("float64"),
-            "baseline_seq": [emitted[s][0] for s in sel["seq"]],
-            "dt": [emitted[s][1] for s in sel["seq"]],
-            "inst_speed": pd.array([emitted[s][2] for s in sel["seq"]], dtype="float32"),
+            "baseline_seq": base, "dt": dt, "inst_speed": speed.astype("float32"),
         })
 
     def close(self) -> None:
@@ -217,7 +216,7 @@ class ReadingsWriter:
         self.root, self.table = root, table
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from wakeline.operators.readings import to_readings
+        from wakeline.operators.readings import rejected_readings, to_readings
 
         spark = batch.sparkSession
         prev = state.carry_before(spark, self.root, f"{self.table}_next", batch_id)
@@ -225,6 +224,7 @@ class ReadingsWriter:
         rows = to_readings(batch, first_id=first).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             state.write_batch(rows, self.root, self.table, batch_id)
+            state.write_batch(rejected_readings(batch), self.root, f"{self.table}_rejected", batch_id)
             top = rows.agg(F.max("reading_id")).first()[0]
         finally:
             rows.unpersist()

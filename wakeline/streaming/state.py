@@ -1,10 +1,10 @@
 """Small per-micro-batch state tables kept in a shared folder.
 
 Each micro-batch ``b`` writes its outputs and its carry-out under
-``.../batch_id=b`` with overwrite, and reads its carry-in from the newest
-batch before ``b``. A replayed batch therefore reads the same carry and
-rewrites the same outputs (idempotent), and a restart resumes where the last
-committed batch stopped.
+``.../batch_id=b`` once, and reads its carry-in from the newest batch before
+``b``. A replayed batch therefore reads the same carry and leaves what is
+written as it is, and a restart resumes where the last committed batch
+stopped. The folder belongs to one set of stream checkpoints.
 """
 
 from __future__ import annotations
@@ -23,7 +23,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_batch(df: DataFrame, root: str, table: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Replace the rows of ``table`` for ``batch_id`` (dynamic partition overwrite)."""
+    """Write the rows of ``table`` for ``batch_id``, once.
+
+    A batch's folder appears as a whole when its write commits. A replayed batch has the same rows, so
+    a folder that is there is left alone: streams that read the table as files never see the rows
+    again under new file names.
+    """
+    if _exists(df.sparkSession, os.path.join(root, table, f"batch_id={int(batch_id)}")):
+        return
     (df.withColumn("batch_id", F.lit(int(batch_id)))
      .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").save(os.path.join(root, table)))
