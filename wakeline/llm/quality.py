@@ -90,7 +90,8 @@ def base_failed(prefix: str = ""):
 
 
 def _value(fence: Fence, prefix: str):
-    return F.expr(" / ".join(f"`{prefix}{x.strip()}`" for x in fence.value.split("/")))
+    above, below = (F.col(prefix + x.strip()) for x in fence.value.split("/"))
+    return F.try_divide(above, below)
 
 
 def thresholds(measures: DataFrame, keys: tuple[str, str], prefix: str = "", min_docs: int = 200,
