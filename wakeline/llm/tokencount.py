@@ -139,7 +139,9 @@ def huge_counts(texts: DataFrame, model, chunk_chars: int = CHUNK_CHARS, overlap
     """
     done, todo = None, texts
     while True:
-        counts = materialize(_spliced(_encoded_chunks(todo, model, chunk_chars, overlap_chars)))
+        # Counts and both edges are read from the chunks, so they are written once.
+        chunks = materialize(_encoded_chunks(todo, model, chunk_chars, overlap_chars))
+        counts = materialize(_spliced(chunks))
         good = counts.filter("failed = 0").select("_key", "n_tokens")
         done = good if done is None else done.unionByName(good)
         failed = counts.filter("failed > 0").select("_key")
