@@ -175,7 +175,8 @@ def _in_question(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold. Sets are made again from the texts of the
+    """(a, b, both, linked) of the pairs: size of the intersection of the full sets, and whether it reaches the
+    threshold. Sets are made again from the texts of the
     documents in question only, so they need not be kept for all."""
 
     def sets(batches):
@@ -185,18 +186,20 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent
 
     def run(batches):
         for batch in batches:
-            keep = []
+            sizes, linked = [], []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(bool(len(x)) and 100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                sizes.append(both)
+                linked.append(bool(len(x)) and 100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
+                                              pa.array(linked, pa.bool_())], ["a", "b", "both", "linked"])
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
     texts = _in_question(docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")), wanted)
     made = texts.select("rep", "text").mapInArrow(sets, "rep long, set binary")
     joined = (pairs.join(made.toDF("a", "x"), "a").join(made.toDF("b", "y"), "b").select("a", "b", "x", "y"))
-    return joined.mapInArrow(run, "a long, b long").distinct()
+    return joined.mapInArrow(run, "a long, b long, both long, linked boolean").distinct()
 
 
 def _alone(ids: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -248,7 +251,13 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: in
     middle = (members.select("key", "rep").join(weight, "rep").groupBy("key").agg(F.max_by("rep", "_w").alias("m")))
     star = (members.join(middle, "key").select("rep", F.explode(F.array("c", "m")).alias("c")).filter("rep != c")
             .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct())
-    first = materialize(_verified(materialize(_likely(star, nodes, percent)), docs, doc_id, text, percent))
+    measured = materialize(_verified(materialize(_likely(star, nodes, percent)), docs, doc_id, text, percent))
+    first = measured.filter("linked").select("a", "b")
+    # Every node's hub: of the nodes it was measured against, the one that shares the most buckets.
+    sides = F.array(F.struct(F.col("a").alias("rep"), F.col("b").alias("hub")), F.struct(F.col("b").alias("rep"), F.col("a").alias("hub")))
+    against = measured.select(F.explode(sides).alias("s"), "both").select("s.rep", "s.hub", "both")
+    heavy = against.join(weight.toDF("hub", "_w"), "hub")
+    hubs = heavy.groupBy("rep").agg(F.max_by("hub", "_w").alias("hub"), F.max_by("both", "_w").alias("in_hub"))
 
     # Nodes with the same label are connected already: the smallest linked node, followed once more.
     near = (first.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
@@ -260,18 +269,24 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: in
               .select("key", "rep", "n", F.coalesce("label", "rep").alias("label")))
     mixed = marked.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low != _high")
     open_rows = materialize(marked.join(mixed.select("key"), "key"))
-    alone = _alone(open_rows.select("rep").distinct(), docs, doc_id, text)
-    sized = open_rows.join(alone, "rep", "left").select(
-        "key", "rep", "n", "label", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c"))
+    in_question = open_rows.select("rep").distinct()
+    hubs = materialize(hubs.join(in_question, "rep", "left_semi"))
+    alone = _alone(in_question.unionByName(hubs.select(F.col("hub").alias("rep"))), docs, doc_id, text)
+    shared_with = F.col("n") - F.coalesce("alone", F.lit(0))
+    sized = open_rows.join(alone, "rep", "left").join(hubs, "rep", "left").select(
+        "key", "rep", "n", "label", shared_with.alias("c"), "hub", "in_hub", F.greatest(shared_with - F.col("in_hub"), F.lit(0)).alias("out"))
     sized = materialize(sized)
-    left, right = sized.toDF("key", "a", "na", "la", "ca"), sized.toDF("key", "b", "nb", "lb", "cb")
-    # The intersection is at most the smaller count of shingles that are not a node's own alone.
+    left = sized.toDF("key", "a", "na", "la", "ca", "ha", "ia", "oa")
+    right = sized.toDF("key", "b", "nb", "lb", "cb", "hb", "ib", "ob")
+    # The intersection is at most the smaller count of shingles that are not a node's own alone; with a common hub,
+    # at most the smaller part inside the hub plus the smaller such part outside.
+    most = F.when(F.col("ha") == F.col("hb"), F.least("ia", "ib") + F.least("oa", "ob")).otherwise(F.least("ca", "cb"))
     crossing = (left.join(right, "key").filter("a < b and la != lb")
                 .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-                .filter(F.least("ca", "cb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+                .filter(most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
                 .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
     second = materialize(_verified(materialize(_likely(crossing, nodes, percent)), docs, doc_id, text, percent))
-    return first.unionByName(second)
+    return first.unionByName(second.filter("linked").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
