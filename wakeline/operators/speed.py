@@ -78,21 +78,18 @@ def with_baseline(on_time: DataFrame, horizon: float = HORIZON_S, span: float =
     probe is the earliest event at or after the probe's time.
     """
     d = _with_span_context(on_time, horizon, span)
+    # Events (kind 0) and probes (kind 1) come from one pass over the input.
+    kinds = F.when(F.col("_home"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    both = d.withColumn("_kind", F.explode(kinds)).withColumn(
+        "_t", F.col("timestamp") - F.when(F.col("_kind") == 1, F.lit(float(horizon))).otherwise(F.lit(0.0)))
     ev = F.struct(F.col("timestamp").alias("t"), F.col("seq").alias("seq"),
                   F.col("x").alias("x"), F.col("y").alias("y"))
-    events = d.select(key, "_span", F.col("timestamp").alias("_t"), F.lit(0).alias("_kind"),
-                      F.col("seq").alias("_o"), ev.alias("_ev"))
-    own = [c for c in on_time.columns if c != key]
-    probes = d.filter("_home").select(
-        key, "_span", (F.col("timestamp") - F.lit(float(horizon))).alias("_t"), F.lit(1).alias("_kind"),
-        F.col("seq").alias("_o"), *own)
     # Descending time; at equal time events before probes (the bound is inclusive),
     # and among equal times the smallest seq last (it wins, as in min(struct)).
     w = (Window.partitionBy(key, "_span")
-         .orderBy(F.col("_t").desc(), F.col("_kind").asc(), F.col("_o").desc())
+         .orderBy(F.col("_t").desc(), F.col("_kind").asc(), F.col("seq").desc())
          .rowsBetween(Window.unboundedPreceding, 0))
-    found = (events.unionByName(probes, allowMissingColumns=True)
-             .withColumn("_base", F.last("_ev", ignorenulls=True).over(w)))
+    found = both.withColumn("_base", F.last(F.when(F.col("_kind") == 0, ev), ignorenulls=True).over(w))
     return found.filter(F.col("_kind") == 1).select(*on_time.columns, "_base")
 
 
@@ -309,9 +306,6 @@ def inst_speed_stateful(on_time: DataFrame, horizon: float = HORIZON_S, min_gap:
     folded again sequentially. ``carry`` names extra input columns passed
     through to the emitted rows.
     """
-    from wakeline.operators.prefix import global_row_number
-    from wakeline.session import materialize
-
     carry = list(carry)
     if not 0 <= warmup_rows <= chunk_rows:
         raise ValueError("need 0 <= warmup_rows <= chunk_rows")
@@ -320,18 +314,8 @@ def inst_speed_stateful(on_time: DataFrame, horizon: float = HORIZON_S, min_gap:
         T.StructField("_seg", T.LongType()), T.StructField("_chunk", T.LongType()),
         T.StructField("_kind", T.IntegerType()), T.StructField("_start", T.StringType()),
         T.StructField("_end", T.StringType())] + [on_time.schema[c] for c in carry])
-    out_cols = [*SPEED_COLUMNS, *carry]
-
-    # One scalar decides the plan: no run is longer than its device's event count.
-    busiest = (on_time.groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
-               .agg(F.max("_n")).first()[0] or 0)
-    if busiest <= chunk_rows:
-        rows = seg.withColumn("_chunk", F.lit(0).cast("long")).withColumn("_warm", F.lit(False))
-        out = _fold(rows, horizon, min_gap, metres_per_degree, carry, schema, num_partitions)
-        out = out.filter(F.col("_kind") == 0).select(*out_cols)
-    else:
-        out = _chunked_fold(seg, horizon, min_gap, metres_per_degree, carry, schema, num_partitions,
-                            chunk_rows, warmup_rows)["out"]
+    out = _chunked_fold(seg, horizon, min_gap, metres_per_degree, carry, schema, num_partitions,
+                        chunk_rows, warmup_rows)["out"]
     return out.withColumn("inst_speed", F.col("inst_speed").cast("float").cast("double"))
 
 
@@ -344,15 +328,22 @@ def _chunked_fold(seg: DataFrame, horizon, min_gap, metres_per_degree, carry, sc
     out_cols = [*SPEED_COLUMNS, *carry]
     ranked = global_row_number(seg, "seq", "_r", keys=["id", "_seg"])
     pos = F.col("_r") - 1
-    own = ranked.withColumn("_chunk", F.expr(f"(_r - 1) div {int(chunk_rows)}")).withColumn("_warm", F.lit(False))
-    warm = (ranked.filter(pos % F.lit(chunk_rows) >= F.lit(chunk_rows - warmup_rows))
-            .withColumn("_chunk", F.expr(f"(_r - 1) div {int(chunk_rows)} + 1")).withColumn("_warm", F.lit(True)))
-    folded = materialize(_fold(own.unionByName(warm).drop("_r"), horizon, min_gap, metres_per_degree,
+    chunk = F.expr(f"(_r - 1) div {int(chunk_rows)}")
+    own = ranked.withColumn("_chunk", chunk).withColumn("_warm", F.lit(False))
+    # A row near its chunk's end also warms up the next chunk; one pass makes both copies.
+    warms = F.when(pos % F.lit(chunk_rows) >= F.lit(chunk_rows - warmup_rows),
+                   F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    copies = ranked.withColumn("_warm", F.explode(warms)).withColumn("_chunk", chunk + F.col("_warm").cast("long"))
+    folded = materialize(_fold(copies.drop("_r"), horizon, min_gap, metres_per_degree,
                                carry, schema, num_partitions))
     info = folded.filter(F.col("_kind") == 1).select("id", "_seg", "_chunk", "_start", "_end")
     prev = info.select("id", "_seg", (F.col("_chunk") + 1).alias("_chunk"), F.col("_end").alias("_prev_end"))
     checked = info.filter(F.col("_chunk") > 0).join(prev, ["id", "_seg", "_chunk"], "left")
     failed = checked.filter(F.col("_prev_end").isNull() | (F.col("_prev_end") != F.col("_start")))
+    if failed.isEmpty():
+        # Every chunk is exact: there is nothing to fold again.
+        return {"out": folded.filter(F.col("_kind") == 0).select(*out_cols), "failed": failed,
+                "redo_ok": failed.select("id", "_seg", "_chunk"), "bad_runs": failed.select("id", "_seg")}
     # A failed check means only that chunk started from a wrong state (the
     # previous chunk's end is exact by induction). Fold it again from that
     # end state; accept it if it ends where the first pass ended (the state

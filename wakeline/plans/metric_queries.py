@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.operators import alerts as AL
 from wakeline.operators import lateness, speed
 from wakeline.operators import metrics as M
+from wakeline.session import materialize
 from wakeline.sources import fixtures as fx
 from wakeline.sources import samples as S
 
@@ -206,17 +207,17 @@ def q_swap_out(spark, sf_dir):
 
 
 def q_instant_values(spark, sf_dir):
-    """Every job counter as an instant query at the last scrape (5 min lookback)."""
+    """Every job counter as an instant query at the last scrape, where a counter holds all its bumps."""
     inp = Inputs(spark, sf_dir)
-    p = inp.pipeline(with_latency=True).withColumn("value", F.col("units") / F.col("scale"))
-    at = M._with_scalar(p, inp.kmax())
-    return _id_out(M.instant(at, ["metric", "id"], F.col("_kmax"), lookback_steps=20))
+    t = S.pipeline_totals(inp.classified(), inp.enriched())
+    return _id_out(t.select("metric", "id", (F.col("units") / F.col("scale")).alias("value")))
 
 
 def q_stat_panels(spark, sf_dir):
     """Stat panels: last value of each panel's series with its colour band."""
     inp = Inputs(spark, sf_dir)
-    p = inp.pipeline()
+    # Five panels read the counters; a row per series and scrape is small beside the events.
+    p = materialize(inp.pipeline())
     parts = [
         ("events_in", events_in_rate(p).withColumn("series", F.lit(""))),
         ("events_out", events_out_rate(p).withColumn("series", F.lit(""))),
@@ -269,6 +270,11 @@ def q_alert_late_events_all(spark, sf_dir):
     return _late_alert(spark, sf_dir)
 
 
+def q_alert_transitions(spark, sf_dir):
+    """Every change of state of the late-ratio alerts, as a notifier would be sent it."""
+    return AL.transitions(_late_alert(spark, sf_dir), ["series"])
+
+
 def q_alert_low_output(spark, sf_dir):
     inp = Inputs(spark, sf_dir)
     r = out_in_ratio(inp).withColumn("series", F.lit("out_in"))
@@ -296,5 +302,6 @@ METRIC_QUERIES = {
     "alert_backpressure": q_alert_backpressure,
     "alert_late_events": q_alert_late_events,
     "alert_late_events_all": q_alert_late_events_all,
+    "alert_transitions": q_alert_transitions,
     "alert_low_output": q_alert_low_output,
 }

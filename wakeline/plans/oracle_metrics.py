@@ -212,10 +212,9 @@ FROM (
 EVAL_GRID = "SELECT CAST(unnest(generate_series(4, kmax, 4)) AS INTEGER) AS k FROM kmax"
 
 
-def _late_alert_all() -> str:
-    return with_ctes(*PIPE_CTES, LATE_RATIO) + alert_sql(
-        "SELECT k, 'device_' || id AS series, value FROM late_ratio",
-        f"SELECT n.series, g.k FROM (SELECT DISTINCT 'device_' || id AS series FROM late_ratio) n, ({EVAL_GRID}) g", "gt", 0.25)
+LATE_ALL = alert_sql(
+    "SELECT k, 'device_' || id AS series, value FROM late_ratio",
+    f"SELECT n.series, g.k FROM (SELECT DISTINCT 'device_' || id AS series FROM late_ratio) n, ({EVAL_GRID}) g", "gt", 0.25)
 
 
 def _late_alert(devices) -> str:
@@ -283,7 +282,11 @@ FROM pipe, kmax WHERE k <= kmax AND k > kmax - 20 GROUP BY metric, id""",
         "SELECT task AS series, k, value FROM bp",
         f"SELECT t.task AS series, g.k FROM (SELECT DISTINCT task FROM bp) t, ({EVAL_GRID}) g", "gt", 500.0),
     "alert_late_events": _late_alert((4,)),
-    "alert_late_events_all": _late_alert_all(),
+    "alert_late_events_all": with_ctes(*PIPE_CTES, LATE_RATIO) + LATE_ALL,
+    "alert_transitions": with_ctes(*PIPE_CTES, LATE_RATIO) + f"""
+SELECT * FROM (SELECT k, series, value, state, lag(state) OVER (PARTITION BY series ORDER BY k) AS prev_state
+               FROM ({LATE_ALL}))
+WHERE prev_state IS NULL OR prev_state <> state""",
     "alert_low_output": with_ctes(*_stage_ctes()) + alert_sql(
         "SELECT 'out_in' AS series, k, value FROM out_in",
         f"SELECT 'out_in' AS series, k FROM ({EVAL_GRID})", "lt", 0.5),

@@ -49,8 +49,8 @@ def with_k(df: DataFrame) -> DataFrame:
 
 # -- pipeline counters -------------------------------------------------------
 
-def pipeline_counters(classified: DataFrame, enriched: DataFrame | None, kmax: DataFrame) -> DataFrame:
-    """``metric, id, k, units, scale``: cumulative job counters (``id`` is ``''`` for totals).
+def pipeline_bumps(classified: DataFrame, enriched: DataFrame | None) -> DataFrame:
+    """``metric, id, k, inc``: every bump of a job counter (``id`` is ``''`` for totals).
 
     ``classified`` has ``id, arrival, is_late``; ``enriched`` has ``arrival, time_taken``
     (pass None when ``time_counter_ms`` is not needed: the speed stage is then not run).
@@ -64,17 +64,29 @@ def pipeline_counters(classified: DataFrame, enriched: DataFrame | None, kmax: D
                  .alias("metric"), sid.alias("id")),
         F.struct(F.when(late, F.lit("total_late_events")).otherwise(F.lit("total_on_time_events"))
                  .alias("metric"), F.lit("").alias("id")))
-    both = c.select("k", F.explode(pair).alias("_c")).select(
+    bumps = c.select("k", F.explode(pair).alias("_c")).select(
         "_c.metric", "_c.id", "k", F.lit(1).cast("long").alias("inc"))
-    bumps = both
-    if enriched is not None:
-        e = with_k(enriched)
-        bumps = bumps.unionByName(e.select(
-            F.lit("time_counter_ms").alias("metric"), F.lit("").alias("id"), "k",
-            F.round(F.col("time_taken").cast("double") * F.lit(1e6)).cast("long").alias("inc")))
-    s = M.counter_samples(bumps, ["metric", "id"], kmax)
-    scale = F.when(F.col("metric") == "time_counter_ms", F.lit(TIME_UNITS_PER_MS)).otherwise(F.lit(1.0))
-    return s.withColumn("scale", scale)
+    if enriched is None:
+        return bumps
+    e = with_k(enriched)
+    return bumps.unionByName(e.select(
+        F.lit("time_counter_ms").alias("metric"), F.lit("").alias("id"), "k",
+        F.round(F.col("time_taken").cast("double") * F.lit(1e6)).cast("long").alias("inc")))
+
+
+def _with_scale(counters: DataFrame) -> DataFrame:
+    return counters.withColumn("scale", F.when(F.col("metric") == "time_counter_ms", F.lit(TIME_UNITS_PER_MS))
+                               .otherwise(F.lit(1.0)))
+
+
+def pipeline_counters(classified: DataFrame, enriched: DataFrame | None, kmax: DataFrame) -> DataFrame:
+    """``metric, id, k, units, scale``: cumulative job counters at every scrape (see ``pipeline_bumps``)."""
+    return _with_scale(M.counter_samples(pipeline_bumps(classified, enriched), ["metric", "id"], kmax))
+
+
+def pipeline_totals(classified: DataFrame, enriched: DataFrame | None) -> DataFrame:
+    """``metric, id, units, scale``: the job counters at the last scrape, which shows every bump."""
+    return _with_scale(pipeline_bumps(classified, enriched).groupBy("metric", "id").agg(F.sum("inc").alias("units")))
 
 
 # -- node metrics ------------------------------------------------------------

@@ -154,12 +154,14 @@ class ArchiveWriter:
             sizes = b.groupBy("batch_no").count()
             full = sizes.filter(F.col("count") == self.n).select("batch_no")
             last_full = full.agg(F.max("batch_no")).first()[0]
-            done = b.join(F.broadcast(full), "batch_no", "left_semi") if last_full is not None else b.limit(0)
+            # Batches fill in order, so only the last one can be short.
+            complete = F.lit(False) if last_full is None else F.col("batch_no") <= F.lit(last_full)
+            done = b.filter(complete)
             arch = batches.archive_records(done.select("seq", "value"), self.n)
             # archive_records numbers batches from 0 within its input: shift to the global numbering.
             arch = arch.withColumn("batch_no", F.col("batch_no") + F.lit(next_no))
             self._write_archive(arch)
-            rest = b.join(F.broadcast(full), "batch_no", "left_anti").select("seq", "value")
+            rest = b.filter(~complete).select("seq", "value")
             state.write_batch(rest, self.root, f"{self.out}_pending", batch_id)
             new_next = next_no if last_full is None else int(last_full) + 1
             state.write_batch(spark.createDataFrame([(new_next,)], "next_no long"), self.root,
