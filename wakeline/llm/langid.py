@@ -56,7 +56,10 @@ def grams_of(word: str):
 
 
 def sample_rows(docs: DataFrame, text: str, lang: str, limits: FitLimits) -> DataFrame:
-    """(lang, text) of about ``docs_per_lang`` rows a language, chosen by a hash of the text."""
+    """(lang, text) of about ``docs_per_lang`` rows a language, chosen by a hash of the text.
+
+    Each chosen text comes once a language: the copies of a chosen text are chosen with it, and they may be
+    a large part of all rows."""
     share = (docs.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n"))
              .orderBy(F.desc("_n"), "_lang").limit(limits.max_langs)
              .select("_lang", F.least(F.lit(1.0), F.lit(float(limits.docs_per_lang)) / F.col("_n")).alias("_share")))
@@ -64,7 +67,7 @@ def sample_rows(docs: DataFrame, text: str, lang: str, limits: FitLimits) -> Dat
     # One row per language, at most ``max_langs``.
     return (docs.join(F.broadcast(share), docs[lang] == F.col("_lang"))
             .filter((part < F.col("_share")) & F.col(text).isNotNull())
-            .select(F.col("_lang").alias("lang"), F.col(text).alias("text")))
+            .select(F.col("_lang").alias("lang"), F.col(text).alias("text")).distinct())
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", limits: FitLimits = FitLimits()) -> Model:
