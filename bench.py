@@ -25,6 +25,10 @@ HEADLINE = [
     "cpu_usage",
     "alert_late_events_all",
     "error_logs",
+    "device_counters_long",
+    "alert_low_output",
+    "instant_values",
+    "stat_panels",
 ]
 
 

@@ -104,3 +104,23 @@ def test_dense_rate_equals_range_rate(spark, window, extrapolate):
     b = {(r.sid, r.k): r.value for r in M.rate(s, ["sid"], window=window, extrapolate=extrapolate,
                                                dense=True).collect()}
     assert a == b
+
+
+def test_left_open_rate_leaves_out_the_edge(spark):
+    rows = [("a", k, 10 * k * k) for k in range(1, 9)]
+    s = spark.createDataFrame(rows, "series string, k int, units long")
+    for dense in (True, False):
+        got = {r.k: r.value for r in M.rate(s, ["series"], window=60.0, extrapolate=False, dense=dense,
+                                            left_open=True).collect()}
+        # 60 s are four steps: the open window ends three samples back.
+        assert got[8] == pytest.approx((10 * 64 - 10 * 25) / 60)
+        closed = {r.k: r.value for r in M.rate(s, ["series"], window=60.0, extrapolate=False, dense=dense).collect()}
+        assert closed[8] == pytest.approx((10 * 64 - 10 * 16) / 60)
+
+
+def test_failed_evaluations_have_their_own_state(spark):
+    rows = [(4, 1.0, False), (8, 1.0, False), (12, 1.0, True), (16, 1.0, None), (20, None, True)]
+    values = spark.createDataFrame([("s", *r) for r in rows], "series string, k int, value double, failed boolean")
+    grid = values.select("series", "k").unionByName(spark.createDataFrame([("s", 24)], "series string, k int"))
+    got = {r.k: r.state for r in AL.alert_states(values, grid, ["series"], "gt", 0.5, error="failed").collect()}
+    assert got == {4: "pending", 8: "firing", 12: "error", 16: "pending", 20: "error", 24: "nodata"}

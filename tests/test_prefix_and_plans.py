@@ -7,6 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wakeline.operators import lateness, prefix
+from wakeline.operators.batches import assign_batches
+from wakeline.sources.io import arrival_seq
 
 
 def _naive_late(df):
@@ -70,3 +72,31 @@ def test_scan_levels(spark, levels, bucket_rows):
         best[k] = v if k not in best else max(best[k], v)
         count[k] = count.get(k, 0) + 1
     assert got == want
+
+
+def test_colliding_offsets_of_three_partitions(spark):
+    """Offsets start at 0 in every partition; the order is by offset, then by partition, and keys are unique."""
+    rnd = random.Random(5)
+    rows = [(p, o, p, 100.0 + o + rnd.random() * 3) for p, n in ((0, 40), (1, 25), (2, 9)) for o in range(n)]
+    df = spark.createDataFrame(rows, "partition int, offset long, id int, timestamp double")
+    df = df.withColumn("seq", arrival_seq(F.col("partition"), F.col("offset"), 3))
+    top, want = 0.0, {}
+    for p, o, _, t in sorted(rows, key=lambda r: (r[1], r[0])):
+        want[p, o] = t <= top
+        top = max(top, t)
+    for levels in (2, 3):
+        got = lateness.classify_lateness(df, bucket_rows=7, levels=levels).collect()
+        assert {(r.partition, r.offset): r.is_late for r in got} == want
+    sizes = assign_batches(df, 20, bucket_rows=7, levels=3).groupBy("batch_no").count().collect()
+    assert {r["batch_no"]: r["count"] for r in sizes} == {0: 20, 1: 20, 2: 20, 3: 14}
+    with pytest.raises(Exception, match="unknown source partition 2"):
+        df.withColumn("seq", arrival_seq(F.col("partition"), F.col("offset"), 2)).collect()
+
+
+@pytest.mark.parametrize("name, most", [("device_counters_long", 4), ("late_ratio", 3), ("alert_low_output", 4),
+                                        ("inst_speed", 2), ("stat_panels", 6)])
+def test_queries_scan_the_events_few_times(spark, name, most):
+    from wakeline.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("events.parquet") <= most

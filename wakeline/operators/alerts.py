@@ -1,7 +1,7 @@
 """Threshold alerts with a hold time, evaluated on a fixed grid.
 
-States per series and evaluation time: ``nodata`` (no value), ``ok``,
-``pending`` (breaching for less than ``hold``) and ``firing`` (breaching for at
+States per series and evaluation time: ``nodata`` (no value), ``error``
+(evaluation failed), ``ok``, ``pending`` (breaching for less than ``hold``) and ``firing`` (breaching for at
 least ``hold``). Consecutive breaching evaluations form an island; the island
 is found with a running count of non-breaching evaluations (gaps and islands),
 so the state needs no row-by-row loop.
@@ -53,16 +53,20 @@ def eval_grid(kmax: DataFrame, every: float = EVAL_EVERY_S, step: float = STEP_S
 
 def alert_states(values: DataFrame, grid: DataFrame, series: Sequence[str], op: str, limit: float,
                  hold: float = HOLD_S, step: float = STEP_S, k: str = "k",
-                 value: str = "value") -> DataFrame:
+                 value: str = "value", error: str | None = None) -> DataFrame:
     """State per series and evaluation time.
 
     ``values`` has the reduced value per (series, k); ``grid`` the evaluation
-    points. Missing values give ``nodata`` (and end an island).
+    points. Missing values give ``nodata`` (and end an island). ``error`` names
+    a boolean column of ``values`` that tells a failed evaluation: its state is
+    ``error`` whatever its value, and it ends an island too.
     """
     series = list(series)
     keys = [*series, k]
-    j = grid.join(values.select(*keys, value), keys, "left")
-    breach = F.coalesce(threshold(F.col(value), op, limit), F.lit(False))
+    failed = F.lit(False) if error is None else F.coalesce(F.col(error), F.lit(False))
+    j = grid.join(values.select(*keys, value, failed.alias("_failed")), keys, "left")
+    failed = F.coalesce(F.col("_failed"), F.lit(False))
+    breach = ~failed & F.coalesce(threshold(F.col(value), op, limit), F.lit(False))
     w = Window.partitionBy(*series).orderBy(k).rowsBetween(Window.unboundedPreceding, 0)
     j = j.withColumn("_breach", breach).withColumn(
         "_island", F.sum(F.when(F.col("_breach"), 0).otherwise(1)).over(w))
@@ -70,7 +74,8 @@ def alert_states(values: DataFrame, grid: DataFrame, series: Sequence[str], op:
     # The island's first breaching row is the one after its opening non-breach row.
     first_breach = F.min(F.when(F.col("_breach"), F.col(k))).over(wi)
     held = (F.col(k) - first_breach).cast("double") * F.lit(step)
-    state = (F.when(F.col(value).isNull(), F.lit("nodata"))
+    state = (F.when(failed, F.lit("error"))
+             .when(F.col(value).isNull(), F.lit("nodata"))
              .when(~F.col("_breach"), F.lit("ok"))
              .when(held >= F.lit(hold), F.lit("firing"))
              .otherwise(F.lit("pending")))

@@ -23,23 +23,24 @@ def time_counter_ms(enriched: DataFrame) -> DataFrame:
     return enriched.agg(F.sum(F.col("time_taken").cast("double") * F.lit(1000.0)).alias("ms"))
 
 
-def device_counters_long(on_time: DataFrame, late: DataFrame, enriched: DataFrame,
-                         key: str = "id") -> DataFrame:
+def device_counters_long(classified: DataFrame, enriched: DataFrame, key: str = "id") -> DataFrame:
     """Every counter the job exports, as ``metric, value`` rows.
 
     Per-device names are made on first sight of a key: ``on_time_device_<id>``,
-    ``late_device_<id>``; totals ``total_on_time_events``, ``total_late_events``,
-    and ``time_counter_ms``.
+    ``late_device_<id>``; totals ``total_on_time_events``, ``total_late_events``
+    (0 where there is no such event), and ``time_counter_ms``. ``classified`` has
+    ``is_late``; its events are counted once, and the totals come from the devices' counts.
     """
-    per = lambda df, prefix: (df.groupBy(key).agg(F.count(F.lit(1)).alias("value"))
-                              .select(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("metric"),
-                                      F.col("value").cast("double")))
-    tot = lambda df, name: df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit(name).alias("metric"), "value")
+    late = F.col("is_late")
+    device = F.concat(F.when(late, "late_device_").otherwise("on_time_device_"), F.col(key).cast("string"))
+    total = F.when(late, "total_late_events").otherwise("total_on_time_events")
+    counts = (classified.groupBy("is_late", key).agg(F.count(F.lit(1)).alias("n"))
+              .select(F.explode(F.array(device, total)).alias("metric"), "n"))
+    totals = F.array(F.lit("total_on_time_events"), F.lit("total_late_events"))
+    zero = classified.sparkSession.range(1).select(F.explode(totals).alias("metric"), F.lit(0).cast("long").alias("n"))
     ms = time_counter_ms(enriched).select(F.lit("time_counter_ms").alias("metric"),
                                           F.coalesce(F.col("ms"), F.lit(0.0)).alias("value"))
-    return (per(on_time, "on_time_device_").unionByName(per(late, "late_device_"))
-            .unionByName(tot(on_time, "total_on_time_events")).unionByName(tot(late, "total_late_events"))
+    return (counts.unionByName(zero).groupBy("metric").agg(F.sum("n").cast("double").alias("value"))
             .unionByName(ms))
 
 

@@ -65,9 +65,12 @@ def gauge_grid(series_df: DataFrame, kmax: DataFrame, k: str = "k") -> DataFrame
 
 def rate(samples: DataFrame, series: Sequence[str], value: str = "units", scale: float = 1.0,
          window: float = 300.0, step: float = STEP_S, extrapolate: bool = True,
-         is_counter: bool = True, k: str = "k", out: str = "value", dense: bool = False) -> DataFrame:
+         is_counter: bool = True, k: str = "k", out: str = "value", dense: bool = False,
+         left_open: bool = False) -> DataFrame:
     """Per-second rate of a counter over ``[t - window, t]`` at each sample time ``t``.
 
+    ``left_open`` leaves out a sample at ``t - window`` itself, as newer stores do.
+
     Counter resets are handled (a drop counts as a restart from zero); fewer
     than two samples give no row. ``extrapolate=False`` divides the raw
     increase by the window; ``extrapolate=True`` extends it towards the window
@@ -77,7 +80,8 @@ def rate(samples: DataFrame, series: Sequence[str], value: str = "units", scale:
     """
     series = list(series)
     m = int(round(window / step))
-    w = Window.partitionBy(*series).orderBy(k).rangeBetween(-m, 0)
+    reach = m - 1 if left_open else m
+    w = Window.partitionBy(*series).orderBy(k).rangeBetween(-reach, 0)
     wl = Window.partitionBy(*series).orderBy(k)
     v = F.col(value)
     prev = F.lag(value).over(wl)
@@ -85,16 +89,16 @@ def rate(samples: DataFrame, series: Sequence[str], value: str = "units", scale:
                            .when(v < prev, v).otherwise(v - prev))
     if dense:
         # Series with one sample at every index from their first to their last:
-        # the window is the last m+1 rows, so running sums and fixed lags give
+        # the window is the last reach+1 rows, so running sums and fixed lags give
         # the same numbers as the range frame at constant cost per row.
         run = wl.rowsBetween(_UNB, 0)
         d = (d.withColumn("_cum", F.sum(F.coalesce("_delta", F.lit(0))).over(run))
              .withColumn("_rn", F.row_number().over(wl)))
-        n = F.least(F.col("_rn"), F.lit(m + 1))
+        n = F.least(F.col("_rn"), F.lit(reach + 1))
         d = d.select(*series, k, v.alias("_v"), n.alias("_n"),
                      (F.col(k) - (n - 1)).alias("_k0"),
-                     F.coalesce(F.lag(value, m).over(wl), F.first(value).over(run)).alias("_first"),
-                     (F.col("_cum") - F.coalesce(F.lag("_cum", m).over(wl), F.lit(0))).alias("_incu"))
+                     F.coalesce(F.lag(value, reach).over(wl), F.first(value).over(run)).alias("_first"),
+                     (F.col("_cum") - F.coalesce(F.lag("_cum", reach).over(wl), F.lit(0))).alias("_incu"))
     else:
         d = d.select(*series, k, v.alias("_v"),
                      F.count(F.lit(1)).over(w).alias("_n"),
@@ -182,9 +186,22 @@ def label_column(labels: Column, name: str) -> Column:
     return F.coalesce(labels.getItem(name), F.lit(""))
 
 
-def time_range(samples: DataFrame, now: float, seconds: float, ts: str = "ts") -> DataFrame:
+def time_range(samples: DataFrame, now: float | Column, seconds: float, ts: str = "ts") -> DataFrame:
     """Samples in the relative range ``(now - seconds, now]`` (e.g. a dashboard's last 5 min)."""
-    return samples.filter((F.col(ts) > F.lit(float(now) - float(seconds))) & (F.col(ts) <= F.lit(float(now))))
+    now = now if isinstance(now, Column) else F.lit(float(now))
+    return samples.filter((F.col(ts) > now - F.lit(float(seconds))) & (F.col(ts) <= now))
+
+
+def scrape_series(samples: DataFrame, labels: Sequence[str], start: float, step: float = STEP_S) -> DataFrame:
+    """Stored samples in the form of the functions above: a column per label, ``k`` and ``value``."""
+    return samples.select(*[label_column(F.col("labels"), c).alias(c) for c in labels],
+                          F.round((F.col("ts") - F.lit(start)) / F.lit(step)).cast("int").alias("k"), "value")
+
+
+def match_all_labels(a: DataFrame, b: DataFrame, op) -> DataFrame:
+    """One-to-one match of stored samples on time and all labels: ``ts, labels`` (as text), ``value``."""
+    side = lambda df: df.select("ts", label_key(F.col("labels")).alias("labels"), "value")
+    return binary_match(side(a), side(b), ["labels"], op, k="ts")
 
 
 def read_metric_samples(spark, path: str, fmt: str = "parquet") -> DataFrame:

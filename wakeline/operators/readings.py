@@ -6,20 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import epoch_to_timestamp
-from wakeline.operators.prefix import DEFAULT_BUCKET_ROWS, global_row_number
+from wakeline.operators.prefix import DEFAULT_BUCKET_ROWS, DEFAULT_LEVELS, global_row_number
 
 NOT_NULL = ["device_id", "x", "y", "timestamp", "inst_speed", "time_taken"]
 
 
 def to_readings(enriched: DataFrame, seq: str = "seq", first_id: int = 1,
-                bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+                bucket_rows: int = DEFAULT_BUCKET_ROWS, levels: int = DEFAULT_LEVELS) -> DataFrame:
     """Rename and retype: ``id -> device_id``, epoch -> TIMESTAMP, float -> double.
 
     ``reading_id`` is a dense serial in arrival order starting at ``first_id``
     (pass the table's next id when appending). Rows with a NULL in any
     NOT NULL column take no id; ``rejected_readings`` returns them with the reason.
     """
-    d = global_row_number(enriched.filter(_violation().isNull()), seq, "_rn", bucket_rows=bucket_rows)
+    d = global_row_number(enriched.filter(_violation().isNull()), seq, "_rn", bucket_rows=bucket_rows,
+                          levels=levels)
     return d.select(
         (F.col("_rn") + F.lit(first_id - 1)).alias("reading_id"),
         F.col("id").cast("int").alias("device_id"),

@@ -40,6 +40,7 @@ class Inputs:
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
         self._events = None
+        self._kmax = None
 
     @property
     def events(self) -> DataFrame:
@@ -48,7 +49,12 @@ class Inputs:
         return self._events
 
     def kmax(self) -> DataFrame:
-        return M.grid_end(self.events)
+        return M.grid_end(self.events) if self._kmax is None else self._kmax
+
+    def written_kmax(self) -> Inputs:
+        """Compute the grid's end once (one row) where many frames of a query need it."""
+        self._kmax = materialize(self.kmax())
+        return self
 
     def classified(self) -> DataFrame:
         return lateness.classify_lateness(fx.sensor(fx.read_table(self.spark, self.sf_dir, "events")))
@@ -110,10 +116,19 @@ def late_ratio(p: DataFrame) -> DataFrame:
     dev = _device_series(p).withColumn("_kind", F.when(F.col("metric").startswith("late_"), "late")
                                        .otherwise("on_time"))
     r = _rate(dev, ["_kind", "id"], window=RATIO_WINDOW_S)
-    late = M.sum_by(r.filter(F.col("_kind") == "late"), ["id"])
-    on = M.sum_by(r.filter(F.col("_kind") == "on_time").withColumn("value", F.col("value") + F.lit(EPS_LATE)),
-                  ["id"])
-    return M.binary_match(late, on, ["id"], lambda x, y: x / y)
+    return _ratio(r, "_kind", "late", "on_time", EPS_LATE, ["id"])
+
+
+def _ratio(df: DataFrame, kind: str, over: str, under: str, eps: float, by=()) -> DataFrame:
+    """sum by(...)(value of ``over``) / sum by(...)(value of ``under`` + eps), both from one pass over ``df``.
+
+    As in a vector match, a time without one of the two sides gives no row.
+    """
+    top, below = (F.when(F.col(kind) == name, v) for name, v in
+                  ((over, F.col("value")), (under, F.col("value") + F.lit(eps))))
+    d = df.groupBy("k", *by).agg(F.sum(top).alias("_a"), F.sum(below).alias("_b"))
+    return d.filter(F.col("_a").isNotNull() & F.col("_b").isNotNull()).select(
+        "k", *by, (F.col("_a") / F.col("_b")).alias("value"))
 
 
 def avg_processing_time(p: DataFrame) -> DataFrame:
@@ -126,11 +141,8 @@ def avg_processing_time(p: DataFrame) -> DataFrame:
 
 def out_in_ratio(inp: Inputs) -> DataFrame:
     """M7: sum(out/s of the sink stage) / (sum(in/s of the source stage) + eps)."""
-    kmax = inp.kmax()
-    st = S.stage_rates(inp.events, S.with_k(inp.enriched()), kmax)
-    out = M.sum_by(st.filter(F.col("stage") == "sink"))
-    inn = M.sum_by(st.filter(F.col("stage") == "source")).withColumn("value", F.col("value") + F.lit(EPS_OUT_IN))
-    return M.binary_match(out, inn, [], lambda x, y: x / y)
+    st = S.stage_rates(inp.events, S.with_k(inp.enriched()), inp.kmax())
+    return _ratio(st, "stage", "sink", "source", EPS_OUT_IN)
 
 
 def cpu_usage(inp: Inputs) -> DataFrame:
@@ -215,7 +227,7 @@ def q_instant_values(spark, sf_dir):
 
 def q_stat_panels(spark, sf_dir):
     """Stat panels: last value of each panel's series with its colour band."""
-    inp = Inputs(spark, sf_dir)
+    inp = Inputs(spark, sf_dir).written_kmax()
     # Five panels read the counters; a row per series and scrape is small beside the events.
     p = materialize(inp.pipeline())
     parts = [
@@ -236,6 +248,43 @@ def q_stat_panels(spark, sf_dir):
     return out
 
 
+# -- queries on stored samples (ts, metric, labels, value) -------------------
+
+def node_samples(inp: Inputs) -> DataFrame:
+    """The node's memory gauges and received bytes as stored samples, merged from two targets."""
+    kmax = inp.kmax()
+    mem = S.node_memory(inp.events, kmax)
+    net = S.node_network(inp.events, kmax, "receive")
+    return (S.to_metric_samples(mem, "memory_total_bytes", ["instance"], "total")
+            .unionByName(S.to_metric_samples(mem, "memory_available_bytes", ["instance"], "available"))
+            .unionByName(S.to_metric_samples(net, "network_receive_bytes", ["instance", "device"], "units")))
+
+
+def q_memory_usage_stored(spark, sf_dir):
+    """M10 on stored samples: two metrics matched on all their labels."""
+    s = node_samples(Inputs(spark, sf_dir))
+    return M.match_all_labels(M.select_series(s, "memory_available_bytes"), M.select_series(s, "memory_total_bytes"),
+                              lambda a, t: F.lit(100.0) * (F.lit(1.0) - a / t))
+
+
+def q_net_rx_stored(spark, sf_dir):
+    """M11 on stored samples: series selected by label, rate over the range frame."""
+    s = M.select_series(node_samples(Inputs(spark, sf_dir)), "network_receive_bytes", device="eth0")
+    series = ["instance", "device"]
+    r = M.rate(M.scrape_series(s, series, S.START), series, value="value", window=RATE_WINDOW_S)
+    return M.sum_by(r).select("k", F.round("value", 6).alias("value"))
+
+
+def q_recent_counters(spark, sf_dir):
+    """The job counters' stored samples of the last five minutes before the last scrape."""
+    inp = Inputs(spark, sf_dir)
+    p = inp.pipeline()
+    s = S.to_metric_samples(p.withColumn("value", F.col("units") / F.col("scale")), None, ["id"])
+    now = inp.kmax().select((F.lit(S.START) + F.col("_kmax").cast("double") * F.lit(M.STEP_S)).alias("_now"))
+    recent = M.time_range(M._with_scalar(s, now), F.col("_now"), RATE_WINDOW_S)
+    return recent.select("ts", "metric", M.label_column(F.col("labels"), "id").alias("id"), "value")
+
+
 # -- alerts ------------------------------------------------------------------
 
 def _single_grid(inp: Inputs, name: str) -> DataFrame:
@@ -253,6 +302,9 @@ def _late_alert(spark, sf_dir, devices=None) -> DataFrame:
     """The late-ratio alert of the given devices, or of every device that has a ratio."""
     inp = Inputs(spark, sf_dir)
     lr = late_ratio(inp.pipeline())
+    if devices is None:
+        # Read for the values and for the series found: a row per device and scrape.
+        lr = materialize(lr)
     if devices is not None:
         lr = lr.filter(F.col("id").isin([str(d) for d in devices]))
     lr = lr.select("k", F.concat(F.lit("device_"), F.col("id")).alias("series"), "value")
@@ -299,6 +351,9 @@ METRIC_QUERIES = {
     "swap_out": q_swap_out,
     "instant_values": q_instant_values,
     "stat_panels": q_stat_panels,
+    "memory_usage_stored": q_memory_usage_stored,
+    "net_rx_stored": q_net_rx_stored,
+    "recent_counters": q_recent_counters,
     "alert_backpressure": q_alert_backpressure,
     "alert_late_events": q_alert_late_events,
     "alert_late_events_all": q_alert_late_events_all,

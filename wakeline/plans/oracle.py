@@ -77,6 +77,11 @@ FROM parsed WHERE reason IS NULL""",
     "quarantine_events": with_ctes(RAW_EVENTS, PARSED) + "SELECT seq, reason FROM parsed WHERE reason IS NOT NULL",
     "on_time_events": with_ctes(*_BASE) + f"SELECT {_XY} FROM on_time",
     "late_events": with_ctes(*_BASE) + f"SELECT {_XY} FROM late",
+    "multi_partition_lateness": with_ctes(SENSOR, """
+placed AS (SELECT *, id % 3 AS part, row_number() OVER (PARTITION BY id % 3 ORDER BY seq) - 1 AS off FROM sensor)""", """
+ordered AS (SELECT part, off, off * 3 + part AS seq, id, timestamp FROM placed)""", CLASSIFIED.replace("FROM sensor", "FROM ordered"))
+    + """
+SELECT part AS "partition", off AS "offset", seq, id, timestamp, is_late FROM classified""",
     "lateness_by_device_scope": with_ctes(SENSOR, CLASSIFIED_DEVICE) + f"SELECT {_XY}, is_late FROM classified_device",
     "inst_speed": with_ctes(*_BASE, BASELINE, SPEED_W1)
     + "SELECT seq, id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, timestamp, baseline_seq, dt, inst_speed FROM speed_w1",

@@ -278,6 +278,13 @@ FROM pipe, kmax WHERE k <= kmax AND k > kmax - 20 GROUP BY metric, id""",
         _panel("late_ratio", "late_ratio", "id", [(0.25, "red")]),
         _panel("backpressure", "bp", "task", [(500.0, "red")]),
     ]),
+    "memory_usage_stored": with_ctes(EVK, MEM_USAGE) + """
+SELECT 1704067200e0 + CAST(k AS DOUBLE) * 15e0 AS ts, '[{"key":"instance","value":"' || instance || '"}]' AS labels, value
+FROM memory_usage""",
+    "net_rx_stored": with_ctes(EVK, NET_RX) + "SELECT k, value FROM net_rx",
+    "recent_counters": with_ctes(*PIPE_CTES) + """
+SELECT 1704067200e0 + CAST(k AS DOUBLE) * 15e0 AS ts, metric, id, CAST(units AS DOUBLE) AS value
+FROM pipe, kmax WHERE k > kmax - 20 AND metric <> 'time_counter_ms'""",
     "alert_backpressure": with_ctes(EVK, BACKPRESSURE) + alert_sql(
         "SELECT task AS series, k, value FROM bp",
         f"SELECT t.task AS series, g.k FROM (SELECT DISTINCT task FROM bp) t, ({EVAL_GRID}) g", "gt", 500.0),

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from wakeline.functions import jsonfmt
 from wakeline.operators import batches, counters, lateness, latest, parse, readings, speed
 from wakeline.operators import logs as lg
+from wakeline.operators.prefix import global_row_number
 from wakeline.session import materialize
 from wakeline.sources import fixtures as fx
+from wakeline.sources import io
 from wakeline.sources import logs as lsrc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +41,7 @@ def _late(spark, sf_dir) -> DataFrame:
     return _classified(spark, sf_dir).filter(F.col("is_late")).drop("is_late")
 
 
+PARTITIONS = 3
 EVENT_COLS = ["seq", "id", "x", "y", "timestamp"]
 
 
@@ -62,6 +65,14 @@ def q_lateness_by_device_scope(spark, sf_dir):
     return _xy(_classified(spark, sf_dir, scope="device").select(*EVENT_COLS, "is_late"))
 
 
+def q_multi_partition_lateness(spark, sf_dir):
+    """W0 over three source partitions, each with its own offsets from 0 (devices are spread by id)."""
+    s = fx.load_sensor(spark, sf_dir).withColumn("partition", F.col("id") % PARTITIONS)
+    s = global_row_number(s, "seq", "_rn", keys=["partition"]).withColumn("offset", F.col("_rn") - 1)
+    s = s.withColumn("seq", io.arrival_seq(F.col("partition"), F.col("offset"), PARTITIONS))
+    return lateness.classify_lateness(s).select("partition", "offset", "seq", "id", "timestamp", "is_late")
+
+
 def q_inst_speed(spark, sf_dir):
     return _xy(speed.inst_speed(_on_time(spark, sf_dir)))
 
@@ -106,8 +117,7 @@ def q_time_counter_ms(spark, sf_dir):
 
 
 def q_device_counters_long(spark, sf_dir):
-    d = counters.device_counters_long(_on_time(spark, sf_dir), _late(spark, sf_dir),
-                                      _enriched(spark, sf_dir))
+    d = counters.device_counters_long(_classified(spark, sf_dir), _enriched(spark, sf_dir))
     return d.withColumn("value", F.round("value", 2))
 
 
@@ -190,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "on_time_events": q_on_time_events,
     "late_events": q_late_events,
     "lateness_by_device_scope": q_lateness_by_device_scope,
+    "multi_partition_lateness": q_multi_partition_lateness,
     "inst_speed": q_inst_speed,
     "inst_speed_stateful": q_inst_speed_stateful,
     "speed_suppressed": q_speed_suppressed,

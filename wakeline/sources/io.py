@@ -7,7 +7,7 @@ connector, files (``parquet``/``json``/``text``) everywhere else.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,18 +16,32 @@ from wakeline.schemas import RAW_EVENT
 RAW_TABLE = T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
 
 
+def arrival_seq(partition: Column, offset: Column, partitions: int = 1) -> Column:
+    """One order over the records of ``partitions`` source partitions: by offset, then by partition.
+
+    The numbers are unique and keep each partition's order; with one partition they are its offsets.
+    A partition number outside ``0..partitions-1`` would collide with another and is an error.
+    """
+    packed = offset.cast("long") * F.lit(int(partitions)) + partition.cast("long")
+    known = (partition >= 0) & (partition < F.lit(int(partitions)))
+    return F.when(known, packed).otherwise(
+        F.raise_error(F.concat(F.lit("unknown source partition "), partition.cast("string"))).cast("long"))
+
+
 def read_raw_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
-                    starting: str = "latest", options: dict | None = None) -> DataFrame:
+                    starting: str = "latest", options: dict | None = None, partitions: int = 1) -> DataFrame:
     """Raw topic as a stream of ``seq, value`` (value = UTF-8 text of one JSON object).
 
-    Kafka: ``seq`` is the record offset (one partition, as the reference's topic);
-    with several partitions the caller must pass an order, e.g. ``offset``
-    within ``partition``. Files: rows of ``seq, value`` (parquet/json) or lines (text).
+    Kafka: ``seq`` is ``arrival_seq`` of the record, and ``partition`` and ``offset`` follow. ``partitions``
+    is the topic's number of partitions; it must not change while a checkpoint lives. Across
+    micro-batches the order of the batches comes first. Files: rows of ``seq, value`` (parquet/json) or
+    lines (text).
     """
     opts = dict(options or {})
     if fmt == "kafka":
         df = (spark.readStream.format("kafka").option("startingOffsets", starting).options(**opts).load())
-        return df.select(F.col("offset").alias("seq"), F.col("value").cast("string").alias("value"))
+        return df.select(arrival_seq(F.col("partition"), F.col("offset"), partitions).alias("seq"),
+                         F.col("value").cast("string").alias("value"), "partition", "offset")
     reader = spark.readStream.format(fmt).options(**opts)
     if fmt in ("parquet", "json", "orc"):
         reader = reader.schema(RAW_TABLE)
@@ -35,11 +49,11 @@ def read_raw_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
 
 
 def read_enriched_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
-                         starting: str = "earliest", options: dict | None = None) -> DataFrame:
+                         starting: str = "earliest", options: dict | None = None, partitions: int = 1) -> DataFrame:
     """S3: the enriched topic, decoded with the declared six-field schema (keeps ``seq``)."""
     from wakeline.functions.jsonfmt import from_json_value
 
-    return from_json_value(read_raw_stream(spark, fmt, path, starting, options), keep=["seq"])
+    return from_json_value(read_raw_stream(spark, fmt, path, starting, options, partitions), keep=["seq"])
 
 
 def write_stream(df: DataFrame, fmt: str, checkpoint: str, path: str | None = None,

@@ -150,8 +150,9 @@ def stage_rates(sensor_k: DataFrame, enriched_k: DataFrame, kmax: DataFrame) ->
     src = sensor_k.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).withColumn("stage", F.lit("source"))
     snk = enriched_k.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).withColumn("stage", F.lit("sink"))
     counts = src.unionByName(snk)
-    stages = kmax.select(F.explode(F.array(F.lit("source"), F.lit("sink"))).alias("stage"))
-    grid = M.gauge_grid(stages, kmax)
+    stages = F.array(F.lit("source"), F.lit("sink"))
+    grid = (kmax.select(F.explode(F.sequence(F.lit(1), F.col("_kmax"))).alias("k"))
+            .select(F.explode(stages).alias("stage"), "k"))
     return (grid.join(counts, ["stage", "k"], "left")
             .select("stage", "k", (F.coalesce("_n", F.lit(0)).cast("double") / F.lit(M.STEP_S)).alias("value")))
 
