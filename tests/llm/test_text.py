@@ -191,6 +191,8 @@ def test_language_id(docs, spark):
     assert model.predict("日本")[0] == "aa"
     pred = langid.identified(train, model).collect()
     assert all(r.lang == r.lang_pred for r in pred)
+    odd = spark.createDataFrame([(1, "½ ² ③ 12 !"), (2, "½ a")], "doc_id long, text string")
+    assert [r.lang_pred == "und" for r in langid.identified(odd, model).orderBy("doc_id").collect()] == [True, False]
     nothing = langid.fit_open(_empty(docs))
     assert {r.lang_pred for r in langid.identified(docs, nothing).collect()} == {"und"}
 

@@ -167,7 +167,8 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and confidence; ties go to the first language by name. No letters: ``und``, 0."""
-        words = words_of(text) if text else []
+        # Numbers that are no decimal digits are word characters too, but no letters.
+        words = words_of(text) if text and any(map(str.isalpha, text)) else []
         if not words or not self.langs:
             return UNDETERMINED, 0.0
         s = self.score(words)
