@@ -107,13 +107,35 @@ def test_archive_exact_batches_and_flush(spark, scratch):
 
 def test_latest_upsert(spark, scratch):
     root = os.path.join(scratch, "out")
-    up = P.LatestUpsert(root)
+    up = P.LatestUpsert(root, every=2)
     sch = "id int, seq long, x float, y float, inst_speed float"
     up(spark.createDataFrame([(1, 1, 21.0, 52.0, 1.0), (2, 2, 21.1, 52.1, 2.0)], sch), 0)
     up(spark.createDataFrame([(1, 5, 21.5, 52.5, 3.0)], sch), 1)
     up(spark.createDataFrame([(1, 5, 21.5, 52.5, 3.0)], sch), 1)  # replayed batch
     got = {r.id: (r.lat, r.inst_speed) for r in P.latest_table(spark, root).collect()}
     assert got == {1: (52.5, 3.0), 2: (pytest.approx(52.1, abs=1e-5), 2.0)}
+    up(spark.createDataFrame([(2, 9, 21.5, 52.25, 4.0)], sch), 2)  # a change after the snapshot of batch 1
+    assert state.read_table(spark, root, "latest").filter("batch_id = 2").count() == 1
+    got = {r.id: (r.lat, r.inst_speed) for r in P.latest_table(spark, root).collect()}
+    assert got == {1: (52.5, 3.0), 2: (52.25, 4.0)}
+
+
+def test_flushed_batch_grows_on_after_a_restart(spark, scratch):
+    from wakeline.sources.io import replay_archive
+
+    root = os.path.join(scratch, "out")
+    writer = P.ArchiveWriter(root, n=4)
+    rows = lambda a, b: spark.createDataFrame(
+        [(s, '{"id": 1, "x": 1.0, "y": 2.0, "timestamp": %d.0}' % s) for s in range(a, b)], "seq long, value string")
+    times = lambda: [(r.batch_no, int(r.timestamp)) for r in replay_archive(
+        spark, os.path.join(root, "archive")).orderBy("batch_no", "pos").collect()]
+    writer(rows(0, 6), 0)
+    writer.flush(spark)
+    assert times() == [(s // 4, s) for s in range(6)]
+    writer(rows(6, 9), 1)
+    assert times() == [(s // 4, s) for s in range(8)]
+    writer.flush(spark)
+    assert times() == [(s // 4, s) for s in range(9)]
 
 
 def test_pipeline_end_to_end(spark, scratch):

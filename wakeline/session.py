@@ -128,3 +128,9 @@ def ship_package(spark) -> None:
         fh.write(buf.getvalue())
     sc.addPyFile(path)
     _SHIPPED.add(key)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark can reach."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

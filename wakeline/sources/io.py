@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wakeline.schemas import RAW_EVENT
+from wakeline.session import path_exists
 
 RAW_TABLE = T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
 
@@ -71,16 +72,36 @@ def enriched_to_topic(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("id", "x", "y", "timestamp", "inst_speed", "time_taken")).alias("value"))
 
 
-def write_archive(archive: DataFrame, path: str, mode: str = "append") -> None:
-    """K4: write archive batches (``batch_no, value``), one JSON array per line, partitioned by batch."""
-    archive.select("batch_no", "value").write.mode(mode).partitionBy("batch_no").text(path)
+ARCHIVE_RANGE = 10_000
+TAIL = "_tail"
+
+
+def archive_lines(archive: DataFrame) -> DataFrame:
+    """``batch_no, value`` with one JSON object a batch: its number and its records as they came."""
+    line = F.concat(F.lit('{"batch_no":'), F.col("batch_no").cast("string"), F.lit(',"records":'), F.col("value"), F.lit("}"))
+    return archive.select("batch_no", line.alias("value"))
+
+
+def write_archive(archive: DataFrame, path: str, mode: str = "append", batches: int = ARCHIVE_RANGE) -> None:
+    """K4: write archive batches (``batch_no, value``), a line each, in one folder per ``batches`` batches."""
+    folder = F.floor(F.col("batch_no") / F.lit(batches)).cast("long").alias("batch_range")
+    archive_lines(archive).select(folder, "value").write.mode(mode).partitionBy("batch_range").text(path)
 
 
 def replay_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Read the archive back, one row per archived raw record, with its ``batch_no``."""
-    txt = spark.read.text(path)
-    arr = F.from_json(F.col("value"), T.ArrayType(RAW_EVENT))
-    return txt.select("batch_no", F.posexplode(arr).alias("pos", "_e")).select("batch_no", "pos", "_e.*")
+    """Read the archive back, one row per archived raw record, with its ``batch_no``.
+
+    A flushed last batch (in ``path + "_tail"``) counts until the archive holds a batch of its number.
+    """
+    schema = T.StructType([T.StructField("batch_no", T.LongType()), T.StructField("records", T.ArrayType(RAW_EVENT))])
+    read = lambda folder: spark.read.schema(schema).json(folder).select("batch_no", "records")
+    if path_exists(spark, path + TAIL):
+        tail = read(path + TAIL)
+        rows = tail if not path_exists(spark, path) else read(path).unionByName(
+            tail.join(read(path).select("batch_no"), "batch_no", "left_anti"))
+    else:
+        rows = read(path)
+    return rows.select("batch_no", F.posexplode("records").alias("pos", "_e")).select("batch_no", "pos", "_e.*")
 
 
 def write_readings(readings: DataFrame, fmt: str = "parquet", path: str | None = None,

@@ -26,6 +26,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from wakeline.functions.geo import HORIZON_S, METRES_PER_DEGREE, MIN_GAP_S
 from wakeline.operators import batches, lateness, latest, parse
 from wakeline.operators.speed import EventList, fold_events
+from wakeline.sources.io import TAIL, archive_lines
 from wakeline.streaming import state
 
 ON_TIME_SCHEMA = T.StructType([
@@ -160,7 +161,7 @@ class ArchiveWriter:
             arch = batches.archive_records(done.select("seq", "value"), self.n)
             # archive_records numbers batches from 0 within its input: shift to the global numbering.
             arch = arch.withColumn("batch_no", F.col("batch_no") + F.lit(next_no))
-            self._write_archive(arch)
+            state.write_batch(archive_lines(arch).select("value"), self.root, self.out, batch_id, "text")
             rest = b.filter(~complete).select("seq", "value")
             state.write_batch(rest, self.root, f"{self.out}_pending", batch_id)
             new_next = next_no if last_full is None else int(last_full) + 1
@@ -169,42 +170,60 @@ class ArchiveWriter:
         finally:
             b.unpersist()
 
-    def _write_archive(self, arch: DataFrame) -> None:
-        (arch.select("batch_no", "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_no").text(os.path.join(self.root, self.out)))
-
     def flush(self, spark: SparkSession) -> None:
-        """Write the carried partial batch (called once the stream has stopped)."""
+        """Write the carried partial batch (called once the stream has stopped).
+
+        It goes to a folder of its own, as the batch grows on if the stream is started again.
+        """
         pend, next_no = self._state(spark, 1 << 62)
         if pend is None or pend.limit(1).count() == 0:
             return
         arch = batches.archive_records(pend.select("seq", "value"), self.n)
-        self._write_archive(arch.withColumn("batch_no", F.col("batch_no") + F.lit(next_no)))
+        arch = arch.withColumn("batch_no", F.col("batch_no") + F.lit(next_no))
+        archive_lines(arch).select("value").write.mode("overwrite").text(os.path.join(self.root, self.out + TAIL))
+
+
+SNAPSHOT = "_snapshot"
+
+
+def _fold_latest(rows: DataFrame) -> DataFrame:
+    last = F.max_by(F.struct("seq", "x", "y", "inst_speed"), F.col("seq"))
+    return rows.filter(F.col("inst_speed").isNotNull()).groupBy("id").agg(last.alias("_l")).select("id", "_l.*")
+
+
+def _latest_rows(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """The newest snapshot and the changes since then (batch ids are folders, so older ones are not read)."""
+    changes = state.read_table(spark, root, table)
+    top = state.batch_before(spark, root, table + SNAPSHOT, 1 << 62)
+    if top is None:
+        return None if changes is None else changes.drop("batch_id")
+    full = state.read_partition(spark, root, table + SNAPSHOT, top)
+    if changes is None:
+        return full
+    return full.unionByName(changes.filter(F.col("batch_id") > top).drop("batch_id"))
 
 
 class LatestUpsert:
-    """``foreachBatch`` function: fold each batch's rows into a latest-per-device table."""
+    """``foreachBatch`` function: a table of the latest row per device, as snapshots and changes.
 
-    def __init__(self, root: str, table: str = "latest"):
-        self.root, self.table = root, table
+    A micro-batch writes only the devices it saw; every ``every``-th one writes a snapshot of all devices.
+    """
+
+    def __init__(self, root: str, table: str = "latest", every: int = 100):
+        self.root, self.table, self.every = root, table, every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = state.carry_before(spark, self.root, self.table, batch_id)
-        cur = batch.select("id", "seq", "x", "y", "inst_speed")
-        if prev is not None:
-            cur = prev.select("id", "seq", "x", "y", "inst_speed").unionByName(cur)
-        last = F.max_by(F.struct("seq", "x", "y", "inst_speed"), F.col("seq"))
-        folded = cur.filter(F.col("inst_speed").isNotNull()).groupBy("id").agg(last.alias("_l")).select("id", "_l.*")
-        state.write_batch(folded, self.root, self.table, batch_id)
+        state.write_batch(_fold_latest(batch.select("id", "seq", "x", "y", "inst_speed")), self.root, self.table, batch_id)
+        if (batch_id + 1) % self.every == 0:
+            rows = _latest_rows(spark, self.root, self.table)
+            if rows is not None:
+                state.write_batch(_fold_latest(rows), self.root, self.table + SNAPSHOT, batch_id)
 
 
 def latest_table(spark: SparkSession, root: str, table: str = "latest") -> DataFrame | None:
-    t = state.read_table(spark, root, table)
-    if t is None:
-        return None
-    top = t.agg(F.max("batch_id")).first()[0]
-    return latest.latest_per_device(t.filter(F.col("batch_id") == top))
+    rows = _latest_rows(spark, root, table)
+    return None if rows is None else latest.latest_per_device(rows)
 
 
 class ReadingsWriter:

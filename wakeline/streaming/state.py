@@ -14,12 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+from wakeline.session import path_exists
 
 
 def write_batch(df: DataFrame, root: str, table: str, batch_id: int, fmt: str = "parquet") -> None:
@@ -29,7 +24,7 @@ def write_batch(df: DataFrame, root: str, table: str, batch_id: int, fmt: str =
     a folder that is there is left alone: streams that read the table as files never see the rows
     again under new file names.
     """
-    if _exists(df.sparkSession, os.path.join(root, table, f"batch_id={int(batch_id)}")):
+    if path_exists(df.sparkSession, os.path.join(root, table, f"batch_id={int(batch_id)}")):
         return
     (df.withColumn("batch_id", F.lit(int(batch_id)))
      .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -38,7 +33,7 @@ def write_batch(df: DataFrame, root: str, table: str, batch_id: int, fmt: str =
 
 def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame | None:
     path = os.path.join(root, table)
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return None
     return spark.read.format(fmt).load(path)
 
@@ -50,7 +45,7 @@ def batch_before(spark: SparkSession, root: str, table: str, batch_id: int) -> i
     whole table, which grows by one partition per micro-batch); after a gap
     the table is searched.
     """
-    if batch_id > 0 and _exists(spark, os.path.join(root, table, f"batch_id={int(batch_id) - 1}")):
+    if batch_id > 0 and path_exists(spark, os.path.join(root, table, f"batch_id={int(batch_id) - 1}")):
         return int(batch_id) - 1
     t = read_table(spark, root, table)
     if t is None:
@@ -62,7 +57,7 @@ def batch_before(spark: SparkSession, root: str, table: str, batch_id: int) -> i
 def read_partition(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame | None:
     """Rows ``table`` holds for exactly ``batch_id`` (None when it wrote none)."""
     path = os.path.join(root, table, f"batch_id={int(batch_id)}")
-    return spark.read.parquet(path) if _exists(spark, path) else None
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def carry_before(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame | None:
