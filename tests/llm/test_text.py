@@ -76,6 +76,13 @@ def test_quality_fences_follow_the_group(spark):
     assert all(v for k, v in out.items() if k != 5000) and not out[5000]
 
 
+def test_quality_is_the_same_with_shuffled_fences(docs, monkeypatch):
+    cols = ["doc_id", "text", "base_failed", "kept"]
+    want = sorted(map(str, quality.judged(docs).select(*cols).collect()))
+    monkeypatch.setattr(quality, "BROADCAST_BYTES", 0)
+    assert sorted(map(str, quality.judged(docs).select(*cols).collect())) == want
+
+
 def test_secret_scan_matches_the_base_patterns(docs, spark):
     rnd = random.Random(1)
     parts = ["password", "Token", "api_key", "apiKEY", '"', "'", ":", " = ", "=", "abcdefgh", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef",

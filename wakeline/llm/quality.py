@@ -30,6 +30,10 @@ SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
+# Fences are sent to every task up to this size; a larger table of them is joined by a shuffle.
+BROADCAST_BYTES = 8 << 20
+FENCE_ROW_BYTES = 256
+
 
 @dataclass(frozen=True)
 class Fence:
@@ -142,7 +146,11 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     slim = measured(docs.select(*dict.fromkeys([text, lang, source])), text, prefix).drop(*{text} - {lang, source})
     fences = thresholds(slim, (lang, source), prefix, min_docs)
     fences = fences.withColumnsRenamed({lang: "_fence_lang", source: "_fence_source"})
-    # The fence table has one row per group; its size is left to the runtime choice of join.
+    # One row per group. Unless the groups are very many, the documents need not move to meet their fences.
+    keys = F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+                      for c in ("_fence_lang", "_fence_source")), F.lit(FENCE_ROW_BYTES)).cast("long"))
+    if (fences.agg(keys).first()[0] or 0) <= BROADCAST_BYTES:
+        fences = F.broadcast(fences)
     rows = measured(docs, text, prefix).join(
         fences, F.col(lang).eqNullSafe(F.col("_fence_lang")) & F.col(source).eqNullSafe(F.col("_fence_source")), "left")
     outlier = F.lit(False)
