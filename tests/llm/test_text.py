@@ -204,6 +204,20 @@ def test_language_id(docs, spark):
     assert {r.lang_pred for r in langid.identified(docs, nothing).collect()} == {"und"}
 
 
+def test_language_of_copies_keeps_its_sample(spark):
+    rnd = random.Random(4)
+    word = lambda syllables: "".join(rnd.choice(syllables) for _ in range(3))
+    rare = [" ".join(word(["ka", "lo", "mi", "ve"]) for _ in range(12)) for _ in range(200)]
+    rows = [(t, "aa") for t in rare] + [(rare[0], "aa")] * 20_000 + [(None, "aa")] * 50 + [(None, "cc")] * 5
+    rows += [(" ".join(word(["gru", "dro", "bli"]) for _ in range(12)), "bb") for _ in range(400)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    limits = langid.FitLimits(docs_per_lang=40)
+    got = {r["lang"]: r["count"] for r in langid.sample_rows(docs, "text", "lang", limits).groupBy("lang").count().collect()}
+    assert set(got) == {"aa", "bb"} and all(20 <= n <= 60 for n in got.values())
+    model = langid.fit(docs, limits=limits)
+    assert {model.predict(t)[0] for t in rare} == {"aa"}
+
+
 def _brute_components(rows):
     def shingles(t):
         w = _words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))

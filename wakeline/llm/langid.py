@@ -31,7 +31,7 @@ REMEMBERED = 400_000
 
 @dataclass(frozen=True)
 class FitLimits:
-    """Bounds of the fit: about so many sampled documents a language, and entries kept a language."""
+    """Bounds of the fit: about so many sampled distinct texts a language, and entries kept a language."""
 
     docs_per_lang: int = 1_000
     words_per_lang: int = 50_000
@@ -56,12 +56,14 @@ def grams_of(word: str):
 
 
 def sample_rows(docs: DataFrame, text: str, lang: str, limits: FitLimits) -> DataFrame:
-    """(lang, text) of about ``docs_per_lang`` rows a language, chosen by a hash of the text.
+    """(lang, text) of about ``docs_per_lang`` distinct texts a language, chosen by a hash of the text.
 
     Each chosen text comes once a language: the copies of a chosen text are chosen with it, and they may be
-    a large part of all rows."""
-    share = (docs.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n"))
-             .orderBy(F.desc("_n"), "_lang").limit(limits.max_langs)
+    a large part of all rows. So the share is of a language's distinct texts, counted by a sketch."""
+    texts = F.least(F.count("*"), F.greatest(F.lit(1), F.approx_count_distinct(F.xxhash64(text))))
+    share = (docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+             .groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_rows"), texts.alias("_n"))
+             .orderBy(F.desc("_rows"), "_lang").limit(limits.max_langs)
              .select("_lang", F.least(F.lit(1.0), F.lit(float(limits.docs_per_lang)) / F.col("_n")).alias("_share")))
     part = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / float(1 << 30)
     # One row per language, at most ``max_langs``.
