@@ -204,6 +204,25 @@ def test_language_id(docs, spark):
     assert {r.lang_pred for r in langid.identified(docs, nothing).collect()} == {"und"}
 
 
+def _literals(text):
+    return {text[s:e] for s, _, e in secrets_scan.lexed_spans(text)}
+
+
+def test_typed_and_chained_bindings_keep_their_literals():
+    secret = "Kx9-kk21!pq"
+    for form in ('db_password: str = "{}"', "apiKey: string | undefined = '{}'", 'let token: &str = "{}";', 'token: String? = "{}"',
+                 'token: Optional[Dict[str, int]] = "{}"', 'def f(password: str="{}", title: str="Other-1234x")',
+                 'password = pw = "{}"', '$password = $pw = "{}"', 'password=pw="{}"', 'a = b = password = "{}"',
+                 'password = cfg["pw"] = "{}"', 'ERROR: db_pwd: {}', 'env: a=pwd={}'):
+        text = form.format(secret)
+        assert _literals(text) == {secret}, text
+        assert secret not in secrets_scan.redact_text(text)
+    for text in (f'title: str = "{secret}"', f'password: str\ntitle: str = "{secret}"', f'if password == other == "{secret}"'):
+        assert not _literals(text), text
+    assert _literals("token=QWxhZGRpbjpvcGVuQ2x=") == {"QWxhZGRpbjpvcGVuQ2x="}
+    assert _literals("my_token: abcd1234efgh: expired") == {"abcd1234efgh"}
+
+
 def test_language_of_copies_keeps_its_sample(spark):
     rnd = random.Random(4)
     word = lambda syllables: "".join(rnd.choice(syllables) for _ in range(3))

@@ -41,9 +41,17 @@ PLACEHOLDER = re.compile(r"""(?ix) ^(?: x+ | \*+ | \.+ | <.*> | \$\{?.* | \{\{.*
 THRESHOLD = 1.2
 MIN_LITERAL = 8
 
-_NAME = r"[A-Za-z_][\w.\-]{0,80}"
+_NAME = r"[A-Za-z_][\w.\-]{0,80}+"
 # The name side must end in a separator, so that prose with colons costs one failed match per separator.
-_BIND = re.compile(rf"""(?P<q>["']?)(?P<name>{_NAME})(?P=q)\x20*(?::=|=>|[:=](?![:=]))\x20*""")
+_BIND = re.compile(rf"""(?P<q>["']?)(?P<name>{_NAME})(?P=q)\x20*(?P<sep>:=|=>|[:=](?![:=]))\x20*""")
+# A declared type between the colon and the equals sign of a binding. Brackets hold no single colon, so that a
+# line of many bindings is read once.
+_TYPE_PART = rf"""(?:[&*]*(?:'\w+\x20+)?(?:(?:mut|const|dyn)\x20+)*{_NAME}(?:::{_NAME})*
+                  (?:\[(?:[^=\n":]|::)*\]|<(?:[^=\n":]|::)*>)?(?:\[\])*[?!]? | "[^"=\n]*" | '[^'=\n]*')"""
+_TYPE = re.compile(rf"""(?x)(?P<type>{_TYPE_PART}(?:\x20*\|\x20*{_TYPE_PART})*)
+                        (?:(?P<gap>\x20+)=(?![=>~])\x20*(?=\S) | =\x20*(?=["']))""")
+_SUBSCRIPT = re.compile(r"""(?:\[(?:"[^"\n]*"|'[^'\n]*'|[^\]=\n:"']*)\])+\x20*=(?![=>~])\x20*""")
+_PLAIN = re.compile(r"[a-z_.\-]+|[A-Z_.\-]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*")
 _QUOTED = re.compile(r'''"(?P<d>(?:[^"\\\n]|\\.){0,4096})"|'(?P<s>(?:[^'\\\n]|\\.){0,4096})\'''')
 _BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>]+")
 _PLUS = re.compile(r"\x20*[+.]\x20*")
@@ -85,26 +93,58 @@ def strength(value: str) -> float:
     return min(1.0, entropy / 4.5) * (0.25 + 0.25 * classes) if classes > 1 else 0.2
 
 
-def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int]], list[str]]]:
-    """Bindings in order: (name, literals as (value, start, end), names referred to)."""
+def _is_name(word: str) -> bool:
+    """Whether a word right before an equals sign is a name rather than a padded literal."""
+    return len(word) < MIN_LITERAL - 1 or bool(_PLAIN.fullmatch(word)) or sensitivity(word) > 0
+
+
+def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int, bool]], list[str]]]:
+    """Bindings in order: (name, literals as (value, start, end, never a name), names referred to).
+
+    A bare value that is a name with a binding of its own (``a = b = "x"``, ``a: b: x``) is referred to, and its binding is
+    read next. A declared type (``a: T = "x"``) is read over; it is bound too if it could be a name. In a bare value
+    that holds bindings (``a: b=x``) the first and the first sensitive one are read; later literals lie inside theirs.
+    """
     out = []
-    at = 0
+    at = first = inside = 0
     for m in _BIND.finditer(text):
-        if m.start() < at:
+        start, name = m.start(), m["name"]
+        nested = first <= start < inside
+        if start < at and not (nested and (start == first or sensitivity(name))):
             continue
-        pos, literals, refs = m.end(), [], []
+        pos, literals, refs, also, upto = m.end(), [], [], None, None
+        if m["sep"] == ":" and (t := _TYPE.match(text, pos)):
+            kind = t["type"].strip("\"'")
+            if t["gap"] or not _IDENT.match(kind) or _is_name(kind):
+                pos = t.end()
+                if _IDENT.match(kind) and (not t["gap"] or sensitivity(kind)):
+                    also = kind
         while True:
             if q := _QUOTED.match(text, pos):
                 kind = "d" if q["d"] is not None else "s"
-                literals.append((q[kind], q.start(kind), q.end(kind)))
+                literals.append((q[kind], q.start(kind), q.end(kind), False))
                 pos = q.end()
             elif b := _BARE.match(text, pos):
+                begin = pos + (b[0][0] in "$@")
+                n = None if nested else _BIND.match(text, begin)
+                tight = n and n.start("sep") < b.end()
                 word = b[0].rstrip(".:")
+                pos = b.end()
+                if n and n.end() >= b.end() and (n["sep"] != "=" or not tight or _is_name(n["name"])):
+                    refs.append(n["name"])
+                    if len(word) >= MIN_LITERAL and "=" not in word:
+                        literals.append((word, b.start(), b.start() + len(word), n["sep"] == ":"))
+                    upto = begin
+                    break
+                if n and n.end() < b.end():
+                    first, inside = begin, b.end()
                 if _IDENT.match(word):
                     refs.append(word)
                 if len(word) >= MIN_LITERAL:
-                    literals.append((word, b.start(), b.start() + len(word)))
-                pos = b.end()
+                    literals.append((word, b.start(), b.start() + len(word), False))
+                if s := _SUBSCRIPT.match(text, pos):
+                    pos = s.end()
+                    continue
             else:
                 break
             plus = _PLUS.match(text, pos)
@@ -112,10 +152,14 @@ def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int]], list[str]]]:
                 break
             pos = plus.end()
         if literals or refs:
-            out.append((m["name"], literals, refs))
-            at = pos
+            out.append((name, literals, refs))
+            if also:
+                out.append((also, literals, refs))
+            at = max(at, pos if upto is None else upto)
+            if nested and sensitivity(name):
+                inside = 0
     for m in _TAG.finditer(text):
-        out.append((m["name"], [(m["value"], m.start("value"), m.end("value"))], []))
+        out.append((m["name"], [(m["value"], m.start("value"), m.end("value"), False)], []))
     return out
 
 
@@ -147,8 +191,8 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
     for name, literals, _ in bound:
         if reach[name] <= 0:
             continue
-        for value, start, end in literals:
-            if value in own:
+        for value, start, end, sure in literals:
+            if value in own and not sure:
                 continue
             if reach[name] + strength(value) >= THRESHOLD and strength(value) > 0.2:
                 found.add((start, 3 if own[name] >= reach[name] else 4, end))
