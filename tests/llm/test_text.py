@@ -223,6 +223,21 @@ def test_typed_and_chained_bindings_keep_their_literals():
     assert _literals("my_token: abcd1234efgh: expired") == {"abcd1234efgh"}
 
 
+def test_long_padded_and_unhinted_literals_are_found():
+    rnd = random.Random(8)
+    chars = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)]))
+    blob = "".join(rnd.choice(chars) for _ in range(6000))
+    short = "q7Zt0mXv91LbKc83RhYp"
+    key = "-----BEGIN PRIVATE KEY-----\\n" + "\\n".join(blob[i:i + 64] for i in range(0, 6000, 64)) + "\\n-----END PRIVATE KEY-----"
+    for form, value in (('client_secret_blob = "{}"', blob), ("client_secret_blob: '{}'", blob), ("<client_token>{}</client_token>", blob),
+                        ('private_key = "{}"', key), ('db_pwd = "{}"', "A" * 300 + blob[:200]), ('db_pwd = "{}"', blob[:300] + "A" * 9000),
+                        ('my_api = "{}"', short), ('to_ken = "{}"', short)):
+        assert value in _literals(form.format(value)), form
+        assert value not in secrets_scan.redact_text(form.format(value))
+    assert not _literals('db_pwd = "' + "A" * 6000 + '"')
+    assert not _literals('db_pwd = "' + "a word and one more " * 400 + '"')
+
+
 def test_language_of_copies_keeps_its_sample(spark):
     rnd = random.Random(4)
     word = lambda syllables: "".join(rnd.choice(syllables) for _ in range(3))

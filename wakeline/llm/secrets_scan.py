@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +41,7 @@ PLACEHOLDER = re.compile(r"""(?ix) ^(?: x+ | \*+ | \.+ | <.*> | \$\{?.* | \{\{.*
                              | example.* | placeholder.* | dummy.* | none | null | true | false | undefined | todo.* )$""")
 THRESHOLD = 1.2
 MIN_LITERAL = 8
+WINDOW = 256
 
 _NAME = r"[A-Za-z_][\w.\-]{0,80}+"
 # The name side must end in a separator, so that prose with colons costs one failed match per separator.
@@ -52,12 +54,14 @@ _TYPE = re.compile(rf"""(?x)(?P<type>{_TYPE_PART}(?:\x20*\|\x20*{_TYPE_PART})*)
                         (?:(?P<gap>\x20+)=(?![=>~])\x20*(?=\S) | =\x20*(?=["']))""")
 _SUBSCRIPT = re.compile(r"""(?:\[(?:"[^"\n]*"|'[^'\n]*'|[^\]=\n:"']*)\])+\x20*=(?![=>~])\x20*""")
 _PLAIN = re.compile(r"[a-z_.\-]+|[A-Z_.\-]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*")
-_QUOTED = re.compile(r'''"(?P<d>(?:[^"\\\n]|\\.){0,4096})"|'(?P<s>(?:[^'\\\n]|\\.){0,4096})\'''')
+_QUOTED = re.compile(r'''"(?P<d>(?:[^"\\\n]++|\\.)*+)"|'(?P<s>(?:[^'\\\n]++|\\.)*+)\'''')
 _BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>]+")
 _PLUS = re.compile(r"\x20*[+.]\x20*")
 _IDENT = re.compile(rf"{_NAME}\Z")
-_TAG = re.compile(rf"<(?P<name>{_NAME})>(?P<value>[^<>\s]{{1,4096}})</(?P=name)>")
-_HINT = re.compile(r"pass|pwd|secret|token|key|credential|private|auth|bearer|signing|encryption|access", re.I | re.A)
+_TAG = re.compile(rf"<(?P<name>{_NAME})>(?P<value>[^<>\s]++)</(?P=name)>")
+# First and last line of a key, with the line breaks that a literal writes as escapes.
+_ARMOR = re.compile(r"-----(?:BEGIN|END) [A-Z0-9 ]+-----")
+_SPACE = re.compile(r"\s")
 _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
 
@@ -79,18 +83,27 @@ def sensitivity(name: str) -> float:
     return min(1.0, max(sum(NAME_WEIGHTS.get(w, 0.0) for w in words), NAME_WEIGHTS.get(joined, 0.0)))
 
 
+def _entropy(value: str) -> float:
+    """Bits a character."""
+    n = len(value)
+    return -sum(x / n * math.log2(x / n) for x in Counter(value).values())
+
+
 def strength(value: str) -> float:
-    """0 to 1: how much a literal looks like a generated or chosen secret rather than a word."""
-    if len(value) < MIN_LITERAL or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+    """0 to 1: how much a literal looks like a generated or chosen secret rather than a word.
+
+    Its entropy is the whole literal's or that of its strongest window, so padding does not hide a secret."""
+    if len(value) < MIN_LITERAL or PLACEHOLDER.match(value):
+        return 0.0
+    value = _ARMOR.sub("", value)
+    if not value or _SPACE.search(value):
         return 0.0
     classes = sum(map(bool, (re.search("[a-z]", value), re.search("[A-Z]", value), re.search("[0-9]", value),
                              re.search("[^A-Za-z0-9]", value))))
-    counts: dict[str, int] = {}
-    for c in value[:256]:
-        counts[c] = counts.get(c, 0) + 1
-    n = sum(counts.values())
-    entropy = -sum(x / n * math.log2(x / n) for x in counts.values())
-    return min(1.0, entropy / 4.5) * (0.25 + 0.25 * classes) if classes > 1 else 0.2
+    if classes < 2:
+        return 0.2
+    entropy = max(map(_entropy, [value, *(value[i:i + WINDOW] for i in range(0, len(value), WINDOW))]))
+    return min(1.0, entropy / 4.5) * (0.25 + 0.25 * classes)
 
 
 def _is_name(word: str) -> bool:
@@ -170,7 +183,7 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
     a name to the names it was built from until nothing changes, cycles included; a rebound name
     shares one score for all its bindings.
     """
-    if not ("=" in text or ":" in text or "</" in text) or not _HINT.search(text):
+    if not ("=" in text or ":" in text or "</" in text):
         return []
     bound = pairs(text)
     own = {name: sensitivity(name) for name, _, _ in bound}
@@ -194,7 +207,8 @@ def lexed_spans(text: str) -> list[tuple[int, int, int]]:
         for value, start, end, sure in literals:
             if value in own and not sure:
                 continue
-            if reach[name] + strength(value) >= THRESHOLD and strength(value) > 0.2:
+            strong = strength(value)
+            if reach[name] + strong >= THRESHOLD and strong > 0.2:
                 found.add((start, 3 if own[name] >= reach[name] else 4, end))
     return sorted(found)
 
