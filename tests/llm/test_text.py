@@ -153,6 +153,20 @@ def test_token_counts_equal_the_library(docs, chunk, overlap):
     assert tokencount.token_counts(_empty(docs), path).count() == 0
 
 
+def test_token_counts_of_literal_blank_marks_equal_the_library(spark):
+    import sentencepiece
+
+    path = public_path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    rnd = random.Random(12)
+    texts = ["▁▁▁" + "ab " * 5000, "one ▁▁ " + "the same " * 3000 + "▁" * 9 + " of" * 4000, "▁▂▃ load the ▁ page ▁▁ again " * 400, "▁a" * 6000, "x ▁" * 5000, "▁" * 9000, " ▁" * 5000 + "end",
+             "".join(rnd.choice(["▁", "▁▁▁", " ", "a", "the ", "日本", "▃▅", "one two "]) for _ in range(6000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "key int, text string")
+    for chunk, overlap in ((1000, 64), (3000, 256)):
+        for r in tokencount.token_counts(docs, path, chunk_chars=chunk, overlap_chars=overlap).collect():
+            assert (r.n_bytes, r.n_tokens) == (len(texts[r.key].encode()), len(sp.encode(texts[r.key])))
+
+
 def test_elias_fano_round_trip():
     rnd = random.Random(4)
     for n, top in [(0, 1), (1, 0), (1, 2**40), (700, 10), (1000, 10**6), (513, 2**62)]:

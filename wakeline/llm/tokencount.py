@@ -2,7 +2,7 @@
 
 A text of up to ``chunk_chars`` characters is encoded whole. A longer one is cut into chunks that
 overlap by ``overlap_chars``; chunks are rows of their own, dealt over all tasks, and each is encoded
-with offsets. Neighbouring chunks are spliced at a *stable* boundary inside their overlap: a byte
+with offsets. Offsets are in bytes of the text with every U+2581 as a blank, which the encoder takes for one. Neighbouring chunks are spliced at a *stable* boundary inside their overlap: a byte
 offset where both encodings end a token and both have the same token before it. There the pair of
 tokens at the splice stands side by side in one of the two encodings, so it is a pair that merging
 leaves alone, and a sequence in which that holds for every adjacent pair is the encoding of the whole text.
@@ -33,15 +33,20 @@ ENCODE_CHARS = 1 << 20
 ZONE = np.dtype([("at", "<i8"), ("before", "<i4"), ("index", "<i4")])
 
 
+def n_offset(text: str) -> int:
+    """Bytes of the text; a U+2581 counts as the blank that its piece stands for."""
+    return len(text.replace("▁", " ").encode())
+
+
 def cut(text: str, chunk_chars: int, overlap_chars: int):
-    """Yield (number, chunk, byte offset, byte offset of the next chunk or -1) covering ``text``."""
+    """Yield (number, chunk, offset, offset of the next chunk or -1) covering ``text``."""
     step = chunk_chars - overlap_chars
     starts = range(0, max(len(text) - overlap_chars, 1), step)
     at = 0
     for k, s in enumerate(starts):
         last = k == len(starts) - 1
         chunk = text[s:] if last else text[s:s + chunk_chars]
-        after = -1 if last else at + len(text[s:s + step].encode())
+        after = -1 if last else at + n_offset(text[s:s + step])
         yield k, chunk, at, after
         at = after
 
@@ -82,8 +87,8 @@ def _encoded_chunks(texts: DataFrame, model, chunk_chars: int, overlap_chars: in
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for k, chunk, at, after in cut(text, chunk_chars, overlap_chars):
-                    # The previous chunk's overlap ends this many bytes into the text.
-                    end = at + len(chunk[:overlap_chars].encode())
+                    # The previous chunk's overlap ends at this offset of the text.
+                    end = at + n_offset(chunk[:overlap_chars])
                     yield pa.RecordBatch.from_pylist(
                         [{"_key": key, "k": k, "chunk": chunk, "at": at, "after": after, "edge": end}], schema=arrow)
 
