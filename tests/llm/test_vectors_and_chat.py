@@ -90,6 +90,26 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert chat.formatted(df.limit(0), schemas).count() == 0
 
 
+def test_calls_of_messages_that_share_a_turn_stay_apart(spark):
+    rows = []
+    for conv, turn in ((1, 0), (None, 0), (None, None), (2, None)):
+        rows += [(conv, turn, "assistant", json.dumps({"tool_calls": [_call(f"i{n}", "add", a), _call("same", "add", a)]}))
+                 for n, a in enumerate([{"a": 1, "b": 1}, {"a": "x", "b": 1}, {"a": 1}])]
+        rows += [(conv, turn, "tool", json.dumps({"tool_call_id": i, "content": "r"})) for i in ("i1", "same")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    schemas = spark.createDataFrame(SCHEMAS, "name string, param string, type string, required boolean")
+    want = {"i0": [], "i1": ["type a"], "i2": ["missing b"]}
+    got = [r for r in chat.formatted(df, schemas).collect() if r.kind == "call"]
+    assert len(got) == 4 * 6
+    for conv, turn in ((1, 0), (None, 0), (None, None), (2, None)):
+        here = [r for r in got if (r.conv_id, r.turn) == (conv, turn)]
+        assert {r.call_id: r.errors for r in here if r.call_id != "same"} == want
+        assert sorted(r.errors for r in here if r.call_id == "same") == sorted(want.values())
+        assert all(r.valid == (not r.errors) for r in here)
+        assert {r.call_id for r in here if r.linked} == (set() if conv is None else {"i1", "same"})
+        assert sum(r.linked for r in here) == (0 if conv is None else 2)
+
+
 def test_pipeline_stages_keep_clean_documents(spark, scratch):
     import corpus_pipeline as P
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from wakeline.session import materialize
 
 CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:string>>>"
+# Of a call: different messages may share a conversation and turn, or lack them.
+KEY = ["conv_id", "turn", "message", "place"]
 RESULT = "struct<tool_call_id:string,content:string>"
 TYPES = ("string", "integer", "number", "boolean", "object", "array")
 
@@ -32,15 +34,24 @@ def _type_of(value: Column) -> Column:
             .when(value.startswith("{"), "object").when(value.startswith("["), "array").otherwise("null"))
 
 
+def _same(a: str, b: str, columns: list[str]) -> list[Column]:
+    """Equal in all columns of the aliases ``a`` and ``b``; nulls are equal."""
+    return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns]
+
+
 def calls_of(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, call_id, name, arguments, place) of every tool call in assistant messages.
+    """(conv_id, turn, message, place, call_id, name, arguments) of every tool call in assistant messages.
+
+    ``message`` is a hash of the message's text, so ``KEY`` is a call's own.
 
     A text that is not an object with tool_calls has none. A call without an id cannot be linked and is kept with
-    a null call_id. If an id is called twice in a conversation, the first call (by turn, place) owns it.
+    a null call_id. If an id is called twice in a conversation, the first call (by turn, place,
+    message) owns it.
     """
     parsed = messages.filter("role = 'assistant'").select(
-        "conv_id", "turn", F.posexplode(F.from_json("text", CALLS)["tool_calls"]).alias("place", "call"))
-    return parsed.select("conv_id", "turn", "place", F.col("call.id").alias("call_id"), F.col("call.name").alias("name"),
+        "conv_id", "turn", F.sha1("text").alias("message"),
+        F.posexplode(F.from_json("text", CALLS)["tool_calls"]).alias("place", "call"))
+    return parsed.select(*KEY, F.col("call.id").alias("call_id"), F.col("call.name").alias("name"),
                          F.col("call.arguments").alias("arguments")).distinct()
 
 
@@ -51,11 +62,11 @@ def results_of(messages: DataFrame) -> DataFrame:
 
 
 def _owners(calls: DataFrame) -> DataFrame:
-    """The call that owns each id: first by turn, then by place."""
+    """The call that owns each id: first by turn, then by place, then by message."""
     named = calls.filter("conv_id is not null and call_id is not null")
-    order = F.struct("turn", "place")
+    order = F.struct("turn", "place", "message")
     return named.groupBy("conv_id", "call_id").agg(F.min(order).alias("_o")).select(
-        "conv_id", "call_id", F.col("_o.turn").alias("turn"), F.col("_o.place").alias("place"))
+        "conv_id", "call_id", "_o.turn", "_o.place", "_o.message")
 
 
 def references(calls: DataFrame) -> DataFrame:
@@ -95,7 +106,7 @@ def levels(calls: DataFrame) -> DataFrame:
 
 
 def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
-    """(conv_id, turn, place, errors): why a call's arguments do not fit its tool's schema.
+    """(conv_id, turn, message, place, errors): why a call's arguments do not fit its tool's schema.
 
     ``schemas`` has rows (name, param, type, required). Errors: ``unknown tool``, ``not an object``,
     ``missing <param>``, ``unknown <param>``, ``type <param>``; sorted, empty if the call is valid. A ``$ref`` object fits any type.
@@ -103,20 +114,18 @@ def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     # from_json to a map keeps nested values as JSON text; strings lose their quotes, so they are marked.
     arguments = canonical(F.col("arguments"))
     value = lambda k: F.to_json(F.try_variant_get(F.try_parse_json("arguments"), F.lit("$"), "map<string,variant>")[k])
-    rows = calls.select("conv_id", "turn", "place", "name", "arguments", arguments.alias("_json"))
+    rows = calls.select(*KEY, "name", "arguments", arguments.alias("_json"))
     rows = rows.withColumn("_object", F.col("_json").startswith("{"))
     keys = F.when(F.col("_object"), F.json_object_keys("_json"))
-    given = (rows.filter("_object").select("conv_id", "turn", "place", "name", F.col("arguments"), F.explode(keys).alias("param"))
+    given = (rows.filter("_object").select(*KEY, "name", F.col("arguments"), F.explode(keys).alias("param"))
              .withColumn("_value", value(F.col("param"))).drop("arguments"))
     tool = schemas.select("name", F.lit(True).alias("_tool")).distinct()
-    wrong_tool = rows.join(tool, "name", "left_anti").select("conv_id", "turn", "place", F.lit("unknown tool").alias("error"))
+    wrong_tool = rows.join(tool, "name", "left_anti").select(*KEY, F.lit("unknown tool").alias("error"))
     known = rows.join(tool, "name", "left_semi")
-    no_object = known.filter(~F.coalesce("_object", F.lit(False))).select("conv_id", "turn", "place", F.lit("not an object").alias("error"))
-    key = ["conv_id", "turn", "place"]
-    same = lambda a, b, more: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in key + more]
-    need = known.filter("_object").select(*key, "name").join(schemas.filter("required").select("name", "param"), "name")
-    missing = (need.alias("n").join(given.alias("g"), same("n", "g", ["param"]), "left_anti")
-               .select(*key, F.concat(F.lit("missing "), "param").alias("error")))
+    no_object = known.filter(~F.coalesce("_object", F.lit(False))).select(*KEY, F.lit("not an object").alias("error"))
+    need = known.filter("_object").select(*KEY, "name").join(schemas.filter("required").select("name", "param"), "name")
+    missing = (need.alias("n").join(given.alias("g"), _same("n", "g", KEY + ["param"]), "left_anti")
+               .select(*KEY, F.concat(F.lit("missing "), "param").alias("error")))
     typed = given.join(tool, "name", "left_semi").join(schemas.select("name", "param", "type"), ["name", "param"], "left")
     kind = _type_of(F.col("_value"))
     fits = ((kind == F.col("type")) | ((F.col("type") == "number") & (kind == "integer"))
@@ -124,11 +133,11 @@ def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     wrong = typed.withColumn("error", F.when(F.col("type").isNull(), F.concat(F.lit("unknown "), "param"))
                              .when(~F.coalesce(fits, F.lit(False)), F.concat(F.lit("type "), "param")))
     errors = wrong_tool.unionByName(no_object).unionByName(missing).unionByName(
-        wrong.filter("error is not null").select(*key, "error"))
+        wrong.filter("error is not null").select(*KEY, "error"))
     # A call has at most its own and its schema's parameters, so this list is bounded by them.
-    listed = errors.groupBy(*key).agg(F.sort_array(F.collect_set("error")).alias("errors"))
-    return (rows.select(*key).alias("r").join(listed.alias("l"), same("r", "l", []), "left")
-            .select("r.conv_id", "r.turn", "r.place", F.coalesce("l.errors", F.array().cast("array<string>")).alias("errors")))
+    listed = errors.groupBy(*KEY).agg(F.sort_array(F.collect_set("error")).alias("errors"))
+    return (rows.select(*KEY).alias("r").join(listed.alias("l"), _same("r", "l", KEY), "left")
+            .select(*[f"r.{c}" for c in KEY], F.coalesce("l.errors", F.array().cast("array<string>")).alias("errors")))
 
 
 def formatted(messages: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -150,11 +159,11 @@ def formatted(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     level = materialize(levels(calls))
     checked = argument_errors(calls, schemas)
     answered = results.filter("conv_id is not null and call_id is not null").select("conv_id", "call_id").distinct().withColumn("_r", F.lit(True))
-    key = ["conv_id", "turn", "place"]
-    # place is unique within a message, so these are one-to-one.
-    c = (calls.alias("c").join(checked.alias("k"), [F.col(f"c.{x}").eqNullSafe(F.col(f"k.{x}")) for x in key])
+    # place is unique within a message, and the messages are distinct, so these are one-to-one.
+    c = (calls.alias("c").join(checked.alias("k"), _same("c", "k", KEY))
          .select("c.*", "k.errors").join(answered, ["conv_id", "call_id"], "left").join(level, ["conv_id", "call_id"], "left")
-         .join(owners.withColumn("_own", F.lit(True)), ["conv_id", "call_id", "turn", "place"], "left"))
+         .alias("c").join(owners.withColumn("_own", F.lit(True)).alias("o"), _same("c", "o", ["call_id", *KEY]), "left")
+         .select("c.*", "o._own"))
     linked = F.coalesce(F.col("_r") & F.col("_own"), F.lit(False))
     parsed = F.try_parse_json(F.col("arguments"))
     call_json = F.to_json(F.struct(F.coalesce(parsed, F.to_variant_object(F.array().cast("array<string>"))).alias("arguments"),
