@@ -9,14 +9,17 @@ from wakeline.llm import (
     ann,
     chat,
     langid,
+    merkle,
     neardup,
     packing,
     quality,
+    runs,
     secrets_scan,
     spencode,
     tokencount,
     tokenfile,
 )
+from wakeline.llm.oracle import ORACLE  # noqa: F401
 from wakeline.llm.tokenizers_io import public_path
 
 
@@ -105,8 +108,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.scanned(docs).drop("text")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof of every document against the root of all; claims of folded texts fail."""
+    docs = _table(spark, sf_dir, "documents")
+    manifest = merkle.build(merkle.document_rows(docs))
+    top = merkle.root(spark, manifest).first()
+    found = merkle.proofs(spark, manifest)
+    root = F.lit(top[0] if top else None).cast("string")
+    return found.select(F.col("__order").cast("long").alias("doc_id"), "leaf", "subroot", root.alias("root"),
+                        "proof_sha256", "folded_root", (F.col("folded_root") == root).alias("verified"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, with periods planted into every tenth document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs.periodic_runs(docs, plant=True).drop("text")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_language_id, op3_token_files, op4_nearest_codes, op5_token_counts, op6_tool_calls,
-    op7_piece_encoding, op8_near_duplicates, op9_quality_rules, op10_secret_scan)}
-
-ORACLE: dict[str, str] = {}
+    op7_piece_encoding, op8_near_duplicates, op9_quality_rules, op10_secret_scan,
+    op11_merkle_manifest, op13_periodic_runs)}
