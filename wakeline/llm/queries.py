@@ -16,6 +16,7 @@ from wakeline.llm import (
     runs,
     secrets_scan,
     spencode,
+    suffixtree,
     tokencount,
     tokenfile,
 )
@@ -119,6 +120,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "proof_sha256", "folded_root", (F.col("folded_root") == root).alias("verified"))
 
 
+def op12_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores all texts with a tree learnt from those not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = suffixtree.fit(docs.filter(~suffixtree.held_out()))
+    rows = suffixtree.scored(docs, model)
+    return rows.select("doc_id", suffixtree.held_out().alias("held_out"), "n_tokens", "n_known",
+                       F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every text, with periods planted into every tenth document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -128,4 +138,4 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_language_id, op3_token_files, op4_nearest_codes, op5_token_counts, op6_tool_calls,
     op7_piece_encoding, op8_near_duplicates, op9_quality_rules, op10_secret_scan,
-    op11_merkle_manifest, op13_periodic_runs)}
+    op11_merkle_manifest, op12_suffix_tree_scores, op13_periodic_runs)}
