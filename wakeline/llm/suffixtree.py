@@ -47,7 +47,7 @@ END = np.uint64(0x5E4D3C2B1A09F8E7)
 _LEFT, _RIGHT, _TURN = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 # Memory of a counting task: symbols gathered before they are added up, and text per bucket of contexts.
-GATHER = 3_000_000
+GATHER = 2_000_000
 BUCKET_BYTES = 16 << 20
 FILTER_BITS = 27
 FILTER_SLICES = 64
@@ -189,20 +189,21 @@ def _is_in(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 
 def _added(context: np.ndarray, after: np.ndarray, n: np.ndarray | None):
-    """Equal (context, symbol) pairs as one, sorted by context."""
-    if not len(context):
-        return context, after, np.empty(0, dtype=np.int64)
-    cv, ci = np.unique(context, return_inverse=True)
-    av, ai = np.unique(after, return_inverse=True)
-    pair = ci * np.int64(len(av)) + ai
+    """Equal (context, symbol) pairs as one, with their number or the sum of ``n``, sorted by context."""
+    key = pair_key(context, after)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, dtype=np.int64)
+    del key
     if n is None:
-        pair, n = np.unique(pair, return_counts=True)
-    else:
-        order = np.argsort(pair, kind="stable")
-        pair = pair[order]
-        first = np.flatnonzero(np.diff(pair, prepend=-1))
-        pair, n = pair[first], np.add.reduceat(n[order], first)
-    return cv[pair // len(av)], av[pair % len(av)], n
+        n = np.diff(np.append(first, len(order)))
+    elif len(first):
+        n = np.add.reduceat(n[order], first)
+    some = order[first]
+    del order, first
+    context = context[some]
+    by = np.argsort(context)
+    return context[by], after[some[by]], n[by]
 
 
 def _following(texts: DataFrame, buckets: int, hot: np.ndarray, pairs) -> DataFrame:
@@ -213,7 +214,9 @@ def _following(texts: DataFrame, buckets: int, hot: np.ndarray, pairs) -> DataFr
     """
 
     def flush(parts: list) -> pa.RecordBatch:
-        context, after, n = _added(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), None)
+        context, after = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        parts.clear()
+        context, after, n = _added(context, after, None)
         bucket = _bucket(context, buckets)
         wide = _is_in(context, hot)
         bucket[wide] = _bucket(mix(context[wide] ^ after[wide] * _LEFT), buckets)
@@ -236,7 +239,7 @@ def _following(texts: DataFrame, buckets: int, hot: np.ndarray, pairs) -> DataFr
                 size += len(parts[-1][0])
                 if size >= GATHER:
                     yield flush(parts)
-                    parts, size = [], 0
+                    size = 0
         if size:
             yield flush(parts)
 
