@@ -52,6 +52,9 @@ BUCKET_BYTES = 16 << 20
 FILTER_BITS = 27
 FILTER_SLICES = 64
 PROBES = 3
+PROBED = 1 << 17
+# Text scored at once: each word stands for three terms.
+SCORED_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -131,6 +134,10 @@ class Filter:
         self.bits = np.frombuffer(data, dtype=np.uint8)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
+        some = [self._has(keys[a:a + PROBED]) for a in range(0, len(keys), PROBED)]
+        return np.concatenate(some) if some else np.zeros(0, dtype=bool)
+
+    def _has(self, keys: np.ndarray) -> np.ndarray:
         live = np.ones(len(keys), dtype=bool)
         for k, at in enumerate(_probes(keys)):
             if k == 0:
@@ -421,7 +428,7 @@ def scored(docs: DataFrame, model: Model, limits: TreeLimits = TreeLimits(), fol
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = _held(sent, Cache)
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", SCORED_BYTES):
                 yield _measured(piece, terms)
 
     out = "doc_id long, n_tokens long, n_known long, base double, score double, open array<long>"
