@@ -47,7 +47,8 @@ END = np.uint64(0x5E4D3C2B1A09F8E7)
 _LEFT, _RIGHT, _TURN = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 # Memory of a counting task: symbols gathered before they are added up, and text per bucket of contexts.
-GATHER = 2_000_000
+GATHER = 1_000_000
+COUNTED_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 FILTER_BITS = 27
 FILTER_SLICES = 64
@@ -153,7 +154,7 @@ _KEPT: dict = {}
 
 
 def _held(broadcast, make):
-    """An object made from a broadcast once per Python worker."""
+    """An object made from a broadcast once per task; the task's end clears it."""
     key = broadcast.value[0]
     if key not in _KEPT:
         _KEPT.clear()
@@ -170,7 +171,7 @@ def _hot_words(texts: DataFrame, rows: int, buckets: int, limits: TreeLimits) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", COUNTED_BYTES):
                 seen, _, _ = symbols(piece.column("text"))
                 values, n = np.unique(seen, return_counts=True)
                 hot = n * 8 * buckets >= len(seen)
@@ -240,7 +241,7 @@ def _following(texts: DataFrame, buckets: int, hot: np.ndarray, pairs) -> DataFr
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", COUNTED_BYTES):
                 seen, owner, _ = symbols(piece.column("text"))
                 parts.append(pairs(seen, owner))
                 size += len(parts[-1][0])
@@ -249,6 +250,7 @@ def _following(texts: DataFrame, buckets: int, hot: np.ndarray, pairs) -> DataFr
                     size = 0
         if size:
             yield flush(parts)
+        _KEPT.clear()
 
     return texts.select("text").mapInArrow(count, "bucket long, contexts binary, after binary, n binary")
 
@@ -430,6 +432,7 @@ def scored(docs: DataFrame, model: Model, limits: TreeLimits = TreeLimits(), fol
         for batch in batches:
             for piece in pieces(batch, "text", SCORED_BYTES):
                 yield _measured(piece, terms)
+        _KEPT.clear()
 
     out = "doc_id long, n_tokens long, n_known long, base double, score double, open array<long>"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(measure, out)
