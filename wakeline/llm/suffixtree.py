@@ -14,7 +14,8 @@ a context. A node of the tree is a context of one or two preceding symbols.
 * Scoring: a symbol's probability is that of the longest kept context before it. Written as a sum along the tree's
   path, a text's score is a sum of terms, each belonging to a word, a pair or a triple of neighbours
   (``model``), so texts are scored by looking terms up. The most frequent ``cached`` terms are sent to the tasks, and a filter of
-  fixed size tells most pairs and triples without a term; what is left is joined with the terms by a shuffle. Both only save work: no result depends
+  fixed size tells most pairs and triples without a term; what is left meets the terms in
+  parts of the keys, which send back a sum per text. Both only save work: no result depends
   on them.
 
 Nodes and terms grow with the corpus; what is sent to all tasks is bounded by parameters. Symbols and contexts are
@@ -56,6 +57,8 @@ PROBES = 3
 PROBED = 1 << 17
 # Text scored at once: each word stands for three terms.
 SCORED_BYTES = 1 << 20
+# Keys looked up in one task.
+ASKED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -439,9 +442,12 @@ def scored(docs: DataFrame, model: Model, limits: TreeLimits = TreeLimits(), fol
     rows.withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
     sent.unpersist()
     rows = spark.read.parquet(folder)
-    asked = rows.select("row", F.explode("open").alias("key"))
-    more = asked.join(others, "key").groupBy("row").agg(
-        F.sum("known").alias("known2"), F.sum("base").alias("base2"), F.sum("score").alias("score2"))
+    asked, there = rows.agg(F.sum(F.size("open"))).first()[0] or 0, others.count()
+    part = F.pmod(F.xxhash64("key"), F.lit(max(8, -(-max(asked, there) // ASKED)))).alias("part")
+    asked = rows.select("row", F.explode("open").alias("key")).select("row", "key", part)
+    more = asked.groupBy("part").cogroup(others.select("key", "known", "base", "score", part).groupBy("part")).applyInArrow(
+        _looked_up, "row long, known2 long, base2 double, score2 double")
+    more = more.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known2", "base2", "score2")])
     value = lambda c, d: F.col(c) + F.coalesce(F.col(d), F.lit(0))
     return rows.drop("open").join(more, "row", "left").select(
         "doc_id", "n_tokens", value("n_known", "known2").alias("n_known"),
@@ -449,6 +455,19 @@ def scored(docs: DataFrame, model: Model, limits: TreeLimits = TreeLimits(), fol
         (F.col("n_tokens") * model.default + value("score", "score2")).alias("score"))
 
 
+def _looked_up(asked: pa.Table, terms: pa.Table) -> pa.Table:
+    """Sums, per row of the scores, of the terms of one part of the keys."""
+    names = ["row", "known2", "base2", "score2"]
+    keys = terms.column("key").to_numpy()
+    order = np.argsort(keys)
+    keys, wanted, rows = keys[order], asked.column("key").to_numpy(), asked.column("row").to_numpy()
+    hit = np.flatnonzero(_is_in(wanted, keys))
+    at = order[np.searchsorted(keys, wanted[hit])]
+    row, of = np.unique(rows[hit], return_inverse=True)
+    sums = [np.bincount(of, weights=terms.column(c).to_numpy()[at], minlength=len(row)) for c in ("known", "base", "score")]
+    return pa.table([pa.array(row, pa.int64()), pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:])], names=names)
+
+
 def _measured(piece: pa.RecordBatch, terms: Cache) -> pa.RecordBatch:
     docs = piece.num_rows
     seen, owner, words = symbols(piece.column("text"))
