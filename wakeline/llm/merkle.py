@@ -1,10 +1,10 @@
 """Merkle manifest of a dataset as a postorder append log.
 
 Every row is a leaf; the leaves of a tree, in order, are grouped by eight into nodes, level by level. Aligned builders
-take blocks of ``8 ** BLOCK_LEVELS`` consecutive nodes, each block in a task of its own, and write its nodes in
+take blocks of ``8 ** block_levels`` consecutive nodes, each block in a task of its own, and write its nodes in
 completion order. Where a node stands in the log of its tree follows from subtree sizes alone (``position``), so a
 builder needs nothing from any other, and a proof reads its siblings from computed places. Higher levels are built the
-same way over the roots of the blocks, so a tree of n leaves takes ``log(n) / log(8 ** BLOCK_LEVELS)`` rounds.
+same way over the roots of the blocks, so a tree of n leaves takes ``log(n) / log(8 ** block_levels)`` rounds.
 The roots of the trees, ordered by name, are the leaves of one further tree.
 
 Digests are lowercase hex sha256, and a node hashes the hex text of its children.
@@ -31,7 +31,6 @@ from wakeline.session import checkpoint_dir, ship_package
 FAN_BITS = 3
 FAN = 1 << FAN_BITS
 BLOCK_LEVELS = 4
-BLOCK = FAN ** BLOCK_LEVELS
 TOP = "top"
 
 LOG_SCHEMA = "t string, n long, pos long, level int, idx long, digest string"
@@ -47,6 +46,7 @@ class Manifest:
     log: str
     top_leaves: str
     top_log: str
+    block_levels: int
 
 
 def digest(text: str) -> str:
@@ -106,7 +106,7 @@ def ordered(rows: DataFrame, folder: str) -> DataFrame:
     return stored.join(parts, ["t", "__part"]).withColumn("rank", rank).drop("__part", "__at", "__first", "__before")
 
 
-def _build_block(base: int):
+def _build_block(base: int, block_levels: int):
     """The nodes above one block of consecutive nodes of level ``base``, in completion order."""
 
     def build(table: pa.Table) -> pa.Table:
@@ -117,7 +117,7 @@ def _build_block(base: int):
         start = int(at[order[0]])
         leaves = table.column("digest").take(pa.array(order)).to_pylist()
         levels = [(base, start, leaves)] if base == 0 else []
-        row, height = leaves, min(base + BLOCK_LEVELS, len(sizes) - 1)
+        row, height = leaves, min(base + block_levels, len(sizes) - 1)
         for level in range(base + 1, height + 1):
             row = [digest("".join(row[k:k + FAN])) for k in range(0, len(row), FAN)]
             levels.append((level, start >> FAN_BITS * (level - base), row))
@@ -139,19 +139,19 @@ _LOG_ARROW = pa.schema([("t", pa.string()), ("n", pa.int64()), ("pos", pa.int64(
                         ("idx", pa.int64()), ("digest", pa.string())])
 
 
-def write_log(ranked: DataFrame, folder: str) -> DataFrame:
-    """Builds all trees over the ranked leaves, a round for each BLOCK_LEVELS levels, and returns the log."""
+def write_log(ranked: DataFrame, folder: str, block_levels: int = BLOCK_LEVELS) -> DataFrame:
+    """Builds all trees over the ranked leaves, a round for each block_levels levels, and returns the log."""
     spark = ranked.sparkSession
     most = ranked.agg(F.max("n")).first()[0] or 0
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in _ddl(LOG_SCHEMA)]
     spark.range(0).select(*empty).write.parquet(f"{folder}/round=0")
     nodes, base = ranked.select("t", "n", F.col("rank").alias("idx"), F.col("leaf").alias("digest")), 0
     while most > 1 or (base == 0 and most > 0):
-        out = f"{folder}/round={base + BLOCK_LEVELS}"
-        (nodes.groupBy("t", F.floor(F.col("idx") / BLOCK).alias("block")).applyInArrow(_build_block(base), LOG_SCHEMA)
-         .write.parquet(out))
-        base += BLOCK_LEVELS
-        most = -(-most // BLOCK)
+        out = f"{folder}/round={base + block_levels}"
+        (nodes.groupBy("t", F.floor(F.col("idx") / FAN ** block_levels).alias("block"))
+         .applyInArrow(_build_block(base, block_levels), LOG_SCHEMA).write.parquet(out))
+        base += block_levels
+        most = -(-most // FAN ** block_levels)
         nodes = spark.read.schema(LOG_SCHEMA).parquet(out).filter(F.col("level") == base).select(
             "t", "n", "idx", "digest")
     return read_log(spark, folder)
@@ -172,19 +172,19 @@ def tree_key(name: Column) -> Column:
     return F.coalesce(F.concat(F.lit("v"), name.cast("string")), F.lit("n"))
 
 
-def build(rows: DataFrame, folder: str | None = None) -> Manifest:
+def build(rows: DataFrame, folder: str | None = None, block_levels: int = BLOCK_LEVELS) -> Manifest:
     """Writes the manifest of the rows: ``t`` (tree_key), ``__order`` (order in the tree), ``leaf`` and any others."""
     spark = rows.sparkSession
     ship_package(spark)
     folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/manifest-{uuid.uuid4().hex}"
-    out = Manifest(*[f"{folder}/{name}" for name in ("leaves", "log", "top_leaves", "top_log")])
+    out = Manifest(*[f"{folder}/{name}" for name in ("leaves", "log", "top_leaves", "top_log")], block_levels)
     rows.write.parquet(f"{folder}/rows")
     ranked = ordered(spark.read.parquet(f"{folder}/rows"), f"{folder}/sorted")
     ranked.write.parquet(out.leaves)
-    log = write_log(spark.read.parquet(out.leaves), out.log)
+    log = write_log(spark.read.parquet(out.leaves), out.log, block_levels)
     tops = roots(log).select(F.lit(TOP).alias("t"), F.col("t").alias("__order"), F.col("subroot").alias("leaf"))
     ordered(tops, f"{folder}/top_sorted").write.parquet(out.top_leaves)
-    write_log(spark.read.parquet(out.top_leaves), out.top_log)
+    write_log(spark.read.parquet(out.top_leaves), out.top_log, block_levels)
     return out
 
 
@@ -231,47 +231,51 @@ def _ways(steps: DataFrame, log: DataFrame) -> DataFrame:
         "t", "block").agg(F.array_sort(F.collect_list("run")).alias("way"))
 
 
-def _extract(left: pa.Table, right: pa.Table) -> pa.Table:
+def _extract(block_levels: int):
     """Proofs of one block's leaves: siblings inside the block from their places in its part of the log, those above
     from the block's way. The root is computed anew from the claimed leaf."""
-    m = left.num_rows
-    if m == 0:
-        return pa.table([[]] * 6, schema=_PROOF_ARROW)
-    way, subroot, places, digests = [], None, [], []
-    for pos, d, w, s in zip(*(right.column(c).to_pylist() for c in ("pos", "digest", "way", "subroot"))):
-        if d is None:
-            way, subroot = w or [], s
-        else:
-            places.append(pos)
-            digests.append(d)
-    log = dict(zip(places, digests))
-    n = left.column("n")[0].as_py()
-    sizes = counts(n)
-    ranks = left.column("rank").to_numpy()
-    start = int(ranks.min()) // BLOCK * BLOCK
-    stop = min(start + BLOCK, n)
-    sides = []
-    for level in range(min(BLOCK_LEVELS, len(sizes) - 1)):
-        a, b = start >> FAN_BITS * level, -(-stop // FAN ** level)
-        row = [log[int(p)] for p in position(level, np.arange(a, b), n)]
-        sides.append((a, [("".join(row[k // FAN * FAN:k]), "".join(row[k + 1:k // FAN * FAN + FAN]))
-                          for k in range(len(row))]))
-    above = [(w["left"], w["right"]) for w in way]
-    above_text = "".join(a + b for a, b in above)
-    proofs, folded = [], []
-    for r, claim in zip(ranks.tolist(), left.column("claim").to_pylist()):
-        text, cur = [], claim
-        for level, (a, pairs) in enumerate(sides):
-            before, after = pairs[(r >> FAN_BITS * level) - a]
-            text.append(before + after)
-            cur = digest(before + cur + after)
-        for before, after in above:
-            cur = digest(before + cur + after)
-        proofs.append(digest("".join(text) + above_text))
-        folded.append(cur)
-    return pa.table([left.column("__order").cast(pa.string()), left.column("leaf"), left.column("t"),
-                     pa.array([subroot] * m, pa.string()), pa.array(proofs, pa.string()),
-                     pa.array(folded, pa.string())], schema=_PROOF_ARROW)
+
+    def extract(left: pa.Table, right: pa.Table) -> pa.Table:
+        m = left.num_rows
+        if m == 0:
+            return pa.table([[]] * 6, schema=_PROOF_ARROW)
+        way, subroot, places, digests = [], None, [], []
+        for pos, d, w, s in zip(*(right.column(c).to_pylist() for c in ("pos", "digest", "way", "subroot"))):
+            if d is None:
+                way, subroot = w or [], s
+            else:
+                places.append(pos)
+                digests.append(d)
+        log = dict(zip(places, digests))
+        n = left.column("n")[0].as_py()
+        sizes = counts(n)
+        ranks = left.column("rank").to_numpy()
+        start = int(ranks.min()) // FAN ** block_levels * FAN ** block_levels
+        stop = min(start + FAN ** block_levels, n)
+        sides = []
+        for level in range(min(block_levels, len(sizes) - 1)):
+            a, b = start >> FAN_BITS * level, -(-stop // FAN ** level)
+            row = [log[int(p)] for p in position(level, np.arange(a, b), n)]
+            sides.append((a, [("".join(row[k // FAN * FAN:k]), "".join(row[k + 1:k // FAN * FAN + FAN]))
+                              for k in range(len(row))]))
+        above = [(w["left"], w["right"]) for w in way]
+        above_text = "".join(a + b for a, b in above)
+        proofs, folded = [], []
+        for r, claim in zip(ranks.tolist(), left.column("claim").to_pylist()):
+            text, cur = [], claim
+            for level, (a, pairs) in enumerate(sides):
+                before, after = pairs[(r >> FAN_BITS * level) - a]
+                text.append(before + after)
+                cur = digest(before + cur + after)
+            for before, after in above:
+                cur = digest(before + cur + after)
+            proofs.append(digest("".join(text) + above_text))
+            folded.append(cur)
+        return pa.table([left.column("__order").cast(pa.string()), left.column("leaf"), left.column("t"),
+                         pa.array([subroot] * m, pa.string()), pa.array(proofs, pa.string()),
+                         pa.array(folded, pa.string())], schema=_PROOF_ARROW)
+
+    return extract
 
 
 _PROOF_ARROW = pa.schema([("__order", pa.string()), ("leaf", pa.string()), ("t", pa.string()), ("subroot", pa.string()),
@@ -282,10 +286,10 @@ def ways(spark: SparkSession, manifest: Manifest) -> DataFrame:
     """(t, block, subroot, way): what the leaves of a block have in common above it, up to the root of roots."""
     leaves = spark.read.parquet(manifest.leaves)
     log, top = read_log(spark, manifest.log), read_log(spark, manifest.top_log)
-    blocks = leaves.groupBy("t", "n", F.floor(F.col("rank") / BLOCK).alias("block")).agg(F.count("*").alias("__n"))
+    blocks = leaves.groupBy("t", "n", F.floor(F.col("rank") / FAN ** manifest.block_levels).alias("block")).agg(F.count("*").alias("__n"))
     start = "t string, block long, idx long, n long"
     inside = _ways(blocks.select("t", "block", F.col("block").alias("idx"), "n").to(_ddl(start)).mapInArrow(
-        _steps(BLOCK_LEVELS, False), STEP_SCHEMA), log)
+        _steps(manifest.block_levels, False), STEP_SCHEMA), log)
     tops = spark.read.parquet(manifest.top_leaves).select(
         F.col("__order").alias("t"), F.lit(0).cast("long").alias("block"), F.col("rank").alias("idx"), "n")
     outside = _ways(tops.to(_ddl(start)).mapInArrow(_steps(0, True), STEP_SCHEMA), top).select(
@@ -306,17 +310,18 @@ def proofs(spark: SparkSession, manifest: Manifest) -> DataFrame:
     """A proof for every leaf: its tree ``t``, order key (as text), digest, the tree's root, the digest of its siblings
     on the way to the root of roots, and the root that its ``claim`` gives with those siblings."""
     ship_package(spark)
-    block = F.floor(F.col("rank") / BLOCK).alias("block")
+    block = F.floor(F.col("rank") / FAN ** manifest.block_levels).alias("block")
     leaves = spark.read.parquet(manifest.leaves).select("t", block, "rank", "n", "leaf", "claim", F.col("__order").cast(
         "string").alias("__order"))
-    below = read_log(spark, manifest.log).filter(F.col("level") < BLOCK_LEVELS)
-    block = F.floor(F.col("idx") / F.pow(F.lit(FAN), BLOCK_LEVELS - F.col("level")))
+    below = read_log(spark, manifest.log).filter(F.col("level") < manifest.block_levels)
+    block = F.floor(F.col("idx") / F.pow(F.lit(FAN), manifest.block_levels - F.col("level")))
     way = ways(spark, manifest)
     log = below.select("t", block.alias("block"), "pos", "digest", F.lit(None).cast("string").alias("subroot"),
                        F.lit(None).cast(way.schema["way"].dataType).alias("way")).unionByName(
         way.select("t", "block", F.lit(-1).cast("long").alias("pos"), F.lit(None).cast("string").alias("digest"),
                    "subroot", "way"))
-    return leaves.groupBy("t", "block").cogroup(log.groupBy("t", "block")).applyInArrow(_extract, PROOF_SCHEMA)
+    return leaves.groupBy("t", "block").cogroup(log.groupBy("t", "block")).applyInArrow(
+        _extract(manifest.block_levels), PROOF_SCHEMA)
 
 
 def root(spark: SparkSession, manifest: Manifest) -> DataFrame:
