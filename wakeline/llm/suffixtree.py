@@ -465,7 +465,8 @@ def _looked_up(asked: pa.Table, terms: pa.Table) -> pa.Table:
     at = order[np.searchsorted(keys, wanted[hit])]
     row, of = np.unique(rows[hit], return_inverse=True)
     sums = [np.bincount(of, weights=terms.column(c).to_numpy()[at], minlength=len(row)) for c in ("known", "base", "score")]
-    return pa.table([pa.array(row, pa.int64()), pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:])], names=names)
+    return pa.table([pa.array(row, pa.int64()), pa.array(sums[0].astype(np.int64)),
+                     *[pa.array(v.astype(np.float64)) for v in sums[1:]]], names=names)
 
 
 def _measured(piece: pa.RecordBatch, terms: Cache) -> pa.RecordBatch:
@@ -480,8 +481,8 @@ def _measured(piece: pa.RecordBatch, terms: Cache) -> pa.RecordBatch:
     order = np.argsort(of, kind="stable")
     ends = np.cumsum(np.bincount(of, minlength=docs))
     lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(keys[order].view(np.int64)))
-    return pa.record_batch([piece.column("doc_id"), pa.array(words + 1), pa.array(known.astype(np.int64)), pa.array(base),
-                            pa.array(score), lists],
+    return pa.record_batch([piece.column("doc_id"), pa.array(words + 1), pa.array(known.astype(np.int64)),
+                            pa.array(base.astype(np.float64)), pa.array(score.astype(np.float64)), lists],
                            names=["doc_id", "n_tokens", "n_known", "base", "score", "open"])
 
 
