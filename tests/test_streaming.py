@@ -238,13 +238,6 @@ def test_replayed_batch_leaves_the_table_alone(spark, scratch):
     assert state.read_table(spark, scratch, "t").count() == 10
 
 
-def test_device_scope_is_refused(scratch):
-    from wakeline.streaming.pipeline import LatenessIngest
-
-    with pytest.raises(ValueError):
-        LatenessIngest(scratch, scope="device")
-
-
 def test_speed_stream_starts_outside_the_repository(tmp_path):
     """A fresh process in another folder, with the package on the driver's path only."""
     import os

@@ -16,17 +16,21 @@ from wakeline.operators.prefix import DEFAULT_BUCKET_ROWS, DEFAULT_LEVELS, runni
 
 
 def classify_lateness(df: DataFrame, seq: str = "seq", ts: str = "timestamp",
-                      scope: str = "stream", start: float = 0.0,
+                      scope: str = "stream", start: float | str = 0.0,
                       bucket_rows: int = DEFAULT_BUCKET_ROWS, key: str = "id",
                       levels: int = DEFAULT_LEVELS) -> DataFrame:
-    """Add ``is_late`` (boolean) to ``df``; ``levels`` as in ``prefix.scan_before``."""
+    """Add ``is_late`` (boolean) to ``df``; ``levels`` as in ``prefix.scan_before``.
+
+    ``start`` is the maximum before the first event, or names a column with each row's own (null: 0).
+    """
     if scope not in ("stream", "device"):
         raise ValueError(f"scope must be 'stream' or 'device', not {scope!r}")
     keys = [key] if scope == "device" else []
     t = F.col(ts)
     d = df.withColumn("_tmax", F.when(F.isnan(t), F.lit(None)).otherwise(t))
     d = running_max_before(d, "_tmax", seq, "_prev", keys=keys, bucket_rows=bucket_rows, levels=levels)
-    prev = F.greatest(F.lit(float(start)), F.col("_prev"))
+    first = F.coalesce(F.col(start), F.lit(0.0)) if isinstance(start, str) else F.lit(float(start))
+    prev = F.greatest(first, F.col("_prev"))
     on_time = t.isNotNull() & ~F.isnan(t) & (t > prev)
     return d.withColumn("is_late", ~on_time).drop("_tmax", "_prev")
 

@@ -123,6 +123,84 @@ def rate(samples: DataFrame, series: Sequence[str], value: str = "units", scale:
     return d.select(*series, k, (inc * factor).alias(out))
 
 
+# -- stored samples at any evaluation times ------------------------------------
+
+def evaluation_times(samples: DataFrame, series: Sequence[str], start: float, every: float,
+                     keep: float = 300.0, ts: str = "ts") -> DataFrame:
+    """``series.., t``: times ``start + j * every`` from each series' first sample to ``keep`` seconds after its last."""
+    ends = samples.groupBy(*series).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"))
+    index = lambda t: (t - F.lit(float(start))) / F.lit(float(every))
+    low, high = F.ceil(index(F.col("_a"))), F.floor(index(F.col("_b") + F.lit(float(keep))))
+    return ends.filter(low <= high).select(*series, F.explode(F.sequence(low, high)).alias("_j")).select(
+        *series, (F.lit(float(start)) + F.col("_j").cast("double") * F.lit(float(every))).alias("t"))
+
+
+def _as_of(samples: DataFrame, grid: DataFrame, series: Sequence[str], window: float | None, columns: Sequence[str],
+           ts: str) -> DataFrame:
+    """``series.., t, _end, _start``: of each series, the last sample at or before t, and the first at or after t - window.
+
+    Samples and probes share one order per series; the last sample seen by a probe in ascending (descending) time
+    is what it asks for, so a row costs the same however many samples the window holds.
+    """
+    data = F.struct(F.col(ts).alias("ts"), *columns)
+    kinds = [(1, F.col("t"))] + ([] if window is None else [(2, F.col("t") - F.lit(float(window)))])
+    rows = samples.select(*series, F.col(ts).alias("_t"), F.lit(0).alias("_kind"), data.alias("_s"), F.lit(None).cast("double").alias("t"))
+    probes = grid.select(*series, "t", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), at.alias("at")) for k, at in kinds])).alias("_p"))
+    rows = rows.unionByName(probes.select(*series, F.col("_p.at").alias("_t"), F.col("_p.k").alias("_kind"),
+                                          F.lit(None).cast(rows.schema["_s"].dataType).alias("_s"), "t"))
+    w = Window.partitionBy(*series)
+    before = w.orderBy(F.col("_t").asc(), F.col("_kind").asc()).rowsBetween(_UNB, 0)
+    after = w.orderBy(F.col("_t").desc(), F.col("_kind").asc()).rowsBetween(_UNB, 0)
+    rows = rows.withColumn("_end", F.when(F.col("_kind") == 1, F.last("_s", ignorenulls=True).over(before)))
+    start = F.lit(None).cast(rows.schema["_s"].dataType)
+    if window is not None:
+        start = F.when(F.col("_kind") == 2, F.last("_s", ignorenulls=True).over(after))
+    rows = rows.withColumn("_start", start).filter("_kind > 0")
+    return rows.groupBy(*series, "t").agg(F.first("_end", ignorenulls=True).alias("_end"),
+                                          F.first("_start", ignorenulls=True).alias("_start"))
+
+
+def instant_at(samples: DataFrame, grid: DataFrame, series: Sequence[str], lookback: float = 300.0,
+               ts: str = "ts", value: str = "value") -> DataFrame:
+    """``series.., t, value``: the latest sample at or before t that is not older than ``lookback``."""
+    found = _as_of(samples, grid, series, None, [F.col(value).alias("v")], ts)
+    fresh = F.col("_end.ts") > F.col("t") - F.lit(float(lookback))
+    return found.filter(fresh).select(*series, "t", F.col("_end.v").alias("value"))
+
+
+def rate_at(samples: DataFrame, grid: DataFrame, series: Sequence[str], window: float = 300.0, extrapolate: bool = True,
+            is_counter: bool = True, ts: str = "ts", value: str = "value") -> DataFrame:
+    """M1-M2 for stored samples at the times of ``grid`` (series.., t), which need not be sample times.
+
+    Over the samples in ``[t - window, t]``: a drop of the counter is a restart from zero, fewer than two samples give
+    no row. ``extrapolate`` extends the increase to both ends of the window by the public Prometheus rule: an end
+    further from the nearest sample than 1.1 average intervals counts half an interval, and a counter is not extended
+    back beyond its zero.
+    """
+    series = list(series)
+    w = Window.partitionBy(*series).orderBy(ts)
+    v, prev = F.col(value), F.lag(value).over(w)
+    delta = F.when(prev.isNull(), F.lit(0.0)).when(v < prev, v).otherwise(v - prev)
+    summed = samples.select(*series, ts, v.alias("v"), delta.alias("_d"), F.row_number().over(w).alias("i")).withColumn(
+        "cum", F.sum("_d").over(w.rowsBetween(_UNB, 0)))
+    d = _as_of(summed, grid, series, window, ["v", "i", "cum"], ts)
+    n = F.col("_end.i") - F.col("_start.i") + 1
+    d = d.filter(n >= 2).select(*series, "t", n.cast("double").alias("_n"), F.col("_start.ts").alias("_a"), F.col("_end.ts").alias("_b"),
+                                F.col("_start.v").alias("_first"), (F.col("_end.cum") - F.col("_start.cum")).alias("_inc"))
+    inc, width = F.col("_inc"), F.lit(float(window))
+    if not extrapolate:
+        return d.select(*series, "t", (inc / width).alias("value"))
+    sampled = F.col("_b") - F.col("_a")
+    avg = sampled / (F.col("_n") - F.lit(1.0))
+    to_start, to_end = F.col("_a") - (F.col("t") - width), F.col("t") - F.col("_b")
+    to_start = F.when(to_start >= avg * F.lit(1.1), avg / F.lit(2.0)).otherwise(to_start)
+    if is_counter:
+        to_zero = F.when((inc > 0) & (F.col("_first") >= 0), sampled * (F.col("_first") / inc))
+        to_start = F.when(to_zero.isNotNull() & (to_zero < to_start), to_zero).otherwise(to_start)
+    to_end = F.when(to_end >= avg * F.lit(1.1), avg / F.lit(2.0)).otherwise(to_end)
+    return d.select(*series, "t", (inc * ((sampled + to_start + to_end) / sampled / width)).alias("value"))
+
+
 def sum_by(df: DataFrame, by: Sequence[str] = (), value: str = "value", k: str = "k") -> DataFrame:
     """``sum by(...)`` across series at each time."""
     return df.groupBy(k, *by).agg(F.sum(value).alias(value))

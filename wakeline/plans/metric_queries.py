@@ -285,6 +285,30 @@ def q_recent_counters(spark, sf_dir):
     return recent.select("ts", "metric", M.label_column(F.col("labels"), "id").alias("id"), "value")
 
 
+# Dashboard times: none of them is a sample's time.
+PANEL_START_S, PANEL_EVERY_S = S.START + 7.0, 60.0
+
+
+def _device_samples(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    s = S.device_samples(fx.read_table(spark, sf_dir, "events"))
+    return s, M.evaluation_times(s, ["device"], PANEL_START_S, PANEL_EVERY_S)
+
+
+def q_rate_at_times(spark, sf_dir):
+    """M1, M2 over samples with gaps and resets, at the dashboard's times."""
+    return M.rate_at(*_device_samples(spark, sf_dir), ["device"], window=RATE_WINDOW_S)
+
+
+def q_increase_at_times(spark, sf_dir):
+    """M1 without extension: the plain increase over the window, per second."""
+    return M.rate_at(*_device_samples(spark, sf_dir), ["device"], window=RATE_WINDOW_S, extrapolate=False)
+
+
+def q_instant_at_times(spark, sf_dir):
+    """Values at the dashboard's times, looking back five minutes."""
+    return M.instant_at(*_device_samples(spark, sf_dir), ["device"])
+
+
 # -- alerts ------------------------------------------------------------------
 
 def _single_grid(inp: Inputs, name: str) -> DataFrame:
@@ -354,6 +378,9 @@ METRIC_QUERIES = {
     "memory_usage_stored": q_memory_usage_stored,
     "net_rx_stored": q_net_rx_stored,
     "recent_counters": q_recent_counters,
+    "rate_at_times": q_rate_at_times,
+    "increase_at_times": q_increase_at_times,
+    "instant_at_times": q_instant_at_times,
     "alert_backpressure": q_alert_backpressure,
     "alert_late_events": q_alert_late_events,
     "alert_late_events_all": q_alert_late_events_all,

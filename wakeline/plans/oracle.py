@@ -134,3 +134,13 @@ FROM (SELECT unnest([1, 2, 3, 4, 5, 6]) AS id) s LEFT JOIN latest l ON l.id = s.
 SELECT ts_text, level, logger, message, service_name FROM parsed_logs
 WHERE length(service_name) > 0 AND lower(level) = 'error' ORDER BY ts_text DESC""",
 }
+
+# Fed in slices, the stream gives what the batch queries give.
+ORACLE["stream_partition_lateness"] = ORACLE["multi_partition_lateness"]
+ORACLE["stream_device_lateness"] = with_ctes(SENSOR, CLASSIFIED_DEVICE) + "SELECT seq, id, timestamp, is_late FROM classified_device"
+ORACLE["stream_counters"] = with_ctes(*_BASE) + """
+SELECT 'on_time_device_' || CAST(id AS VARCHAR) AS metric, count(*) AS value FROM on_time GROUP BY id
+UNION ALL SELECT 'late_device_' || CAST(id AS VARCHAR), count(*) FROM late GROUP BY id
+UNION ALL SELECT 'total_on_time_events', count(*) FROM on_time
+UNION ALL SELECT 'total_late_events', count(*) FROM late"""
+ORACLE["stream_alert_transitions"] = ORACLE["alert_transitions"]

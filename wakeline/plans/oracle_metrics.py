@@ -241,7 +241,56 @@ def _stage_ctes():
     return (SENSOR, CLASSIFIED, ON_TIME, SPEED_W2, EVK, ENRICHED_K, STAGES)
 
 
+# Samples at uneven times, and evaluation by joining every time with all samples of its window.
+DEVICE_SAMPLES = """
+uneven AS (
+  SELECT device, arrival AS ts, CAST(arg_max(total, event_id) AS DOUBLE) AS value
+  FROM (SELECT *, sum(inc) OVER (PARTITION BY device, life ORDER BY event_id) AS total
+        FROM (SELECT CAST(user_id AS VARCHAR) AS device, event_id, CAST(round(value * 100e0) AS BIGINT) AS inc,
+                     1704067200e0 + (epoch_us(ts) - 1704067200000000) / 648000000e0 AS arrival,
+                     count(*) FILTER (WHERE event_id % 40 = 0) OVER (PARTITION BY user_id ORDER BY event_id) AS life
+              FROM events))
+  WHERE (event_id // 200) % 5 <> 0
+  GROUP BY device, arrival
+),
+stepped AS (
+  SELECT *, lag(value) OVER (PARTITION BY device ORDER BY ts) AS was FROM uneven
+),
+moments AS (
+  SELECT device, 1704067207e0 + j * 60e0 AS t
+  FROM (SELECT device, unnest(range(CAST(ceil((min(ts) - 1704067207e0) / 60e0) AS BIGINT),
+                                    CAST(floor((max(ts) + 300e0 - 1704067207e0) / 60e0) AS BIGINT) + 1)) AS j
+        FROM uneven GROUP BY device)
+)"""
+
+AT_TIMES = """
+seen AS (
+  SELECT m.device, m.t, count(*) AS n, min(s.ts) AS a, max(s.ts) AS b, arg_min(s.value, s.ts) AS first_value,
+         sum(CASE WHEN s.was IS NULL THEN 0e0 WHEN s.value < s.was THEN s.value ELSE s.value - s.was END)
+           - arg_min(CASE WHEN s.was IS NULL THEN 0e0 WHEN s.value < s.was THEN s.value ELSE s.value - s.was END, s.ts) AS inc
+  FROM moments m JOIN stepped s ON s.device = m.device AND s.ts >= m.t - 300e0 AND s.ts <= m.t
+  GROUP BY m.device, m.t HAVING count(*) >= 2
+),
+edges AS (
+  SELECT *, b - a AS sampled, (b - a) / (n - 1e0) AS step, a - (t - 300e0) AS before, t - b AS behind,
+         CASE WHEN inc > 0 AND first_value >= 0 THEN (b - a) * (first_value / inc) END AS zero
+  FROM seen
+),
+reach AS (
+  SELECT *, CASE WHEN before >= step * 1.1e0 THEN step / 2e0 ELSE before END AS lead_in,
+         CASE WHEN behind >= step * 1.1e0 THEN step / 2e0 ELSE behind END AS lead_out
+  FROM edges
+)"""
+
 ORACLE_METRICS: dict[str, str] = {
+    "rate_at_times": with_ctes(DEVICE_SAMPLES, AT_TIMES) + """
+SELECT device, t, inc * ((sampled + CASE WHEN zero < lead_in THEN zero ELSE lead_in END + lead_out) / sampled / 300e0) AS value
+FROM reach""",
+    "increase_at_times": with_ctes(DEVICE_SAMPLES, AT_TIMES) + "SELECT device, t, inc / 300e0 AS value FROM seen",
+    "instant_at_times": with_ctes(DEVICE_SAMPLES) + """
+SELECT m.device, m.t, arg_max(s.value, s.ts) AS value
+FROM moments m JOIN uneven s ON s.device = m.device AND s.ts > m.t - 300e0 AND s.ts <= m.t
+GROUP BY m.device, m.t""",
     "sample_counters": with_ctes(*PIPE_CTES) + """
 SELECT k, metric, CAST(nullif(id, '') AS INTEGER) AS id,
        CAST(units AS DOUBLE) / CASE WHEN metric = 'time_counter_ms' THEN 1000e0 ELSE 1e0 END AS value FROM pipe""",

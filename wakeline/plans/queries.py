@@ -193,6 +193,7 @@ def q_error_logs(spark, sf_dir):
 
 
 from wakeline.plans.metric_queries import METRIC_QUERIES  # noqa: E402
+from wakeline.plans.stream_queries import STREAM_QUERIES  # noqa: E402
 
 QUERIES: dict[str, Query] = {
     "parse_events": q_parse_events,
@@ -221,6 +222,7 @@ QUERIES: dict[str, Query] = {
     "latest_per_device": q_latest_per_device,
     "speed_board": q_speed_board,
     **METRIC_QUERIES,
+    **STREAM_QUERIES,
     "parse_logs": q_parse_logs,
     "service_labels": q_service_labels,
     "error_logs": q_error_logs,

@@ -89,6 +89,28 @@ def pipeline_totals(classified: DataFrame, enriched: DataFrame | None) -> DataFr
     return _with_scale(pipeline_bumps(classified, enriched).groupBy("metric", "id").agg(F.sum("inc").alias("units")))
 
 
+# -- samples at uneven times ---------------------------------------------------
+
+RESET_EVERY, OUTAGE_EVENTS, OUTAGE_EVERY = 40, 200, 5
+
+
+def device_samples(events: DataFrame) -> DataFrame:
+    """``device, ts, value``: a counter of each device's event values (cents), stored at each of its events.
+
+    Every 40th event restarts its device's counter, and of every 1,000 events the first 200 come in an outage of the
+    store: they count, but are not sampled. Of events at one time the last is stored.
+    """
+    e = indexed_events(events).select(F.col("user_id").cast("string").alias("device"), "event_id", "arrival",
+                                      _cents(F.col("value")).alias("inc"))
+    w = Window.partitionBy("device").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumn("life", F.sum(F.when(F.col("event_id") % RESET_EVERY == 0, 1).otherwise(0)).over(w))
+    w = Window.partitionBy("device", "life").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumn("total", F.sum("inc").over(w))
+    stored = e.filter(F.expr(f"(event_id div {OUTAGE_EVENTS}) % {OUTAGE_EVERY} != 0"))
+    return stored.groupBy("device", F.col("arrival").alias("ts")).agg(
+        F.max_by("total", "event_id").cast("double").alias("value"))
+
+
 # -- node metrics ------------------------------------------------------------
 
 def _instance():

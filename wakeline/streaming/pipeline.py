@@ -9,24 +9,28 @@
   boundaries; the remainder is carried, and ``flush`` writes the last partial
   batch when the stream stops.
 * ``LatestUpsert``: keeps the latest row per device in a table.
+* ``HoldBack``: one order over several source partitions in front of any of these.
+* ``CounterWriter``: the job's counters, kept by the stream; ``AlertStream``: alerts as values come in.
 """
 
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from wakeline.functions.geo import HORIZON_S, METRES_PER_DEGREE, MIN_GAP_S
-from wakeline.operators import batches, lateness, latest, parse
+from wakeline.operators import alerts, batches, lateness, latest, parse
+from wakeline.operators.metrics import STEP_S
 from wakeline.operators.speed import EventList, fold_events
-from wakeline.sources.io import TAIL, archive_lines
+from wakeline.sources.io import TAIL, archive_lines, arrival_seq
 from wakeline.streaming import state
 
 ON_TIME_SCHEMA = T.StructType([
@@ -51,13 +55,18 @@ SPEED_OUT = T.StructType([
 
 
 class LatenessIngest:
-    """``foreachBatch`` function: parse + W0 with a carry that survives restarts."""
+    """``foreachBatch`` function: parse + W0 with a carry that survives restarts.
 
-    def __init__(self, root: str, start: float = 0.0, scope: str = "stream"):
-        if scope != "stream":
-            # One carried maximum cannot stand for every device.
-            raise ValueError("streaming lateness has stream scope only; use lateness.classify_lateness for device scope")
-        self.root, self.start, self.scope = root, float(start), scope
+    ``scope="device"`` carries one maximum per device (table ``device_carry``) instead of one for the stream.
+    ``counters`` is called with each batch's classified events (see ``CounterWriter``).
+    """
+
+    def __init__(self, root: str, start: float = 0.0, scope: str = "stream", counters=None, every: int = 100):
+        if scope not in ("stream", "device"):
+            raise ValueError(f"scope must be 'stream' or 'device', not {scope!r}")
+        self.root, self.start, self.scope, self.counters = root, float(start), scope, counters
+        # A maximum does not care how often or in which order it is taken, so replays change nothing.
+        self.tops = state.Folded(root, "device_carry", lambda d: d.groupBy("id").agg(F.max("top").alias("top")), every)
 
     def carry_in(self, spark: SparkSession, batch_id: int) -> float:
         prev = state.carry_before(spark, self.root, "carry", batch_id)
@@ -66,9 +75,18 @@ class LatenessIngest:
         v = prev.select("carry_out").first()[0]
         return self.start if v is None else float(v)
 
+    def _classified(self, good: DataFrame, batch_id: int) -> DataFrame:
+        spark = good.sparkSession
+        if self.scope == "stream":
+            return lateness.classify_lateness(good, start=self.carry_in(spark, batch_id))
+        tops = self.tops.before(spark, batch_id)
+        first = F.lit(self.start) if tops is None else F.coalesce("top", F.lit(self.start))
+        known = good if tops is None else good.join(tops, "id", "left")
+        rows = known.withColumn("_first", first).select(*good.columns, "_first")
+        return lateness.classify_lateness(rows, start="_first", scope="device").drop("_first")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cin = self.carry_in(spark, batch_id)
         checked = parse.parse_with_reason(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             state.write_batch(checked.filter(F.col("reason").isNotNull()).select("seq", "value", "reason"),
@@ -76,20 +94,231 @@ class LatenessIngest:
             good = checked.filter(F.col("reason").isNull()).select(
                 "seq", F.col("_j.id").cast("int").alias("id"), F.col("_j.x").cast("float").alias("x"),
                 F.col("_j.y").cast("float").alias("y"), F.col("_j.timestamp").alias("timestamp"))
-            c = lateness.classify_lateness(good, start=cin, scope=self.scope).persist(StorageLevel.MEMORY_AND_DISK)
+            c = self._classified(good, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                state.write_batch(c.filter(~F.col("is_late")).drop("is_late"), self.root, "on_time", batch_id)
+                on_time = c.filter(~F.col("is_late")).drop("is_late")
+                state.write_batch(on_time, self.root, "on_time", batch_id)
                 state.write_batch(c.filter(F.col("is_late")).drop("is_late"), self.root, "late", batch_id)
-                top = c.filter(~F.col("is_late")).agg(F.max("timestamp")).first()[0]
+                if self.counters is not None:
+                    self.counters(c, batch_id)
+                # The carry comes last: a batch without it is done again from the start.
+                if self.scope == "device":
+                    self.tops.write(on_time.groupBy("id").agg(F.max("timestamp").alias("top")), batch_id)
+                else:
+                    self._carry_out(spark, on_time, batch_id)
             finally:
                 c.unpersist()
         finally:
             checked.unpersist()
+
+    def _carry_out(self, spark: SparkSession, on_time: DataFrame, batch_id: int) -> None:
+        cin = self.carry_in(spark, batch_id)
+        top = on_time.agg(F.max("timestamp")).first()[0]
         cout = cin if top is None else max(cin, float(top))
         carry = spark.createDataFrame([(float(cin), float(cout))], "carry_in double, carry_out double")
         state.write_batch(carry, self.root, "carry", batch_id)
 
 
+class HoldBack:
+    """``foreachBatch`` function: one order over several source partitions, whatever the slicing into micro-batches.
+
+    Records (partition, offset, value) come in order within their partition, but one partition may be ahead of
+    another. A record is held back until no partition can still send one that precedes it in the order of
+    ``arrival_seq`` (by offset, then by partition); then it goes to ``sink(rows(seq, value, partition, offset), id)``.
+    So the sink sees one total order, cut into batches. State is the held-back rows and, per partition, the next
+    offset; records below it (sent again) are dropped.
+
+    ``start`` gives each partition's first offset where it is not 0, as when reading starts at the latest records. A
+    silent partition holds the others back; ``flush`` lets all go when the stream has stopped. The sink's ids are
+    even for micro-batches and odd for a flush, and the sink must accept an id again after a failure, like all here.
+    """
+
+    def __init__(self, root: str, sink, partitions: int, start: dict[int, int] | None = None, table: str = "order"):
+        self.root, self.sink, self.partitions, self.table = root, sink, int(partitions), table
+        self.start = {q: int((start or {}).get(q, 0)) for q in range(self.partitions)}
+
+    def next_offsets(self, spark: SparkSession, at: int) -> tuple[int | None, dict[int, int]]:
+        """The newest state before ``at`` and the offsets that come next (a number per partition)."""
+        prev = state.batch_before(spark, self.root, self.table + "_next", at)
+        if prev is None:
+            return None, dict(self.start)
+        rows = state.read_partition(spark, self.root, self.table + "_next", prev).collect()
+        return prev, {int(r["partition"]): int(r["next"]) for r in rows}
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self._step(batch.sparkSession, batch.select("partition", "offset", "value"), 2 * batch_id)
+
+    def flush(self, spark: SparkSession) -> None:
+        """Let everything go that is held back. Records that come later, after a restart, follow what was let go."""
+        prev, _ = self.next_offsets(spark, 1 << 62)
+        if prev is not None and prev % 2 == 0:
+            self._step(spark, None, prev + 1)
+
+    def _step(self, spark: SparkSession, fresh: DataFrame | None, at: int) -> None:
+        prev, offsets = self.next_offsets(spark, at)
+        held = None if prev is None else state.read_partition(spark, self.root, self.table + "_held", prev)
+        rows = None if held is None else held.select("partition", "offset", "value")
+        if fresh is not None:
+            begin = F.create_map(*[F.lit(x) for q in sorted(offsets.items()) for x in q])
+            fresh = fresh.select(F.col("partition").cast("int").alias("partition"), F.col("offset").cast("long").alias("offset"), "value")
+            # An unknown partition has no offset here; arrival_seq reports it.
+            fresh = fresh.filter(F.col("offset") >= F.coalesce(begin[F.col("partition")], F.lit(0)))
+            rows = fresh if rows is None else rows.unionByName(fresh)
+        if rows is None:
+            rows = spark.createDataFrame([], "partition int, offset long, value string")
+        rows = rows.withColumn("seq", arrival_seq(F.col("partition"), F.col("offset"), self.partitions))
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for r in rows.groupBy("partition").agg(F.max("offset").alias("top")).collect():
+                offsets[r["partition"]] = max(offsets[r["partition"]], r["top"] + 1)
+            low = min(o * self.partitions + q for q, o in offsets.items())
+            free = F.lit(True) if fresh is None else F.col("seq") < F.lit(low)
+            self.sink(rows.filter(free).select("seq", "value", "partition", "offset"), at)
+            state.write_batch(rows.filter(~free).drop("seq"), self.root, self.table + "_held", at)
+        finally:
+            rows.unpersist()
+        state.write_batch(spark.createDataFrame(sorted(offsets.items()), "partition int, next long"), self.root,
+                          self.table + "_next", at)
+        if prev is not None:
+            for name in ("_held", "_next"):
+                state.forget(spark, self.root, self.table + name, prev)
+
+
+class CounterWriter:
+    """Job counters kept by the stream itself: ``bumps`` turns a batch into rows (metric, inc); the counters that a batch
+    bumps are written with their new totals and the time ``clock(batch_id)``.
+
+    With ``keep`` every written value stays, so the table is also the counters' stored samples.
+    """
+
+    def __init__(self, root: str, bumps, table: str = "counters", every: int = 100, keep: bool = True, clock=None):
+        self.bumps, self.clock = bumps, clock or (lambda batch_id: time.time())
+        last = F.max_by(F.struct("value", "ts"), "at").alias("_l")
+        self.store = state.Folded(root, table, lambda d: d.groupBy("metric").agg(last, F.max("at").alias("at")).select(
+            "metric", "_l.value", "_l.ts", "at"), every, keep)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        more = self.bumps(batch).groupBy("metric").agg(F.sum("inc").alias("inc"))
+        before = self.store.before(spark, batch_id)
+        value = F.col("inc")
+        if before is not None:
+            more = more.join(before.select("metric", F.col("value").alias("_before")), "metric", "left")
+            value = F.coalesce("_before", F.lit(0)) + F.col("inc")
+        self.store.write(more.select("metric", value.alias("value"), F.lit(float(self.clock(batch_id))).alias("ts"),
+                                     F.lit(int(batch_id)).cast("long").alias("at")), batch_id)
+
+    def totals(self, spark: SparkSession) -> DataFrame | None:
+        """The counters now: metric, value."""
+        rows = self.store.rows(spark)
+        return None if rows is None else rows.select("metric", "value")
+
+    def samples(self, spark: SparkSession) -> DataFrame | None:
+        """The values written so far, in the canonical form of stored samples."""
+        rows = state.read_table(spark, self.store.root, self.store.table)
+        none = F.create_map().cast("map<string,string>")
+        return None if rows is None else rows.select("ts", "metric", none.alias("labels"), F.col("value").cast("double").alias("value"))
+
+
+def event_bumps(classified: DataFrame) -> DataFrame:
+    """Bumps of the on-time and late counters, per device and in total."""
+    late = F.col("is_late")
+    device = F.concat(F.when(late, "late_device_").otherwise("on_time_device_"), F.col("id").cast("string"))
+    total = F.when(late, "total_late_events").otherwise("total_on_time_events")
+    return classified.select(F.explode(F.array(device, total)).alias("metric"), F.lit(1).cast("long").alias("inc"))
+
+
+def latency_bumps(enriched: DataFrame) -> DataFrame:
+    """Bumps of the latency sum, in whole microseconds."""
+    return enriched.select(F.lit("time_counter_us").alias("metric"),
+                           F.round(F.col("time_taken").cast("double") * F.lit(1e6)).cast("long").alias("inc"))
+
+
+class AlertStream:
+    """``foreachBatch`` function: threshold alerts (M15-M18) evaluated as the values come in.
+
+    A batch holds values (series.., k, value) of later scrapes than the batches before. Every series seen so far
+    is evaluated at each evaluation index up to ``upto`` (by default the batch's largest k), so one without values gets
+    ``nodata``; a series seen for the first time is evaluated from the grid's start. Carried per series: its last state
+    and, while it breaches, since when. Tables ``<name>_states`` and ``<name>_sent`` (changes of state) get a batch's rows.
+    """
+
+    def __init__(self, root: str, series: list[str], op: str, limit: float, hold: float = alerts.HOLD_S,
+                 every: float = alerts.EVAL_EVERY_S, step: float = STEP_S, name: str = "alert"):
+        self.root, self.series, self.name = root, list(series), name
+        self.op, self.limit, self.hold, self.step = op, limit, hold, step
+        self.every = int(round(every / step))
+
+    def __call__(self, batch: DataFrame, batch_id: int, upto: int | None = None) -> None:
+        spark = batch.sparkSession
+        s = self.series
+        prev = state.batch_before(spark, self.root, self.name + "_upto", batch_id)
+        done = 0 if prev is None else int(state.read_partition(spark, self.root, self.name + "_upto", prev).first()["upto"])
+        carry = None if prev is None else state.read_partition(spark, self.root, self.name + "_carry", prev)
+        batch = batch.select(*s, "k", "value").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if upto is None:
+                upto = batch.agg(F.max("k")).first()[0]
+            upto = max(done, done if upto is None else int(upto))
+            if carry is None:
+                known = batch.select(*s).distinct().withColumn("_from", F.lit(0))
+            else:
+                known = batch.select(*s).distinct().join(carry.select(*s), s, "left_anti").withColumn("_from", F.lit(0)).unionByName(
+                    carry.select(*s, F.when(F.col("state").isNull(), 0).otherwise(done).alias("_from")))
+            e = self.every
+            first = (F.floor(F.col("_from") / e) + 1) * e
+            times = F.sequence(first.cast("int"), F.greatest(first.cast("int"), F.lit(upto // e * e)), F.lit(e))
+            grid = known.select(*s, F.explode(times).alias("k")).filter(F.col("k") <= upto)
+            values = batch
+            if carry is not None:
+                # An open breach goes on: its first evaluation stands before the new ones.
+                since = carry.filter("since is not null").select(*s, F.col("since").alias("k"), "value")
+                grid, values = grid.unionByName(since.select(*s, "k")), values.unionByName(since)
+            states = alerts.alert_states(values, grid, s, self.op, self.limit, self.hold, self.step)
+            states = states.join(known, s).filter(F.col("k") > F.col("_from")).drop("_from")
+            states = states.persist(StorageLevel.MEMORY_AND_DISK)
+            self._write(spark, states, known, carry, batch_id, upto)
+            states.unpersist()
+        finally:
+            batch.unpersist()
+        if prev is not None:
+            for table in ("_carry", "_upto"):
+                state.forget(spark, self.root, self.name + table, prev)
+
+    def _write(self, spark: SparkSession, states: DataFrame, known: DataFrame, carry: DataFrame | None, batch_id: int,
+               upto: int) -> None:
+        s = self.series
+        w = Window.partitionBy(*s).orderBy("k")
+        state.write_batch(states, self.root, self.name + "_states", batch_id)
+        old = None if carry is None else carry.select(*s, F.col("state").alias("_was"))
+        rows = states.withColumn("_was", F.lit(None).cast("string")) if old is None else states.join(old, s, "left")
+        sent = rows.withColumn("prev_state", F.coalesce(F.lag("state").over(w), "_was")).drop("_was").filter(
+            F.col("prev_state").isNull() | (F.col("prev_state") != F.col("state")))
+        state.write_batch(sent, self.root, self.name + "_sent", batch_id)
+        # The breach that is open at the end: its first evaluation after the last one that did not breach.
+        open_state = F.col("state").isin("pending", "firing")
+        ends = states.groupBy(*s).agg(F.max_by(F.struct("state", "value"), "k").alias("_l"),
+                                      F.max(F.when(~open_state, F.col("k"))).alias("_calm"))
+        last = states.join(ends, s).filter(open_state & (F.col("k") > F.coalesce("_calm", F.lit(-1)))).groupBy(*s).agg(
+            F.min("k").alias("_first"), F.min_by("value", "k").alias("_value"))
+        now = ends.join(last, s, "left")
+        if carry is not None:
+            now = now.join(carry.select(*s, F.col("since").alias("_since"), F.col("value").alias("_held")), s, "left")
+        else:
+            now = now.withColumn("_since", F.lit(None).cast("int")).withColumn("_held", F.lit(None).cast("double"))
+        goes_on = F.col("_calm").isNull() & F.col("_since").isNotNull()
+        now = now.select(*s, F.col("_l.state").alias("state"),
+                         F.when(goes_on, F.col("_since")).otherwise(F.col("_first")).alias("since"),
+                         F.when(goes_on, F.col("_held")).otherwise(F.col("_value")).alias("value"))
+        # Series without an evaluation in this batch stay as they are, new ones without a state.
+        rest = known.select(*s).join(states.select(*s).distinct(), s, "left_anti")
+        none = [F.lit(None).cast(t).alias(c) for c, t in (("state", "string"), ("since", "int"), ("value", "double"))]
+        rest = rest.select(*s, *none) if carry is None else rest.join(carry, s, "left").select(*s, "state", "since", "value")
+        now = now.unionByName(rest)
+        state.write_batch(now, self.root, self.name + "_carry", batch_id)
+        state.write_batch(spark.createDataFrame([(upto,)], "upto int"), self.root, self.name + "_upto", batch_id)
+
+
 class CodedSpeedProcessor(StatefulProcessor):
     """W2 per device: the reference's list-state fold, state kept in a ``ListState``."""
 
@@ -183,46 +412,23 @@ class ArchiveWriter:
         archive_lines(arch).select("value").write.mode("overwrite").text(os.path.join(self.root, self.out + TAIL))
 
 
-SNAPSHOT = "_snapshot"
-
-
 def _fold_latest(rows: DataFrame) -> DataFrame:
     last = F.max_by(F.struct("seq", "x", "y", "inst_speed"), F.col("seq"))
     return rows.filter(F.col("inst_speed").isNotNull()).groupBy("id").agg(last.alias("_l")).select("id", "_l.*")
 
 
-def _latest_rows(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """The newest snapshot and the changes since then (batch ids are folders, so older ones are not read)."""
-    changes = state.read_table(spark, root, table)
-    top = state.batch_before(spark, root, table + SNAPSHOT, 1 << 62)
-    if top is None:
-        return None if changes is None else changes.drop("batch_id")
-    full = state.read_partition(spark, root, table + SNAPSHOT, top)
-    if changes is None:
-        return full
-    return full.unionByName(changes.filter(F.col("batch_id") > top).drop("batch_id"))
-
-
 class LatestUpsert:
-    """``foreachBatch`` function: a table of the latest row per device, as snapshots and changes.
-
-    A micro-batch writes only the devices it saw; every ``every``-th one writes a snapshot of all devices.
-    """
+    """``foreachBatch`` function: a table of the latest row per device, as changes and snapshots (``state.Folded``)."""
 
     def __init__(self, root: str, table: str = "latest", every: int = 100):
-        self.root, self.table, self.every = root, table, every
+        self.store = state.Folded(root, table, _fold_latest, every)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state.write_batch(_fold_latest(batch.select("id", "seq", "x", "y", "inst_speed")), self.root, self.table, batch_id)
-        if (batch_id + 1) % self.every == 0:
-            rows = _latest_rows(spark, self.root, self.table)
-            if rows is not None:
-                state.write_batch(_fold_latest(rows), self.root, self.table + SNAPSHOT, batch_id)
+        self.store.write(_fold_latest(batch.select("id", "seq", "x", "y", "inst_speed")), batch_id)
 
 
 def latest_table(spark: SparkSession, root: str, table: str = "latest") -> DataFrame | None:
-    rows = _latest_rows(spark, root, table)
+    rows = state.Folded(root, table, _fold_latest).rows(spark)
     return None if rows is None else latest.latest_per_device(rows)
 
 
