@@ -147,6 +147,59 @@ def fold_positions(times: np.ndarray, first: int, order: np.ndarray, horizon: fl
     return base, order
 
 
+# Below this many runs an array operation over all of them costs more than their lists one by one.
+LOCK_STEP_RUNS = 3
+
+
+def fold_lock_step(times: np.ndarray, first: np.ndarray, count: np.ndarray, orders: list[np.ndarray],
+                   horizon: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """``fold_positions`` for many independent runs side by side: one array operation takes a step of all of them.
+
+    Run r has the events ``first[r] .. first[r] + count[r]`` of ``times`` and the list state ``orders[r]`` (positions
+    in ``times``). Returns the baseline of every position in ``times`` (-1 if none) and the final lists.
+    """
+    base = np.full(len(times), -1, dtype=np.int64)
+    runs = np.argsort(-count, kind="stable")
+    first, count = first[runs], count[runs]
+    size = np.array([len(orders[r]) for r in runs], dtype=np.int64)
+    lists = np.zeros((len(runs), int(size.max(initial=0)) + 1), dtype=np.int64)
+    for k, r in enumerate(runs):
+        lists[k, :size[k]] = orders[r]
+    step = 0
+    while True:
+        live = int(np.searchsorted(-count, -step, side="left"))
+        if live < LOCK_STEP_RUNS:
+            break
+        at, held = first[:live] + step, size[:live]
+        width = int(held.max())
+        if width + 1 > lists.shape[1]:
+            lists = np.concatenate([lists, np.zeros_like(lists)], axis=1)
+        rows, places = np.arange(live), np.arange(width + 1)
+        now = lists[:live, :width]
+        stale = ~(times[at][:, None] - times[now] <= horizon) & (places[:-1] < held[:, None])
+        # Length of each list's newest suffix: entries after its last stale one.
+        end = np.where(stale.any(axis=1), width - np.argmax(stale[:, ::-1], axis=1), 0) if width else np.zeros(live, np.int64)
+        kept = held - end
+        some = np.flatnonzero(kept)
+        base[at[some]] = now[some, end[some]]
+        if width:
+            turned = np.take_along_axis(now, np.clip(held[:, None] - 1 - places, 0, width - 1), axis=1)
+        else:
+            turned = np.zeros((live, 1), dtype=np.int64)
+        turned[rows, kept] = at
+        lists[:live, :width + 1] = turned
+        size[:live] = kept + 1
+        step += 1
+    out: list = [None] * len(runs)
+    for k, r in enumerate(runs):
+        order = lists[k, :size[k]]
+        if count[k] > step:
+            stop = first[k] + count[k]
+            base[first[k] + step:stop], order = fold_positions(times[:stop], first[k] + step, order, horizon)
+        out[r] = order
+    return base, out
+
+
 class EventList:
     """A device's list state: parallel arrays seq (int64), x, y, t (float64), in stored order."""
 
@@ -191,7 +244,8 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, s
     rows one info row (``_kind = 1``) reports the state before its first own
     row (``_start``) and after its last (``_end``), emitted once the group is
     complete (groups may span Arrow batches); speed rows have ``_kind = 0``.
-    Speed and info rows go out in batches of their own, so no column changes its type.
+    Speed and info rows go out in batches of their own, so no column changes its type. The groups of an Arrow
+    batch are folded side by side (``fold_lock_step``).
     """
     def typed(n: int, **cols) -> pa.RecordBatch:
         arrays = [cols[f.name].cast(f.type) if f.name in cols else pa.nulls(n, f.type) for f in schema]
@@ -202,8 +256,19 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, s
         return typed(len(done), id=pa.array(ids, pa.int32()), _seg=pa.array(segs, pa.int64()), _chunk=pa.array(chunks, pa.int64()),
                      _kind=pa.array([1] * len(done), pa.int32()), _start=pa.array(starts, pa.string()), _end=pa.array(ends, pa.string()))
 
+    def fold(states: list[EventList], parts: list[EventList]):
+        """Fold each part into its state, all side by side; returns the joined events, baselines and new states."""
+        both = [st.plus(p) for st, p in zip(states, parts)]
+        every = EventList(*(np.concatenate([getattr(e, f) for e in both]) for f in EventList.__slots__))
+        old, new = (np.array([len(e.seq) for e in side], dtype=np.int64) for side in (states, parts))
+        begin = np.cumsum(old + new) - old - new
+        lists = [np.arange(b, b + n) for b, n in zip(begin, old)]
+        base, orders = fold_lock_step(every.t, begin + old, new, lists, horizon)
+        own = np.concatenate([np.arange(b, b + n) for b, n in zip(begin + old, new)])
+        return every, base, own, [every.take(o) for o in orders]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, state, start = None, EventList(), None
+        last = None  # the group that may go on in the next batch: key, state, state before its first own row
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -217,35 +282,47 @@ def _fold_partitions(horizon: float, min_gap: float, metres_per_degree: float, s
                 change[1:] |= p[1:] != p[:-1]
             bounds = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
             events = EventList(col["seq"].to_numpy(), *(col[c].to_numpy(False) for c in ("x", "y", "timestamp")))
-            done, rows, bases, gaps, speeds = [], [], [], [], []
-            for lo, hi in zip(bounds, bounds[1:]):
-                at = (col["id"][lo].as_py(), int(parts[2][lo]), int(parts[3][lo]))
-                if at != key:
-                    if start is not None:
-                        done.append((*key, start, state.text()))
-                    key, state, start = at, EventList(), None
-                part = events.take(np.arange(lo, hi))
-                if role[lo] == 0:
-                    state = state.plus(part)
-                    continue
-                if role[lo] == 2 and start is None:
-                    start = state.text()
-                emits, base, dt, v, state = fold_events(state, part, horizon, min_gap, metres_per_degree)
-                if role[lo] == 2:
-                    rows.append(emits + lo)
-                    bases.append(base)
-                    gaps.append(dt)
-                    speeds.append(v)
-            if rows and sum(map(len, rows)):
-                sel = pa.array(np.concatenate(rows))
+            groups, todo = [], ([], [], [])
+            if last is not None:
+                groups.append(list(last))
+            ids = col["id"].take(pa.array(bounds[:-1])).to_pylist()
+            for lo, hi, device in zip(bounds, bounds[1:], ids):
+                at = (device, int(parts[2][lo]), int(parts[3][lo]))
+                if not groups or groups[-1][0] != at:
+                    groups.append([at, EventList(), None])
+                todo[role[lo]].append((len(groups) - 1, lo, hi))
+            for g, lo, hi in todo[0]:
+                groups[g][1] = groups[g][1].plus(events.take(np.arange(lo, hi)))
+            if todo[1]:
+                folded = fold([groups[g][1] for g, _, _ in todo[1]], [events.take(np.arange(lo, hi)) for _, lo, hi in todo[1]])
+                for (g, _, _), after in zip(todo[1], folded[3]):
+                    groups[g][1] = after
+            if todo[2]:
+                for g, _, _ in todo[2]:
+                    if groups[g][2] is None:
+                        groups[g][2] = groups[g][1].text()
+                every, base, own, after = fold([groups[g][1] for g, _, _ in todo[2]],
+                                               [events.take(np.arange(lo, hi)) for _, lo, hi in todo[2]])
+                for (g, _, _), new in zip(todo[2], after):
+                    groups[g][1] = new
+                b = base[own]
+                dt = every.t[own] - every.t[b]
+                emits = (b >= 0) & (dt >= min_gap)
+                sel = pa.array(np.concatenate([np.arange(lo, hi) for _, lo, hi in todo[2]])[emits])
+                own, b, dt = own[emits], b[emits], dt[emits]
+                dx, dy = every.x[own] - every.x[b], every.y[own] - every.y[b]
                 n = len(sel)
-                passed = {c: col[c].take(sel) for c in ("seq", "id", "x", "y", "timestamp", "_seg", "_chunk", *carry)}
-                yield typed(n, baseline_seq=pa.array(np.concatenate(bases)), dt=pa.array(np.concatenate(gaps)),
-                            inst_speed=pa.array(np.concatenate(speeds)), _kind=pa.array([0] * n, pa.int32()), **passed)
+                if n:
+                    passed = {c: col[c].take(sel) for c in ("seq", "id", "x", "y", "timestamp", "_seg", "_chunk", *carry)}
+                    yield typed(n, baseline_seq=pa.array(every.seq[b]), dt=pa.array(dt),
+                                inst_speed=pa.array(np.sqrt(dx * dx + dy * dy) * metres_per_degree / dt),
+                                _kind=pa.array([0] * n, pa.int32()), **passed)
+            last = groups[-1]
+            done = [(*at, start, state.text()) for at, state, start in groups[:-1] if start is not None]
             if done:
                 yield info(done)
-        if start is not None:
-            yield info([(*key, start, state.text())])
+        if last is not None and last[2] is not None:
+            yield info([(*last[0], last[2], last[1].text())])
     return run
 
 
