@@ -48,17 +48,17 @@ END = np.uint64(0x5E4D3C2B1A09F8E7)
 _LEFT, _RIGHT, _TURN = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 # Memory of a counting task: symbols gathered before they are added up, and text per bucket of contexts.
-GATHER = 1_000_000
-COUNTED_BYTES = 2 << 20
-BUCKET_BYTES = 16 << 20
+GATHER = 400_000
+COUNTED_BYTES = 1 << 20
+BUCKET_BYTES = 8 << 20
 FILTER_BITS = 27
 FILTER_SLICES = 64
 PROBES = 3
 PROBED = 1 << 17
 # Text scored at once: each word stands for three terms.
-SCORED_BYTES = 1 << 20
+SCORED_BYTES = 1 << 19
 # Keys looked up in one task.
-ASKED = 1 << 20
+ASKED = 1 << 19
 
 
 @dataclass(frozen=True)
