@@ -54,7 +54,11 @@ def labelled_logs(file_logs: DataFrame | None = None, container_logs: DataFrame
 
 
 def error_logs(logs: DataFrame, limit: int | None = None) -> DataFrame:
-    """``{service_name=~".+"} | detected_level="error"``, newest first (``limit`` optional)."""
-    sel = logs.filter((F.length("service_name") > 0) & (F.lower(F.col("level")) == "error"))
+    """``{service_name=~".+"} | detected_level="error"``, newest first (``limit`` optional).
+
+    A plain text search comes first, so only lines that name the level anywhere are parsed.
+    """
+    named = F.upper("value").contains("[ERROR]") if "value" in logs.columns else F.lit(True)
+    sel = logs.filter(named).filter((F.length("service_name") > 0) & (F.lower(F.col("level")) == "error"))
     sel = sel.orderBy(F.col("ts_text").desc())
     return sel.limit(limit) if limit else sel
