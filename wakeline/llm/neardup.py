@@ -13,7 +13,8 @@
 Groups of copies never become all pairs. Equal sets are one node. In each bucket every node is first paired
 with two centres only, the smallest id and the node that shares the most buckets with others; nodes that turn out linked through a common node need no pair of their own.
 Only pairs from different groups of a bucket are then paired up, if their sizes, and the number of
-shingles that either shares with any node in question, allow a link at all. Components
+shingles that either shares with any node in question, allow a link at all; with a common centre, the shingles that both
+share with it are counted exactly, from bits. Components
 come from alternating large-star and small-star rounds over the verified links; nothing but
 convergence counts reaches the driver, and lineage is cut in the checkpoint folder.
 """
@@ -89,6 +90,19 @@ def prefix_shingles(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return hashes[:n - -(-percent * n // 100) + 1] if n <= PREFIX_SET else hashes[:0]
 
 
+def places(hub: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """For each member of a sorted set, whether the other sorted set has it."""
+    if not len(other):
+        return np.zeros(len(hub), dtype=bool)
+    return other[np.minimum(np.searchsorted(other, hub), len(other) - 1)] == hub
+
+
+def bit_words(flags: np.ndarray) -> np.ndarray:
+    """Flags as 64-bit words."""
+    packed = np.packbits(flags, bitorder="little")
+    return np.pad(packed, (0, -len(packed) % 8)).view(np.int64)
+
+
 def _signed(a: np.ndarray) -> pa.Array:
     return pa.array(a.view(np.int64), pa.int64())
 
@@ -175,9 +189,9 @@ def _in_question(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """(a, b, both, linked) of the pairs: size of the intersection of the full sets, and whether it reaches the
-    threshold. Sets are made again from the texts of the
-    documents in question only, so they need not be kept for all."""
+    """(a, b, both, linked, a_in_b, b_in_a) of the pairs: size of the intersection of the full sets, whether it reaches
+    the threshold, and which places of b's sorted set a has, as bits (and the other way round). Sets are made again
+    from the texts of the documents in question only, so they need not be kept for all."""
 
     def sets(batches):
         for batch in batches:
@@ -186,20 +200,26 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent
 
     def run(batches):
         for batch in batches:
-            sizes, linked = [], []
+            sizes, linked, a_in_b, b_in_a = [], [], [], []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                in_x, in_y = places(x, y), places(y, x)
+                both = int(in_x.sum())
                 sizes.append(both)
                 linked.append(bool(len(x)) and 100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
-                                              pa.array(linked, pa.bool_())], ["a", "b", "both", "linked"])
+                a_in_b.append(bit_words(in_y))
+                b_in_a.append(bit_words(in_x))
+            words = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()),
+                 pa.array(a_in_b, words), pa.array(b_in_a, words)], ["a", "b", "both", "linked", "a_in_b", "b_in_a"])
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
     texts = _in_question(docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")), wanted)
     made = texts.select("rep", "text").mapInArrow(sets, "rep long, set binary")
     joined = (pairs.join(made.toDF("a", "x"), "a").join(made.toDF("b", "y"), "b").select("a", "b", "x", "y"))
-    return joined.mapInArrow(run, "a long, b long, both long, linked boolean").distinct()
+    return joined.mapInArrow(run, "a long, b long, both long, linked boolean, a_in_b array<long>, b_in_a array<long>"
+                             ).distinct()
 
 
 def _alone(ids: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -252,12 +272,19 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: in
     star = (members.join(middle, "key").select("rep", F.explode(F.array("c", "m")).alias("c")).filter("rep != c")
             .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct())
     measured = materialize(_verified(materialize(_likely(star, nodes, percent)), docs, doc_id, text, percent))
-    first = measured.filter("linked").select("a", "b")
+    first = measured.filter("linked").select("a", "b").distinct()
+    # A doc_id whose rows hold several texts has several sets, for which no bound on one of them holds.
+    several = materialize(nodes.groupBy("rep").count().filter("count > 1").select("rep"))
+    measured = (measured.join(several.toDF("a"), "a", "left_anti").join(several.toDF("b"), "b", "left_anti"))
     # Every node's hub: of the nodes it was measured against, the one that shares the most buckets.
     sides = F.array(F.struct(F.col("a").alias("rep"), F.col("b").alias("hub")), F.struct(F.col("b").alias("rep"), F.col("a").alias("hub")))
     against = measured.select(F.explode(sides).alias("s"), "both").select("s.rep", "s.hub", "both")
     heavy = against.join(weight.toDF("hub", "_w"), "hub")
     hubs = heavy.groupBy("rep").agg(F.max_by("hub", "_w").alias("hub"), F.max_by("both", "_w").alias("in_hub"))
+    # The places of the hub's set that a node has.
+    bits = measured.select(F.explode(F.array(
+        F.struct(F.col("a").alias("rep"), F.col("b").alias("hub"), F.col("a_in_b").alias("has")),
+        F.struct(F.col("b").alias("rep"), F.col("a").alias("hub"), F.col("b_in_a").alias("has")))).alias("s")).select("s.*")
 
     # Nodes with the same label are connected already: the smallest linked node, followed once more.
     near = (first.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
@@ -270,20 +297,28 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: in
     mixed = marked.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low != _high")
     open_rows = materialize(marked.join(mixed.select("key"), "key"))
     in_question = open_rows.select("rep").distinct()
-    hubs = materialize(hubs.join(in_question, "rep", "left_semi"))
-    alone = _alone(in_question.unionByName(hubs.select(F.col("hub").alias("rep"))), docs, doc_id, text)
+    hubs = materialize(hubs.join(in_question, "rep", "left_semi").join(bits, ["rep", "hub"], "left"))
+    alone = (_alone(in_question.unionByName(hubs.select(F.col("hub").alias("rep"))), docs, doc_id, text)
+             .join(several, "rep", "left_anti"))
     shared_with = F.col("n") - F.coalesce("alone", F.lit(0))
+    outside = F.greatest(shared_with - F.col("in_hub"), F.lit(0))
     sized = open_rows.join(alone, "rep", "left").join(hubs, "rep", "left").select(
-        "key", "rep", "n", "label", shared_with.alias("c"), "hub", "in_hub", F.greatest(shared_with - F.col("in_hub"), F.lit(0)).alias("out"))
-    sized = materialize(sized)
-    left = sized.toDF("key", "a", "na", "la", "ca", "ha", "ia", "oa")
-    right = sized.toDF("key", "b", "nb", "lb", "cb", "hb", "ib", "ob")
+        "key", "rep", "n", "label", shared_with.alias("c"), "hub", "in_hub", outside.alias("out"), "has")
+    # A node whose shared shingles cannot reach the share with a set of its own size links with nothing here.
+    sized = materialize(sized.filter(F.col("c") * 100 >= F.col("n") * percent))
+    left = sized.toDF("key", "a", "na", "la", "ca", "ha", "ia", "oa", "sa")
+    right = sized.toDF("key", "b", "nb", "lb", "cb", "hb", "ib", "ob", "sb")
     # The intersection is at most the smaller count of shingles that are not a node's own alone; with a common hub,
     # at most the smaller part inside the hub plus the smaller such part outside.
     most = F.when(F.col("ha") == F.col("hb"), F.least("ia", "ib") + F.least("oa", "ob")).otherwise(F.least("ca", "cb"))
+    # Where that still allows a link, the shingles that both have inside the common hub are counted.
+    inside = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda x, y: x + y)
+    exact = inside + F.least("oa", "ob")
     crossing = (left.join(right, "key").filter("a < b and la != lb")
                 .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
                 .filter(most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+                .filter((F.col("ha") != F.col("hb")) | F.col("ha").isNull() | F.col("hb").isNull()
+                        | (exact * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
                 .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
     second = materialize(_verified(materialize(_likely(crossing, nodes, percent)), docs, doc_id, text, percent))
     return first.unionByName(second.filter("linked").select("a", "b"))
