@@ -1,6 +1,7 @@
 """Edge cases and brute-force comparisons of the text operators."""
 
 import hashlib
+import math
 import random
 import re
 import struct
@@ -266,6 +267,77 @@ def test_language_of_copies_keeps_its_sample(spark):
     assert {model.predict(t)[0] for t in rare} == {"aa"}
 
 
+def _brute_language(rows, text):
+    """Language by the rule's definition, in plain dictionaries."""
+    counts = {}
+    for body, lang in rows:
+        for w in re.findall(r"[^\W\d_]+", body.lower()):
+            for k, item in [(0, w)] + [(n, f"<{w}>"[i:i + n]) for n in range(1, 6) for i in range(len(w) + 3 - n)]:
+                key = counts.setdefault(lang, {}).setdefault(k, {})
+                key[item] = key.get(item, 0) + 1
+    langs = sorted(counts)
+    known = [{i for l in langs for i, c in counts[l].get(k, {}).items() if k or c > 1} for k in range(6)]
+    size = {(l, k): sum(counts[l].get(k, {}).values()) + 0.5 * (len(known[k]) + 1) for l in langs for k in range(6)}
+    score = dict.fromkeys(langs, 0.0)
+    for w in re.findall(r"[^\W\d_]+", text.lower()):
+        items, rest = [(0, w)], f"<{w}>"
+        if w not in known[0]:
+            items = []
+            while rest:
+                n = next((n for n in range(min(5, len(rest)), 0, -1) if rest[:n] in known[n]), 0)
+                items += [(n, rest[:n])] if n else []
+                rest = rest[n or 1:]
+        for l in langs:
+            for k, i in items:
+                c = counts[l].get(k, {}).get(i, 0)
+                score[l] += math.log((c if k or c > 1 else 0) + 0.5) - math.log(size[l, k])
+    best = min(langs, key=lambda l: (-score[l], l))
+    return best, 1 / sum(math.exp(max(score[l] - score[best], -700)) for l in langs)
+
+
+def _invented(rnd, langs, texts, words):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocab = [["".join(rnd.choice(letters) for _ in range(rnd.randint(3, 8))) for _ in range(words)] for _ in range(langs)]
+    return [(" ".join(rnd.choice(vocab[l]) for _ in range(20)), f"l{l:03}") for l in range(langs) for _ in range(texts)]
+
+
+def test_language_scores_match_brute_force(spark):
+    rnd = random.Random(21)
+    rows = _invented(rnd, 4, 12, 25)
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string").repartition(3))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [t for t, _ in rows] + [t[3:90] for t, _ in rows]
+    texts += ["".join(rnd.choice(letters + "  ") for _ in range(rnd.randint(1, 60))) + "a" for _ in range(100)]
+    for t in texts:
+        (lang, score), (want, sure) = model.predict(t), _brute_language(rows, t)
+        assert math.isclose(score, sure, rel_tol=1e-4, abs_tol=1e-9) and (lang == want or sure < 0.51)
+
+
+def test_texts_that_no_language_explains_go(spark):
+    rnd = random.Random(22)
+    rows = _invented(rnd, 3, 60, 80)
+    # A few labels are wrong.
+    rows = [(t, "l000" if i % 40 == 39 else l) for i, (t, l) in enumerate(rows)]
+    model = langid.fit_fences(langid.fit(spark.createDataFrame(rows, "text string, lang string").repartition(3)))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = [" ".join("".join(rnd.choice(letters) for _ in range(6)) for _ in range(20)) for _ in range(50)]
+    mixed = [" ".join(rows[i][0].split()[:10] + rows[-1 - i][0].split()[:10]) for i in range(30)]
+    docs = spark.createDataFrame([(t, "clean") for t, _ in rows] + [(t, "noise") for t in noise] + [(t, "mixed") for t in mixed]
+                                 + [(None, "null"), ("", "null"), ("12 !", "null")], "text string, kind string")
+    got = langid.identified(docs, model)
+    kept = {r.kind: r.n for r in got.filter(langid.confident(got.score, got.lang_pred, got.explained)).groupBy("kind").agg(
+        F.count("*").alias("n")).collect()}
+    assert kept.get("clean", 0) >= 0.97 * len(rows) and set(kept) == {"clean"}
+
+
+def test_two_hundred_languages_make_a_sparse_model(spark):
+    rnd = random.Random(23)
+    rows = _invented(rnd, 200, 4, 12)
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.langs) == 200 and len(model.at) < 6 * len(model.items)
+    assert sum(model.predict(t)[0] == l for t, l in rows) >= 0.99 * len(rows)
+
+
 def _brute_components(rows):
     def shingles(t):
         w = _words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))

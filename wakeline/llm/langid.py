@@ -1,11 +1,16 @@
 """Language identification: known words first, backing off to shorter and shorter character n-grams.
 
 Fitting counts words and character n-grams per language with Spark aggregations over a bounded sample
-of labelled rows, and keeps the most frequent of each, so the model's size is bounded by its parameters
-(``words_per_lang``, ``grams_per_lang``) and it can be sent to every task. A known word scores its log
+of labelled rows, and keeps the most frequent of each, so a language's part of the model is bounded by
+``words_per_lang`` and ``grams_per_lang``. The model is sparse: each entry lists the languages that know it, so it
+grows with its entries, not with entries times languages, and it can be sent to every task. A known word scores its log
 frequency in each language. An unseen word is covered from left to right: at each position the longest
 known n-gram scores, and the next one starts where it ends. A text scores the sum over all its words; its confidence
 is the winner's share of the likelihood. Only the text is read for a prediction.
+
+The likelihood is summed over all words, so it nearly always names a clear winner, for random letters too. Whether
+the winner explains the text is told by ``known``, the share of its words that the winner knows as its own words, against a
+fence learnt per language from the sampled texts (``fit_fences``).
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +33,14 @@ UNDETERMINED = "und"
 MAX_GRAM = 5
 MAX_WORD_CHARS = 64
 REMEMBERED = 400_000
+# A row a language: up to so many are sent to every task, more are joined by a shuffle.
+BROADCAST_LANGS = 65_536
+# A text is explained by its language if the share of its words that the language knows reaches FENCE_PART of the
+# share that all but FENCE_QUANTILE of the language's sampled texts reach.
+FENCE_QUANTILE, FENCE_PART = 0.01, 0.75
+# A language knows a word as its own if the word is at most so many times as frequent in any other one, so that a few
+# texts with a wrong label do not make two languages share their words.
+OWN_FACTOR = 10.0
 
 
 @dataclass(frozen=True)
@@ -36,7 +50,6 @@ class FitLimits:
     docs_per_lang: int = 1_000
     words_per_lang: int = 50_000
     grams_per_lang: int = 30_000
-    max_langs: int = 500
 
 
 def words_of(text: str) -> list[str]:
@@ -61,15 +74,14 @@ def sample_rows(docs: DataFrame, text: str, lang: str, limits: FitLimits) -> Dat
     Each chosen text comes once a language: the copies of a chosen text are chosen with it, and they may be
     a large part of all rows. So the share is of a language's distinct texts, counted by a sketch."""
     texts = F.least(F.count("*"), F.greatest(F.lit(1), F.approx_count_distinct(F.xxhash64(text))))
-    share = (docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-             .groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_rows"), texts.alias("_n"))
-             .orderBy(F.desc("_rows"), "_lang").limit(limits.max_langs)
-             .select("_lang", F.least(F.lit(1.0), F.lit(float(limits.docs_per_lang)) / F.col("_n")).alias("_share")))
+    taught = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    share = materialize(taught.groupBy(F.col(lang).alias("_lang")).agg(texts.alias("_n")).select(
+        "_lang", F.least(F.lit(1.0), F.lit(float(limits.docs_per_lang)) / F.col("_n")).alias("_share")))
     part = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / float(1 << 30)
-    # One row per language, at most ``max_langs``.
-    return (docs.join(F.broadcast(share), docs[lang] == F.col("_lang"))
-            .filter((part < F.col("_share")) & F.col(text).isNotNull())
-            .select(F.col("_lang").alias("lang"), F.col(text).alias("text")).distinct())
+    few = share.count() <= BROADCAST_LANGS
+    return (taught.select(F.col(lang).alias("lang"), F.col(text).alias("text"), part.alias("_part"))
+            .join(F.broadcast(share) if few else share, F.col("lang") == F.col("_lang"))
+            .filter(F.col("_part") < F.col("_share")).select("lang", "text").distinct())
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", limits: FitLimits = FitLimits()) -> Model:
@@ -95,56 +107,78 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", limits: FitLimi
                  pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.int64())],
                 ["lang", "kind", "item", "n"])
 
-    counts = (sample_rows(docs, text, lang, limits).mapInArrow(count, "lang string, kind int, item string, n long")
+    sampled = materialize(sample_rows(docs, text, lang, limits))
+    counts = (sampled.mapInArrow(count, "lang string, kind int, item string, n long")
               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
     counts = materialize(counts)
     totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total")).collect()
+    langs = sorted({r["lang"] for r in totals})
+    place = spark.createDataFrame(list(enumerate(langs)), "at int, lang string")
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
     top = F.when(F.col("kind") == 0, limits.words_per_lang).otherwise(limits.grams_per_lang)
     kept = (counts.withColumn("_rank", rank).filter(F.col("_rank") <= max(limits.words_per_lang, limits.grams_per_lang))
             .filter(F.col("_rank") <= top).filter("n > 1 or kind > 0").select("lang", "kind", "item", "n"))
-    return Model.of(kept.collect(), {(r["lang"], r["kind"]): r["total"] for r in totals})
+    # What a language adds to the score of an entry it knows, above that of a language that does not.
+    gain = F.log((F.col("n") + 0.5) / 0.5).cast("float")
+    entries = (kept.join(place, "lang").groupBy("kind", "item")
+               .agg(F.array_sort(F.collect_list(F.struct("at", gain.alias("gain")))).alias("known"))
+               .select("kind", "item", F.col("known.at").alias("at"), F.col("known.gain").alias("gain")))
+    model = Model.of(entries.toArrow(), langs, {(r["lang"], r["kind"]): r["total"] for r in totals})
+    model.sampled = sampled
+    return model
 
 
 class Model:
-    """Log frequencies per language of words (kind 0) and n-grams (kind = order)."""
+    """Log frequencies of words (kind 0) and n-grams (kind = order), as sparse rows.
 
-    def __init__(self, langs: list[str], words: list[str], grams: list[str], table: np.ndarray):
-        self.langs, self.words, self.grams, self.table = langs, words, grams, table
-        self._start()
+    Entry i has kind ``kind[i]`` and is known to the languages ``at[first[i]:first[i + 1]]``, each of which adds its
+    ``gain``; ``base[kind]`` holds every language's score of an entry that it does not know. ``fences`` holds a
+    language's least share of known words, or nothing."""
 
-    def _start(self) -> None:
-        """Rows of the table that a word scores: its own, or those of its n-grams once it was seen."""
-        self.rows = {w: (i,) for i, w in enumerate(self.words)}
-        self.gram_row = {g: len(self.words) + i for i, g in enumerate(self.grams)}
-        self.unseen: dict[str, tuple[int, ...]] = {}
+    sampled = None
+
+    def __init__(self, langs: list[str], items: pa.Array, kind: np.ndarray, first: np.ndarray, at: np.ndarray,
+                 gain: np.ndarray, base: np.ndarray, fences: dict[str, float] | None = None):
+        self.langs, self.items, self.kind, self.first = langs, items, kind, first
+        self.at, self.gain, self.base, self.fences = at, gain, base, fences or {}
+        self.words = None
+        if len(items):
+            sizes = np.diff(first)
+            rate = gain + base[np.repeat(kind, sizes), at]
+            self.own = rate >= np.repeat(np.maximum.reduceat(rate, first[:-1]), sizes) - np.log(OWN_FACTOR)
 
     def __getstate__(self):
-        return self.langs, self.words, self.grams, self.table
+        return self.langs, self.items, self.kind, self.first, self.at, self.gain, self.base, self.fences
 
     def __setstate__(self, state):
-        self.langs, self.words, self.grams, self.table = state
-        self._start()
+        self.__init__(*state)
+
+    def _start(self) -> None:
+        """Look-ups of an entry by its text; made where texts are scored, not on the driver."""
+        items, words = self.items.to_pylist(), int((self.kind == 0).sum())
+        self.words = {w: i for i, w in enumerate(items[:words])}
+        self.grams = {g: i for i, g in enumerate(items[words:], words)}
+        self.unseen: dict[str, tuple[int, ...]] = {}
 
     @classmethod
-    def of(cls, rows, totals: dict[tuple[str, int], int]) -> Model:
-        langs = sorted({lang for lang, _ in totals})
-        at = {lang: i for i, lang in enumerate(langs)}
-        counts: list[dict[str, np.ndarray]] = [{} for _ in range(MAX_GRAM + 1)]
-        for r in rows:
-            counts[r["kind"]].setdefault(r["item"], np.zeros(len(langs)))[at[r["lang"]]] = r["n"]
-        scored = [np.zeros((0, len(langs)))]
-        for kind, table in enumerate(counts):
-            size = np.array([totals.get((lang, kind), 0) for lang in langs], dtype=float) + 0.5 * (len(table) + 1)
-            if table:
-                scored.append(np.log(np.stack(list(table.values())) + 0.5) - np.log(size))
-        return cls(langs, list(counts[0]), [g for table in counts[1:] for g in table], np.concatenate(scored))
+    def of(cls, entries: pa.Table, langs: list[str], totals: dict[tuple[str, int], int]) -> Model:
+        entries = entries.sort_by([("kind", "ascending"), ("item", "ascending")]).combine_chunks()
+        kind = entries["kind"].to_numpy().astype(np.int8)
+        sizes = pc.list_value_length(entries["at"]).to_numpy().astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        at = pc.list_flatten(entries["at"]).to_numpy().astype(np.int32)
+        gain = pc.list_flatten(entries["gain"]).to_numpy().astype(np.float32)
+        distinct = np.bincount(kind, minlength=MAX_GRAM + 1)
+        total = np.array([[totals.get((lang, k), 0) for lang in langs] for k in range(MAX_GRAM + 1)], dtype=float)
+        base = np.log(0.5) - np.log(total.reshape(MAX_GRAM + 1, len(langs)) + 0.5 * (distinct[:, None] + 1))
+        items = entries["item"].combine_chunks()
+        return cls(langs, items.combine_chunks() if isinstance(items, pa.ChunkedArray) else items, kind, first, at, gain, base)
 
     def backoff(self, word: str) -> tuple[int, ...]:
         """Rows of an unseen word: the longest known n-gram from its start, then from where that ends,
         and so on; a character that no n-gram knows says nothing."""
         marked = f"<{word}>"
-        known, out, i, end = self.gram_row, [], 0, len(marked)
+        known, out, i, end = self.grams, [], 0, len(marked)
         while i < end:
             for n in range(min(MAX_GRAM, end - i), 0, -1):
                 row = known.get(marked[i:i + n])
@@ -156,50 +190,89 @@ class Model:
                 i += 1
         return tuple(out)
 
-    def score(self, words: list[str]) -> np.ndarray:
-        rows, unseen, ids = self.rows, self.unseen, []
+    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Per language: log likelihood of the words, and how many of them it knows as its own."""
+        if self.words is None:
+            self._start()
+        rows, unseen, ids = self.words, self.unseen, []
         for w in words:
-            found = rows.get(w) or unseen.get(w)
-            if found is None:
+            found = rows.get(w)
+            if found is not None:
+                ids.append(found)
+                continue
+            parts = unseen.get(w)
+            if parts is None:
                 if len(unseen) >= REMEMBERED:
                     unseen.clear()
-                found = unseen[w] = self.backoff(w)
-            ids += found
-        return self.table[ids].sum(axis=0) if ids else np.zeros(len(self.langs))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and confidence; ties go to the first language by name. No letters: ``und``, 0."""
+                parts = unseen[w] = self.backoff(w)
+            ids += parts
+        n = len(self.langs)
+        if not ids:
+            return np.zeros(n), np.zeros(n, dtype=np.int64)
+        ids = np.array(ids, dtype=np.int64)
+        kinds, sizes = self.kind[ids], self.first[ids + 1] - self.first[ids]
+        ends = np.cumsum(sizes)
+        spot = np.arange(ends[-1]) + np.repeat(self.first[ids] - ends + sizes, sizes)
+        at = self.at[spot]
+        likelihood = np.bincount(kinds, minlength=MAX_GRAM + 1) @ self.base
+        likelihood += np.bincount(at, weights=self.gain[spot], minlength=n)
+        return likelihood, np.bincount(at[np.repeat(kinds == 0, sizes) & self.own[spot]], minlength=n)
+
+    def judge(self, text: str | None) -> tuple[str, float, float]:
+        """Language, confidence, and the share of the words that the language knows as words; ties go to the first
+        language by name. No letters: ``und``, 0, 0."""
         # Numbers that are no decimal digits are word characters too, but no letters.
         words = words_of(text) if text and any(map(str.isalpha, text)) else []
         if not words or not self.langs:
-            return UNDETERMINED, 0.0
-        s = self.score(words)
+            return UNDETERMINED, 0.0, 0.0
+        s, known = self.score(words)
         best = int(np.argmax(s))
-        return self.langs[best], 1.0 / float(np.exp(np.maximum(s - s[best], -700.0)).sum())
+        return self.langs[best], 1.0 / float(np.exp(np.maximum(s - s[best], -700.0)).sum()), int(known[best]) / len(words)
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        """Language and confidence, as ``judge`` gives them."""
+        return self.judge(text)[:2]
+
+
+def fit_fences(model: Model) -> Model:
+    """The model with a fence per language: ``FENCE_PART`` of the share of known words that all but ``FENCE_QUANTILE``
+    of the language's sampled texts reach. A language whose texts hold few repeated words, as in scripts without
+    blanks, gets a low fence. A language without a sampled text of its own prediction has none."""
+    if model.sampled is None:
+        return model
+    rows = identified(model.sampled, model, prefix="_").filter(F.col("_lang_pred") == F.col("lang"))
+    low = rows.groupBy("lang").agg(F.percentile_approx("_known", FENCE_QUANTILE, 10_000).alias("low")).collect()
+    model.fences = {r["lang"]: FENCE_PART * r["low"] for r in low}
+    return model
 
 
 def identified(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -> DataFrame:
-    """``docs`` plus lang_pred and score (each with ``prefix``).
+    """``docs`` plus lang_pred, score, known (share of the words that the language knows) and explained (whether that
+    reaches the language's fence; true where none was learnt), each with ``prefix``.
 
-    Null, empty and letterless texts are ``und`` with score 0, and so is everything if nothing was
-    learned. Other columns pass through; one with the name of an output is replaced by it
+    Null, empty and letterless texts are ``und`` with score 0, known 0, not explained, and so is everything if
+    nothing was learned. Other columns pass through; one with the name of an output is replaced by it
     (``prefix`` keeps it).
     """
     spark = docs.sparkSession
     ship_package(spark)
-    # Bounded by the fit's limits, not by the data.
+    # Bounded by the fit's limits a language, not by the data.
     shared = spark.sparkContext.broadcast(model)
-    names = [prefix + "lang_pred", prefix + "score"]
+    fields = [(prefix + "lang_pred", "string"), (prefix + "score", "double"), (prefix + "known", "double"),
+              (prefix + "explained", "boolean")]
+    names = [n for n, _ in fields]
     docs = cleared(docs, names)
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            got = [m.predict(x.as_py()) for x in batch.column(batch.schema.get_field_index(text))]
+            got = [m.judge(x.as_py()) for x in batch.column(batch.schema.get_field_index(text))]
+            explained = [g[0] != UNDETERMINED and g[2] >= m.fences.get(g[0], 0.0) for g in got]
             yield appended(batch, names, [pa.array([g[0] for g in got], pa.string()),
-                                          pa.array([g[1] for g in got], pa.float64())])
+                                          *(pa.array([g[i] for g in got], pa.float64()) for i in (1, 2)),
+                                          pa.array(explained, pa.bool_())])
 
-    return docs.mapInArrow(run, extended(docs, [(names[0], "string"), (names[1], "double")]))
+    return docs.mapInArrow(run, extended(docs, fields))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -213,6 +286,6 @@ def fit_open(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     return fit(rows, text, lang)
 
 
-def confident(score: Column, pred: Column, least: float = 0.5) -> Column:
-    """The filter rule: a determined language that has most of the likelihood."""
-    return (pred != UNDETERMINED) & (score >= least)
+def confident(score: Column, pred: Column, explained: Column, least: float = 0.5) -> Column:
+    """The filter rule: a determined language that has most of the likelihood and explains the text's words."""
+    return (pred != UNDETERMINED) & (score >= least) & explained
