@@ -238,6 +238,19 @@ def test_typed_and_chained_bindings_keep_their_literals():
     assert _literals("my_token: abcd1234efgh: expired") == {"abcd1234efgh"}
 
 
+def test_all_kinds_of_quotes_are_read_and_calls_are_left():
+    secret = "Kx9-kk21!pq"
+    for form in ('db_pwd = b"{}"', "db_pwd = r'{}'", 'db_pwd = f"{}"', 'db_pwd = rb"{}"', 'db_pwd = """{}"""', "db_pwd = `{}`",
+                 'const my_pwd = `{}`;', 'my_pwd: str = u"{}"'):
+        text = form.format(secret)
+        assert _literals(text) == {secret}, text
+        assert secret not in secrets_scan.redact_text(text), text
+    for text in ('api_key = os.environ.get("K")', 'my_pwd = base64.b64decode(x)', 'db_token = self.make_Token2(1)',
+                 'my_secret = hashlib.sha256(x)', 'token: getTokenFrom9(y)'):
+        assert not _literals(text) and secrets_scan.redact_text(text) == text, text
+    assert _literals('db_pwd = "" + "Kx9-kk21!pq"') == {secret}
+
+
 def test_long_padded_and_unhinted_literals_are_found():
     rnd = random.Random(8)
     chars = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)]))

@@ -54,7 +54,11 @@ _TYPE = re.compile(rf"""(?x)(?P<type>{_TYPE_PART}(?:\x20*\|\x20*{_TYPE_PART})*)
                         (?:(?P<gap>\x20+)=(?![=>~])\x20*(?=\S) | =\x20*(?=["']))""")
 _SUBSCRIPT = re.compile(r"""(?:\[(?:"[^"\n]*"|'[^'\n]*'|[^\]=\n:"']*)\])+\x20*=(?![=>~])\x20*""")
 _PLAIN = re.compile(r"[a-z_.\-]+|[A-Z_.\-]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*")
-_QUOTED = re.compile(r'''"(?P<d>(?:[^"\\\n]++|\\.)*+)"|'(?P<s>(?:[^'\\\n]++|\\.)*+)\'''')
+# A string literal with any prefix, of triple quotes, double or single quotes, or backticks.
+_QUOTED = re.compile(r'''(?:[bBrRfFuU]{1,2}(?=["']))?(?:"""(?P<t>(?:[^"\\]++|\\(?s:.)|"(?!""))*+)"""|"(?P<d>(?:[^"\\\n]++|\\.)*+)"
+                      |'(?P<s>(?:[^'\\\n]++|\\.)*+)'|`(?P<b>[^`\n]*+)`)''', re.X)
+# A dotted name right before an opening bracket is what is called, not a value.
+_CALLEE = re.compile(rf"[$@&*]*{_NAME}\(")
 _BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>]+")
 _PLUS = re.compile(r"\x20*[+.]\x20*")
 _IDENT = re.compile(rf"{_NAME}\Z")
@@ -134,9 +138,12 @@ def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int, bool]], list[s
                     also = kind
         while True:
             if q := _QUOTED.match(text, pos):
-                kind = "d" if q["d"] is not None else "s"
+                kind = q.lastgroup
                 literals.append((q[kind], q.start(kind), q.end(kind), False))
                 pos = q.end()
+            elif c := _CALLEE.match(text, pos):
+                pos = c.end()
+                break
             elif b := _BARE.match(text, pos):
                 begin = pos + (b[0][0] in "$@")
                 n = None if nested else _BIND.match(text, begin)
@@ -233,7 +240,11 @@ def redact_text(text: str | None, mark: str = "[SECRET]") -> str | None:
     cuts = []
     for start, kind, end in set(base_spans(text)) | set(lexed_spans(text)):
         if kind == 0:
-            start = ASSIGN.match(text, start).start(2)
+            found = ASSIGN.match(text, start)
+            start = found.start(2)
+            # A call is code: its name is left, as nothing of it is a value.
+            if text[start - 1] not in "\"'" and _CALLEE.match(text, start) and text[end:end + 1] == "(":
+                continue
         cuts.append((start, end))
     if not cuts:
         return text
