@@ -91,4 +91,30 @@ SELECT o.doc_id, coalesce(b.n_runs, 0) AS n_runs, b.top.s AS start, b.top.l AS l
 FROM original o LEFT JOIN best b ON b.rid = o.rid LEFT JOIN kept k ON k.rid = o.rid
 """
 
-ORACLE = {"op13_periodic_runs": RUNS, "op11_merkle_manifest": MERKLE}
+# Pairs by shared shingles, then every document reachable over links.
+NEAR = """
+WITH RECURSIVE original AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM original),
+member AS (SELECT rid, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.rid AS l, b.rid AS r, a.n AS nl, b.n AS nr, count(*) AS shared
+  FROM member a JOIN member b ON a.x = b.x AND a.rid <> b.rid AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY ALL),
+link AS (SELECT l, r FROM common WHERE 100 * shared >= 75 * (nl + nr - shared)),
+reach AS (
+  SELECT rid AS l, rid AS r FROM sets
+  UNION
+  SELECT reach.l, link.r FROM reach JOIN link ON link.l = reach.r),
+component AS (SELECT reach.l AS rid, min(s.doc_id) AS component_id FROM reach JOIN sets s ON s.rid = reach.r GROUP BY reach.l)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM sets s JOIN component c ON c.rid = s.rid
+"""
+
+ORACLE = {"op13_periodic_runs": RUNS, "op11_merkle_manifest": MERKLE, "op8_near_duplicates": NEAR}
