@@ -31,6 +31,7 @@ from wakeline.operators import alerts, batches, lateness, latest, parse
 from wakeline.operators.metrics import STEP_S
 from wakeline.operators.speed import EventList, fold_events
 from wakeline.sources.io import TAIL, archive_lines, arrival_seq
+from wakeline.sources.objects import write_objects
 from wakeline.streaming import state
 
 ON_TIME_SCHEMA = T.StructType([
@@ -358,10 +359,33 @@ def speed_stream(on_time_stream: DataFrame, ttl_ms: int | None = None, **kw) ->
 
 
 class ArchiveWriter:
-    """``foreachBatch`` function: archive files of exactly ``n`` raw records, in arrival order."""
+    """``foreachBatch`` function: archive files of exactly ``n`` raw records, in arrival order.
 
-    def __init__(self, root: str, n: int = batches.ARCHIVE_BATCH, out: str = "archive"):
-        self.root, self.n, self.out = root, n, out
+    With ``objects`` (an address) every batch becomes an object there instead of a line: a JSON array under the name
+    of its time (F9). A micro-batch's objects count up in microseconds from ``clock(batch_id)``, or from its predecessor's last name if
+    that is later; the time is kept before the first object appears, so a replay writes the same names.
+    """
+
+    def __init__(self, root: str, n: int = batches.ARCHIVE_BATCH, out: str = "archive", objects: str | None = None, clock=None):
+        self.root, self.n, self.out, self.objects = root, n, out, objects
+        self.clock = clock or (lambda batch_id: time.time())
+
+    def _publish(self, arch: DataFrame, batch_id: int, first_no: int, n_full: int, folder: str) -> None:
+        """Write whole batches: as objects, or as lines of ``folder``."""
+        spark = arch.sparkSession
+        if self.objects is None:
+            state.write_batch(archive_lines(arch).select("value"), self.root, folder, batch_id, "text")
+            return
+        table = f"{self.out}_names"
+        kept = state.read_partition(spark, self.root, table, batch_id)
+        if kept is None:
+            prev = state.carry_before(spark, self.root, table, batch_id)
+            begin = max(int(self.clock(batch_id) * 1e6), 0 if prev is None else int(prev.first()["next"]))
+            state.write_batch(spark.createDataFrame([(begin, begin + n_full)], "begin long, next long"), self.root, table, batch_id)
+        else:
+            begin = int(kept.first()["begin"])
+        at = F.timestamp_micros(F.lit(begin) + F.col("batch_no") - F.lit(first_no))
+        write_objects(arch.select(batches.archive_object_name(at).alias("name"), "value"), self.objects)
 
     def _state(self, spark, batch_id):
         # The counter table gets a row every batch; the pending rows of that same
@@ -390,12 +414,15 @@ class ArchiveWriter:
             arch = batches.archive_records(done.select("seq", "value"), self.n)
             # archive_records numbers batches from 0 within its input: shift to the global numbering.
             arch = arch.withColumn("batch_no", F.col("batch_no") + F.lit(next_no))
-            state.write_batch(archive_lines(arch).select("value"), self.root, self.out, batch_id, "text")
+            new_next = next_no if last_full is None else int(last_full) + 1
+            self._publish(arch, batch_id, next_no, new_next - next_no, self.out)
             rest = b.filter(~complete).select("seq", "value")
             state.write_batch(rest, self.root, f"{self.out}_pending", batch_id)
-            new_next = next_no if last_full is None else int(last_full) + 1
             state.write_batch(spark.createDataFrame([(new_next,)], "next_no long"), self.root,
                               f"{self.out}_next", batch_id)
+            if self.objects is not None:
+                # The flushed rows are in this batch's objects or pending rows now.
+                state.drop_folder(spark, self.objects + TAIL)
         finally:
             b.unpersist()
 
@@ -409,6 +436,9 @@ class ArchiveWriter:
             return
         arch = batches.archive_records(pend.select("seq", "value"), self.n)
         arch = arch.withColumn("batch_no", F.col("batch_no") + F.lit(next_no))
+        if self.objects is not None:
+            write_objects(arch.select(F.lit("tail.json").alias("name"), "value"), self.objects + TAIL)
+            return
         archive_lines(arch).select("value").write.mode("overwrite").text(os.path.join(self.root, self.out + TAIL))
 
 

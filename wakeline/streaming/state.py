@@ -74,6 +74,12 @@ def forget(spark: SparkSession, root: str, table: str, before: int) -> None:
             fs.delete(path, True)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the stream's own that a later batch has taken over; nothing if it is not there."""
+    fs, at = _folder(spark, path)
+    fs.delete(at, True)
+
+
 def read_partition(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame | None:
     """Rows ``table`` holds for exactly ``batch_id`` (None when it wrote none)."""
     path = os.path.join(root, table, f"batch_id={int(batch_id)}")
