@@ -100,3 +100,24 @@ def test_queries_scan_the_events_few_times(spark, name, most):
 
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("events.parquet") <= most
+
+
+@pytest.mark.parametrize("kind", ["thin", "outlier", "clumps", "dense", "one", "none"])
+def test_measured_buckets(spark, kind):
+    """Few buckets, in the order of the numbers, none of them far above the wished size."""
+    rnd = random.Random(kind)
+    n = {"one": 1, "none": 0}.get(kind, 3000)
+    seqs = {"thin": lambda i: rnd.randrange(-(2**62), 2**62), "outlier": lambda i: i if i else 2**62,
+            "clumps": lambda i: (i // 100 << 50) + i % 100}.get(kind, lambda i: i + 5)
+    numbers = sorted({seqs(i) for i in range(n)})
+    df = spark.createDataFrame([(s,) for s in numbers], "seq long").repartition(3)
+    cut = prefix.measured_buckets(df, "seq", bucket_rows=50, cuts=16)
+    found = [(r.seq, r.b) for r in df.select("seq", cut.of("seq").alias("b")).collect()]
+    order = [b for _, b in sorted(found)]
+    assert order == sorted(order) and None not in order
+    sizes = [order.count(b) for b in set(order)]
+    assert len(sizes) <= len(numbers) / 50 + 2 * 16
+    assert max(sizes, default=0) <= (4 if kind != "clumps" else 8) * 50
+    got = {r.seq: r.rn for r in prefix.global_row_number(df, "seq", bucket_rows=cut).collect()}
+    assert got == {s: i + 1 for i, s in enumerate(numbers)}
+    assert spark.createDataFrame([(None,)], "seq long").select(cut.of("seq")).first()[0] is None

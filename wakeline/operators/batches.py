@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wakeline.operators.prefix import DEFAULT_BUCKET_ROWS, DEFAULT_LEVELS, global_row_number
+from wakeline.operators.prefix import DEFAULT_BUCKET_ROWS, DEFAULT_LEVELS, Buckets, global_row_number
 from wakeline.schemas import RAW_EVENT
 
 ARCHIVE_BATCH = 200
@@ -14,7 +14,7 @@ READINGS_BATCH = 20
 
 
 def assign_batches(df: DataFrame, n: int, seq: str = "seq", out: str = "batch_no",
-                   bucket_rows: int = DEFAULT_BUCKET_ROWS, levels: int = DEFAULT_LEVELS) -> DataFrame:
+                   bucket_rows: int | Buckets = DEFAULT_BUCKET_ROWS, levels: int = DEFAULT_LEVELS) -> DataFrame:
     """Add ``batch_no`` = floor((position in ``seq`` order - 1) / n).
 
     Every batch holds exactly ``n`` rows except possibly the last, which is

@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.operators.prefix import DEFAULT_BUCKET_ROWS, DEFAULT_LEVELS, running_max_before
+from wakeline.operators.prefix import DEFAULT_BUCKET_ROWS, DEFAULT_LEVELS, Buckets, running_max_before
 
 
 def classify_lateness(df: DataFrame, seq: str = "seq", ts: str = "timestamp",
                       scope: str = "stream", start: float | str = 0.0,
-                      bucket_rows: int = DEFAULT_BUCKET_ROWS, key: str = "id",
+                      bucket_rows: int | Buckets = DEFAULT_BUCKET_ROWS, key: str = "id",
                       levels: int = DEFAULT_LEVELS) -> DataFrame:
     """Add ``is_late`` (boolean) to ``df``; ``levels`` as in ``prefix.scan_before``.
 

@@ -82,6 +82,10 @@ placed AS (SELECT *, id % 3 AS part, row_number() OVER (PARTITION BY id % 3 ORDE
 ordered AS (SELECT part, off, off * 3 + part AS seq, id, timestamp FROM placed)""", CLASSIFIED.replace("FROM sensor", "FROM ordered"))
     + """
 SELECT part AS "partition", off AS "offset", seq, id, timestamp, is_late FROM classified""",
+    "clock_order_lateness": with_ctes(SENSOR, """
+spread AS (SELECT (seq // 1000) * 1099511627776 + (seq % 1000) * 1009 + 1152921504606846976 AS seq, id, timestamp FROM sensor)""",
+        CLASSIFIED.replace("FROM sensor", "FROM spread")) + """
+SELECT seq, id, timestamp, is_late, (row_number() OVER (ORDER BY seq) - 1) // 200 AS batch_no FROM classified""",
     "lateness_by_device_scope": with_ctes(SENSOR, CLASSIFIED_DEVICE) + f"SELECT {_XY}, is_late FROM classified_device",
     "inst_speed": with_ctes(*_BASE, BASELINE, SPEED_W1)
     + "SELECT seq, id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, timestamp, baseline_seq, dt, inst_speed FROM speed_w1",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.functions import jsonfmt
-from wakeline.operators import batches, counters, lateness, latest, parse, readings, speed
+from wakeline.operators import batches, counters, lateness, latest, parse, prefix, readings, speed
 from wakeline.operators import logs as lg
 from wakeline.operators.prefix import global_row_number
 from wakeline.session import materialize
@@ -42,6 +42,7 @@ def _late(spark, sf_dir) -> DataFrame:
 
 
 PARTITIONS = 3
+CLOCK_START = 1 << 60
 EVENT_COLS = ["seq", "id", "x", "y", "timestamp"]
 
 
@@ -73,6 +74,16 @@ def q_multi_partition_lateness(spark, sf_dir):
     return lateness.classify_lateness(s).select("partition", "offset", "seq", "id", "timestamp", "is_late")
 
 
+def q_clock_order_lateness(spark, sf_dir):
+    """W0 and exact batches over arrival numbers in clumps that lie far apart, as clocks and packed offsets give."""
+    s = fx.load_sensor(spark, sf_dir)
+    far = F.shiftleft(F.expr("seq div 1000"), 40) + (F.col("seq") % 1000) * F.lit(1009)
+    s = s.withColumn("seq", far + F.lit(CLOCK_START))
+    cut = prefix.measured_buckets(s, "seq", bucket_rows=5000)
+    rows = lateness.classify_lateness(s, bucket_rows=cut)
+    return batches.assign_batches(rows, batches.ARCHIVE_BATCH, bucket_rows=cut).select("seq", "id", "timestamp", "is_late", "batch_no")
+
+
 def q_inst_speed(spark, sf_dir):
     return _xy(speed.inst_speed(_on_time(spark, sf_dir)))
 
@@ -202,6 +213,7 @@ QUERIES: dict[str, Query] = {
     "late_events": q_late_events,
     "lateness_by_device_scope": q_lateness_by_device_scope,
     "multi_partition_lateness": q_multi_partition_lateness,
+    "clock_order_lateness": q_clock_order_lateness,
     "inst_speed": q_inst_speed,
     "inst_speed_stateful": q_inst_speed_stateful,
     "speed_suppressed": q_speed_suppressed,
