@@ -200,6 +200,37 @@ def test_speed_stream_with_state_ttl(spark, scratch):
     assert {r.seq: r.baseline_seq for r in spark.read.parquet(out).collect()} == want
 
 
+def test_idle_devices_lose_their_state_by_event_time(spark, scratch):
+    """Timers on the watermark clear silent devices; the rows are those of the batch plan."""
+    ck, out, src = (os.path.join(scratch, n) for n in ("ck_idle", "enriched_idle", "turns"))
+    on_time = lateness.split_late(parse.parse_events(fx.load_raw_events(spark, SF)))[0]
+    begin = on_time.agg(F.min("timestamp")).first()[0]
+    # A third of the devices falls silent, another third comes back after a silence.
+    at = F.col("timestamp") - F.lit(begin)
+    on_time = on_time.filter(~((F.col("id") % 3 == 0) & (at > 12)) & ~((F.col("id") % 3 == 1) & at.between(10, 30))).cache()
+    want = {r.seq: (r.baseline_seq, r.inst_speed) for r in speed.inst_speed_stateful(on_time).collect()}
+    for lo, hi in ((0, 11), (11, 28), (28, 99)):
+        on_time.filter((at >= lo) & (at < hi)).withColumn("batch_id", F.lit(lo).cast("long")).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(P.ON_TIME_SCHEMA).parquet(src)
+        q = (P.speed_stream(stream, idle_s=6.0).writeStream.format("parquet").option("checkpointLocation", ck)
+             .trigger(availableNow=True).start(out))
+        q.awaitTermination(300)
+    got = {r.seq: (r.baseline_seq, r.inst_speed) for r in spark.read.parquet(out).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    top = on_time.agg(F.max("timestamp")).first()[0]
+    last = {r.id: r.t for r in on_time.groupBy("id").agg(F.max("timestamp").alias("t")).collect()}
+    kept = {r[0] for r in spark.read.format("statestore").option("stateVarName", "events").load(ck).select("key.id").collect()}
+    assert kept <= {i for i, t in last.items() if t + 6.0 >= top - 0.01}
+    assert {i for i, t in last.items() if t + 6.0 > top + 0.01} <= kept
+    assert 0 < len(kept) < len(last)
+
+
+def test_idle_state_needs_the_horizon(spark):
+    df = spark.createDataFrame([(0, 1, 1.0, 1.0, 1.0)], "seq long, id int, x double, y double, timestamp double")
+    with pytest.raises(ValueError):
+        P.speed_stream(df, idle_s=1.0)
+
+
 def test_archive_batch_without_remainder(spark, scratch):
     """A micro-batch that ends exactly on a batch boundary leaves no pending rows;
     the next one must not pick up an older remainder (no duplicates, no gaps)."""

@@ -80,16 +80,18 @@ def start_ingest(raw: DataFrame, root: str, available_now: bool = False, interva
 
 
 def start_speed(spark: SparkSession, root: str, available_now: bool = False, interval: str | None = None,
-                ttl_ms: int | None = None):
+                ttl_ms: int | None = None, idle_s: float | None = None):
     """Enriched stream from the on-time table; ``time_taken`` from the batch clock.
 
+    ``idle_s``: clear the state of devices that are silent so long (see ``pipeline.speed_stream``).
+
     Every micro-batch takes all files there are: an ingest batch's folder appears as a whole, and a limit on
     files would cut it in parts that may be read out of order.
     """
     # The processor runs in a worker that does not see files added to the session, so it travels by value.
     cloudpickle.register_pickle_by_value(wakeline)
     on_time = spark.readStream.schema(P.ON_TIME_SCHEMA).parquet(os.path.join(root, "on_time"))
-    enriched = with_time_taken(P.speed_stream(on_time, ttl_ms=ttl_ms))
+    enriched = with_time_taken(P.speed_stream(on_time, ttl_ms=ttl_ms, idle_s=idle_s))
     enriched = enriched.select(*[F.col(f.name) for f in ENRICHED.fields], "seq")
     w = (enriched.writeStream.format("parquet").option("checkpointLocation", _ckpt(root, "speed"))
          .option("path", os.path.join(root, ENRICHED_TABLE)))

@@ -320,22 +320,34 @@ class AlertStream:
         state.write_batch(spark.createDataFrame([(upto,)], "upto int"), self.root, self.name + "_upto", batch_id)
 
 
+# Latest time of a timer, in seconds; an infinite event time counts as it.
+LATEST_S = 1e11
+
+
 class CodedSpeedProcessor(StatefulProcessor):
-    """W2 per device: the reference's list-state fold, state kept in a ``ListState``."""
+    """W2 per device: the reference's list-state fold, state kept in a ``ListState``.
+
+    With ``idle_s`` a device's state is cleared once the watermark is that far past its last event. A device has one
+    timer at a time, set when its state begins and set again if newer events came meanwhile.
+    """
 
     def __init__(self, horizon: float = HORIZON_S, min_gap: float = MIN_GAP_S,
-                 metres_per_degree: float = METRES_PER_DEGREE, ttl_ms: int | None = None):
-        self.horizon, self.min_gap, self.mpd, self.ttl_ms = horizon, min_gap, metres_per_degree, ttl_ms
+                 metres_per_degree: float = METRES_PER_DEGREE, ttl_ms: int | None = None, idle_s: float | None = None):
+        self.horizon, self.min_gap, self.mpd, self.ttl_ms, self.idle_s = horizon, min_gap, metres_per_degree, ttl_ms, idle_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.events = handle.getListState("events", "seq long, x double, y double, ts double", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        stored = list(zip(*self.events.get())) if self.events.exists() else []
+        known = self.events.exists()
+        stored = list(zip(*self.events.get())) if known else []
         events = EventList(pdf["seq"], pdf["x"], pdf["y"], pdf["timestamp"])
         emits, base, dt, speed, after = fold_events(EventList(*stored), events, self.horizon, self.min_gap, self.mpd)
         self.events.put(list(zip(after.seq.tolist(), after.x.tolist(), after.y.tolist(), after.t.tolist())))
+        if self.idle_s is not None and not known:
+            self._expire_after(after.t)
         sel = pdf.iloc[emits]
         yield pd.DataFrame({
             "seq": sel["seq"].astype("int64"), "id": sel["id"].astype("int32"),
@@ -344,15 +356,39 @@ class CodedSpeedProcessor(StatefulProcessor):
             "baseline_seq": base, "dt": dt, "inst_speed": speed.astype("float32"),
         })
 
+    def _expire_after(self, times) -> None:
+        self.handle.registerTimer(int((min(max(times), LATEST_S) + self.idle_s) * 1000) + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        times = [e[3] for e in self.events.get()] if self.events.exists() else []
+        if times and (min(max(times), LATEST_S) + self.idle_s) * 1000 >= expiredTimerInfo.getExpiryTimeInMs():
+            self._expire_after(times)
+        else:
+            self.events.clear()
+        yield from ()
+
     def close(self) -> None:
         pass
 
 
-def speed_stream(on_time_stream: DataFrame, ttl_ms: int | None = None, **kw) -> DataFrame:
-    """Enriched stream (without ``time_taken``) from a stream of on-time events."""
+def speed_stream(on_time_stream: DataFrame, ttl_ms: int | None = None, idle_s: float | None = None,
+                 delay: str = "0 seconds", **kw) -> DataFrame:
+    """Enriched stream (without ``time_taken``) from a stream of on-time events.
+
+    ``idle_s`` lets the state of silent devices go, by event time: after a silence longer than the horizon the fold
+    starts anew anyway, so with ``idle_s`` of the horizon or more the output stays the same. It needs events in the stream's
+    order (lateness of scope ``stream``, whole ingest batches), as events behind the watermark are dropped by the
+    engine; ``delay`` holds the watermark back where a source may deal them out of order.
+    """
     from wakeline.session import ship_package
 
     ship_package(on_time_stream.sparkSession)
+    if idle_s is not None:
+        if ttl_ms or idle_s < kw.get("horizon", HORIZON_S):
+            raise ValueError("idle_s must be the horizon or more, and excludes ttl_ms")
+        at = F.timestamp_millis(F.floor(F.least("timestamp", F.lit(LATEST_S)) * 1000).cast("long")).alias("event_time")
+        rows = on_time_stream.select("seq", "id", "x", "y", "timestamp", at).withWatermark("event_time", delay)
+        return rows.groupBy("id").transformWithStateInPandas(CodedSpeedProcessor(idle_s=idle_s, **kw), SPEED_OUT, "Append", "EventTime")
     mode = "ProcessingTime" if ttl_ms else "None"
     return (on_time_stream.select("seq", "id", "x", "y", "timestamp").groupBy("id")
             .transformWithStateInPandas(CodedSpeedProcessor(ttl_ms=ttl_ms, **kw), SPEED_OUT, "Append", mode))
