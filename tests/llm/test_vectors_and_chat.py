@@ -90,6 +90,62 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert chat.formatted(df.limit(0), schemas).count() == 0
 
 
+def _formatted(spark, rows):
+    df = spark.createDataFrame([(1, t, r, x if isinstance(x, str) else json.dumps(x)) for t, r, x in rows],
+                               "conv_id long, turn long, role string, text string")
+    schemas = spark.createDataFrame(SCHEMAS, "name string, param string, type string, required boolean")
+    return chat.formatted(df, schemas).collect()
+
+
+def test_nothing_of_a_call_is_lost(spark):
+    nested = {"id": "n", "function": {"name": "add", "arguments": '{"b":1,"a":2}'}}
+    broken = {"id": "b", "name": "add", "arguments": '{"a": "x'}
+    twice = {"id": "t", "name": "add", "arguments": '{"a":1,"a":2}'}
+    lost = {"id": "l", "name": "add", "arguments": {"a": {"$ref": "nobody"}, "b": 1}}
+    out = _formatted(spark, [(5, "assistant", {"content": "I add", "tool_calls": [nested, broken, twice, lost]}),
+                             (4, "tool", {"tool_call_id": "n", "content": "early"}),
+                             (6, "tool", {"tool_call_id": "n", "content": {"z": 1, "y": [2]}}),
+                             (7, "tool", {"tool_call_id": "n", "content": "again"}),
+                             (4, "tool", {"tool_call_id": "b", "content": "early"})])
+    got = {r.call_id: r for r in out if r.kind == "call"}
+    assert json.loads(got["n"].json) == {"arguments": {"a": 2, "b": 1}, "id": "n", "name": "add"} and got["n"].valid
+    assert json.loads(got["b"].json)["arguments"] == got["b"].arguments == '{"a": "x'
+    assert json.loads(got["t"].json)["arguments"] == got["t"].arguments == '{"a":1,"a":2}'
+    assert got["b"].errors == got["t"].errors == ["not an object"]
+    assert got["l"].errors == ["reference nobody"] and got["l"].level == 0
+    assert [json.loads(r.json) for r in out if r.kind == "message"] == [{"content": "I add", "role": "assistant"}]
+    assert got["n"].linked and not got["b"].linked
+    results = {(r.call_id, r.turn): r for r in out if r.kind == "result"}
+    assert {k for k, r in results.items() if r.linked} == {("n", 6)}
+    assert results["n", 6].json == '{"content":{"y":[2],"z":1},"role":"tool","tool_call_id":"n"}'
+    assert json.loads(results["n", 7].json)["content"] == "again"
+
+
+def _levels_by_hand(needs):
+    level = {c: 0 for c, n in needs.items() if not n}
+    while True:
+        more = {c: 1 + max(level[x] for x in n) for c, n in needs.items() if c not in level and all(x in level for x in n)}
+        if not more:
+            return {c: level.get(c) for c in needs}
+        level.update(more)
+
+
+def test_levels_against_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    needs = {f"k{i}": {f"k{i - 1}"} if i else set() for i in range(1000)}  # a chain
+    needs |= {f"r{i}": {f"r{j}" for j in rng.integers(0, i, rng.integers(0, 4))} if i else set() for i in range(60)}
+    needs |= {"o1": {"o2"}, "o2": {"o3"}, "o3": {"o1"}, "o4": {"o1"}, "o5": {"o4", "k3"}, "o6": {"o6"}, "m": {"k999", "r9"}, "m2": {"m"}}
+    df = spark.createDataFrame([(1, 0, "h", i, c, "add", json.dumps([{"$ref": n} for n in sorted(v)]))
+                                for i, (c, v) in enumerate(needs.items())],
+                               "conv_id long, turn long, message string, place int, call_id string, name string, arguments string")
+    rounds = []
+    real = chat.materialize
+    monkeypatch.setattr(chat, "materialize", lambda d: rounds.append(1) or real(d))
+    chat._jumped(chat.references(df.filter("call_id like 'k%'")).filter("needs like 'k%'"))
+    assert len(rounds) <= 12
+    assert {r.call_id: r.level for r in chat.levels(df).collect()} == _levels_by_hand(needs)
+
+
 def test_calls_of_messages_that_share_a_turn_stay_apart(spark):
     rows = []
     for conv, turn in ((1, 0), (None, 0), (None, None), (2, None)):

@@ -2,8 +2,9 @@
 
 Assistant messages may carry tool calls and tool messages carry results, both as JSON text. Calls and results are
 hash-joined by (conversation, identifier). A call whose arguments name another call's
-identifier (``{"$ref": "id"}``) depends on it; levels are found by peeling off calls whose dependencies are
-done, one round of joins per level. Arguments are checked against schema rows, and each message
+identifier (``{"$ref": "id"}``) depends on it. Levels: chains of calls that need one other each are shortened by pointer
+jumping, in as many rounds as the logarithm of their length; calls that need several are peeled off, a round for each of them
+that lies on the longest way. Arguments are checked against schema rows, and each message
 is written as canonical JSON (sorted keys, no blanks). The order of a conversation's messages is the pair
 (level, turn), as columns: no conversation is ever gathered into one group, however long it is.
 """
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 
 from wakeline.session import materialize
 
-CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:string>>>"
+# A call names its tool and arguments itself or in a nested object ``function``.
+CALLS = ("struct<tool_calls:array<struct<id:string,name:string,arguments:string,"
+         "function:struct<name:string,arguments:string>>>,content:string>")
 # Of a call: different messages may share a conversation and turn, or lack them.
 KEY = ["conv_id", "turn", "message", "place"]
 RESULT = "struct<tool_call_id:string,content:string>"
@@ -51,14 +54,32 @@ def calls_of(messages: DataFrame) -> DataFrame:
     parsed = messages.filter("role = 'assistant'").select(
         "conv_id", "turn", F.sha1("text").alias("message"),
         F.posexplode(F.from_json("text", CALLS)["tool_calls"]).alias("place", "call"))
-    return parsed.select(*KEY, F.col("call.id").alias("call_id"), F.col("call.name").alias("name"),
-                         F.col("call.arguments").alias("arguments")).distinct()
+    either = lambda f: F.coalesce(f"call.{f}", f"call.function.{f}").alias(f)
+    return parsed.select(*KEY, F.col("call.id").alias("call_id"), either("name"), either("arguments")).distinct()
 
 
 def results_of(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, call_id, content) of every tool message."""
-    parsed = messages.filter("role = 'tool'").select("conv_id", "turn", F.from_json("text", RESULT).alias("r"))
-    return parsed.select("conv_id", "turn", F.col("r.tool_call_id").alias("call_id"), F.col("r.content").alias("content")).distinct()
+    """(conv_id, turn, message, call_id, json) of every tool message; ``json`` is its canonical form.
+
+    Content that is JSON stays JSON; a text that cannot be read as one JSON value keeps its content as a string.
+    """
+    parsed = messages.filter("role = 'tool'").select("conv_id", "turn", F.sha1("text").alias("message"), F.from_json("text", RESULT).alias("r"),
+                                                     F.try_variant_get(F.try_parse_json("text"), "$.content", "variant").alias("v"))
+    as_text = F.to_json(F.struct(F.col("r.content").alias("content"), F.lit("tool").alias("role"), F.col("r.tool_call_id").alias("tool_call_id")),
+                        {"ignoreNullFields": "false"})
+    as_json = F.to_json(F.struct(F.col("v").alias("content"), F.lit("tool").alias("role"), F.col("r.tool_call_id").alias("tool_call_id")),
+                        {"ignoreNullFields": "false"})
+    return parsed.select("conv_id", "turn", "message", F.col("r.tool_call_id").alias("call_id"),
+                         F.when(F.col("v").isNull(), as_text).otherwise(as_json).alias("json")).distinct()
+
+
+def _answers(results: DataFrame, owners: DataFrame) -> DataFrame:
+    """(conv_id, call_id, answer_turn, answer): the result that answers a call, the first (by turn, then text) that does not come before it."""
+    own = owners.select("conv_id", "call_id", F.col("turn").alias("_asked"))
+    fit = results.filter("conv_id is not null and call_id is not null").join(own, ["conv_id", "call_id"]).filter(
+        ~F.coalesce(F.col("turn") < F.col("_asked"), F.lit(False)))
+    return fit.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "message")).alias("_a")).select(
+        "conv_id", "call_id", F.col("_a.turn").alias("answer_turn"), F.col("_a.message").alias("answer"))
 
 
 def _owners(calls: DataFrame) -> DataFrame:
@@ -69,47 +90,69 @@ def _owners(calls: DataFrame) -> DataFrame:
         "conv_id", "call_id", "_o.turn", "_o.place", "_o.message")
 
 
-def references(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, needs): ids named by ``$ref`` anywhere in a call's arguments."""
+def references(calls: DataFrame, by: list[str] = ("conv_id", "call_id")) -> DataFrame:
+    """(conv_id, call_id, needs): ids named by ``$ref`` anywhere in a call's arguments; with other columns of the call in ``by``."""
     found = F.regexp_extract_all("arguments", F.lit(r'"\$ref"\s*:\s*"([^"\\]+)"'), 1)
     return (calls.filter("conv_id is not null and call_id is not null")
-            .select("conv_id", "call_id", F.explode(found).alias("needs")).distinct())
+            .select(*by, F.explode(found).alias("needs")).distinct())
+
+
+def _jumped(edges: DataFrame) -> DataFrame:
+    """(conv_id, call_id, top, dist) of the calls that need one other: the first call up their chain that does not need exactly
+    one, and the way to it. Calls whose chain is a cycle, or runs into one, keep a top within it."""
+    counted = edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.min("needs").alias("top"))
+    jumps = materialize(counted.filter("n = 1").select("conv_id", "call_id", "top", F.lit(1).cast("long").alias("dist")))
+    # A chain has no more calls than there are, so what is open after that many doublings is cyclic.
+    for _ in range(jumps.count().bit_length()):
+        ahead = jumps.select("conv_id", F.col("call_id").alias("top"), F.col("top").alias("_top"), F.col("dist").alias("_dist"))
+        jumps = materialize(jumps.join(ahead, ["conv_id", "top"], "left").select(
+            "conv_id", "call_id", F.coalesce("_top", "top").alias("top"),
+            (F.col("dist") + F.coalesce("_dist", F.lit(0))).alias("dist"), F.col("_top").isNotNull().alias("open")))
+        if jumps.filter("open").isEmpty():
+            break
+        jumps = jumps.drop("open")
+    return jumps.select("conv_id", "call_id", "top", "dist")
 
 
 def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level): 0 for calls that need no other, else one more than the highest they need.
 
-    References to unknown ids are ignored. Calls on a cycle, or that need one, get a null level. Rounds: as many as
-    the deepest chain of references is long; each round only touches the calls still open.
+    References to unknown ids are ignored here (``argument_errors`` names them). Calls on a cycle, or that need one, get a null
+    level.
     """
     owners = materialize(_owners(calls).select("conv_id", "call_id"))
     known = owners.withColumnRenamed("call_id", "needs")
-    edges = references(calls).join(known, ["conv_id", "needs"], "left_semi")
-    edges = materialize(edges)
-    waiting = edges.select("conv_id", "call_id").distinct()
-    done = owners.join(waiting, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0))
-    done, level = materialize(done), 0
-    parts, newest = [done], done
-    while not edges.isEmpty() and not newest.isEmpty():
-        level += 1
-        rest = materialize(edges.join(newest.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"], "left_anti"))
-        # Calls that waited for this level only are done at the next.
-        newest = materialize(edges.select("conv_id", "call_id").distinct()
-                             .join(rest.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
-                             .withColumn("level", F.lit(level)))
-        parts.append(newest)
-        edges = rest
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return owners.join(out, ["conv_id", "call_id"], "left")
+    edges = materialize(references(calls).join(known, ["conv_id", "needs"], "left_semi"))
+    jumps = materialize(_jumped(edges))
+    done = materialize(owners.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0).cast("long")))
+    # What calls with several needs wait for: the ends of the chains they need, each so many steps away.
+    chain = jumps.select("conv_id", F.col("call_id").alias("needs"), "top", "dist")
+    waits = (edges.join(jumps, ["conv_id", "call_id"], "left_anti").join(chain, ["conv_id", "needs"], "left")
+             .select("conv_id", "call_id", F.coalesce("top", "needs").alias("top"),
+                     (F.lit(1) + F.coalesce("dist", F.lit(0))).alias("dist"), F.lit(None).cast("long").alias("level")))
+    waits, newest = materialize(waits), done
+    while not waits.isEmpty():
+        ends = newest.select("conv_id", F.col("call_id").alias("top"), F.col("level").alias("_level"))
+        waits = materialize(waits.join(ends, ["conv_id", "top"], "left").select(
+            "conv_id", "call_id", "top", "dist", F.coalesce("level", F.col("_level") + F.col("dist")).alias("level")))
+        newest = materialize(waits.groupBy("conv_id", "call_id").agg(F.max("level").alias("level"), F.count("*").alias("n"),
+                                                                     F.count("level").alias("k"))
+                             .filter("n = k").select("conv_id", "call_id", "level"))
+        if newest.isEmpty():
+            break
+        done = done.unionByName(newest)
+        waits = waits.join(newest.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
+    ends = done.select("conv_id", F.col("call_id").alias("top"), "level")
+    chained = jumps.join(ends, ["conv_id", "top"]).select("conv_id", "call_id", (F.col("level") + F.col("dist")).alias("level"))
+    return owners.join(done.unionByName(chained), ["conv_id", "call_id"], "left").withColumn("level", F.col("level").cast("int"))
 
 
 def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """(conv_id, turn, message, place, errors): why a call's arguments do not fit its tool's schema.
 
     ``schemas`` has rows (name, param, type, required). Errors: ``unknown tool``, ``not an object``,
-    ``missing <param>``, ``unknown <param>``, ``type <param>``; sorted, empty if the call is valid. A ``$ref`` object fits any type.
+    ``missing <param>``, ``unknown <param>``, ``type <param>``, and ``reference <id>`` where no call of the conversation has that id; sorted,
+    empty if the call is valid. A ``$ref`` object fits any type. Calls without a conversation or an id have no checked references.
     """
     # from_json to a map keeps nested values as JSON text; strings lose their quotes, so they are marked.
     arguments = canonical(F.col("arguments"))
@@ -132,7 +175,10 @@ def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
             | F.col("_value").rlike(r'^\{"\$ref":"[^"]*"\}$'))
     wrong = typed.withColumn("error", F.when(F.col("type").isNull(), F.concat(F.lit("unknown "), "param"))
                              .when(~F.coalesce(fits, F.lit(False)), F.concat(F.lit("type "), "param")))
-    errors = wrong_tool.unionByName(no_object).unionByName(missing).unionByName(
+    ids = _owners(calls).select("conv_id", F.col("call_id").alias("needs"))
+    dangling = (references(calls, KEY).join(ids, ["conv_id", "needs"], "left_anti")
+                .select(*KEY, F.concat(F.lit("reference "), "needs").alias("error")))
+    errors = wrong_tool.unionByName(no_object).unionByName(missing).unionByName(dangling).unionByName(
         wrong.filter("error is not null").select(*KEY, "error"))
     # A call has at most its own and its schema's parameters, so this list is bounded by them.
     listed = errors.groupBy(*KEY).agg(F.sort_array(F.collect_set("error")).alias("errors"))
@@ -142,46 +188,48 @@ def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 
 def formatted(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per message, and one per tool call: conv_id, turn, place, kind, call_id, level, linked, valid,
-    errors, json.
-
-    * kind ``call``: linked if a result has its id; level orders it after the calls it needs (null on a cycle);
-    * kind ``result``: linked if a call owns its id in the conversation; level is that call's;
-    * kind ``message``: any other row. Canonical JSON of role and text; level and linked are null.
-    * An assistant message with calls gives its calls only. Order a conversation by turn, or its
-      calls by (level, turn, place).
+    errors, arguments, json.
+
+    * kind ``call``: linked if a result answers it; level orders it after the calls it needs (null on a cycle). ``arguments`` is
+      the text as it came; in the JSON, arguments that cannot be read as JSON (or that repeat a key) stand as that text;
+    * kind ``result``: linked if it is the first result, not before the call, of a call in the conversation; level is that call's. Further results for
+      one call, and those before it, are not linked;
+    * kind ``message``: any other row, and the content of an assistant message that has calls and a content too. Canonical JSON of
+      role and text; level and linked are null.
+    * Order a conversation by turn, or its calls by (level, turn, place).
     * Exact repeats of a row are one message. Null conv_id links with nothing. Null or empty text: null in the
-      JSON, or "". Columns other than conv_id, turn, role and text are ignored; empty tables give empty results.
+      JSON, or "". A null turn is before nothing. Columns other than conv_id, turn, role and text are ignored; empty tables give empty results.
     """
     rows = messages.select("conv_id", "turn", "role", "text").distinct()
     calls = materialize(calls_of(rows))
-    results = results_of(rows)
+    results = materialize(results_of(rows))
     owners = _owners(calls)
     level = materialize(levels(calls))
     checked = argument_errors(calls, schemas)
-    answered = results.filter("conv_id is not null and call_id is not null").select("conv_id", "call_id").distinct().withColumn("_r", F.lit(True))
+    answers = materialize(_answers(results, owners))
     # place is unique within a message, and the messages are distinct, so these are one-to-one.
     c = (calls.alias("c").join(checked.alias("k"), _same("c", "k", KEY))
-         .select("c.*", "k.errors").join(answered, ["conv_id", "call_id"], "left").join(level, ["conv_id", "call_id"], "left")
+         .select("c.*", "k.errors").join(answers.select("conv_id", "call_id", F.lit(True).alias("_r")), ["conv_id", "call_id"], "left")
+         .join(level, ["conv_id", "call_id"], "left")
          .alias("c").join(owners.withColumn("_own", F.lit(True)).alias("o"), _same("c", "o", ["call_id", *KEY]), "left")
          .select("c.*", "o._own"))
     linked = F.coalesce(F.col("_r") & F.col("_own"), F.lit(False))
-    parsed = F.try_parse_json(F.col("arguments"))
-    call_json = F.to_json(F.struct(F.coalesce(parsed, F.to_variant_object(F.array().cast("array<string>"))).alias("arguments"),
-                                   F.col("call_id").alias("id"), F.col("name")))
+    given = F.coalesce(F.try_parse_json("arguments"), F.try_parse_json(F.to_json(F.array("arguments"))).cast("array<variant>")[0])
+    call_json = F.to_json(F.struct(given.alias("arguments"), F.col("call_id").alias("id"), F.col("name")))
     call_rows = c.select("conv_id", "turn", "place", F.lit("call").alias("kind"), "call_id", "level", linked.alias("linked"),
-                         (F.size("errors") == 0).alias("valid"), "errors", call_json.alias("json"))
-    none = F.array().cast("array<string>")
-    result_rows = (results.join(level.withColumn("_c", F.lit(True)), ["conv_id", "call_id"], "left")
+                         (F.size("errors") == 0).alias("valid"), "errors", "arguments", call_json.alias("json"))
+    no_errors, no_text = F.array().cast("array<string>").alias("errors"), F.lit(None).cast("string").alias("arguments")
+    is_answer = F.coalesce(F.col("turn").eqNullSafe(F.col("answer_turn")) & (F.col("message") == F.col("answer")), F.lit(False))
+    result_rows = (results.join(answers, ["conv_id", "call_id"], "left").join(level, ["conv_id", "call_id"], "left")
                    .select("conv_id", "turn", F.lit(0).alias("place"), F.lit("result").alias("kind"), "call_id", "level",
-                           F.coalesce("_c", F.lit(False)).alias("linked"), F.lit(None).cast("boolean").alias("valid"),
-                           none.alias("errors"),
-                           F.to_json(F.struct("content", F.lit("tool").alias("role"), F.col("call_id").alias("tool_call_id")),
-                                     {"ignoreNullFields": "false"}).alias("json")))
-    n_calls = F.size(F.from_json("text", CALLS)["tool_calls"])
-    plain = rows.filter(~F.coalesce((F.col("role") == "tool") | ((F.col("role") == "assistant") & (n_calls > 0)), F.lit(False)))
-    plain_rows = plain.select(
+                           is_answer.alias("linked"), F.lit(None).cast("boolean").alias("valid"), no_errors, no_text, "json"))
+    parsed = F.from_json("text", CALLS)
+    with_calls = F.coalesce((F.col("role") == "assistant") & (F.size(parsed["tool_calls"]) > 0), F.lit(False))
+    plain = rows.filter(~F.coalesce(F.col("role") == "tool", F.lit(False))).select(
+        "conv_id", "turn", "role", F.when(with_calls, parsed["content"]).otherwise(F.col("text")).alias("content"), with_calls.alias("_calls"))
+    plain_rows = plain.filter("not _calls or content is not null").select(
         "conv_id", "turn", F.lit(0).alias("place"), F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"),
         F.lit(None).cast("int").alias("level"), F.lit(None).cast("boolean").alias("linked"),
-        F.lit(None).cast("boolean").alias("valid"), none.alias("errors"),
-        F.to_json(F.struct(F.col("text").alias("content"), F.col("role")), {"ignoreNullFields": "false"}).alias("json"))
+        F.lit(None).cast("boolean").alias("valid"), no_errors, no_text,
+        F.to_json(F.struct("content", "role"), {"ignoreNullFields": "false"}).alias("json"))
     return call_rows.unionByName(result_rows).unionByName(plain_rows)

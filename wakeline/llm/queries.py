@@ -65,18 +65,19 @@ REPLY_SCHEMA = [("reply", "turn", "integer", True), ("reply", "n_chars", "intege
 
 def conversation_calls(conversations: DataFrame) -> DataFrame:
     """Messages with tool calls, derived from the conversations: each assistant turn becomes a call of the tool
-    ``reply`` (identified by conversation and turn, needing an earlier reply of about half its turn) and a tool
-    result with the turn's text. Other turns stay as they are."""
+    ``reply`` (identified by conversation and turn, needing the reply two turns before it) and a tool result with the turn's
+    text. So a conversation is one chain of calls. A reply whose length is divisible by 7 has a text for a number, one divisible
+    by 10 gets no result, one divisible by 11 has arguments that are no JSON. Other turns stay as they are."""
     name = lambda turn: F.format_string("c%d-%d", F.col("conv_id"), turn)
-    t = F.col("turn")
-    half = F.floor(t / 2).cast("long")
-    before = half - F.abs(half - t) % 2
-    call = F.struct(name(t).alias("id"), F.lit("reply").alias("name"), F.struct(
-        t.alias("turn"), F.char_length("text").alias("n_chars"),
-        F.when(before > 0, F.struct(name(before).alias("$ref"))).alias("after")).alias("arguments"))
+    t, n = F.col("turn"), F.char_length("text")
+    before = F.when(t >= 3, F.struct(name(t - 2).alias("$ref"))).alias("after")
+    good = F.to_json(F.struct(t.alias("turn"), n.alias("n_chars"), before))
+    typed = F.to_json(F.struct(t.alias("turn"), n.cast("string").alias("n_chars"), before))
+    text = F.when(n % 11 == 0, F.rtrim(good, F.lit("}"))).when(n % 7 == 0, typed).otherwise(good)
+    call = F.struct(name(t).alias("id"), F.lit("reply").alias("name"), text.alias("arguments"))
     replies = conversations.filter("role = 'assistant'")
     calls = replies.select("conv_id", "turn", "role", F.to_json(F.struct(F.array(call).alias("tool_calls"))).alias("text"))
-    results = replies.select("conv_id", "turn", F.lit("tool").alias("role"), F.to_json(F.struct(
+    results = replies.filter(F.coalesce(n % 10 != 0, F.lit(True))).select("conv_id", "turn", F.lit("tool").alias("role"), F.to_json(F.struct(
         name(t).alias("tool_call_id"), F.col("text").alias("content"))).alias("text"))
     others = conversations.filter("role is null or role != 'assistant'").select("conv_id", "turn", "role", "text")
     return others.unionByName(calls).unionByName(results)
