@@ -343,6 +343,31 @@ def test_texts_that_no_language_explains_go(spark):
     assert kept.get("clean", 0) >= 0.97 * len(rows) and set(kept) == {"clean"}
 
 
+def test_every_distinct_text_teaches_the_model_and_its_fences(spark):
+    rnd = random.Random(24)
+    texts = {f"always {' '.join(rnd.choice('abcdefgh') * 3 for _ in range(9))} {i // 50}" for i in range(2600)}
+    rows = [(t, "aa") for t in texts] + [(min(texts), "aa")] * 2500
+    # More than one in a hundred of the texts, but not of the rows, hold as many unknown words as known ones.
+    strange = ["aaa " + "".join(rnd.choice("abcdefgh") for _ in range(9)) for _ in range(40)]
+    model = langid.fit_fences(langid.fit(spark.createDataFrame(rows + [(t, "aa") for t in strange], "text string, lang string").repartition(3)))
+    row = model.items[:int((model.kind == 0).sum())].to_pylist().index("always")
+    assert model.langs == ["aa"] and round(math.exp(model.gain[model.first[row]]) / 2 - 0.5) == len(texts)
+    assert model.fences["aa"] == langid.FENCE_PART / 2
+
+
+def test_most_frequent_entries_match_a_sort(spark):
+    rnd = random.Random(25)
+    rows = [(lang, kind, f"i{i}", min(9, int(1 / rnd.random()))) for lang in "ab" for kind in (0, 1) for i in range(200)]
+    limits = langid.FitLimits(words_per_lang=30, grams_per_lang=70)
+    got = langid._most_frequent(spark.createDataFrame(rows, "lang string, kind int, item string, n long").repartition(3), limits)
+    want = set()
+    for lang in "ab":
+        for kind, top in ((0, 30), (1, 70)):
+            some = sorted((r for r in rows if r[:2] == (lang, kind)), key=lambda r: (-r[3], r[2]))[:top]
+            want |= {r for r in some if kind or r[3] > 1}
+    assert {tuple(r) for r in got.collect()} == want
+
+
 def test_two_hundred_languages_make_a_sparse_model(spark):
     rnd = random.Random(23)
     rows = _invented(rnd, 200, 4, 12)

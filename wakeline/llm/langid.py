@@ -1,7 +1,7 @@
 """Language identification: known words first, backing off to shorter and shorter character n-grams.
 
-Fitting counts words and character n-grams per language with Spark aggregations over a bounded sample
-of labelled rows, and keeps the most frequent of each, so a language's part of the model is bounded by
+Fitting counts words and character n-grams per language with Spark aggregations over every distinct text
+of the labelled rows, and keeps the most frequent of each, so a language's part of the model is bounded by
 ``words_per_lang`` and ``grams_per_lang``. The model is sparse: each entry lists the languages that know it, so it
 grows with its entries, not with entries times languages, and it can be sent to every task. A known word scores its log
 frequency in each language. An unseen word is covered from left to right: at each position the longest
@@ -10,12 +10,13 @@ is the winner's share of the likelihood. Only the text is read for a prediction.
 
 The likelihood is summed over all words, so it nearly always names a clear winner, for random letters too. Whether
 the winner explains the text is told by ``known``, the share of its words that the winner knows as its own words, against a
-fence learnt per language from the sampled texts (``fit_fences``).
+fence learnt per language from all labelled texts (``fit_fences``).
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -26,17 +27,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm.columns import appended, cleared, extended
-from wakeline.session import materialize, ship_package
+from wakeline.session import checkpoint_dir, drop_folder, materialize, ship_package
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 MAX_GRAM = 5
 MAX_WORD_CHARS = 64
-REMEMBERED = 400_000
+# Entries that a task holds: rows of unseen words, and counts of words and n-grams not yet handed on.
+REMEMBERED = 100_000
+COUNTED = 300_000
+GRAMS_HELD = 1_000_000
+# Words cut into n-grams at once.
+WORDS_CUT = 10_000
 # A row a language: up to so many are sent to every task, more are joined by a shuffle.
 BROADCAST_LANGS = 65_536
+# Places that hashes of texts fall in; the places of repeated texts are sent to every task.
+HASH_PLACES = 1 << 20
 # A text is explained by its language if the share of its words that the language knows reaches FENCE_PART of the
-# share that all but FENCE_QUANTILE of the language's sampled texts reach.
+# share that all but FENCE_QUANTILE of the language's texts reach.
 FENCE_QUANTILE, FENCE_PART = 0.01, 0.75
 # A language knows a word as its own if the word is at most so many times as frequent in any other one, so that a few
 # texts with a wrong label do not make two languages share their words.
@@ -45,9 +53,9 @@ OWN_FACTOR = 10.0
 
 @dataclass(frozen=True)
 class FitLimits:
-    """Bounds of the fit: about so many sampled distinct texts a language, and entries kept a language."""
+    """Entries kept a language. All distinct texts teach, unless a caller asks for about ``docs_per_lang`` a language."""
 
-    docs_per_lang: int = 1_000
+    docs_per_lang: int | None = None
     words_per_lang: int = 50_000
     grams_per_lang: int = 30_000
 
@@ -60,14 +68,6 @@ def words_of(text: str) -> list[str]:
     return [w[i:i + MAX_WORD_CHARS] for w in found for i in range(0, len(w), MAX_WORD_CHARS)]
 
 
-def grams_of(word: str):
-    """The word's n-grams of every order, with marks at its ends: (order, n-gram)."""
-    marked = f"<{word}>"
-    for n in range(1, MAX_GRAM + 1):
-        for i in range(len(marked) - n + 1):
-            yield n, marked[i:i + n]
-
-
 def sample_rows(docs: DataFrame, text: str, lang: str, limits: FitLimits) -> DataFrame:
     """(lang, text) of about ``docs_per_lang`` distinct texts a language, chosen by a hash of the text.
 
@@ -84,47 +84,131 @@ def sample_rows(docs: DataFrame, text: str, lang: str, limits: FitLimits) -> Dat
             .filter(F.col("_part") < F.col("_share")).select("lang", "text").distinct())
 
 
+def taught_rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """(lang, text) of every labelled text, once a language: many copies of one text teach no more than the text.
+
+    Only texts whose hash falls where a repeated one does are brought together; all others stay where they are. There are
+    at most ``HASH_PLACES`` such places, however many texts come several times."""
+    taught = _labelled(docs, text, lang).withColumn("_hash", F.xxhash64("text"))
+    taught = taught.withColumn("_place", F.pmod("_hash", F.lit(HASH_PLACES)).cast("int"))
+    places = materialize(taught.groupBy("lang", "_hash", "_place").count().filter("count > 1").select("_place").distinct())
+    alone = taught.join(F.broadcast(places), "_place", "left_anti").select("lang", "text")
+    others = taught.join(F.broadcast(places), "_place", "left_semi")
+    return alone.unionByName(others.groupBy("lang", "_hash").agg(F.first("text").alias("text")).select("lang", "text"))
+
+
+def _labelled(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    return docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"))
+
+
+def _words_counted(taught: DataFrame) -> DataFrame:
+    """(lang, item, n) of the words of all texts; a task adds them up as far as its memory is to go, then Spark does."""
+    names = ["lang", "item", "n"]
+
+    def run(batches):
+        held: dict[str, Counter] = {}
+
+        def flush():
+            for label, counts in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([label] * len(counts), pa.string()), pa.array(list(counts), pa.string()),
+                                                  pa.array(list(counts.values()), pa.int64())], names)
+            held.clear()
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                for label, body in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    held.setdefault(label, Counter()).update(words_of(body))
+                if sum(map(len, held.values())) >= COUNTED:
+                    yield from flush()
+        yield from flush()
+
+    return taught.mapInArrow(run, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n"))
+
+
+def _grams_counted(words: DataFrame) -> DataFrame:
+    """(lang, kind, item, n) of the n-grams of all words, each as often as its word comes; kind is the n-gram's length."""
+
+    def grams(batch):
+        lang, word, n = batch.columns
+        marked = pc.binary_join_element_wise("<", word, ">", "")
+        table = pa.table([lang, marked, n, pc.utf8_length(marked)], ["lang", "word", "n", "length"])
+        out, start = [], 0
+        while table.num_rows:
+            for order in range(1, MAX_GRAM + 1):
+                some = table.filter(pc.greater_equal(table["length"], start + order))
+                out.append(pa.table([some["lang"], pc.utf8_slice_codeunits(some["word"], start, start + order), some["n"]],
+                                    ["lang", "item", "n"]))
+            start += 1
+            table = table.filter(pc.greater(table["length"], start))
+        return added(out)
+
+    def added(tables):
+        return pa.concat_tables(tables).group_by(["lang", "item"]).aggregate([("n", "sum")]).rename_columns(["lang", "item", "n"])
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, WORDS_CUT):
+                held.append(grams(batch.slice(at, WORDS_CUT)))
+                if sum(t.num_rows for t in held) >= GRAMS_HELD:
+                    yield from added(held).to_batches()
+                    held = []
+        if held:
+            yield from added(held).to_batches()
+
+    found = words.select("lang", "item", "n").mapInArrow(run, "lang string, item string, n long")
+    return found.groupBy("lang", F.char_length("item").alias("kind"), "item").agg(F.sum("n").alias("n"))
+
+
+def _most_frequent(counts: DataFrame, limits: FitLimits) -> DataFrame:
+    """The most frequent entries a language and kind, ties by their text.
+
+    How often an entry must come is read off the numbers of entries by frequency, so only the entries kept, and those as
+    frequent as the last of them, are put in order."""
+    top = F.when(F.col("kind") == 0, limits.words_per_lang).otherwise(limits.grams_per_lang)
+    counts = counts.filter("n > 1 or kind > 0")
+    w = Window.partitionBy("lang", "kind").orderBy(F.desc("n"))
+    sizes = counts.groupBy("lang", "kind", "n").agg(F.count("*").alias("_size"))
+    above = F.sum("_size").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
+    least = materialize(sizes.withColumn("_above", above).filter(F.col("_above") < top)
+                        .groupBy("lang", "kind").agg(F.min("n").alias("_least")))
+    few = least.count() <= BROADCAST_LANGS
+    rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
+    return (counts.join(F.broadcast(least) if few else least, ["lang", "kind"]).filter(F.col("n") >= F.col("_least"))
+            .withColumn("_rank", rank).filter(F.col("_rank") <= top).select("lang", "kind", "item", "n"))
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", limits: FitLimits = FitLimits()) -> Model:
     """Fit on the labelled rows of ``docs`` (rows with a null lang or text teach nothing)."""
     spark = docs.sparkSession
     ship_package(spark)
-
-    def count(batches):
-        for batch in batches:
-            words: dict[str, Counter] = {}
-            for label, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words.setdefault(label, Counter()).update(words_of(body))
-            out = []
-            for label, counts in words.items():
-                grams: Counter = Counter()
-                for w, c in counts.items():
-                    out.append((label, 0, w, c))
-                    for key in grams_of(w):
-                        grams[key] += c
-                out += [(label, n, g, c) for (n, g), c in grams.items()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int32()),
-                 pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.int64())],
-                ["lang", "kind", "item", "n"])
-
-    sampled = materialize(sample_rows(docs, text, lang, limits))
-    counts = (sampled.mapInArrow(count, "lang string, kind int, item string, n long")
-              .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
-    counts = materialize(counts)
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/langid-{uuid.uuid4().hex}"
+
+    def kept_as(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    if limits.docs_per_lang is None:
+        taught, rows = taught_rows(docs, text, lang), _labelled(docs, text, lang)
+    else:
+        taught = rows = materialize(sample_rows(docs, text, lang, limits))
+    words = kept_as(_words_counted(taught), "words")
+    grams = kept_as(_grams_counted(words), "grams")
+    counts = words.select("lang", F.lit(0).alias("kind"), "item", "n").unionByName(grams)
     totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total")).collect()
     langs = sorted({r["lang"] for r in totals})
     place = spark.createDataFrame(list(enumerate(langs)), "at int, lang string")
-    rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
-    top = F.when(F.col("kind") == 0, limits.words_per_lang).otherwise(limits.grams_per_lang)
-    kept = (counts.withColumn("_rank", rank).filter(F.col("_rank") <= max(limits.words_per_lang, limits.grams_per_lang))
-            .filter(F.col("_rank") <= top).filter("n > 1 or kind > 0").select("lang", "kind", "item", "n"))
+    kept = _most_frequent(counts, limits)
     # What a language adds to the score of an entry it knows, above that of a language that does not.
     gain = F.log((F.col("n") + 0.5) / 0.5).cast("float")
     entries = (kept.join(place, "lang").groupBy("kind", "item")
                .agg(F.array_sort(F.collect_list(F.struct("at", gain.alias("gain")))).alias("known"))
                .select("kind", "item", F.col("known.at").alias("at"), F.col("known.gain").alias("gain")))
     model = Model.of(entries.toArrow(), langs, {(r["lang"], r["kind"]): r["total"] for r in totals})
-    model.sampled = sampled
+    model.taught = rows
+    drop_folder(spark, folder)
     return model
 
 
@@ -135,7 +219,7 @@ class Model:
     ``gain``; ``base[kind]`` holds every language's score of an entry that it does not know. ``fences`` holds a
     language's least share of known words, or nothing."""
 
-    sampled = None
+    taught = None
 
     def __init__(self, langs: list[str], items: pa.Array, kind: np.ndarray, first: np.ndarray, at: np.ndarray,
                  gain: np.ndarray, base: np.ndarray, fences: dict[str, float] | None = None):
@@ -236,11 +320,14 @@ class Model:
 
 def fit_fences(model: Model) -> Model:
     """The model with a fence per language: ``FENCE_PART`` of the share of known words that all but ``FENCE_QUANTILE``
-    of the language's sampled texts reach. A language whose texts hold few repeated words, as in scripts without
-    blanks, gets a low fence. A language without a sampled text of its own prediction has none."""
-    if model.sampled is None:
+    of the language's distinct texts reach, measured on every text that the model was fitted on. A language whose texts hold
+    few repeated words, as in scripts without blanks, gets a low fence. A language without a text of its own prediction has
+    none."""
+    if model.taught is None:
         return model
-    rows = identified(model.sampled, model, prefix="_").filter(F.col("_lang_pred") == F.col("lang"))
+    rows = identified(model.taught, model, prefix="_").filter(F.col("_lang_pred") == F.col("lang"))
+    # Copies of a text have its share; the shares are brought together, not the texts.
+    rows = rows.groupBy("lang", F.xxhash64("text")).agg(F.first("_known").alias("_known"))
     low = rows.groupBy("lang").agg(F.percentile_approx("_known", FENCE_QUANTILE, 10_000).alias("low")).collect()
     model.fences = {r["lang"]: FENCE_PART * r["low"] for r in low}
     return model

@@ -134,3 +134,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on any file system that Spark can reach."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own that nothing reads any more; nothing if it is not there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
