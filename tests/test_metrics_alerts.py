@@ -124,3 +124,33 @@ def test_failed_evaluations_have_their_own_state(spark):
     grid = values.select("series", "k").unionByName(spark.createDataFrame([("s", 24)], "series string, k int"))
     got = {r.k: r.state for r in AL.alert_states(values, grid, ["series"], "gt", 0.5, error="failed").collect()}
     assert got == {4: "pending", 8: "firing", 12: "error", 16: "pending", 20: "error", 24: "nodata"}
+
+
+def test_counter_rates_equal_the_rates_of_dense_samples(spark):
+    """The rates of late and on-time counters, whatever the gaps between their bumps, to the last bit."""
+    import random
+
+    rnd = random.Random(31)
+    end, bumps = 40, []
+    for d in range(12):
+        for kind in ("late", "on_time"):
+            for k in rnd.sample(range(1, end + 1), rnd.choice([0, 1, 2, 3, 9, 25])):
+                bumps += [(f"d{d}", kind, k, 1)] * rnd.randint(1, 4)
+    inc = spark.createDataFrame(bumps, "id string, kind string, k int, inc long").repartition(3)
+    kmax = spark.createDataFrame([(end,)], "_kmax int")
+    for window in (60.0, 300.0):
+        dense = M.rate(M.counter_samples(inc, ["id", "kind"], kmax), ["id", "kind"], window=window, dense=True)
+        want = {(r.id, r.k, r.kind): r.value for r in dense.collect()}
+        got = M.counter_rates(inc, ["id"], "kind", ["late", "on_time"], kmax, window=window).collect()
+        assert len({(r.id, r.k) for r in got}) == len(got)
+        assert {(r.id, r.k, x): r[x] for r in got for x in ("late", "on_time") if r[x] is not None} == want
+        some = M.counter_rates(inc, ["id"], "kind", ["late", "on_time"], kmax, window=window, every=7)
+        assert sorted(map(tuple, some.collect()), key=str) == sorted((tuple(r) for r in got if r.k % 7 == 0 or r.k == end), key=str)
+
+
+def test_late_ratio_sorts_no_row_per_scrape(spark):
+    """Scrapes are filled in after the last sort and shuffle."""
+    from wakeline.plans.queries import QUERIES
+
+    plan = QUERIES["late_ratio"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Window") and "sequence" in plan[:plan.index("Window")]

@@ -37,13 +37,18 @@ def threshold(v: Column, op: str, limit: float) -> Column:
     return _OPS[op](v, float(limit))
 
 
+def eval_every(every: float = EVAL_EVERY_S, step: float = STEP_S) -> int:
+    """Scrapes from one evaluation to the next."""
+    return int(round(every / step))
+
+
 def eval_grid(kmax: DataFrame, every: float = EVAL_EVERY_S, step: float = STEP_S,
               series: Sequence[str] = (), series_df: DataFrame | None = None, k: str = "k") -> DataFrame:
     """Evaluation indices (every ``every`` seconds on the scrape grid) up to the grid end.
 
     Without ``series_df`` one unnamed series is evaluated; with it, every listed series.
     """
-    e = int(round(every / step))
+    e = eval_every(every, step)
     base = series_df.select(*series).distinct() if series_df is not None else None
     if base is None:
         return kmax.select(F.explode(F.sequence(F.lit(e), F.col("_kmax"), F.lit(e))).alias(k))

@@ -106,21 +106,72 @@ def rate(samples: DataFrame, series: Sequence[str], value: str = "units", scale:
                      F.first(value).over(w).alias("_first"),
                      (F.sum("_delta").over(w) - F.coalesce(F.first("_delta").over(w), F.lit(0))).alias("_incu"))
     d = d.filter(F.col("_n") >= 2)
-    inc = F.col("_incu") / F.lit(float(scale))
+    value = _per_second(F.col(k), F.col("_k0"), F.col("_n"), F.col("_first"), F.col("_incu"), scale, window, step, extrapolate,
+                        is_counter)
+    return d.select(*series, k, value.alias(out))
+
+
+def _per_second(k: Column, k0: Column, n: Column, first: Column, incu: Column, scale: float, window: float, step: float,
+                extrapolate: bool = True, is_counter: bool = True) -> Column:
+    """Rate at ``k`` of the ``n`` samples from ``k0`` on, of which the first is ``first`` and which rise by ``incu`` units."""
+    inc = incu / F.lit(float(scale))
     if not extrapolate:
-        return d.select(*series, k, (inc / F.lit(float(window))).alias(out))
-    sampled = (F.col(k) - F.col("_k0")).cast("double") * F.lit(step)
-    avg = sampled / (F.col("_n") - 1).cast("double")
+        return inc / F.lit(float(window))
+    sampled = (k - k0).cast("double") * F.lit(step)
+    avg = sampled / (n - 1).cast("double")
     thr = avg * F.lit(1.1)
-    to_start = (F.col("_k0") - (F.col(k) - F.lit(m))).cast("double") * F.lit(step)
+    to_start = (k0 - (k - F.lit(int(round(window / step))))).cast("double") * F.lit(step)
     to_start = F.when(to_start >= thr, avg / F.lit(2.0)).otherwise(to_start)
     if is_counter:
-        first_v = F.col("_first") / F.lit(float(scale))
+        first_v = first / F.lit(float(scale))
         to_zero = F.when((inc > 0) & (first_v >= 0), sampled * (first_v / inc))
         to_start = F.when(to_zero.isNotNull() & (to_zero < to_start), to_zero).otherwise(to_start)
     to_end = F.lit(0.0)  # evaluated at sample times: the last sample is at t
     factor = (sampled + to_start + to_end) / sampled / F.lit(float(window))
-    return d.select(*series, k, (inc * factor).alias(out))
+    return inc * factor
+
+
+def counter_rates(increments: DataFrame, series: Sequence[str], kind: str, kinds: Sequence[str], kmax: DataFrame,
+                  window: float = 300.0, step: float = STEP_S, scale: float = 1.0, inc: str = "inc", k: str = "k",
+                  every: int = 1) -> DataFrame:
+    """``series.., k`` and a column per counter of ``kinds``: its rate there, null where it has none.
+
+    The numbers are those of ``rate(counter_samples(...), dense=True)``, but no row per scrape is sorted or shuffled: what a
+    rate reads changes at a bump's scrape and when the bump leaves the window, so the counters' state is carried over these
+    rows only, at most two a bump, and its scrapes are filled in at the end. With ``every`` only scrapes that it divides are
+    filled in, and the grid's end, where every series has a row.
+    """
+    series = list(series)
+    m = int(round(window / step))
+    points = F.explode(F.array(F.struct(F.col(k).alias(k), F.lit(False).alias("left")),
+                               F.struct((F.col(k) + m).alias(k), F.lit(True).alias("left"))))
+    moved = increments.select(*series, kind, inc, points.alias("_p")).select(*series, kind, inc, "_p.*")
+    cells = moved.groupBy(*series, k).agg(*[
+        F.sum(F.when((F.col(kind) == x) & (F.col("left") == left), F.col(inc))).alias(f"_{x}_{name}")
+        for x in kinds for name, left in (("in", False), ("out", True))])
+    w = Window.partitionBy(*series).orderBy(k)
+    run = w.rowsBetween(_UNB, 0)
+    state = []
+    for x in kinds:
+        come, gone = F.col(f"_{x}_in"), F.col(f"_{x}_out")
+        # Units here and a window ago, and scrape and units of the first sample.
+        state += [F.sum(come).over(run).alias(f"_{x}_v"), F.sum(gone).over(run).alias(f"_{x}_old"),
+                  F.min(F.when(come.isNotNull(), F.col(k))).over(run).alias(f"_{x}_k1"),
+                  F.first(come, ignorenulls=True).over(run).alias(f"_{x}_v1")]
+    spans = _with_scalar(cells.select(*series, F.col(k).alias("_from"), F.lead(k).over(w).alias("_next"), *state), kmax)
+    spans = spans.filter(F.col("_from") <= F.col("_kmax"))
+    scrapes = F.sequence("_from", F.least(F.coalesce(F.col("_next") - 1, F.col("_kmax")), F.col("_kmax")))
+    if every > 1:
+        scrapes = F.filter(scrapes, lambda x: (x % every == 0) | (x == F.col("_kmax")))
+    at, out = F.col(k), []
+    for x in kinds:
+        v, old, k1, v1 = (F.col(f"_{x}_{c}") for c in ("v", "old", "k1", "v1"))
+        # Null before the second sample, and so is all that follows from it.
+        n = F.when(at > k1, F.least(at - k1 + 1, F.lit(m + 1)))
+        first = F.coalesce(old, v1)
+        out.append(_per_second(at, at - (n - 1), n, first, v - first, scale, window, step).alias(x))
+    rest = [c for c in spans.columns if c not in ("_from", "_next", "_kmax")]
+    return spans.select(*rest, F.explode(scrapes).alias(k)).select(*series, k, *out)
 
 
 # -- stored samples at any evaluation times ------------------------------------

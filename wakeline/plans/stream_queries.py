@@ -84,7 +84,7 @@ def q_stream_counters(spark, sf_dir):
 def q_stream_alert_transitions(spark, sf_dir):
     """Changes of state of the late-ratio alerts, sent while the values come in."""
     inp = MQ.Inputs(spark, sf_dir)
-    lr = MQ.late_ratio(inp.pipeline())
+    lr = MQ.late_ratio(inp)
     values = materialize(lr.select("k", F.concat(F.lit("device_"), F.col("id")).alias("series"), "value"))
     end = inp.kmax().first()[0] or 0
     root = _root(spark)

@@ -74,6 +74,13 @@ def pipeline_bumps(classified: DataFrame, enriched: DataFrame | None) -> DataFra
         F.round(F.col("time_taken").cast("double") * F.lit(1e6)).cast("long").alias("inc")))
 
 
+def device_bumps(classified: DataFrame) -> DataFrame:
+    """``id, kind, k, inc``: every bump of the devices' ``late`` and ``on_time`` counters, as ``pipeline_bumps`` has them."""
+    kind = F.when(F.col("is_late"), F.lit("late")).otherwise(F.lit("on_time"))
+    return with_k(classified).filter(F.col("id").isNotNull()).select(
+        F.col("id").cast("string").alias("id"), kind.alias("kind"), "k", F.lit(1).cast("long").alias("inc"))
+
+
 def _with_scale(counters: DataFrame) -> DataFrame:
     return counters.withColumn("scale", F.when(F.col("metric") == "time_counter_ms", F.lit(TIME_UNITS_PER_MS))
                                .otherwise(F.lit(1.0)))

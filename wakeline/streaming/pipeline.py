@@ -270,7 +270,8 @@ class AlertStream:
             first = (F.floor(F.col("_from") / e) + 1) * e
             times = F.sequence(first.cast("int"), F.greatest(first.cast("int"), F.lit(upto // e * e)), F.lit(e))
             grid = known.select(*s, F.explode(times).alias("k")).filter(F.col("k") <= upto)
-            values = batch
+            # Values between two evaluations only tell that their series is there.
+            values = batch.filter(F.col("k") % e == 0)
             if carry is not None:
                 # An open breach goes on: its first evaluation stands before the new ones.
                 since = carry.filter("since is not null").select(*s, F.col("since").alias("k"), "value")
