@@ -204,4 +204,4 @@ def test_pipeline_stages_keep_clean_documents(spark, scratch):
 def test_queries_register_one_per_operator():
     from wakeline.llm.queries import QUERIES
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
