@@ -200,6 +200,37 @@ def test_token_files_round_trip(docs, scratch, spark, shard_docs):
     assert tokenfile.read_tokens(spark, folder + "-empty").count() == 0
 
 
+def test_token_encoder_equals_the_library_and_asks_it_for_few_units():
+    import pyarrow as pa
+
+    from wakeline.llm.tokenizers_io import json_tokenizer
+
+    with open(public_path("byte_bpe_50k.json"), "rb") as fh:
+        tokenizer = json_tokenizer(fh.read())
+    asked = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        def encode_batch_fast(self, units, **kw):
+            asked.extend(units)
+            return tokenizer.encode_batch_fast(units, **kw)
+
+    rnd = random.Random(5)
+    parts = ["a", "b", " ", "  ", "\n", "\t", "\xa0", "\x0b", "\x1c", "\x85", "\u3000", "é", "日", "1", "'s", "!", "<|endoftext|>",
+             "don't", " the", " word,", " wörd.", "ſtŁ", "×", "ª", "\nAnd", ".\n", "(", "...)", " it'll!", "|>", "<|", "`"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(5000)] + [None, "", " ", "  ", "\n"]
+    encoder = tokenfile.WordEncoder(Counted(), 2)
+    got = [x for s in range(0, len(texts), 999) for x in encoder.encode(pa.array(texts[s:s + 999], pa.string()), b"\0\0").to_pylist()]
+    want = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [0], dtype="<u2").tobytes() for t in texts]
+    assert got == want
+    assert encoder.encode(pa.array([], pa.string()), b"\0\0").to_pylist() == []
+    asked.clear()
+    encoder.encode(pa.array(["Plain words, with màrks.\nAnd (a) line; no 7"], pa.string()))
+    assert asked == [" (a)", " 7"]
+
+
 def test_language_id(docs, spark):
     rnd = random.Random(9)
     vocab = {"aa": ["kala", "mato", "suli", "vene"], "bb": ["gruk", "drosh", "blim", "krent"]}

@@ -13,25 +13,34 @@ one whole file. They lie in the shared folder that ``spark.checkpoint.dir`` name
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.llm.batchwords import pieces
 from wakeline.llm.tokenizers_io import broadcast_file, json_tokenizer
 from wakeline.operators.prefix import scan_before
-from wakeline.session import checkpoint_dir, ship_package
+from wakeline.session import checkpoint_dir, ship_package, small_batches
 
 MAGIC = b"WKTOK001"
 SAMPLE = 256
 SHARD_DOCS = 16_384
-CACHE_ENTRIES = 800_000
+# Units that a task remembers, with their ids; longer ones are asked for anew in each batch of texts.
+CACHED_UNITS = 500_000
+CACHED_IDS = 1 << 23
 CACHED_CHARS = 64
+# Text encoded at once, and units that the tokenizer is given at once.
+ENCODED_BYTES = 2 << 20
+ASKED = 4096
 FOOTER = struct.Struct("<QQQQBQQ8s")
 EF_HEAD = struct.Struct("<QQBQQ")
 
@@ -143,9 +152,9 @@ class ShardWriter:
         self.doc_ids: list[int] = []
         self.n_null = 0
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
+    def add(self, doc_id: int | None, ids: pa.Buffer) -> None:
         self.out.write(ids)
-        self.lengths.append(len(ids) // self.width)
+        self.lengths.append(ids.size // self.width)
         if doc_id is None:
             self.n_null += 1
         else:
@@ -171,46 +180,126 @@ class WordEncoder:
     """Ids of whole texts from the tokenizer, asked once for each distinct unit.
 
     The byte-level pre-tokenizer never joins a visible character to a blank or line feed after it, so a text
-    may be cut there and its units encoded apart. Units are remembered, in bounded memory.
+    may be cut there and its units encoded apart. Texts are cut, and their units told apart and put together again, by
+    array operations over many texts; only the distinct units of these are looked up one by one. Units are remembered,
+    in bounded memory.
     """
 
     UNIT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
-    DOUBLE = re.compile(r"\s\s")
+    # Letters and marks of plain words; no apostrophe, which may open an ending of its own.
+    LETTERS, MARKS = r"[A-Za-zÀ-ÖØ-öø-ſ]", r"[!-&(-/:-@\[-`{-~]"
+    PLAIN = re.compile(f"([ \n]?)({LETTERS}+)({MARKS}*)")
+    # Two neighbours that both are blanks to Python's regular expressions, as Arrow's have fewer of them.
+    DOUBLE = "[{0}][{0}]".format(r"\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 
     def __init__(self, tokenizer, width: int):
         self.tokenizer, self.width = tokenizer, width
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def units(self, text: str) -> list[str]:
-        if self.DOUBLE.search(text):
-            return self.UNIT.findall(text)
-        # Each blank stands alone, so it opens the unit after it.
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + u for u in rest]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.units(t) for t in texts]
-        new, old = self.new, self.old
-        missing: dict[str, None] = {}
-        for units in cut:
-            for u in units:
-                if u not in new:
-                    ids = old.get(u)
-                    if ids is None:
-                        missing[u] = None
-                    else:
-                        new[u] = ids
-        asked = list(missing)
-        dtype = f"<u{self.width}"
-        for u, e in zip(asked, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
-            new[u] = np.array(e.ids, dtype=dtype).tobytes()
-        out = [b"".join([new[u] for u in units]) for units in cut]
-        for u in asked:
-            if len(u) > CACHED_CHARS:
-                del new[u]
-        if len(new) > CACHE_ENTRIES // 2:
-            self.old, self.new = new, {}
+        self.plain = self.PLAIN.fullmatch if self._cuts_plain_words() else lambda unit: None
+        single = (chr(c) for c in range(0x180) if re.fullmatch(f"[ \n]|{self.LETTERS}|{self.MARKS}", chr(c)))
+        cut = tokenizer.pre_tokenizer.pre_tokenize_str if tokenizer.pre_tokenizer else lambda c: [(c, None)]
+        self.spelt = str.maketrans({c: "".join(x for x, _ in cut(c)) for c in single})
+        self._forget()
+
+    def _cuts_plain_words(self) -> bool:
+        """Whether a unit of ``PLAIN`` always goes to the tokenizer's model in these pieces: a line feed, the word with
+        a blank before it, the marks after it, each spelt byte by byte."""
+        spec = json.loads(self.tokenizer.to_str())
+        cut = spec["pre_tokenizer"] or {}
+        return (spec["normalizer"] is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
+                and not any(re.fullmatch(r"\s*[^\W\d_]*[^\w\s]*\s*", t["content"]) for t in spec["added_tokens"]))
+
+    def _forget(self) -> None:
+        """Starts with no units: their numbers, and by number where a unit's ids start in ``ids`` and how many they are."""
+        self.known: dict[str, int] = {}
+        self.ids = np.empty(0, dtype=f"<u{self.width}")
+        self.starts, self.lengths = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+
+    def encode(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """Each text's ids and ``end`` as bytes; a null text is empty."""
+        texts = pc.fill_null(texts, "")
+        double = pc.match_substring_regex(texts, self.DOUBLE).to_numpy(zero_copy_only=False)
+        # Where each blank and line feed stands alone, it opens the unit after it.
+        lines, of_text = self._split(pc.if_else(pa.array(double), "", texts), "\n")
+        later = np.ones(len(lines), dtype=bool)
+        later[np.cumsum(of_text) - of_text] = False
+        parts, of_line = self._split(lines, " ")
+        firsts = np.cumsum(of_line) - of_line
+        sizes = np.add.reduceat(of_line, np.cumsum(of_text) - of_text) if len(texts) else of_text
+        rest, head = parts.dictionary_encode(), parts.take(pa.array(firsts))
+        head = pc.binary_join_element_wise(pc.if_else(pa.array(later), "\n", ""), head, "").dictionary_encode()
+        texts_of = lambda a: a.dictionary.to_numpy(zero_copy_only=False).tolist()
+        units = [" " + u for u in texts_of(rest)]
+        plain = rest.indices.to_numpy().copy()
+        plain[firsts] = head.indices.to_numpy() + len(units)
+        units += texts_of(head)
+        plain = plain[np.repeat(~double, sizes)]
+        place: dict[str, int] = {}
+        others = {}
+        for d in np.flatnonzero(double):
+            found = self.UNIT.findall(texts[int(d)].as_py())
+            others[d] = np.array([place.setdefault(u, len(units) + len(place)) for u in found], dtype=np.int32)
+            sizes[d] = len(found)
+        units += place
+
+        # All texts' units in their order, an end after each text.
+        stops = np.cumsum(sizes + 1)
+        codes = np.full(int(stops[-1]) if len(stops) else 0, len(units), dtype=np.int32)
+        free = np.ones(len(codes), dtype=bool)
+        free[stops - 1] = False
+        for d, found in others.items():
+            at = slice(stops[d] - 1 - len(found), stops[d] - 1)
+            codes[at], free[at] = found, False
+        codes[free] = plain
+        numbers = self._numbers(units)
+        numbers = np.append(numbers, np.int32(len(self.starts)))[codes]
+        ids = np.concatenate([self.ids, np.frombuffer(end, dtype=self.ids.dtype)])
+        starts, lengths = np.append(self.starts, len(self.ids)), np.append(self.lengths, len(ids) - len(self.ids))
+        n = lengths[numbers]
+        ends = np.cumsum(n)
+        out = ids[np.repeat(starts[numbers] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        offsets = np.append(0, ends[stops - 1] * self.width).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+    @staticmethod
+    def _split(texts: pa.Array, at: str) -> tuple[pa.Array, np.ndarray]:
+        """All texts' parts, and how many each text has."""
+        cut = pc.split_pattern(texts, at)
+        return pc.list_flatten(cut), pc.list_value_length(cut).to_numpy().astype(np.int64)
+
+    def _numbers(self, units: list[str]) -> np.ndarray:
+        """Numbers of distinct units; those not known yet are given to the tokenizer."""
+        if len(self.known) >= CACHED_UNITS or len(self.ids) >= CACHED_IDS:
+            self._forget()
+        known = self.known
+        found = list(map(known.get, units))
+        missing = [u for u, n in zip(units, found) if n is None]
+        ids, lengths, first = [self.ids], [self.lengths], len(self.starts)
+        for s in range(0, len(missing), ASKED):
+            got = self._asked(missing[s:s + ASKED])
+            lengths.append(np.fromiter(map(len, got), dtype=np.int64, count=len(got)))
+            ids.append(np.fromiter(chain.from_iterable(got), dtype=self.ids.dtype, count=int(lengths[-1].sum())))
+        self.ids, self.lengths = np.concatenate(ids), np.concatenate(lengths)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        known.update((u, n) for n, u in enumerate(missing, first) if len(u) <= CACHED_CHARS)
+        new = iter(range(first, first + len(missing)))
+        return np.array([next(new) if n is None else n for n in found], dtype=np.int32)
+
+    def _asked(self, units: list[str]) -> list[list[int]]:
+        """The tokenizer's ids of units; plain words go to its model without being cut first."""
+        out: list = [None] * len(units)
+        model, short = self.tokenizer.model, {"": []}
+        for i, found in enumerate(map(self.plain, units)):
+            if found:
+                before, word, after = found.groups()
+                if before == " ":
+                    before, word = "", " " + word
+                for piece in (before, after):
+                    if piece not in short:
+                        short[piece] = [t.id for t in model.tokenize(piece.translate(self.spelt))]
+                out[i] = short[before] + [t.id for t in model.tokenize(word.translate(self.spelt))] + short[after]
+        left = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(left, self.tokenizer.encode_batch_fast([units[i] for i in left], add_special_tokens=False)):
+            out[i] = e.ids
         return out
 
 
@@ -235,6 +324,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     """
     spark = docs.sparkSession
     ship_package(spark)
+    small_batches(spark)
     data = broadcast_file(spark, tokenizer_path)
     width = 2 if json_tokenizer(data.value).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
     low = -(1 << 63)
@@ -251,32 +341,34 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     def encode(batches):
         encoder = _encoder(data.value, width)
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            first, last = np.searchsorted(edges.value, keys, "left"), np.searchsorted(edges.value, keys, "right")
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for s in range(0, len(texts), 256):
-                ids = [b + end for b in encoder.encode(texts[s:s + 256])]
-                part = slice(s, s + 256)
+            at = 0
+            for piece in pieces(batch, "_text", ENCODED_BYTES):
+                keys = piece.column(0).to_numpy()
+                ids = encoder.encode(piece.column(1), end)
+                shard = np.searchsorted(edges.value, keys, "left")
+                last = np.searchsorted(edges.value, keys, "right")
                 # A key that equals several edges may go to any shard between them.
-                spread = np.array([zlib.crc32(b) for b in ids], dtype=np.int64) + np.arange(s, s + len(ids))
-                shard = first[part] + spread % (last[part] - first[part] + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard, pa.int64()), pa.array(keys[part], pa.int64()), pa.array(ids, pa.binary())],
-                    ["shard", "_key", "ids"])
+                for i in np.flatnonzero(last > shard):
+                    shard[i] += (zlib.crc32(ids[i].as_buffer()) + at + i) % (last[i] - shard[i] + 1)
+                at += len(keys)
+                yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(keys, pa.int64()), ids],
+                                                 ["shard", "_key", "ids"])
 
     def write(batches):
         from pyarrow import fs as pafs
 
+        # The encoding is over; workers may be used again, and need not hold its units while files are written and read.
+        _ENCODERS.clear()
         fs, path = pafs.FileSystem.from_uri(uri)
         fs.create_dir(path, recursive=True)
         writer, rows = None, []
         for batch in batches:
-            for shard, key, ids in zip(*[c.to_pylist() for c in batch.columns]):
+            for shard, key, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if writer is None or writer.shard != shard:
                     if writer:
                         rows.append(writer.close())
                     writer = ShardWriter(fs, path, shard, width)
-                writer.add(None if key == low else key, ids)
+                writer.add(None if key == low else key, ids.as_buffer())
         if writer:
             rows.append(writer.close())
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)],

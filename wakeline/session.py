@@ -130,6 +130,20 @@ def ship_package(spark) -> None:
     _SHIPPED.add(key)
 
 
+BATCH_BYTES = 4 * MB
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in Arrow batches of about ``BATCH_BYTES``, unless the session names a size itself.
+
+    Spark's own bound is 64 MB, and a batch is held by the JVM and by the worker at once: with texts, batches of
+    10,000 rows can be a large part of an executor's memory.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on any file system that Spark can reach."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
