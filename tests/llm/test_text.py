@@ -200,6 +200,29 @@ def test_token_files_round_trip(docs, scratch, spark, shard_docs):
     assert tokenfile.read_tokens(spark, folder + "-empty").count() == 0
 
 
+def test_language_tasks_get_texts_in_small_batches(spark, docs):
+    import pyarrow as pa
+
+    from wakeline.session import BATCH_BYTES, small_batches
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    long = spark.range(0, 6000, 1, 1).select(F.expr("repeat('word ', 400)").alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    spark.conf.unset(key)
+    try:
+        langid.identified(docs, langid.fit_open(docs))
+        assert max(r.n for r in long.mapInArrow(sizes, "n long").collect()) < 1.5 * BATCH_BYTES
+        spark.conf.set(key, "123456")
+        small_batches(spark)
+        assert spark.conf.get(key) == "123456"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_token_encoder_equals_the_library_and_asks_it_for_few_units():
     import pyarrow as pa
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm.columns import appended, cleared, extended
-from wakeline.session import checkpoint_dir, drop_folder, materialize, ship_package
+from wakeline.session import checkpoint_dir, drop_folder, materialize, ship_package, small_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -36,7 +36,7 @@ MAX_WORD_CHARS = 64
 # Entries that a task holds: rows of unseen words, and counts of words and n-grams not yet handed on.
 REMEMBERED = 100_000
 COUNTED = 300_000
-GRAMS_HELD = 1_000_000
+GRAMS_HELD = 500_000
 # Words cut into n-grams at once.
 WORDS_CUT = 10_000
 # A row a language: up to so many are sent to every task, more are joined by a shuffle.
@@ -184,6 +184,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", limits: FitLimi
     """Fit on the labelled rows of ``docs`` (rows with a null lang or text teach nothing)."""
     spark = docs.sparkSession
     ship_package(spark)
+    small_batches(spark)
     folder = f"{checkpoint_dir(spark).rstrip('/')}/langid-{uuid.uuid4().hex}"
 
     def kept_as(df: DataFrame, name: str) -> DataFrame:
@@ -343,6 +344,7 @@ def identified(docs: DataFrame, model: Model, text: str = "text", prefix: str =
     """
     spark = docs.sparkSession
     ship_package(spark)
+    small_batches(spark)
     # Bounded by the fit's limits a language, not by the data.
     shared = spark.sparkContext.broadcast(model)
     fields = [(prefix + "lang_pred", "string"), (prefix + "score", "double"), (prefix + "known", "double"),
