@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm import langid, neardup, packing, quality, secrets_scan
-from wakeline.session import checkpoint_dir
+from wakeline.session import checkpoint_dir, materialize
 
 OWN = "__stage_"
 
@@ -40,8 +40,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows with a null doc_id are linked with nothing and stay.
     """
     found = neardup.near_duplicates(docs)
-    ids = (found.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias(OWN + "n"))
-           .withColumnRenamed("doc_id", OWN + "id"))
+    # Written once: both branches below read them, and the driver need not plan the components with each.
+    ids = materialize(found.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias(OWN + "n"))
+                      .withColumnRenamed("doc_id", OWN + "id"))
     match = docs["doc_id"].cast("long") == F.col(OWN + "id")
     rows = docs.join(ids, match)
     single = rows.filter(F.col(OWN + "n") == 1).select(*docs.columns)

@@ -65,3 +65,29 @@ def test_places_as_bits():
         assert flags.sum() == len(set(x.tolist()) & set(y.tolist()))
         words = neardup.bit_words(flags)
         assert sum(bin(int(w) & (2**64 - 1)).count("1") for w in words) == flags.sum() and len(words) == -(-len(x) // 64)
+
+
+def test_small_tables_between_star_rounds_take_few_tasks(spark, monkeypatch):
+    from wakeline.session import path_exists
+
+    made, real = [], neardup.Scratch
+    monkeypatch.setattr(neardup, "Scratch", lambda *a: made.append(real(*a)) or made[-1])
+    held = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("stars", "")
+        got = {(r.node, r.root) for r in neardup.components(edges).collect()}
+        found = spark.sparkContext.statusTracker()
+        stages = {s for j in found.getJobIdsForGroup("stars") for s in found.getJobInfo(j).stageIds}
+        tasks = [found.getStageInfo(s).numCompletedTasks for s in stages if found.getStageInfo(s)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
+    # Small files are read several to a task; with a task for each partition that wrote them it took 4,043.
+    assert sum(tasks) < 3000
+    assert len(made) == 1 and not path_exists(spark, made[0].folder)

@@ -16,7 +16,8 @@ Only pairs from different groups of a bucket are then paired up, if their sizes,
 shingles that either shares with any node in question, allow a link at all; with a common centre, the shingles that both
 share with it are counted exactly, from bits. Components
 come from alternating large-star and small-star rounds over the verified links; nothing but
-convergence counts reaches the driver, and lineage is cut in the checkpoint folder.
+convergence counts reaches the driver, and lineage is cut in the checkpoint folder: by Parquet files of the
+call (``Scratch``), dropped at its end, and by a checkpoint for what the result reads.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm.textkernel import mix, shingle_set
-from wakeline.session import materialize, ship_package
+from wakeline.session import Scratch, materialize, ship_package
 
 REGISTERS = 256
 BUCKET_BITS = 8
@@ -244,7 +245,8 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds; a node's neighbours are only ever aggregated or joined,
     never collected, and the number of rounds grows with the logarithm of the size.
     """
-    now = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
+    scratch = Scratch(edges.sparkSession, "stars")
+    now = scratch.keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
     seen = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -252,29 +254,31 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-        now = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        now = scratch.keep(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == seen:
             break
         seen = state
+    now = materialize(now)
+    scratch.drop()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
-def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> DataFrame:
-    """Verified links (a, b) that connect all linked nodes (rep, n, sig, small)."""
+def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, keep, percent: int = PERCENT) -> DataFrame:
+    """Verified links (a, b) that connect all linked nodes (rep, n, sig, small); ``keep`` cuts lineage."""
     rows = _buckets(nodes)
     shared = rows.groupBy("key").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"), F.count("*").alias("held"))
-    members = materialize(rows.join(shared.filter("_low != _high").select("key", "held", F.col("_low").alias("c")), "key"))
+    members = keep(rows.join(shared.filter("_low != _high").select("key", "held", F.col("_low").alias("c")), "key"))
     # The text that a group was copied from shares buckets with more of the group than any copy does.
     weight = members.groupBy("rep").agg((F.sum("held") * 1024 + F.pmod(F.xxhash64("rep"), F.lit(1024))).alias("_w"))
     middle = (members.select("key", "rep").join(weight, "rep").groupBy("key").agg(F.max_by("rep", "_w").alias("m")))
     star = (members.join(middle, "key").select("rep", F.explode(F.array("c", "m")).alias("c")).filter("rep != c")
             .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct())
-    measured = materialize(_verified(materialize(_likely(star, nodes, percent)), docs, doc_id, text, percent))
+    measured = keep(_verified(keep(_likely(star, nodes, percent)), docs, doc_id, text, percent))
     first = measured.filter("linked").select("a", "b").distinct()
     # A doc_id whose rows hold several texts has several sets, for which no bound on one of them holds.
-    several = materialize(nodes.groupBy("rep").count().filter("count > 1").select("rep"))
+    several = keep(nodes.groupBy("rep").count().filter("count > 1").select("rep"))
     measured = (measured.join(several.toDF("a"), "a", "left_anti").join(several.toDF("b"), "b", "left_anti"))
     # Every node's hub: of the nodes it was measured against, the one that shares the most buckets.
     sides = F.array(F.struct(F.col("a").alias("rep"), F.col("b").alias("hub")), F.struct(F.col("b").alias("rep"), F.col("a").alias("hub")))
@@ -295,9 +299,9 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: in
     marked = (members.select("key", "rep", "n").join(label, "rep", "left")
               .select("key", "rep", "n", F.coalesce("label", "rep").alias("label")))
     mixed = marked.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low != _high")
-    open_rows = materialize(marked.join(mixed.select("key"), "key"))
+    open_rows = keep(marked.join(mixed.select("key"), "key"))
     in_question = open_rows.select("rep").distinct()
-    hubs = materialize(hubs.join(in_question, "rep", "left_semi").join(bits, ["rep", "hub"], "left"))
+    hubs = keep(hubs.join(in_question, "rep", "left_semi").join(bits, ["rep", "hub"], "left"))
     alone = (_alone(in_question.unionByName(hubs.select(F.col("hub").alias("rep"))), docs, doc_id, text)
              .join(several, "rep", "left_anti"))
     shared_with = F.col("n") - F.coalesce("alone", F.lit(0))
@@ -305,7 +309,7 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: in
     sized = open_rows.join(alone, "rep", "left").join(hubs, "rep", "left").select(
         "key", "rep", "n", "label", shared_with.alias("c"), "hub", "in_hub", outside.alias("out"), "has")
     # A node whose shared shingles cannot reach the share with a set of its own size links with nothing here.
-    sized = materialize(sized.filter(F.col("c") * 100 >= F.col("n") * percent))
+    sized = keep(sized.filter(F.col("c") * 100 >= F.col("n") * percent))
     left = sized.toDF("key", "a", "na", "la", "ca", "ha", "ia", "oa", "sa")
     right = sized.toDF("key", "b", "nb", "lb", "cb", "hb", "ib", "ob", "sb")
     # The intersection is at most the smaller count of shingles that are not a node's own alone; with a common hub,
@@ -320,7 +324,7 @@ def links(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: in
                 .filter((F.col("ha") != F.col("hb")) | F.col("ha").isNull() | F.col("hb").isNull()
                         | (exact * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
                 .select("a", "b").distinct().join(star, ["a", "b"], "left_anti"))
-    second = materialize(_verified(materialize(_likely(crossing, nodes, percent)), docs, doc_id, text, percent))
+    second = keep(_verified(keep(_likely(crossing, nodes, percent)), docs, doc_id, text, percent))
     return first.unionByName(second.filter("linked").select("a", "b"))
 
 
@@ -339,15 +343,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     signed = materialize(signatures(docs, doc_id, text))
     full = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    nodes = materialize(
+    scratch = Scratch(docs.sparkSession, "links")
+    nodes = scratch.keep(
         full.join(classes, ["d1", "d2", "n_shingles"]).filter("doc_id = rep")
         .select("rep", F.col("n_shingles").alias("n"), "sig", "small", "d1", "d2")
         .dropDuplicates(["d1", "d2", "n"]).drop("d1", "d2"))
-    found = links(nodes, docs, doc_id, text, percent)
+    found = links(nodes, docs, doc_id, text, scratch.keep, percent)
     # Rows that share a doc_id are one document, so their classes are linked through it.
     ids = full.join(classes, ["d1", "d2", "n_shingles"]).filter("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     shared = ids.join(classes.select(F.col("rep").alias("a")).distinct(), "a", "left_semi").distinct()
     roots = components(found.unionByName(shared))
+    scratch.drop()
     label = (classes.join(roots, classes["rep"] == roots["node"], "left")
              .select("d1", "d2", "n_shingles", F.coalesce("root", "rep").alias("_root")))
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(label, ["d1", "d2", "n_shingles"], "left")

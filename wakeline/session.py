@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -96,6 +97,27 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables between the steps of one operator call, as Parquet in a folder of their own in the checkpoint folder.
+
+    A checkpoint is read with a task for each partition it was written with, however small; Parquet files are read
+    several to a task, and the driver keeps track of fewer tasks. The caller drops the folder when nothing reads it any more.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.kept = spark, 0
+        self.folder = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def keep(self, df):
+        path = f"{self.folder}/{self.kept}"
+        self.kept += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        drop_folder(self.spark, self.folder)
+
+
 _SHIPPED: set = set()
 
 
