@@ -297,3 +297,21 @@ def test_scores_edges(spark, docs):
     assert sorted(r.n_tokens for r in rows) == sorted(len(_words(r.text)) + 1 for r in docs.collect())
     assert all(r.n_known == r.n_tokens and math.isfinite(r.score) for r in rows)
     assert suffixtree.scored(docs.limit(0), model).collect() == []
+
+
+def test_tree_tasks_get_texts_in_small_batches(spark, docs):
+    from wakeline.session import BATCH_BYTES
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        spark.conf.unset(key)
+        model = suffixtree.fit(docs)
+        assert spark.conf.get(key) == str(BATCH_BYTES)
+        spark.conf.unset(key)
+        suffixtree.scored(docs, model)
+        assert spark.conf.get(key) == str(BATCH_BYTES)
+        spark.conf.set(key, "123456")
+        suffixtree.scored(docs, model)
+        assert spark.conf.get(key) == "123456"
+    finally:
+        spark.conf.unset(key)

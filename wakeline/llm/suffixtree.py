@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.batchwords import BatchWords, pieces
 from wakeline.llm.textkernel import mix
-from wakeline.session import checkpoint_dir, ship_package
+from wakeline.session import checkpoint_dir, ship_package, small_batches
 
 # Symbols that are no words.
 BEGIN = np.uint64(0xB0A7D5E1C3F29688)
@@ -50,7 +50,7 @@ _LEFT, _RIGHT, _TURN = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC2B2AE3D27D4EB
 # Memory of a counting task: symbols gathered before they are added up, and text per bucket of contexts.
 GATHER = 400_000
 COUNTED_BYTES = 1 << 20
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 FILTER_BITS = 27
 FILTER_SLICES = 64
 PROBES = 3
@@ -287,6 +287,7 @@ def fit(training: DataFrame, limits: TreeLimits = TreeLimits(), folder: str | No
     """Learns the tree from column ``text``; its terms are written to the folder."""
     spark = training.sparkSession
     ship_package(spark)
+    small_batches(spark)
     folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/tree-{uuid.uuid4().hex}"
     training = training.select("text")
     rows, size = training.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
@@ -425,6 +426,7 @@ def scored(docs: DataFrame, model: Model, limits: TreeLimits = TreeLimits(), fol
     """(doc_id, n_tokens, n_known, base_score, score) of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     ship_package(spark)
+    small_batches(spark)
     folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
     cache, others = _cached_terms(spark, model, limits.cached)
     bits = build_filter(spark.read.parquet(model.terms).select("key"))
