@@ -299,6 +299,42 @@ def test_scores_edges(spark, docs):
     assert suffixtree.scored(docs.limit(0), model).collect() == []
 
 
+def test_lookups_travel_packed_and_in_parts(spark, docs, monkeypatch):
+    """Terms that are not cached are met without a row per key, however many parts the keys have."""
+    lim = suffixtree.TreeLimits(min_count=5, min_next=2, min_gain=1.0, cached=0)
+    rows = docs.select("doc_id", "text")
+    model = suffixtree.fit(rows, lim)
+    want = suffixtree.scored(rows, model, suffixtree.TreeLimits(cached=1 << 20)).collect()
+    monkeypatch.setattr(suffixtree, "ASKED", 2)
+    monkeypatch.setattr(suffixtree, "SUMMED", 1, raising=False)
+    found = suffixtree.scored(rows, model, lim)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    order = lambda r: (r.doc_id is not None, r.doc_id, r.n_tokens)
+    got = sorted(found.collect(), key=order)
+    assert len(got) == len(want) and any(r.n_known for r in got)
+    for g, w in zip(got, sorted(want, key=order)):
+        assert g[:3] == w[:3] and g[3:] == pytest.approx(w[3:])
+
+
+def test_lookup_packs_a_row_per_part():
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(3)
+    lists = [rnd.integers(-2**63, 2**63, n) for n in (0, 1, 5000, 0, 300_000, 300_000)]
+    batches = [pa.record_batch([pa.array([7 + (k << 33), 8 + (k << 33)]), pa.array(lists[2 * k:2 * k + 2], pa.list_(pa.int64()))],
+                               names=["row", "open"]) for k in range(3)]
+    packed = pa.Table.from_batches(suffixtree._asking(5)(iter(batches)))
+    assert packed.num_rows == 5 and packed.column("part").to_pylist() == [0, 1, 2, 3, 4]
+    keys = suffixtree._joined(packed, "keys", suffixtree._of(np.int64))
+    rows = suffixtree._joined(packed, "rows", suffixtree._from_steps)
+    ids = [int(r) for b in batches for r in b.column("row").to_numpy()]
+    want = sorted((i, int(k)) for i, some in zip(ids, lists) for k in some)
+    assert sorted(zip(rows.tolist(), keys.tolist())) == want
+    for p in packed.to_pylist():
+        own = suffixtree._key_part(np.frombuffer(p["keys"], dtype=np.uint64), 5)
+        assert set(own.tolist()) == {p["part"]}
+
+
 def test_tree_tasks_get_texts_in_small_batches(spark, docs):
     from wakeline.session import BATCH_BYTES
 

@@ -16,7 +16,8 @@ a context. A node of the tree is a context of one or two preceding symbols.
   (``model``), so texts are scored by looking terms up. The most frequent ``cached`` terms are sent to the tasks, and a filter of
   fixed size tells most pairs and triples without a term; what is left meets the terms in
   parts of the keys, which send back a sum per text. Both only save work: no result depends
-  on them.
+  on them. Keys, terms and sums travel as arrays packed in bytes, a row per part and some hundred thousand keys, as
+  the counts do: rows of a key each fill an executor's heap with buffers and sorts.
 
 Nodes and terms grow with the corpus; what is sent to all tasks is bounded by parameters. Symbols and contexts are
 known by 64-bit hashes.
@@ -57,8 +58,9 @@ PROBES = 3
 PROBED = 1 << 17
 # Text scored at once: each word stands for three terms.
 SCORED_BYTES = 1 << 19
-# Keys looked up in one task.
+# Keys looked up in one task, and texts whose sums are put together in one.
 ASKED = 1 << 19
+SUMMED = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -444,12 +446,14 @@ def scored(docs: DataFrame, model: Model, limits: TreeLimits = TreeLimits(), fol
     rows.withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
     sent.unpersist()
     rows = spark.read.parquet(folder)
-    asked, there = rows.agg(F.sum(F.size("open"))).first()[0] or 0, others.count()
-    part = F.pmod(F.xxhash64("key"), F.lit(max(8, -(-max(asked, there) // ASKED)))).alias("part")
-    asked = rows.select("row", F.explode("open").alias("key")).select("row", "key", part)
-    more = asked.groupBy("part").cogroup(others.select("key", "known", "base", "score", part).groupBy("part")).applyInArrow(
-        _looked_up, "row long, known2 long, base2 double, score2 double")
-    more = more.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known2", "base2", "score2")])
+    texts, asked = rows.agg(F.count("*"), F.coalesce(F.sum(F.size("open")), F.lit(0))).first()
+    parts, groups = max(8, -(-max(asked, others.count()) // ASKED)), max(8, -(-texts // SUMMED))
+    wanted = rows.select("row", "open").mapInArrow(_asking(parts), "part long, keys binary, rows binary")
+    given = others.select("key", "known", "base", "score").mapInArrow(
+        _giving(parts), "part long, keys binary, known binary, base binary, score binary")
+    more = wanted.groupBy("part").cogroup(given.groupBy("part")).applyInArrow(
+        _looked_up(groups), "part long, rows binary, known binary, base binary, score binary")
+    more = more.groupBy("part").applyInArrow(_summed, "row long, known2 long, base2 double, score2 double")
     value = lambda c, d: F.col(c) + F.coalesce(F.col(d), F.lit(0))
     return rows.drop("open").join(more, "row", "left").select(
         "doc_id", "n_tokens", value("n_known", "known2").alias("n_known"),
@@ -457,18 +461,107 @@ def scored(docs: DataFrame, model: Model, limits: TreeLimits = TreeLimits(), fol
         (F.col("n_tokens") * model.default + value("score", "score2")).alias("score"))
 
 
-def _looked_up(asked: pa.Table, terms: pa.Table) -> pa.Table:
-    """Sums, per row of the scores, of the terms of one part of the keys."""
-    names = ["row", "known2", "base2", "score2"]
-    keys = terms.column("key").to_numpy()
-    order = np.argsort(keys)
-    keys, wanted, rows = keys[order], asked.column("key").to_numpy(), asked.column("row").to_numpy()
-    hit = np.flatnonzero(_is_in(wanted, keys))
-    at = order[np.searchsorted(keys, wanted[hit])]
-    row, of = np.unique(rows[hit], return_inverse=True)
-    sums = [np.bincount(of, weights=terms.column(c).to_numpy()[at], minlength=len(row)) for c in ("known", "base", "score")]
-    return pa.table([pa.array(row, pa.int64()), pa.array(sums[0].astype(np.int64)),
-                     *[pa.array(v.astype(np.float64)) for v in sums[1:]]], names=names)
+def _steps(values: np.ndarray) -> bytes:
+    """64-bit numbers as the bytes of their differences, all first bytes before all second ones: sorted ones compress well."""
+    steps = np.diff(values.view(np.uint64), prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+def _parted(part: np.ndarray, names: list[str], columns: list[tuple]) -> pa.RecordBatch:
+    """A row per part, in which each column, given with its packing, is the bytes of the part's values in their order."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    out = [pa.array(part[edges[:-1]], pa.int64())]
+    for values, pack in columns:
+        values = values[order]
+        out.append(pa.array([pack(values[a:b]) for a, b in zip(edges[:-1], edges[1:])], pa.binary()))
+    return pa.record_batch(out, names=["part", *names])
+
+
+def _joined(table: pa.Table, column: str, unpack) -> np.ndarray:
+    some = [unpack(v.as_py()) for v in table.column(column)]
+    return np.concatenate(some) if some else unpack(b"")
+
+
+def _of(dtype):
+    return lambda data: np.frombuffer(data, dtype=dtype)
+
+
+def _key_part(keys: np.ndarray, parts: int) -> np.ndarray:
+    return _bucket(mix(keys ^ _TURN), parts)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], size, flush) -> Iterator[pa.RecordBatch]:
+    """``flush`` of the batches, taken together until they hold GATHER keys."""
+    held, have = [], 0
+    for batch in batches:
+        held.append(batch)
+        have += size(batch)
+        if have >= GATHER:
+            yield flush(pa.Table.from_batches(held).combine_chunks())
+            held, have = [], 0
+    if have:
+        yield flush(pa.Table.from_batches(held).combine_chunks())
+
+
+def _asking(parts: int):
+    """Packs the keys of (row, open) by their part, with the rows they are for."""
+
+    def flush(table: pa.Table) -> pa.RecordBatch:
+        lists = table.column("open").combine_chunks()
+        keys = lists.flatten().to_numpy().view(np.uint64)
+        rows = np.repeat(table.column("row").to_numpy(), lists.value_lengths().to_numpy())
+        return _parted(_key_part(keys, parts), ["keys", "rows"], [(keys, np.ndarray.tobytes), (rows, _steps)])
+
+    return lambda batches: _gathered(batches, lambda b: len(b.column("open").flatten()), flush)
+
+
+def _giving(parts: int):
+    """Packs terms by the part of their keys."""
+
+    def flush(table: pa.Table) -> pa.RecordBatch:
+        keys = table.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        keys = keys[order]
+        known, base, score = (table.column(c).to_numpy()[order] for c in ("known", "base", "score"))
+        return _parted(_key_part(keys, parts), ["keys", "known", "base", "score"], [
+            (keys, _steps), *[(v, np.ndarray.tobytes) for v in (known.astype(np.int8), base, score)]])
+
+    return lambda batches: _gathered(batches, lambda b: b.num_rows, flush)
+
+
+def _looked_up(groups: int):
+    """Sums, per row of the scores, of the terms of one part of the keys, packed by groups of rows."""
+
+    def look(asked: pa.Table, terms: pa.Table) -> pa.Table:
+        keys = _joined(terms, "keys", _from_steps)
+        order = np.argsort(keys)
+        keys = keys[order]
+        wanted, rows = _joined(asked, "keys", _of(np.uint64)), _joined(asked, "rows", _from_steps)
+        hit = np.flatnonzero(_is_in(wanted, keys))
+        at = order[np.searchsorted(keys, wanted[hit])]
+        row, of = np.unique(rows[hit], return_inverse=True)
+        known, base, score = (np.bincount(of, weights=_joined(terms, c, _of(t))[at], minlength=len(row))
+                              for c, t in (("known", np.int8), ("base", np.float64), ("score", np.float64)))
+        return pa.Table.from_batches([_parted(_bucket(mix(row), groups), ["rows", "known", "base", "score"], [
+            (row, _steps), *[(v, np.ndarray.tobytes) for v in (known.astype(np.int64), base, score)]])])
+
+    return look
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """Sums of a group of rows over all parts of the keys."""
+    row, of = np.unique(_joined(table, "rows", _from_steps), return_inverse=True)
+    sums = [np.bincount(of, weights=_joined(table, c, _of(t)), minlength=len(row))
+            for c, t in (("known", np.int64), ("base", np.float64), ("score", np.float64))]
+    return pa.table({"row": pa.array(row.view(np.int64)), "known2": pa.array(sums[0].astype(np.int64)),
+                     "base2": pa.array(sums[1].astype(np.float64)), "score2": pa.array(sums[2].astype(np.float64))})
 
 
 def _measured(piece: pa.RecordBatch, terms: Cache) -> pa.RecordBatch:
